@@ -77,13 +77,13 @@ def _stream_ingest(spark, sf_dir):
     land_as_json(_raw(spark, sf_dir), landing, files=4)
     ingest_stream(spark, landing, f"{base}/raw", f"{base}/watermark", f"{base}/checkpoint",
                   files_per_batch=1, now=NOW)
-    return spark.read.parquet(f"{base}/raw")
+    return L.read_raw(spark, f"{base}/raw")
 
 
 def _page_ingest(spark, sf_dir):
     base = scratch_path(spark, "pages")
     ingest_pages(spark, _raw(spark, sf_dir), f"{base}/raw", f"{base}/watermark", batch_size=5000, now=NOW)
-    return spark.read.parquet(f"{base}/raw")
+    return L.read_raw(spark, f"{base}/raw")
 
 
 def _ingestion_status(spark, sf_dir):

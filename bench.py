@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from civicflow import oracle as O  # noqa: E402
 from civicflow.operators import quality as D  # noqa: E402
-from civicflow.operators.load import WatermarkLog  # noqa: E402
+from civicflow.operators.load import WatermarkLog, read_raw  # noqa: E402
 from civicflow.operators.normalize import conform  # noqa: E402
 from civicflow.plans import marts as M  # noqa: E402
 from civicflow.plans import queries as Q  # noqa: E402
@@ -62,16 +62,18 @@ def main() -> None:
     land_as_json(raw_src, f"{root}/landing", files=8)
     t0 = time.perf_counter()
     counters = ingest_stream(spark, f"{root}/landing", f"{root}/raw", f"{root}/watermark",
-                             f"{root}/stream_ckpt", files_per_batch=2, now=NOW)
+                             f"{root}/stream_ckpt", files_per_batch=4, now=NOW,
+                             created_is_immutable=True)
     times["ingest_stream"] = round(time.perf_counter() - t0, 3)
     # replaying every file again must add nothing (idempotent load); timed as well
     t0 = time.perf_counter()
     replay = ingest_stream(spark, f"{root}/landing", f"{root}/raw", f"{root}/watermark",
-                           f"{root}/stream_ckpt_replay", files_per_batch=8, now=NOW)
+                           f"{root}/stream_ckpt_replay", files_per_batch=8, now=NOW,
+                           created_is_immutable=True)
     times["ingest_replay"] = round(time.perf_counter() - t0, 3)
 
     # -- marts: read raw back, build and materialise fact, dims, calendar, aggregates
-    raw = spark.read.parquet(f"{root}/raw")
+    raw = read_raw(spark, f"{root}/raw")
     lazy = M.derive(spark, raw, meta=None, calendar=M.TESTDATA_CALENDAR)
     t0 = time.perf_counter()
     marts = M.materialize(spark, lazy, f"{root}/warehouse")
@@ -111,6 +113,7 @@ def main() -> None:
         "rows": n_rows,
         "ingest_rows_per_sec": round(counters.rows / times["ingest_stream"], 1),
         "ingest_batches": counters.batches,
+        "ingest_per_batch": counters.per_batch,
         "replay_rows_added": replay.loaded,
         "end_to_end_sec": round(times["ingest_stream"] + times["build_marts"] + query_total, 3),
         "cpus": cpus,

@@ -14,11 +14,11 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_ntz
-from ..schema import CREATED, KEY, META_SCHEMA, SOURCE_NAME
+from ..schema import CREATED, EXPECTED_COLUMNS, KEY, META_SCHEMA, SOURCE_NAME
 from ..session import path_exists
 from .normalize import batch_dedupe
 
@@ -28,21 +28,28 @@ BROADCAST_KEYS_MAX = 4_000_000
 
 # --------------------------------------------------------------------------- L1
 
+def colliding_keys(batch: DataFrame, target: DataFrame, key: str = KEY) -> DataFrame:
+    """Distinct keys of ``target`` that ``batch`` also has (never more rows than the batch).
+
+    The batch's keys are broadcast and the target's key column is probed where
+    it lies: the target is scanned (key column only) but never shuffled.
+    """
+    batch_keys = batch.select(key).where(F.col(key).isNotNull())
+    return target.select(key).join(F.broadcast(batch_keys), key, "left_semi").distinct()
+
+
 def insert_absent(batch: DataFrame, target: DataFrame, key: str = KEY,
                   batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (ON CONFLICT DO NOTHING).
 
-    When the batch's size is known and bounded, its keys are broadcast and the
-    target's key column is probed in place (no shuffle of the target); only
-    the (batch-sized) set of colliding keys is then anti-joined. Otherwise both
-    sides shuffle on the key (sort-merge anti join, AQE splits skew).
+    When the batch's size is known and bounded, the colliding keys (a set no
+    larger than the batch) are found by probing the target in place and then
+    broadcast into the anti-join. Otherwise both sides shuffle on the key
+    (sort-merge anti join; AQE splits skewed partitions).
     """
-    target_keys = target.select(key)
     if batch_rows is not None and batch_rows <= BROADCAST_KEYS_MAX:
-        batch_keys = batch.select(key).where(F.col(key).isNotNull())
-        existing = target_keys.join(F.broadcast(batch_keys), key, "left_semi")
-        return batch.join(existing, key, "left_anti")
-    return batch.join(target_keys, key, "left_anti")
+        return batch.join(F.broadcast(colliding_keys(batch, target, key)), key, "left_anti")
+    return batch.join(target.select(key), key, "left_anti")
 
 
 # --------------------------------------------------------------------------- L2 / L7
@@ -144,6 +151,13 @@ class WatermarkLog:
         return top.select("source_name", F.col("m.d").alias("last_created_date"),
                           F.col("m.k").alias("last_unique_key"), "updated_at")
 
+    def append_values(self, spark: SparkSession, source: str, last_created, last_key, now) -> None:
+        """Append one known (source, date, key) row (the batch max computed by the caller)."""
+        row = spark.createDataFrame([(source, None, None, None)], META_SCHEMA).select(
+            "source_name", as_ntz(last_created).alias("last_created_date"),
+            F.lit(int(last_key)).cast("long").alias("last_unique_key"), as_ntz(now).alias("updated_at"))
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
     def append(self, batch_top: DataFrame, now) -> None:
         rows = batch_top.select("source_name", "last_created_date", "last_unique_key",
                                 as_ntz(now).alias("updated_at"))
@@ -154,32 +168,79 @@ class WatermarkLog:
 class LoadResult:
     rows_in: int
     rows_loaded: int
-    watermark: tuple
+    watermark: tuple | None
+
+
+# Directory column of the month layout of the raw table.
+MONTH_COL = "created_month"
+
+
+def _month(c):
+    return F.trunc(F.to_date(c), "month")
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table in contract columns (a month directory column is layout only)."""
+    return spark.read.parquet(path).select(*EXPECTED_COLUMNS)
 
 
 def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: WatermarkLog,
-               now, source: str = SOURCE_NAME) -> LoadResult:
+               now, source: str = SOURCE_NAME, created_is_immutable: bool = False,
+               read_back: bool = True, by_month: bool = False) -> LoadResult:
     """One batch: dedupe, insert-if-absent into ``raw_path``, then advance the watermark.
 
     Data is committed before the watermark, so a crash in between is repaired
     by replaying the batch (the anti-join makes the replay add nothing).
+
+    Layout: each batch's files are sorted by creation time, so Parquet min/max
+    statistics skip row groups for creation-range filters. ``by_month`` also
+    writes a directory per creation month (partition pruning; worth it when
+    batches arrive roughly in time order, as live feeds do).
+
+    ``created_is_immutable``: when a key never changes its creation time, a
+    stored row that collides with the batch lies in the batch's creation range,
+    so only that range of the target is probed instead of every key ever loaded.
     """
     deduped = batch_dedupe(batch).persist()
+    held = [deduped]
     try:
-        n = deduped.count()
+        c = F.col(CREATED)
+        top = F.max(F.when(c.isNotNull(), F.struct(c.alias("d"), F.col(KEY).alias("k"))))
+        n, lo, hi, undated, last = deduped.agg(
+            F.count(F.lit(1)), F.min(c), F.max(c), F.count_if(c.isNull()), top).first()
         if n == 0:
-            return LoadResult(0, 0, read_watermark(log.read(spark), source))
+            return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None)
+        new, loaded = deduped, n
         if path_exists(spark, raw_path):
-            target = spark.read.parquet(raw_path)
-            new = insert_absent(deduped, target, batch_rows=n)
+            stored = spark.read.parquet(raw_path)
+            if created_is_immutable:
+                span = F.lit(False)
+                if lo is not None:
+                    span = c.between(as_ntz(lo), as_ntz(hi))
+                    if MONTH_COL in stored.columns:
+                        span = span & F.col(MONTH_COL).between(_month(as_ntz(lo)), _month(as_ntz(hi)))
+                if undated:
+                    span = span | c.isNull()
+                stored = stored.where(span)
+            if n <= BROADCAST_KEYS_MAX:
+                hits = colliding_keys(deduped, stored).persist()
+                held.append(hits)
+                loaded = n - hits.count()
+                new = deduped.join(F.broadcast(hits), KEY, "left_anti")
+            else:  # batch too large to broadcast its keys: shuffle anti-join, counted before the write
+                new = insert_absent(deduped, stored).persist()
+                held.append(new)
+                loaded = new.count()
+        out = new.select(*deduped.columns)
+        if by_month:
+            out = out.withColumn(MONTH_COL, _month(c)).repartition(MONTH_COL)
+            out.sortWithinPartitions(CREATED).write.mode("append").partitionBy(MONTH_COL).parquet(raw_path)
         else:
-            new = deduped
-        obs = Observation("loaded")
-        new = new.select(*deduped.columns).observe(obs, F.count(F.lit(1)).alias("rows"))
-        new.write.mode("append").parquet(raw_path)
-        loaded = int(obs.get["rows"])
-        log.append(batch_max(deduped, source), now)
-        return LoadResult(n, loaded, read_watermark(log.read(spark), source))
+            out.sortWithinPartitions(CREATED).write.mode("append").parquet(raw_path)
+        if last is not None:
+            log.append_values(spark, source, last["d"], last["k"], now)
+        return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None)
     finally:
-        deduped.unpersist()
+        for df in held:
+            df.unpersist()
 

@@ -51,7 +51,8 @@ class RunCounters:
 
 def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                   files_per_batch: int = 1, fmt: str = "json", now=None,
-                  source: str = SOURCE_NAME) -> RunCounters:
+                  source: str = SOURCE_NAME, created_is_immutable: bool = False,
+                  by_month: bool = False) -> RunCounters:
     """Load every file present under ``landing`` and stop (``availableNow``)."""
     log = WatermarkLog(log_path)
     counters = RunCounters()
@@ -59,7 +60,8 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         t0 = time.time()
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        result = load_batch(spark, conform(batch), raw_path, log, when, source)
+        result = load_batch(spark, conform(batch), raw_path, log, when, source,
+                            created_is_immutable=created_is_immutable, read_back=False, by_month=by_month)
         counters.add(result, time.time() - t0)
 
     stream = (spark.readStream.schema(LANDING_SCHEMA).format(fmt)

@@ -211,3 +211,33 @@ def test_csv_and_json_sinks(spark, tmpdir_path):
     assert back.count() == 1 and back.columns == EXPECTED_COLUMNS
     j = conform(files.read_json_lines(spark, os.path.join(tmpdir_path, "json")))
     assert [tuple(r) for r in j.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_pruned_target_still_rejects_stored_keys(spark, tmpdir_path):
+    """With immutable creation times only the batch's months are probed; stored rows still win."""
+    rows = [{"unique_key": k, "created_date": ts(f"2026-0{1 + k % 3}-10 10:00:00"), "status": "stored"}
+            for k in range(9)]
+    raw, wm = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "wm")
+    log = L.WatermarkLog(wm)
+    L.load_batch(spark, raw_rows(spark, rows), raw, log, ts("2026-04-01 00:00:00"), by_month=True)
+    again = [dict(r, status="again") for r in rows] + [
+        {"unique_key": 100, "created_date": ts("2026-02-11 00:00:00"), "status": "new"},
+        {"unique_key": 101, "created_date": None, "status": "undated"}]
+    res = L.load_batch(spark, raw_rows(spark, again), raw, log, ts("2026-04-02 00:00:00"),
+                       created_is_immutable=True, by_month=True)
+    assert res.rows_in == 11 and res.rows_loaded == 2
+    out = {r.unique_key: r.status for r in L.read_raw(spark, raw).collect()}
+    assert len(out) == 11 and out[0] == "stored" and out[100] == "new" and out[101] == "undated"
+    months = sorted(x for x in os.listdir(raw) if x.startswith("created_month="))
+    assert months == ["created_month=2026-01-01", "created_month=2026-02-01", "created_month=2026-03-01",
+                      "created_month=__HIVE_DEFAULT_PARTITION__"]
+    # undated rows are probed in the NULL-month directory: replaying them adds nothing
+    res2 = L.load_batch(spark, raw_rows(spark, again[-1:]), raw, log, ts("2026-04-03 00:00:00"),
+                        created_is_immutable=True, by_month=True)
+    assert res2.rows_loaded == 0
+    # flat layout: the same pruning through row-group statistics
+    flat = os.path.join(tmpdir_path, "flat")
+    L.load_batch(spark, raw_rows(spark, rows), flat, log, ts("2026-04-01 00:00:00"))
+    res3 = L.load_batch(spark, raw_rows(spark, again), flat, log, ts("2026-04-02 00:00:00"),
+                        created_is_immutable=True)
+    assert res3.rows_loaded == 2 and L.read_raw(spark, flat).count() == 11
