@@ -67,29 +67,31 @@ def derive(spark: SparkSession, raw: DataFrame, meta: DataFrame | None = None,
 def materialize(spark: SparkSession, marts: Marts, root: str) -> Marts:
     """Write the table models under ``root`` and return marts that read them back.
 
-    The fact is written first and the aggregates are built from the written
-    fact, so raw is scanned once and each aggregate reads only its columns.
+    Raw is read twice in all: once for the fact (a projection, no shuffle) and
+    once for the three dimensions together (grouping sets). The three
+    aggregates come from one scan of the written fact (grouping sets), are
+    written once as a combined table, then split. Aggregates are range-sorted
+    by day so trailing-window filters skip files by their min/max statistics.
     """
-    fct_path = table_path(root, "marts", "fct")
-    write_table(marts.fct, fct_path)
-    fct = read_table(spark, fct_path)
-    built = {
-        "fct": fct,
-        "dim_agency": marts.dim_agency,
-        "dim_borough": marts.dim_borough,
-        "dim_complaint_type": marts.dim_complaint_type,
-        "dim_date": marts.dim_date,
-        "daily": models.daily(fct),
-        "geo": models.geo_heatmap(fct),
-        "agency_perf": models.agency_performance(fct),
-    }
-    out = {}
+    def path(name: str) -> str:
+        return table_path(root, MATERIALISED.get(name, ("marts", None))[0], name)
+
+    write_table(marts.fct, path("fct"))
+    fct = read_table(spark, path("fct"))
+
+    write_table(models.dimension_sets(marts.stg), table_path(root, "staging", "dimension_sets"))
+    dims = models.split_dimensions(read_table(spark, table_path(root, "staging", "dimension_sets")))
+    write_table(models.aggregate_sets(fct), table_path(root, "staging", "aggregate_sets"))
+    aggs = models.split_aggregates(read_table(spark, table_path(root, "staging", "aggregate_sets")))
+
+    built = {**dims, "dim_date": marts.dim_date,
+             "daily": aggs["daily"].orderBy("created_date"),
+             "geo": aggs["geo"].orderBy("created_date"),
+             "agency_perf": aggs["agency_perf"].orderBy("month")}
+    out = {"fct": fct}
     for name, df in built.items():
-        layer, parts = MATERIALISED[name]
-        path = table_path(root, layer, name)
-        if name != "fct":
-            write_table(df, path, partition_by=parts)
-        out[name] = read_table(spark, path)
+        write_table(df, path(name), partition_by=MATERIALISED[name][1])
+        out[name] = read_table(spark, path(name))
     return replace(marts, **out)
 
 

@@ -183,3 +183,67 @@ def agency_performance(fct: DataFrame) -> DataFrame:
     agg = (fct.groupBy(F.col("agency"), month_start("created_at").alias("month"))
            .agg(*_measures([F.max("created_at").alias("latest_created_at")])))
     return _finish(agg, ["agency", "month"], ["latest_created_at"])
+
+
+# --------------------------------------------------------------------------- one-pass builds
+
+def _set_id(columns: list[str], grouped: tuple[str, ...]) -> int:
+    """grouping_id() of a grouping set: a 1 bit for every column not grouped (first column = high bit)."""
+    n = len(columns)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(columns) if c not in grouped)
+
+
+_AGG_COLS = ["created_date", "borough", "complaint_type", "latitude_rounded", "longitude_rounded",
+             "has_location_data", "agency", "month"]
+_AGG_SETS = {
+    "daily": ("created_date", "borough", "complaint_type"),
+    "geo": ("created_date", "latitude_rounded", "longitude_rounded", "has_location_data"),
+    "agency_perf": ("agency", "month"),
+}
+
+
+def aggregate_sets(fct: DataFrame) -> DataFrame:
+    """The three aggregates' groups from one scan of the fact (GROUPING SETS).
+
+    Each task pre-aggregates all three groupings before the single shuffle, so
+    the fact is read once instead of three times. Split with ``split_aggregates``.
+    """
+    base = fct.select(*[c for c in _AGG_COLS if c != "month"], month_start("created_at").alias("month"),
+                      "created_at", "closed_at")
+    return (base.groupingSets([list(s) for s in _AGG_SETS.values()], *_AGG_COLS)
+            .agg(F.grouping_id().alias("set_id"), *_measures([F.max("created_at").alias("latest_created_at")])))
+
+
+def split_aggregates(sets: DataFrame) -> dict[str, DataFrame]:
+    """daily / geo / agency_perf tables from ``aggregate_sets`` (same columns as the separate builds)."""
+    sid = {name: _set_id(_AGG_COLS, grouped) for name, grouped in _AGG_SETS.items()}
+    daily_t = sets.where(F.col("set_id") == sid["daily"])
+    geo_t = sets.where((F.col("set_id") == sid["geo"]) & F.col("has_location_data"))
+    agency_t = sets.where(F.col("set_id") == sid["agency_perf"])
+    return {
+        "daily": _finish(daily_t, list(_AGG_SETS["daily"])),
+        "geo": _finish(geo_t, ["created_date", "latitude_rounded", "longitude_rounded"]),
+        "agency_perf": _finish(agency_t, ["agency", "month"], ["latest_created_at"]),
+    }
+
+
+_DIM_COLS = ["agency", "agency_name", "borough", "complaint_type", "complaint_subtype"]
+_DIM_SETS = {
+    "dim_agency": ("agency", "agency_name"),
+    "dim_borough": ("borough",),
+    "dim_complaint_type": ("complaint_type", "complaint_subtype"),
+}
+
+
+def dimension_sets(stg: DataFrame) -> DataFrame:
+    """The distinct values of all three dimensions from one scan of staging."""
+    return (stg.groupingSets([list(s) for s in _DIM_SETS.values()], *_DIM_COLS)
+            .agg(F.grouping_id().alias("set_id")))
+
+
+def split_dimensions(sets: DataFrame) -> dict[str, DataFrame]:
+    out = {}
+    for name, grouped in _DIM_SETS.items():
+        t = sets.where(F.col("set_id") == _set_id(_DIM_COLS, grouped)).select(*grouped)
+        out[name] = t.where(F.col("borough").isNotNull()) if name == "dim_borough" else t
+    return out
