@@ -66,3 +66,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
             if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f.name)
             for f in df.schema.fields]
     df.select(*cols).write.mode(mode).option("header", True).csv(path)
+
+
+def write_sample_copies(landed: DataFrame, out_dir: str, size: int | None = None) -> None:
+    """Header-CSV copies of a sample, as landed (text) and normalised (typed contract)."""
+    from ..operators.normalize import conform
+
+    out = out_dir.rstrip("/")
+    sample = landed.limit(int(size)) if size is not None else landed
+    write_csv(sample, f"{out}/raw")
+    # normalise the copy just written, so both files hold the same rows
+    spark = landed.sparkSession
+    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in landed.columns])
+    written = spark.read.schema(text_schema).option("header", True).csv(f"{out}/raw")
+    write_csv(conform(written), f"{out}/normalised")

@@ -102,3 +102,16 @@ def land_as_json(df: DataFrame, landing: str, files: int) -> None:
      .write.mode("overwrite")
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
      .json(landing))
+
+
+def backfill_json(spark: SparkSession, path: str, raw_path: str, log_path: str, now=None,
+                  source: str = SOURCE_NAME) -> LoadResult:
+    """Load JSON-array file(s) once: check the shape, normalise, insert-if-absent, advance the watermark.
+
+    Raises ``ValueError`` when a file is not an array of objects; an empty array loads nothing.
+    """
+    from ..sources.files import read_json_array, validate_json_array
+
+    validate_json_array(spark, path)
+    when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return load_batch(spark, conform(read_json_array(spark, path)), raw_path, WatermarkLog(log_path), when, source)

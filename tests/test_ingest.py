@@ -241,3 +241,22 @@ def test_pruned_target_still_rejects_stored_keys(spark, tmpdir_path):
     res3 = L.load_batch(spark, raw_rows(spark, again), flat, log, ts("2026-04-02 00:00:00"),
                         created_is_immutable=True)
     assert res3.rows_loaded == 2 and L.read_raw(spark, flat).count() == 11
+
+
+def test_backfill_json_and_sample_copies(spark, tmpdir_path):
+    from civicflow.streaming import backfill_json
+    p = os.path.join(tmpdir_path, "array.json")
+    _write(p, json.dumps(RECORDS))
+    raw, wm = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "wm")
+    res = backfill_json(spark, p, raw, wm, now=ts("2026-01-07 00:00:00"))
+    assert (res.rows_in, res.rows_loaded) == (2, 2)
+    assert res.watermark == (ts("2026-01-05 11:00:00"), 11)
+    assert backfill_json(spark, p, raw, wm, now=ts("2026-01-08 00:00:00")).rows_loaded == 0
+    bad = os.path.join(tmpdir_path, "object.json")
+    _write(bad, json.dumps(RECORDS[0]))
+    with pytest.raises(ValueError):
+        backfill_json(spark, bad, raw, wm)
+    out = os.path.join(tmpdir_path, "sample")
+    files.write_sample_copies(files.read_json_array(spark, p), out, size=1)
+    assert spark.read.option("header", True).csv(out + "/raw").count() == 1
+    assert spark.read.option("header", True).csv(out + "/normalised").columns == EXPECTED_COLUMNS
