@@ -201,13 +201,22 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
     stored row that collides with the batch lies in the batch's creation range,
     so only that range of the target is probed instead of every key ever loaded.
     """
-    deduped = batch_dedupe(batch).persist()
-    held = [deduped]
+    rows = batch.persist()
+    held = [rows]
     try:
-        c = F.col(CREATED)
-        top = F.max(F.when(c.isNotNull(), F.struct(c.alias("d"), F.col(KEY).alias("k"))))
-        n, lo, hi, undated, last = deduped.agg(
-            F.count(F.lit(1)), F.min(c), F.max(c), F.count_if(c.isNull()), top).first()
+        c, k = F.col(CREATED), F.col(KEY)
+        top = F.max(F.when(c.isNotNull() & k.isNotNull(), F.struct(c.alias("d"), k.alias("k"))))
+        keyed, n, lo, hi, undated, last = rows.agg(
+            F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top).first()
+        # The wide dedupe aggregate runs only when the batch really repeats a key.
+        # (Stats taken before dedupe are still right: the row kept per key has its
+        # greatest creation time, so the max (created, key) is the same, and the
+        # creation range can only be wider.)
+        if keyed == n:
+            deduped = rows.where(k.isNotNull())
+        else:
+            deduped = batch_dedupe(rows).persist()
+            held.append(deduped)
         if n == 0:
             return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None)
         new, loaded = deduped, n

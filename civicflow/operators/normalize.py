@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import KEY, RAW_SCHEMA
+from ..schema import CREATED, KEY, RAW_SCHEMA
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
@@ -39,7 +39,8 @@ def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
 
 
 def batch_dedupe(df: DataFrame, key: str = KEY) -> DataFrame:
-    """One row per key; the pick is deterministic (greatest row in column order).
+    """One row per key; the pick is deterministic: the greatest row, comparing the
+    creation time first, then the other columns in order (NULL is smallest).
 
     Written as an aggregate, not a window: ``max(struct(...))`` combines
     partially inside each task before the shuffle, so a key holding a large
@@ -48,10 +49,12 @@ def batch_dedupe(df: DataFrame, key: str = KEY) -> DataFrame:
     and returned by ``null_key_rows`` for quarantine.
     """
     others = [c for c in df.columns if c != key]
+    if CREATED in others:
+        others = [CREATED] + [c for c in others if c != CREATED]
     return (df.where(F.col(key).isNotNull())
             .groupBy(key)
             .agg(F.max(F.struct(*others)).alias("_row"))
-            .select(key, "_row.*"))
+            .select(key, *[F.col(f"_row.{c}").alias(c) for c in df.columns if c != key]))
 
 
 def null_key_rows(df: DataFrame, key: str = KEY) -> DataFrame:
