@@ -19,6 +19,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_watermark, resume_point
@@ -49,13 +50,9 @@ class RunCounters:
         return self.rows / self.seconds if self.seconds else 0.0
 
 
-def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
-                  files_per_batch: int = 1, fmt: str = "json", now=None,
-                  source: str = SOURCE_NAME, created_is_immutable: bool = False,
-                  by_month: bool = False) -> RunCounters:
-    """Load every file present under ``landing`` and stop (``availableNow``)."""
+def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
+            created_is_immutable: bool, by_month: bool, counters: RunCounters):
     log = WatermarkLog(log_path)
-    counters = RunCounters()
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         t0 = time.time()
@@ -64,9 +61,22 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
                             created_is_immutable=created_is_immutable, read_back=False, by_month=by_month)
         counters.add(result, time.time() - t0)
 
-    stream = (spark.readStream.schema(LANDING_SCHEMA).format(fmt)
-              .option("maxFilesPerTrigger", int(files_per_batch)).load(landing))
-    query = (stream.writeStream.foreachBatch(per_batch)
+    return per_batch
+
+
+def _file_stream(spark: SparkSession, landing: str, fmt: str, files_per_batch: int) -> DataFrame:
+    return (spark.readStream.schema(LANDING_SCHEMA).format(fmt)
+            .option("maxFilesPerTrigger", int(files_per_batch)).load(landing))
+
+
+def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
+                  files_per_batch: int = 1, fmt: str = "json", now=None,
+                  source: str = SOURCE_NAME, created_is_immutable: bool = False,
+                  by_month: bool = False) -> RunCounters:
+    """Load every file present under ``landing`` and stop (``availableNow``)."""
+    counters = RunCounters()
+    per_batch = _loader(spark, raw_path, log_path, now, source, created_is_immutable, by_month, counters)
+    query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -75,6 +85,19 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
     return counters
 
 
+def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
+                        every: str = "1 minute", files_per_batch: int = 1, fmt: str = "json",
+                        source: str = SOURCE_NAME, created_is_immutable: bool = False,
+                        by_month: bool = False) -> tuple[StreamingQuery, RunCounters]:
+    """Keep loading new files as they land (processing-time trigger); returns the running query."""
+    counters = RunCounters()
+    per_batch = _loader(spark, raw_path, log_path, None, source, created_is_immutable, by_month, counters)
+    query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint)
+             .trigger(processingTime=every).start())
+    return query, counters
+
+
 def ingest_pages(spark: SparkSession, source_df: DataFrame, raw_path: str, log_path: str,
                  batch_size: int = DEFAULT_BATCH_SIZE, start_date: _dt.datetime | None = None,
                  now=None, source: str = SOURCE_NAME, max_batches: int | None = None) -> RunCounters:

@@ -260,3 +260,20 @@ def test_backfill_json_and_sample_copies(spark, tmpdir_path):
     files.write_sample_copies(files.read_json_array(spark, p), out, size=1)
     assert spark.read.option("header", True).csv(out + "/raw").count() == 1
     assert spark.read.option("header", True).csv(out + "/normalised").columns == EXPECTED_COLUMNS
+
+
+def test_continuous_stream_picks_up_new_files(spark, tmpdir_path):
+    from civicflow.streaming import start_ingest_stream
+    land = os.path.join(tmpdir_path, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "a.json"), json.dumps({"unique_key": "1", "created_date": "2026-01-01T00:00:00"}))
+    raw, wm, ck = (os.path.join(tmpdir_path, x) for x in ("raw", "wm", "ck"))
+    query, counters = start_ingest_stream(spark, land, raw, wm, ck, every="1 second")
+    try:
+        query.processAllAvailable()
+        _write(os.path.join(land, "b.json"), json.dumps({"unique_key": "2", "created_date": "2026-01-02T00:00:00"}))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert counters.loaded == 2 and spark.read.parquet(raw).count() == 2
+    assert L.read_watermark(L.WatermarkLog(wm).read(spark)) == (ts("2026-01-02 00:00:00"), 2)
