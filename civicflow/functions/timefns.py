@@ -77,7 +77,11 @@ def zone_offset_hours(ts, zone: str = DISPLAY_ZONE) -> Column:
 
 
 def display_local(ts, zone: str = DISPLAY_ZONE) -> Column:
-    """``YYYY-MM-DD hh:mm AM EST`` for a naive local timestamp; NULL -> 'Unavailable'."""
+    """``YYYY-MM-DD hh:mm AM EST`` for a naive local timestamp; NULL -> 'Unavailable'.
+
+    A wall-clock time in the repeated autumn hour has two readings; the earlier
+    (daylight-saving) one is used, as Python's default ``fold=0`` does.
+    """
     c = _col(ts)
     off = zone_offset_hours(c, zone)
     abbrev = F.lit(None).cast("string")

@@ -213,7 +213,12 @@ def _model_tables() -> dict[str, str]:
 
 
 def _display(c: str) -> str:
-    off = f"(epoch_us(timezone('America/New_York', {c})) - epoch_us({c})) // 3600000000"
+    # offset of the later reading, minus one hour when the wall clock is also reached an hour
+    # earlier (the repeated autumn hour): ambiguous times take the earlier (daylight) offset
+    z = "'America/New_York'"
+    later = f"(epoch_us(timezone({z}, {c})) - epoch_us({c})) // 3600000000"
+    repeated = f"timezone({z}, timezone({z}, {c}) - interval 1 hour) = {c}"
+    off = f"({later} - case when {repeated} then 1 else 0 end)"
     return (f"case when {c} is null then 'Unavailable' else strftime({c}, '%Y-%m-%d %I:%M %p') || ' ' ||"
             f" case {off} when 5 then 'EST' when 4 then 'EDT' end end")
 

@@ -180,3 +180,10 @@ def test_data_tests_pass_and_fail(spark):
     assert D.unique_failures(bad.dim_agency, "agency").first().n_records == 2
     assert D.accepted_values_failures(good.fct, "resolution_bucket", ["x"]).count() == 1
     assert D.unique_combination_failures(bad.dim_complaint_type, ["complaint_type", "complaint_subtype"]).count() == 0
+
+
+def test_display_time_repeated_autumn_hour(spark):
+    m = _marts(spark, [_req(1, "2026-11-01 01:30:00"), _req(2, "2026-11-01 02:30:00"),
+                       _req(3, "2026-11-01 00:30:00")])
+    got = {r.unique_key: r.created_label for r in Q.display_times(m).collect()}
+    assert got == {1: "2026-11-01 01:30 AM EDT", 2: "2026-11-01 02:30 AM EST", 3: "2026-11-01 12:30 AM EDT"}
