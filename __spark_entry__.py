@@ -137,6 +137,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "watermark_merge": _watermark_merge,
         "keyset_page": lambda spark, sf_dir: S.keyset_page(
             _raw(spark, sf_dir), O.PAGE_SIZE, _ts(O.PAGE_AFTER[0]), O.PAGE_AFTER[1]),
+        "keyset_page_bulk": lambda spark, sf_dir: S.keyset_page(
+            _raw(spark, sf_dir), O.BULK_PAGE_SIZE, _ts(O.PAGE_AFTER[0]), O.PAGE_AFTER[1]),
         "keyset_ties": lambda spark, sf_dir: S.keyset_ties(
             _raw(spark, sf_dir), O.PAGE_SIZE, _ts(O.TIES_AT[0]), O.TIES_AT[1]),
         "since_date": lambda spark, sf_dir: S.since_date(_raw(spark, sf_dir), O.PAGE_SIZE, _ts(O.SINCE)),

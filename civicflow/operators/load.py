@@ -158,6 +158,31 @@ class WatermarkLog:
             F.lit(int(last_key)).cast("long").alias("last_unique_key"), as_ntz(now).alias("updated_at"))
         row.coalesce(1).write.mode("append").parquet(self.path)
 
+    def data_files(self, spark: SparkSession) -> list:
+        """Hadoop paths of the log's Parquet files."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        return [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().endswith(".parquet")]
+
+    def compact(self, spark: SparkSession, min_files: int = 64) -> int:
+        """Fold the log into one file once it has ``min_files`` files; returns files removed.
+
+        The folded row per source is the maximum of the rows it replaces, so a
+        reader gets the same watermark before, during and after compaction.
+        """
+        old = self.data_files(spark)
+        if len(old) < min_files:
+            return 0
+        current = self.read(spark).collect()  # one row per source
+        spark.createDataFrame(current, META_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        fs = old[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for f in old:
+            fs.delete(f, False)
+        return len(old)
+
     def append(self, batch_top: DataFrame, now) -> None:
         rows = batch_top.select("source_name", "last_created_date", "last_unique_key",
                                 as_ntz(now).alias("updated_at"))
@@ -248,6 +273,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             out.sortWithinPartitions(CREATED).write.mode("append").parquet(raw_path)
         if last is not None:
             log.append_values(spark, source, last["d"], last["k"], now)
+            log.compact(spark)
         return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None)
     finally:
         for df in held:

@@ -19,6 +19,7 @@ AGENCY_MONTHS = 12
 RECENT_LIMIT = 100
 RECENT_FILTER = {"borough": "EUROPE", "status": "F"}
 PAGE_SIZE = 1000
+BULK_PAGE_SIZE = 5000
 PAGE_AFTER = ("1998-01-01 06:00:00", 5000)
 TIES_AT = ("1998-01-01 06:00:00", 0)
 SINCE = "2001-01-01 00:00:00"
@@ -262,6 +263,9 @@ def queries_sql() -> dict[str, str]:
         "keyset_page": with_base(
             f"select * from raw where created_date > timestamp '{d}' or (created_date = timestamp '{d}'"
             f" and unique_key > {k}) order by created_date, unique_key limit {PAGE_SIZE}"),
+        "keyset_page_bulk": with_base(
+            f"select * from raw where created_date > timestamp '{d}' or (created_date = timestamp '{d}'"
+            f" and unique_key > {k}) order by created_date, unique_key limit {BULK_PAGE_SIZE}"),
         "keyset_ties": with_base(
             f"select * from raw where created_date = timestamp '{td}' and unique_key > {tk}"
             f" order by created_date, unique_key limit {PAGE_SIZE}"),

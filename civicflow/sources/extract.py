@@ -7,7 +7,7 @@ min/max statistics prune before the OR predicate is evaluated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_ntz
@@ -39,19 +39,76 @@ def after(last_created, last_key=None, inclusive_date: bool = False) -> Column:
     return (c >= d) & ((c > d) | ((c == d) & (k > F.lit(int(last_key)))))
 
 
+# Pages up to this size use a plain top-k (each task keeps ``limit`` rows, one task merges them).
+SMALL_PAGE = 2_000
+
+
 def keyset_page(df: DataFrame, limit: int, last_created=None, last_key=None,
                 where: Column | None = None, order: list[Column] | None = None) -> DataFrame:
     """Next page after the watermark, ordered (created, key) ascending, at most ``limit`` rows.
 
     ``where``/``order`` override the filter and order like the API override
-    parameters; the watermark predicate is still applied.
+    parameters; the watermark predicate is still applied. Pages larger than
+    ``SMALL_PAGE`` in the default order are cut by ``bounded_first_rows``.
     """
     out = df.where(after(last_created, last_key))
     if where is not None:
         out = out.where(where)
+    if order is None and int(limit) > SMALL_PAGE:
+        return bounded_first_rows(out, int(limit)).orderBy(*asc_order())
     return out.orderBy(*(order or asc_order())).limit(int(limit))
 
 
+def _levels() -> list[Column]:
+    """Buckets that follow the (created, key) order ever more finely: day, hour, second,
+    microsecond of creation, then key ranges (2^40, 2^20, single keys)."""
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(CREATED))
+    k = F.col(KEY)
+    out = [us - F.pmod(us, F.lit(w)) for w in (86_400_000_000, 3_600_000_000, 1_000_000, 1)]
+    return out + [k - F.pmod(k, F.lit(w)) for w in (1 << 40, 1 << 20, 1)]
+
+
+def bounded_first_rows(df: DataFrame, limit: int, slack: int = 4) -> DataFrame:
+    """The first ``limit`` rows of ``df`` in (created, key) order, with a bounded merge.
+
+    A plain top-k lets every task keep ``limit`` rows and merges them all in
+    one task. Here a histogram finds the bucket where the running count reaches
+    the rows still needed; every row before it is taken whole, and only that
+    boundary bucket is refined (day -> ... -> single key) until it holds at most
+    ``slack`` times the rows still needed, where a top-k finishes. Only
+    histograms reach the driver; a hot day or instant just takes more levels.
+    Rows without a creation time come last, ordered by key.
+    """
+    need = int(limit)
+    pieces: list[DataFrame] = []
+    dated = df.where(F.col(CREATED).isNotNull())
+    for part, levels in ((dated, _levels()), (df.where(F.col(CREATED).isNull()), _levels()[4:])):
+        region = part
+        for i, lvl in enumerate(levels):
+            if need <= 0:
+                break
+            hist = region.groupBy(lvl.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+            running = hist.withColumn("cum", F.sum("n").over(
+                Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
+            cut = running.where(F.col("cum") >= need).orderBy("b").limit(1).collect()
+            if not cut:  # fewer rows than needed: all of them
+                pieces.append(region)
+                need -= int(running.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+                break
+            b, n_b, cum = cut[0]["b"], int(cut[0]["n"]), int(cut[0]["cum"])
+            pieces.append(region.where(lvl < F.lit(b)))
+            need -= cum - n_b
+            region = region.where(lvl == F.lit(b))
+            if n_b <= slack * need or i == len(levels) - 1:
+                pieces.append(region.orderBy(*asc_order()).limit(need))
+                need = 0
+                break
+    out = pieces[0]
+    for p in pieces[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def keyset_ties(df: DataFrame, limit: int, last_created, last_key) -> DataFrame:
     """Rows at exactly the watermark date with a larger key (the tie-break part of a page)."""
     c, k = F.col(CREATED), F.col(KEY)

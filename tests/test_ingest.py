@@ -277,3 +277,17 @@ def test_continuous_stream_picks_up_new_files(spark, tmpdir_path):
         query.stop()
     assert counters.loaded == 2 and spark.read.parquet(raw).count() == 2
     assert L.read_watermark(L.WatermarkLog(wm).read(spark)) == (ts("2026-01-02 00:00:00"), 2)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 7, 12, 20, 25])
+def test_bounded_first_rows_equals_plain_top_k(spark, limit):
+    """Hot instant (many rows at one time), hot day, undated rows: same rows as a full sort."""
+    hot = ts("2026-01-05 10:00:00")
+    rows = [{"unique_key": k, "created_date": hot} for k in (5, 1 << 41, 3, 1 << 21, 9, 2)]
+    rows += [{"unique_key": 100 + k, "created_date": hot + dt.timedelta(minutes=k)} for k in range(6)]
+    rows += [{"unique_key": 200 + k, "created_date": ts("2026-01-0%d 00:00:00" % (1 + k % 4))} for k in range(6)]
+    rows += [{"unique_key": 300 + k, "created_date": None} for k in range(3)]
+    df = raw_rows(spark, rows)
+    want = [r.unique_key for r in df.orderBy(*S.asc_order()).limit(limit).collect()]
+    got = S.bounded_first_rows(df, limit, slack=1).orderBy(*S.asc_order()).collect()
+    assert [r.unique_key for r in got] == want

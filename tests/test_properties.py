@@ -40,3 +40,17 @@ def test_log_order_and_replay_do_not_matter(spark, order, repeat):
         log.append_values(spark, "s", maxima[i][0], maxima[i][1], BASE)
     expect = max(maxima[i] for i in order[:3])
     assert L.read_watermark(log.read(spark), "s") == expect
+
+
+def test_log_compaction_keeps_the_watermark(spark):
+    import tempfile
+    log = L.WatermarkLog(tempfile.mkdtemp(prefix="civicflow-prop-", dir="/tmp") + "/wm")
+    for i in range(5):
+        log.append_values(spark, "a", BASE + dt.timedelta(hours=i % 3), 10 + i, BASE + dt.timedelta(days=i))
+        log.append_values(spark, "b", BASE, i, BASE)
+    before = sorted(map(tuple, log.read(spark).collect()))
+    assert len(log.data_files(spark)) == 10
+    assert log.compact(spark, min_files=4) == 10
+    assert len(log.data_files(spark)) == 1
+    assert sorted(map(tuple, log.read(spark).collect())) == before
+    assert log.compact(spark, min_files=4) == 0
