@@ -143,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _raw(spark, sf_dir), O.PAGE_SIZE, _ts(O.TIES_AT[0]), O.TIES_AT[1]),
         "since_date": lambda spark, sf_dir: S.since_date(_raw(spark, sf_dir), O.PAGE_SIZE, _ts(O.SINCE)),
         "latest_n": lambda spark, sf_dir: S.latest_n(_raw(spark, sf_dir), O.PAGE_SIZE),
+        "latest_n_bulk": lambda spark, sf_dir: S.latest_n(_raw(spark, sf_dir), O.BULK_PAGE_SIZE),
         "key_lookup": lambda spark, sf_dir: S.key_lookup(_raw(spark, sf_dir), O.LOOKUP_KEY),
         "stream_ingest": _stream_ingest,
         "page_ingest": _page_ingest,

@@ -274,6 +274,8 @@ def queries_sql() -> dict[str, str]:
             f" limit {PAGE_SIZE}"),
         "latest_n": with_base(
             f"select * from raw order by created_date desc nulls last, unique_key desc limit {PAGE_SIZE}"),
+        "latest_n_bulk": with_base(
+            f"select * from raw order by created_date desc nulls last, unique_key desc limit {BULK_PAGE_SIZE}"),
         "key_lookup": with_base(f"select * from raw where unique_key = {LOOKUP_KEY}"),
         "stream_ingest": with_base("select * from raw"),
         "page_ingest": with_base("select * from raw"),

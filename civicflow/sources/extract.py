@@ -68,7 +68,15 @@ def _levels() -> list[Column]:
     return out + [k - F.pmod(k, F.lit(w)) for w in (1 << 40, 1 << 20, 1)]
 
 
-def bounded_first_rows(df: DataFrame, limit: int, slack: int = 4) -> DataFrame:
+def _order(descending: bool, nulls_first: bool) -> list[Column]:
+    c, k = F.col(CREATED), F.col(KEY)
+    if not descending:
+        return [c.asc_nulls_first() if nulls_first else c.asc_nulls_last(), k.asc_nulls_last()]
+    return [c.desc_nulls_first() if nulls_first else c.desc_nulls_last(), k.desc_nulls_last()]
+
+
+def bounded_first_rows(df: DataFrame, limit: int, descending: bool = False, nulls_first: bool = False,
+                       slack: int = 4) -> DataFrame:
     """The first ``limit`` rows of ``df`` in (created, key) order, with a bounded merge.
 
     A plain top-k lets every task keep ``limit`` rows and merges them all in
@@ -77,12 +85,15 @@ def bounded_first_rows(df: DataFrame, limit: int, slack: int = 4) -> DataFrame:
     boundary bucket is refined (day -> ... -> single key) until it holds at most
     ``slack`` times the rows still needed, where a top-k finishes. Only
     histograms reach the driver; a hot day or instant just takes more levels.
-    Rows without a creation time come last, ordered by key.
+    Rows without a creation time come last (or first with ``nulls_first``), by key.
     """
+    sign = -1 if descending else 1
+    order = _order(descending, nulls_first)
     need = int(limit)
     pieces: list[DataFrame] = []
-    dated = df.where(F.col(CREATED).isNotNull())
-    for part, levels in ((dated, _levels()), (df.where(F.col(CREATED).isNull()), _levels()[4:])):
+    dated = (df.where(F.col(CREATED).isNotNull()), [lvl * sign for lvl in _levels()])
+    undated = (df.where(F.col(CREATED).isNull()), [lvl * sign for lvl in _levels()[4:]])
+    for part, levels in ((undated, dated) if nulls_first else (dated, undated)):
         region = part
         for i, lvl in enumerate(levels):
             if need <= 0:
@@ -100,10 +111,10 @@ def bounded_first_rows(df: DataFrame, limit: int, slack: int = 4) -> DataFrame:
             need -= cum - n_b
             region = region.where(lvl == F.lit(b))
             if n_b <= slack * need or i == len(levels) - 1:
-                pieces.append(region.orderBy(*asc_order()).limit(need))
+                pieces.append(region.orderBy(*order).limit(need))
                 need = 0
                 break
-    out = pieces[0]
+    out = pieces[0] if pieces else df.limit(0)
     for p in pieces[1:]:
         out = out.unionByName(p)
     return out
@@ -122,7 +133,9 @@ def since_date(df: DataFrame, limit: int, start) -> DataFrame:
 
 
 def latest_n(df: DataFrame, n: int) -> DataFrame:
-    """Newest ``n`` rows by (created desc, key desc)."""
+    """Newest ``n`` rows by (created desc, key desc); large ``n`` uses the bounded cut."""
+    if int(n) > SMALL_PAGE:
+        return bounded_first_rows(df, int(n), descending=True).orderBy(*desc_order())
     return df.orderBy(*desc_order()).limit(int(n))
 
 

@@ -288,6 +288,9 @@ def test_bounded_first_rows_equals_plain_top_k(spark, limit):
     rows += [{"unique_key": 200 + k, "created_date": ts("2026-01-0%d 00:00:00" % (1 + k % 4))} for k in range(6)]
     rows += [{"unique_key": 300 + k, "created_date": None} for k in range(3)]
     df = raw_rows(spark, rows)
-    want = [r.unique_key for r in df.orderBy(*S.asc_order()).limit(limit).collect()]
-    got = S.bounded_first_rows(df, limit, slack=1).orderBy(*S.asc_order()).collect()
-    assert [r.unique_key for r in got] == want
+    for desc in (False, True):
+        for nulls_first in (False, True):
+            order = S._order(desc, nulls_first)
+            want = [r.unique_key for r in df.orderBy(*order).limit(limit).collect()]
+            got = S.bounded_first_rows(df, limit, desc, nulls_first, slack=1).orderBy(*order).collect()
+            assert [r.unique_key for r in got] == want, (desc, nulls_first)
