@@ -43,7 +43,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     k = F.col("o_orderkey")
     ck = F.col("o_custkey")
-    created = F.col("o_orderdate") + F.make_dt_interval(hours=(k % 4 * 6).cast("int"))
+    # the order date is zone-less; the cast is a no-op unless a session reads it as zone-aware
+    created = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=(k % 4 * 6).cast("int"))
     o = orders.select("*", created.alias("created_date"))
     j = o.join(cust, o.o_custkey == cust.c_custkey)
 
