@@ -222,17 +222,19 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
     writes a directory per creation month (partition pruning; worth it when
     batches arrive roughly in time order, as live feeds do).
 
-    ``created_is_immutable``: when a key never changes its creation time, a
-    stored row that collides with the batch lies in the batch's creation range,
-    so only that range of the target is probed instead of every key ever loaded.
+    The target is probed only within the batch's key range (exact; pushed to
+    Parquet). ``created_is_immutable``: when a key never changes its creation
+    time, a stored row that collides with the batch also lies in the batch's
+    creation range, so only that range of the target is probed.
     """
     rows = batch.persist()
     held = [rows]
     try:
         c, k = F.col(CREATED), F.col(KEY)
         top = F.max(F.when(c.isNotNull() & k.isNotNull(), F.struct(c.alias("d"), k.alias("k"))))
-        keyed, n, lo, hi, undated, last = rows.agg(
-            F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top).first()
+        keyed, n, lo, hi, undated, last, k_lo, k_hi = rows.agg(
+            F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top,
+            F.min(k), F.max(k)).first()
         # The wide dedupe aggregate runs only when the batch really repeats a key.
         # (Stats taken before dedupe are still right: the row kept per key has its
         # greatest creation time, so the max (created, key) is the same, and the
@@ -246,7 +248,9 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None)
         new, loaded = deduped, n
         if path_exists(spark, raw_path):
-            stored = spark.read.parquet(raw_path)
+            # a colliding stored key lies within the batch's key range: always exact, and the
+            # range reaches Parquet, where row-group key statistics skip most of the target
+            stored = spark.read.parquet(raw_path).where(k.between(F.lit(int(k_lo)), F.lit(int(k_hi))))
             if created_is_immutable:
                 span = F.lit(False)
                 if lo is not None:

@@ -294,3 +294,14 @@ def test_bounded_first_rows_equals_plain_top_k(spark, limit):
             want = [r.unique_key for r in df.orderBy(*order).limit(limit).collect()]
             got = S.bounded_first_rows(df, limit, desc, nulls_first, slack=1).orderBy(*order).collect()
             assert [r.unique_key for r in got] == want, (desc, nulls_first)
+
+
+def test_target_probe_is_limited_to_the_batch_key_range(spark, tmpdir_path):
+    raw, wm = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "wm")
+    log = L.WatermarkLog(wm)
+    c = ts("2026-01-05 10:00:00")
+    L.load_batch(spark, raw_rows(spark, [{"unique_key": k, "created_date": c} for k in (1, 50, 100)]), raw, log, c)
+    res = L.load_batch(spark, raw_rows(spark, [{"unique_key": k, "created_date": c} for k in (50, 60, 100, 101)]),
+                       raw, log, c)
+    assert (res.rows_in, res.rows_loaded) == (4, 2)
+    assert sorted(r.unique_key for r in L.read_raw(spark, raw).collect()) == [1, 50, 60, 100, 101]
