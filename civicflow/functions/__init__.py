@@ -7,6 +7,7 @@ from .timefns import (
     day_start,
     days_before,
     display_local,
+    epoch_micros,
     hours_between,
     micros_between,
     month_start,
@@ -16,7 +17,7 @@ from .timefns import (
 )
 
 __all__ = [
-    "MICROS_PER_HOUR", "as_ntz", "cell_label", "day_start", "days_before", "display_local", "grid",
+    "MICROS_PER_HOUR", "as_ntz", "cell_label", "day_start", "days_before", "display_local", "epoch_micros", "grid",
     "hours_between", "mean_hours", "micros_between", "month_start", "months_before_month_start",
     "mean_us", "us_sum", "US_SUM_TYPE", "to_timestamp_lenient", "zone_offset_hours",
 ]

@@ -1,4 +1,10 @@
-"""Time expressions. All inputs are TIMESTAMP_NTZ; nothing here depends on the session zone."""
+"""Time expressions. All inputs are TIMESTAMP_NTZ; nothing here depends on the session zone.
+
+Some built-ins (``timestamp_diff``, ``date_format``) read a TIMESTAMP_NTZ through the
+session zone, which moves wall-clock times that fall in a daylight-saving gap.
+Differences are therefore taken as NTZ - NTZ (an interval computed without a
+zone) and labels are assembled from zone-free parts.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +27,14 @@ def _col(c) -> Column:
 
 
 def micros_between(start, end) -> Column:
-    """Signed microseconds from ``start`` to ``end`` (bigint, exact)."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    """Signed microseconds from ``start`` to ``end`` (bigint, exact, zone-free)."""
+    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(20,6)")
+    return (seconds * F.lit(1_000_000)).cast("long")
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds from 1970-01-01 00:00 to the wall-clock ``ts`` (zone-free)."""
+    return micros_between(_epoch(), ts)
 
 
 def hours_between(start, end) -> Column:
@@ -69,7 +81,7 @@ def zone_offset_hours(ts, zone: str = DISPLAY_ZONE) -> Column:
     The wall clock is moved into a TIMESTAMP without going through the session
     zone (epoch micros of the wall clock), then rebased from ``zone`` to UTC.
     """
-    wall_us = F.timestamp_diff("MICROSECOND", _epoch(), _col(ts))
+    wall_us = epoch_micros(ts)
     as_utc_wall = F.timestamp_micros(wall_us)
     instant = F.to_utc_timestamp(as_utc_wall, zone)
     shift = F.unix_micros(instant) - wall_us
@@ -87,7 +99,10 @@ def display_local(ts, zone: str = DISPLAY_ZONE) -> Column:
     abbrev = F.lit(None).cast("string")
     for hours, name in DISPLAY_ZONE_ABBREV.items():
         abbrev = F.when(off == hours, F.lit(name)).otherwise(abbrev)
-    label = F.concat_ws(" ", F.date_format(c, "yyyy-MM-dd hh:mm a"), abbrev)
+    hour = F.hour(c)
+    clock = F.format_string("%s %02d:%02d %s", F.to_date(c).cast("string"), (hour + 11) % 12 + 1,
+                            F.minute(c), F.when(hour < 12, F.lit("AM")).otherwise(F.lit("PM")))
+    label = F.concat_ws(" ", clock, abbrev)
     return F.when(c.isNull(), F.lit(DISPLAY_MISSING)).otherwise(label)
 
 

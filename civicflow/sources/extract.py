@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_ntz
+from ..functions import as_ntz, epoch_micros
 from ..schema import CREATED, KEY
 
 
@@ -62,7 +62,7 @@ def keyset_page(df: DataFrame, limit: int, last_created=None, last_key=None,
 def _levels() -> list[Column]:
     """Buckets that follow the (created, key) order ever more finely: day, hour, second,
     microsecond of creation, then key ranges (2^40, 2^20, single keys)."""
-    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(CREATED))
+    us = epoch_micros(CREATED)
     k = F.col(KEY)
     out = [us - F.pmod(us, F.lit(w)) for w in (86_400_000_000, 3_600_000_000, 1_000_000, 1)]
     return out + [k - F.pmod(k, F.lit(w)) for w in (1 << 40, 1 << 20, 1)]

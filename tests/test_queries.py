@@ -187,3 +187,28 @@ def test_display_time_repeated_autumn_hour(spark):
                        _req(3, "2026-11-01 00:30:00")])
     got = {r.unique_key: r.created_label for r in Q.display_times(m).collect()}
     assert got == {1: "2026-11-01 01:30 AM EDT", 2: "2026-11-01 02:30 AM EST", 3: "2026-11-01 12:30 AM EDT"}
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    """Wall-clock times in a daylight-saving gap of the session zone keep their meaning."""
+    from civicflow.sources import extract as S
+    rows = [_req(1, "2001-03-28 18:00:00", closed_date=ts("2001-04-01 02:05:45")),   # 02:05 does not exist in LA
+            _req(2, "2001-04-01 02:30:00", closed_date=ts("2001-04-01 03:10:00")),
+            _req(3, "2001-04-01 03:10:00")]
+    m = _marts(spark, rows)
+
+    def snapshot():
+        hours = sorted((r.unique_key, r.resolution_hours) for r in m.fct.collect())
+        labels = sorted(tuple(r) for r in Q.display_times(m).collect())
+        first = [r.unique_key for r in S.bounded_first_rows(m.raw, 2, slack=1).orderBy(*S.asc_order()).collect()]
+        return hours, labels, first
+
+    base = snapshot()
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert snapshot() == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert base[0][0][1] == (3 * 24 + 8 + 5 / 60 + 45 / 3600)
+    assert base[2] == [1, 2]
