@@ -95,6 +95,12 @@ def materialize(spark: SparkSession, marts: Marts, root: str) -> Marts:
     return replace(marts, **out)
 
 
+def load(spark: SparkSession, root: str, raw: DataFrame, meta: DataFrame | None = None) -> Marts:
+    """Marts as written by ``materialize`` under ``root`` (staging stays a view over ``raw``)."""
+    tables = {name: read_table(spark, table_path(root, layer, name)) for name, (layer, _) in MATERIALISED.items()}
+    return Marts(raw=raw, meta=meta, stg=models.staging(raw), **tables)
+
+
 # The testdata requests are created 1995-2001; its calendar starts early enough to cover them.
 TESTDATA_CALENDAR = (_dt.date(1990, 1, 1), CALENDAR_END)
 

@@ -305,3 +305,16 @@ def test_target_probe_is_limited_to_the_batch_key_range(spark, tmpdir_path):
                        raw, log, c)
     assert (res.rows_in, res.rows_loaded) == (4, 2)
     assert sorted(r.unique_key for r in L.read_raw(spark, raw).collect()) == [1, 50, 60, 100, 101]
+
+
+def test_command_line_ingest_build_test(spark, tmpdir_path):
+    from civicflow.__main__ import main
+    p = os.path.join(tmpdir_path, "array.json")
+    _write(p, json.dumps(RECORDS))
+    raw, wm, out = (os.path.join(tmpdir_path, x) for x in ("raw", "wm", "out"))
+    main(["ingest", "--raw", raw, "--watermark", wm, "--json-source", p])
+    main(["build", "--raw", raw, "--watermark", wm, "--out", out])
+    with pytest.raises(SystemExit) as done:
+        main(["test", "--raw", raw, "--watermark", wm, "--out", out, "--now", "2026-01-05T12:00:00"])
+    assert done.value.code == 1  # records without complaint types fail their not_null tests
+    assert spark.read.parquet(os.path.join(out, "marts", "fct")).count() == 2
