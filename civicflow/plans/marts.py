@@ -76,7 +76,7 @@ def materialize(spark: SparkSession, marts: Marts, root: str) -> Marts:
     def path(name: str) -> str:
         return table_path(root, MATERIALISED.get(name, ("marts", None))[0], name)
 
-    write_table(marts.fct, path("fct"))
+    write_table(marts.fct.sortWithinPartitions("created_date"), path("fct"))  # tight day ranges per row group
     fct = read_table(spark, path("fct"))
 
     write_table(models.dimension_sets(marts.stg), table_path(root, "staging", "dimension_sets"))

@@ -8,7 +8,7 @@ No function collects: each returns a DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -193,16 +193,42 @@ RECENT_COLUMNS = ["unique_key", "created_at", "closed_at", "borough", "agency",
                   "complaint_type", "status", "resolution_hours"]
 
 
+def _newest_floor(m: Marts, limit: int, borough: str | None, agency: str | None):
+    """Scalar subquery: the latest day (or month) D such that at least ``limit`` matching
+    requests were created on or after D, from the aggregates (the earliest possible
+    time when fewer exist). None when no aggregate carries the filters (no bound)."""
+    if agency and not borough:
+        src, key = m.agency_perf.where(F.col("agency") == F.lit(agency)), "month"
+    elif not agency:
+        src, key = m.daily, "created_date"
+        if borough:
+            src = src.where(F.col("borough") == F.lit(borough))
+    else:
+        return None
+    per = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("complaint_count").alias("n"))
+    newest_first = Window.orderBy(F.col(key).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cum = per.withColumn("running", F.sum("n").over(newest_first))
+    oldest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    return cum.where(F.col("running") >= int(limit)).agg(F.coalesce(F.max(key), oldest)).scalar()
+
+
 def recent_requests(m: Marts, limit: int, borough: str | None = None, status: str | None = None,
-                    agency: str | None = None) -> DataFrame:
+                    agency: str | None = None, bounded: bool = True) -> DataFrame:
     """Newest requests, optionally filtered by equality on borough/status/agency (ANDed).
 
     Requests without a creation time sort first (descending order, NULLs first).
+    With ``bounded``, the aggregates give the oldest day (or month) that can
+    still hold one of the newest ``limit`` rows; that bound is a scalar
+    subquery pushed into the fact scan, so only the newest files are read.
     """
     df = m.fct
     for name, value in (("borough", borough), ("status", status), ("agency", agency)):
         if value:
             df = df.where(F.col(name) == F.lit(value))
+    floor = _newest_floor(m, limit, borough, agency) if bounded and not status else None
+    if floor is not None:  # a plain comparison, so the scan evaluates the subquery and skips files
+        df = df.where(F.col("created_date") >= floor).unionByName(
+            df.where(F.col("created_date").isNull()))
     return (df.select(*RECENT_COLUMNS)
             .orderBy(F.col("created_at").desc_nulls_first(), F.col("unique_key").desc())
             .limit(int(limit)))
@@ -227,10 +253,9 @@ def heatmap_by_month(m: Marts, limit: int = HEATMAP_MONTH_LIMIT) -> DataFrame:
 # --------------------------------------------------------------------------- Q9 / Q9a
 
 def latest_inspection(m: Marts, limit: int = INSPECTION_LIMIT) -> DataFrame:
-    """Key, closing, creation and agency of the newest requests."""
-    return (m.fct.select("unique_key", "closed_at", "created_at", "agency")
-            .orderBy(F.col("created_at").desc_nulls_first(), F.col("unique_key").desc())
-            .limit(int(limit)))
+    """Key, closing, creation and agency of the newest requests (scan bounded as in Q7)."""
+    return (recent_requests(m, limit)
+            .select("unique_key", "closed_at", "created_at", "agency"))
 
 
 def instant_close_by_agency(m: Marts) -> DataFrame:

@@ -212,3 +212,16 @@ def test_results_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert base[0][0][1] == (3 * 24 + 8 + 5 / 60 + 45 / 3600)
     assert base[2] == [1, 2]
+
+
+def test_bounded_recent_equals_full_scan(spark):
+    m = M.from_testdata(spark, "/root/testdata/sf0.001")
+    for kw in ({}, {"borough": "EUROPE"}, {"agency": "NATION_3"}, {"status": "F"},
+               {"borough": "ASIA", "agency": "NATION_8"}):
+        for limit in (1, 7, 100, 5000):
+            a = [tuple(r) for r in Q.recent_requests(m, limit, **kw).collect()]
+            b = [tuple(r) for r in Q.recent_requests(m, limit, bounded=False, **kw).collect()]
+            assert a == b, (kw, limit)
+    assert [tuple(r) for r in Q.latest_inspection(m, 50).collect()] == [
+        tuple(r) for r in m.fct.select("unique_key", "closed_at", "created_at", "agency")
+        .orderBy(F.col("created_at").desc_nulls_first(), F.col("unique_key").desc()).limit(50).collect()]

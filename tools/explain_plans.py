@@ -73,6 +73,8 @@ def main() -> None:
         "Q3 top types over the written daily aggregate": Q.top_complaint_types(marts, O.TOP_DAYS, AS_OF),
         "Q5 agency trend (top-k broadcast back)": Q.agency_trend(marts, O.AGENCY_MONTHS, AS_OF),
         "Q7 recent with filters over the written fact": Q.recent_requests(marts, 100, **O.RECENT_FILTER),
+        "Q9 newest requests: scan bounded by a scalar subquery over the daily aggregate":
+            Q.latest_inspection(marts),
         "Q8 monthly heatmap (calendar broadcast)": Q.heatmap_by_month(marts),
         "D2 unique report": D.unique_report(D.models_of(marts)),
     }
