@@ -82,7 +82,9 @@ def _stream_ingest(spark, sf_dir):
 
 def _page_ingest(spark, sf_dir):
     base = scratch_path(spark, "pages")
-    ingest_pages(spark, _raw(spark, sf_dir), f"{base}/raw", f"{base}/watermark", batch_size=5000, now=NOW)
+    _raw(spark, sf_dir).write.parquet(f"{base}/source")  # the paged source is a stored table
+    ingest_pages(spark, spark.read.parquet(f"{base}/source"), f"{base}/raw", f"{base}/watermark",
+                 batch_size=5000, now=NOW)
     return L.read_raw(spark, f"{base}/raw")
 
 
