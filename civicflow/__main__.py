@@ -3,7 +3,8 @@
   python -m civicflow ingest --raw R --watermark W --json-source FILE
   python -m civicflow ingest --raw R --watermark W --landing DIR --checkpoint C [--files-per-batch N]
   python -m civicflow ingest --raw R --watermark W --table PARQUET [--batch-size N] [--start-date D]
-  python -m civicflow build  --raw R --watermark W --out ROOT
+  python -m civicflow build  --raw R --watermark W --out ROOT [--by-month]
+  python -m civicflow refresh --raw R --watermark W --out ROOT --months 2026-01,2026-02 [--undated]
   python -m civicflow test   --raw R --watermark W --out ROOT [--now T]
 
 Paths are on the cluster's shared storage; the master comes from spark-submit.
@@ -26,7 +27,7 @@ from .streaming import backfill_json, ingest_pages, ingest_stream
 def _args(argv=None):
     ap = argparse.ArgumentParser(prog="civicflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("ingest", "build", "test"):
+    for name in ("ingest", "build", "refresh", "test"):
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True)
         p.add_argument("--watermark", required=True)
@@ -44,6 +45,9 @@ def _args(argv=None):
         else:
             p.add_argument("--out", required=True)
             p.add_argument("--now", type=dt.datetime.fromisoformat, default=None)
+            p.add_argument("--by-month", action="store_true", help="month layout (build)")
+            p.add_argument("--months", default="", help="YYYY-MM list (refresh)")
+            p.add_argument("--undated", action="store_true", help="also rows without a creation time (refresh)")
     return ap.parse_args(argv)
 
 
@@ -67,7 +71,11 @@ def main(argv=None) -> None:
         return
     raw, meta = read_raw(spark, a.raw), WatermarkLog(a.watermark).read(spark)
     if a.cmd == "build":
-        M.materialize(spark, M.derive(spark, raw, meta), a.out)
+        M.materialize(spark, M.derive(spark, raw, meta), a.out, by_month=a.by_month)
+        return
+    if a.cmd == "refresh":
+        months = [dt.date.fromisoformat(m.strip() + "-01") for m in a.months.split(",") if m.strip()]
+        M.refresh_months(spark, a.out, raw, months + ([None] if a.undated else []), meta)
         return
     now = a.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     reports = quality.run_all(M.load(spark, a.out, raw, meta), now)

@@ -194,6 +194,8 @@ class LoadResult:
     rows_in: int
     rows_loaded: int
     watermark: tuple | None
+    created_range: tuple | None = None  # (first, last) creation time in the batch: the months to refresh
+    undated: int = 0                    # rows without a creation time
 
 
 # Directory column of the month layout of the raw table.
@@ -278,7 +280,8 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
         if last is not None:
             log.append_values(spark, source, last["d"], last["k"], now)
             log.compact(spark)
-        return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None)
+        return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None,
+                          (lo, hi) if lo is not None else None, int(undated))
     finally:
         for df in held:
             df.unpersist()

@@ -235,15 +235,19 @@ _DIM_SETS = {
 }
 
 
-def dimension_sets(stg: DataFrame) -> DataFrame:
-    """The distinct values of all three dimensions from one scan of staging."""
-    return (stg.groupingSets([list(s) for s in _DIM_SETS.values()], *_DIM_COLS)
-            .agg(F.grouping_id().alias("set_id")))
+def dimension_sets(stg: DataFrame, by: str | None = None) -> DataFrame:
+    """The distinct values of all three dimensions from one scan of staging
+    (per value of ``by`` as well, when given: e.g. per creation month)."""
+    cols = ([by] if by else []) + _DIM_COLS
+    sets = [([by] if by else []) + list(s) for s in _DIM_SETS.values()]
+    return stg.groupingSets(sets, *cols).agg(F.grouping_id().alias("set_id"))
 
 
-def split_dimensions(sets: DataFrame) -> dict[str, DataFrame]:
+def split_dimensions(sets: DataFrame, by: str | None = None) -> dict[str, DataFrame]:
+    cols = ([by] if by else []) + _DIM_COLS
     out = {}
     for name, grouped in _DIM_SETS.items():
-        t = sets.where(F.col("set_id") == _set_id(_DIM_COLS, grouped)).select(*grouped)
+        keep = ([by] if by else []) + list(grouped)
+        t = sets.where(F.col("set_id") == _set_id(cols, tuple(keep))).select(*keep)
         out[name] = t.where(F.col("borough").isNotNull()) if name == "dim_borough" else t
     return out

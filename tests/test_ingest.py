@@ -251,6 +251,7 @@ def test_backfill_json_and_sample_copies(spark, tmpdir_path):
     res = backfill_json(spark, p, raw, wm, now=ts("2026-01-07 00:00:00"))
     assert (res.rows_in, res.rows_loaded) == (2, 2)
     assert res.watermark == (ts("2026-01-05 11:00:00"), 11)
+    assert res.created_range == (ts("2026-01-05 10:00:00"), ts("2026-01-05 11:00:00")) and res.undated == 0
     assert backfill_json(spark, p, raw, wm, now=ts("2026-01-08 00:00:00")).rows_loaded == 0
     bad = os.path.join(tmpdir_path, "object.json")
     _write(bad, json.dumps(RECORDS[0]))
@@ -313,7 +314,8 @@ def test_command_line_ingest_build_test(spark, tmpdir_path):
     _write(p, json.dumps(RECORDS))
     raw, wm, out = (os.path.join(tmpdir_path, x) for x in ("raw", "wm", "out"))
     main(["ingest", "--raw", raw, "--watermark", wm, "--json-source", p])
-    main(["build", "--raw", raw, "--watermark", wm, "--out", out])
+    main(["build", "--raw", raw, "--watermark", wm, "--out", out, "--by-month"])
+    main(["refresh", "--raw", raw, "--watermark", wm, "--out", out, "--months", "2026-01", "--undated"])
     with pytest.raises(SystemExit) as done:
         main(["test", "--raw", raw, "--watermark", wm, "--out", out, "--now", "2026-01-05T12:00:00"])
     assert done.value.code == 1  # records without complaint types fail their not_null tests
