@@ -37,7 +37,9 @@ def json_array_problems(spark: SparkSession, path: str) -> DataFrame:
     The JSON reader accepts a top-level object as one row and turns an array
     with a scalar element into a null row, so the shape is checked on the
     file text: parse as ``array<string>`` (NULL = not an array or malformed)
-    and require every element to be an object.
+    and require every element to be an object. Each file is read as one string
+    by one task (arrays are for backfills and samples; continuous feeds land as
+    JSON lines, which split across tasks).
     """
     files = spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("path"), F.from_json("value", "array<string>").alias("items"))

@@ -26,7 +26,7 @@ from civicflow.plans import marts as M  # noqa: E402
 from civicflow.plans import models  # noqa: E402
 from civicflow.plans import queries as Q  # noqa: E402
 from civicflow.session import build_session  # noqa: E402
-from civicflow.sources import testdata  # noqa: E402
+from civicflow.sources import extract, testdata  # noqa: E402
 
 AS_OF = dt.date.fromisoformat(O.AS_OF)
 KEEP = re.compile(r"^(\(\d+\) Scan|PushedFilters|PartitionFilters|ReadSchema|Output|Keys|Join type|Arguments)")
@@ -67,6 +67,8 @@ def main() -> None:
         "batch dedupe (max struct, partial aggregate before the shuffle)": batch,
         "insert-if-absent: colliding keys probed in place, then broadcast anti join": batch.join(
             F.broadcast(L.colliding_keys(batch, stored)), "unique_key", "left_anti"),
+        "bulk keyset page: first rows below the histogram cut (bounded merge)": extract.keyset_page(
+            raw, 5000, dt.datetime(1998, 1, 1, 6), 5000),
         "three aggregates from one scan of the fact (grouping sets)": models.aggregate_sets(marts.fct),
         "three dimensions from one scan of staging (grouping sets)": models.dimension_sets(lazy.stg),
         "Q1 overview over the written aggregates": Q.overview(marts),
