@@ -344,3 +344,21 @@ def test_load_then_refresh_touched_months_equals_full_build(spark, tmpdir_path):
         cols = sorted(b.columns)
         assert sorted(map(tuple, a.select(*cols).collect()), key=repr) == sorted(
             map(tuple, b.select(*cols).collect()), key=repr), name
+
+
+def test_command_line_stream_and_table_modes(spark, tmpdir_path, capsys):
+    from civicflow.__main__ import main
+    land = os.path.join(tmpdir_path, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "a.json"), "\n".join(json.dumps(r) for r in RECORDS))
+    raw, wm, ck = (os.path.join(tmpdir_path, x) for x in ("raw", "wm", "ck"))
+    main(["ingest", "--raw", raw, "--watermark", wm, "--landing", land, "--checkpoint", ck])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (out["rows"], out["loaded"], out["batches"]) == (2, 2, 1)
+    table = os.path.join(tmpdir_path, "table")
+    raw_rows(spark, [{"unique_key": k, "created_date": ts("2026-01-05 10:00:00")} for k in range(5)]).write.parquet(table)
+    raw2, wm2 = os.path.join(tmpdir_path, "raw2"), os.path.join(tmpdir_path, "wm2")
+    main(["ingest", "--raw", raw2, "--watermark", wm2, "--table", table, "--batch-size", "2",
+          "--start-date", "2026-01-01T00:00:00"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (out["rows"], out["loaded"], out["batches"]) == (5, 5, 3)
