@@ -44,19 +44,23 @@ SMALL_PAGE = 2_000
 
 
 def keyset_page(df: DataFrame, limit: int, last_created=None, last_key=None,
-                where: Column | None = None, order: list[Column] | None = None) -> DataFrame:
+                where: Column | None = None, order: list[Column] | None = None,
+                columns: list[str] | None = None) -> DataFrame:
     """Next page after the watermark, ordered (created, key) ascending, at most ``limit`` rows.
 
-    ``where``/``order`` override the filter and order like the API override
-    parameters; the watermark predicate is still applied. Pages larger than
-    ``SMALL_PAGE`` in the default order are cut by ``bounded_first_rows``.
+    ``where``/``order``/``columns`` override the filter, order and selection
+    like the API override parameters; the watermark predicate is still
+    applied. Pages larger than ``SMALL_PAGE`` in the default order are cut by
+    ``bounded_first_rows``.
     """
     out = df.where(after(last_created, last_key))
     if where is not None:
         out = out.where(where)
     if order is None and int(limit) > SMALL_PAGE:
-        return bounded_first_rows(out, int(limit)).orderBy(*asc_order())
-    return out.orderBy(*(order or asc_order())).limit(int(limit))
+        page = bounded_first_rows(out, int(limit)).orderBy(*asc_order())
+    else:
+        page = out.orderBy(*(order or asc_order())).limit(int(limit))
+    return page.select(*columns) if columns else page
 
 
 def _levels() -> list[Column]:

@@ -151,6 +151,9 @@ def test_paging_equals_full_scan_with_ties(spark):
     full = [(r.created_date, r.unique_key) for r in df.orderBy("created_date", "unique_key").collect()]
     assert seen == full
     assert [r.unique_key for r in S.keyset_ties(df, 10, c, 2).collect()] == [3, 4, 5]
+    over = S.keyset_page(df, 10, c, 2, where=F.col("unique_key") != 4, columns=["unique_key"],
+                         order=[F.col("unique_key").desc()])
+    assert over.columns == ["unique_key"] and [r.unique_key for r in over.collect()] == [5, 3, 0]
     assert [r.unique_key for r in S.since_date(df, 10, c).collect()] == [1, 2, 3, 4, 5, 0]
     assert [r.unique_key for r in S.latest_n(df, 2).collect()] == [0, 5]
     assert [r.unique_key for r in S.key_lookup(df, 4).collect()] == [4]
