@@ -1,7 +1,7 @@
 """Benchmark: ingestion throughput, marts build and every question at one scale factor.
 
 Prints one JSON line. Environment: BENCH_SF_DIR (default /root/testdata/sf0.1),
-BENCH_CPUS (default 8). Each timed step runs to completion through the
+BENCH_CPUS (default 8), BENCH_EVENT_LOG (set: write Spark's event log to the scratch folder). Each timed step runs to completion through the
 ``noop`` sink (full computation, nothing collected).
 """
 
@@ -53,8 +53,12 @@ def main() -> None:
     m_sf = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m_sf.group(1)) if m_sf else None
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark = build_session(f"local[{cpus}]", app="civicflow-bench", shuffle_partitions=cpus,
-                          **{"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for tools/stage_times.py
+        os.makedirs(f"{scratch}/events")
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{scratch}/events"})
+        print(f"event log: {scratch}/events", file=sys.stderr)
+    spark = build_session(f"local[{cpus}]", app="civicflow-bench", shuffle_partitions=cpus, **extra)
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", f"file://{scratch}/ckpt")
         spark.sparkContext.setCheckpointDir(f"file://{scratch}/ckpt")
