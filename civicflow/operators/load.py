@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import as_ntz
 from ..schema import CREATED, EXPECTED_COLUMNS, KEY, META_SCHEMA, SOURCE_NAME
 from ..session import path_exists
-from .normalize import batch_dedupe
+from .normalize import batch_dedupe, null_key_rows
 
 # Largest batch whose key set is broadcast to probe the target (8-byte keys: ~32 MB hash table).
 BROADCAST_KEYS_MAX = 4_000_000
@@ -196,6 +196,7 @@ class LoadResult:
     watermark: tuple | None
     created_range: tuple | None = None  # (first, last) creation time in the batch: the months to refresh
     undated: int = 0                    # rows without a creation time
+    quarantined: int = 0                # rows without a key, set aside (not loadable into a keyed table)
 
 
 # Directory column of the month layout of the raw table.
@@ -213,7 +214,8 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: WatermarkLog,
                now, source: str = SOURCE_NAME, created_is_immutable: bool = False,
-               read_back: bool = True, by_month: bool = False) -> LoadResult:
+               read_back: bool = True, by_month: bool = False,
+               quarantine_path: str | None = None) -> LoadResult:
     """One batch: dedupe, insert-if-absent into ``raw_path``, then advance the watermark.
 
     Data is committed before the watermark, so a crash in between is repaired
@@ -228,15 +230,21 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
     Parquet). ``created_is_immutable``: when a key never changes its creation
     time, a stored row that collides with the batch also lies in the batch's
     creation range, so only that range of the target is probed.
+
+    Rows without a key cannot enter the keyed table; with ``quarantine_path``
+    they are appended there (and counted) instead of being left out silently.
     """
     rows = batch.persist()
     held = [rows]
     try:
         c, k = F.col(CREATED), F.col(KEY)
         top = F.max(F.when(c.isNotNull() & k.isNotNull(), F.struct(c.alias("d"), k.alias("k"))))
-        keyed, n, lo, hi, undated, last, k_lo, k_hi = rows.agg(
-            F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top,
+        total, keyed, n, lo, hi, undated, last, k_lo, k_hi = rows.agg(
+            F.count(F.lit(1)), F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top,
             F.min(k), F.max(k)).first()
+        keyless = int(total) - int(keyed)
+        if keyless and quarantine_path:
+            null_key_rows(rows).write.mode("append").parquet(quarantine_path)
         # The wide dedupe aggregate runs only when the batch really repeats a key.
         # (Stats taken before dedupe are still right: the row kept per key has its
         # greatest creation time, so the max (created, key) is the same, and the
@@ -247,7 +255,8 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             deduped = batch_dedupe(rows).persist()
             held.append(deduped)
         if n == 0:
-            return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None)
+            return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None,
+                              quarantined=keyless)
         new, loaded = deduped, n
         if path_exists(spark, raw_path):
             # a colliding stored key lies within the batch's key range: always exact, and the
@@ -281,7 +290,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             log.append_values(spark, source, last["d"], last["k"], now)
             log.compact(spark)
         return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None,
-                          (lo, hi) if lo is not None else None, int(undated))
+                          (lo, hi) if lo is not None else None, int(undated), keyless)
     finally:
         for df in held:
             df.unpersist()

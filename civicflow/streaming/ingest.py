@@ -21,11 +21,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_watermark, resume_point
 from ..operators.normalize import conform
 from ..schema import DEFAULT_BATCH_SIZE, LANDING_SCHEMA, SOURCE_NAME
 from ..sources.extract import keyset_page
+from ..sources.files import CORRUPT
 
 
 @dataclass
@@ -36,11 +38,13 @@ class RunCounters:
     loaded: int = 0
     seconds: float = 0.0
     batches: int = 0
+    quarantined: int = 0   # keyless rows and malformed lines, set aside under the quarantine path
     per_batch: list = field(default_factory=list)
 
-    def add(self, result: LoadResult, seconds: float) -> None:
+    def add(self, result: LoadResult, seconds: float, malformed: int = 0) -> None:
         self.rows += result.rows_in
         self.loaded += result.rows_loaded
+        self.quarantined += result.quarantined + malformed
         self.seconds += seconds
         self.batches += 1
         self.per_batch.append((result.rows_in, result.rows_loaded, round(seconds, 3)))
@@ -50,32 +54,54 @@ class RunCounters:
         return self.rows / self.seconds if self.seconds else 0.0
 
 
+def quarantine_of(raw_path: str) -> str:
+    """Default place for rows that cannot be loaded: next to the raw table."""
+    return raw_path.rstrip("/") + "_quarantine"
+
+
 def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
-            created_is_immutable: bool, by_month: bool, counters: RunCounters):
+            created_is_immutable: bool, by_month: bool, counters: RunCounters, quarantine: str):
     log = WatermarkLog(log_path)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         t0 = time.time()
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        result = load_batch(spark, conform(batch), raw_path, log, when, source,
-                            created_is_immutable=created_is_immutable, read_back=False, by_month=by_month)
-        counters.add(result, time.time() - t0)
+        rows = batch.persist()  # cached: Spark refuses filters on the corrupt-record column of a raw scan
+        try:
+            bad = rows.where(F.col(CORRUPT).isNotNull())
+            malformed = bad.count()
+            if malformed:  # lines that are not JSON objects keep their text for inspection
+                bad.select(F.lit(int(epoch_id)).alias("epoch_id"), F.col(CORRUPT).alias("line")) \
+                    .write.mode("append").parquet(f"{quarantine}/malformed")
+            good = conform(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
+            result = load_batch(spark, good, raw_path, log, when, source,
+                                created_is_immutable=created_is_immutable, read_back=False, by_month=by_month,
+                                quarantine_path=f"{quarantine}/keyless")
+        finally:
+            rows.unpersist()
+        counters.add(result, time.time() - t0, malformed)
 
     return per_batch
 
 
 def _file_stream(spark: SparkSession, landing: str, fmt: str, files_per_batch: int) -> DataFrame:
-    return (spark.readStream.schema(LANDING_SCHEMA).format(fmt)
+    schema = T.StructType(list(LANDING_SCHEMA.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    return (spark.readStream.schema(schema).format(fmt).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("maxFilesPerTrigger", int(files_per_batch)).load(landing))
 
 
 def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                   files_per_batch: int = 1, fmt: str = "json", now=None,
                   source: str = SOURCE_NAME, created_is_immutable: bool = False,
-                  by_month: bool = False) -> RunCounters:
-    """Load every file present under ``landing`` and stop (``availableNow``)."""
+                  by_month: bool = False, quarantine: str | None = None) -> RunCounters:
+    """Load every file present under ``landing`` and stop (``availableNow``).
+
+    Malformed lines and keyless records go to ``quarantine`` (default: next to raw).
+    """
     counters = RunCounters()
-    per_batch = _loader(spark, raw_path, log_path, now, source, created_is_immutable, by_month, counters)
+    per_batch = _loader(spark, raw_path, log_path, now, source, created_is_immutable, by_month, counters,
+                        quarantine or quarantine_of(raw_path))
     query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
@@ -88,10 +114,11 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
 def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                         every: str = "1 minute", files_per_batch: int = 1, fmt: str = "json",
                         source: str = SOURCE_NAME, created_is_immutable: bool = False,
-                        by_month: bool = False) -> tuple[StreamingQuery, RunCounters]:
+                        by_month: bool = False, quarantine: str | None = None) -> tuple[StreamingQuery, RunCounters]:
     """Keep loading new files as they land (processing-time trigger); returns the running query."""
     counters = RunCounters()
-    per_batch = _loader(spark, raw_path, log_path, None, source, created_is_immutable, by_month, counters)
+    per_batch = _loader(spark, raw_path, log_path, None, source, created_is_immutable, by_month, counters,
+                        quarantine or quarantine_of(raw_path))
     query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(processingTime=every).start())
@@ -109,7 +136,8 @@ def ingest_pages(spark: SparkSession, source_df: DataFrame, raw_path: str, log_p
         t0 = time.time()
         page = conform(keyset_page(source_df, batch_size, last_date, last_key))
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        result = load_batch(spark, page, raw_path, log, when, source)
+        result = load_batch(spark, page, raw_path, log, when, source,
+                            quarantine_path=f"{quarantine_of(raw_path)}/keyless")
         if result.rows_in == 0:
             break
         counters.add(result, time.time() - t0)
@@ -137,4 +165,5 @@ def backfill_json(spark: SparkSession, path: str, raw_path: str, log_path: str,
 
     validate_json_array(spark, path)
     when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return load_batch(spark, conform(read_json_array(spark, path)), raw_path, WatermarkLog(log_path), when, source)
+    return load_batch(spark, conform(read_json_array(spark, path)), raw_path, WatermarkLog(log_path), when, source,
+                      quarantine_path=f"{quarantine_of(raw_path)}/keyless")

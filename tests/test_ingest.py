@@ -365,3 +365,20 @@ def test_command_line_stream_and_table_modes(spark, tmpdir_path, capsys):
           "--start-date", "2026-01-01T00:00:00"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (out["rows"], out["loaded"], out["batches"]) == (5, 5, 3)
+
+
+def test_stream_quarantines_malformed_and_keyless_records(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    os.makedirs(land)
+    lines = [json.dumps({"unique_key": "1", "created_date": "2026-01-01T00:00:00"}),
+             "{not json at all",
+             json.dumps({"created_date": "2026-01-02T00:00:00", "agency": "no key"}),
+             json.dumps({"unique_key": "2", "created_date": "2026-01-03T00:00:00"})]
+    _write(os.path.join(land, "a.json"), "\n".join(lines))
+    raw, wm, ck = (os.path.join(tmpdir_path, x) for x in ("raw", "wm", "ck"))
+    run = ingest_stream(spark, land, raw, wm, ck, now=ts("2026-01-05 00:00:00"))
+    assert (run.rows, run.loaded, run.quarantined) == (2, 2, 2)
+    q = raw + "_quarantine"
+    assert [r.line for r in spark.read.parquet(q + "/malformed").collect()] == ["{not json at all"]
+    assert [r.agency for r in spark.read.parquet(q + "/keyless").collect()] == ["no key"]
+    assert spark.read.parquet(raw).count() == 2
