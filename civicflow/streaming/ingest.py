@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.load import LoadResult, WatermarkLog, load_batch, read_watermark, resume_point
+from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
 from ..operators.normalize import conform
 from ..schema import DEFAULT_BATCH_SIZE, LANDING_SCHEMA, SOURCE_NAME
 from ..sources.extract import keyset_page
@@ -59,8 +59,19 @@ def quarantine_of(raw_path: str) -> str:
     return raw_path.rstrip("/") + "_quarantine"
 
 
+def refresh_marts_after(spark: SparkSession, result: LoadResult, raw_path: str, marts_root: str) -> None:
+    """Rebuild the month-layout marts for the months a load touched (nothing if it added no rows)."""
+    from ..plans import marts as M
+
+    if not result.rows_loaded:
+        return
+    months = M.months_between(*result.created_range) if result.created_range else []
+    M.refresh_months(spark, marts_root, read_raw(spark, raw_path), months + ([None] if result.undated else []))
+
+
 def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
-            created_is_immutable: bool, by_month: bool, counters: RunCounters, quarantine: str):
+            created_is_immutable: bool, by_month: bool, counters: RunCounters, quarantine: str,
+            marts_root: str | None = None):
     log = WatermarkLog(log_path)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -79,6 +90,8 @@ def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
                                 quarantine_path=f"{quarantine}/keyless")
         finally:
             rows.unpersist()
+        if marts_root:
+            refresh_marts_after(spark, result, raw_path, marts_root)
         counters.add(result, time.time() - t0, malformed)
 
     return per_batch
@@ -94,14 +107,17 @@ def _file_stream(spark: SparkSession, landing: str, fmt: str, files_per_batch: i
 def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                   files_per_batch: int = 1, fmt: str = "json", now=None,
                   source: str = SOURCE_NAME, created_is_immutable: bool = False,
-                  by_month: bool = False, quarantine: str | None = None) -> RunCounters:
+                  by_month: bool = False, quarantine: str | None = None,
+                  marts_root: str | None = None) -> RunCounters:
     """Load every file present under ``landing`` and stop (``availableNow``).
 
     Malformed lines and keyless records go to ``quarantine`` (default: next to raw).
+    With ``marts_root`` (a month-layout warehouse), each micro-batch also
+    refreshes the marts for the months it touched.
     """
     counters = RunCounters()
     per_batch = _loader(spark, raw_path, log_path, now, source, created_is_immutable, by_month, counters,
-                        quarantine or quarantine_of(raw_path))
+                        quarantine or quarantine_of(raw_path), marts_root)
     query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
