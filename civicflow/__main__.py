@@ -2,6 +2,7 @@
 
   python -m civicflow ingest --raw R --watermark W --json-source FILE
   python -m civicflow ingest --raw R --watermark W --landing DIR --checkpoint C [--files-per-batch N]
+                             [--marts ROOT]   (refresh a month-layout warehouse after each micro-batch)
   python -m civicflow ingest --raw R --watermark W --table PARQUET [--batch-size N] [--start-date D]
   python -m civicflow build  --raw R --watermark W --out ROOT [--by-month]
   python -m civicflow refresh --raw R --watermark W --out ROOT --months 2026-01,2026-02 [--undated]
@@ -42,6 +43,7 @@ def _args(argv=None):
             p.add_argument("--start-date", type=dt.datetime.fromisoformat, default=DEFAULT_START)
             p.add_argument("--by-month", action="store_true")
             p.add_argument("--created-immutable", action="store_true")
+            p.add_argument("--marts", default=None, help="month-layout warehouse to refresh per micro-batch")
         else:
             p.add_argument("--out", required=True)
             p.add_argument("--now", type=dt.datetime.fromisoformat, default=None)
@@ -63,10 +65,12 @@ def main(argv=None) -> None:
             if not a.checkpoint:
                 raise SystemExit("--checkpoint is required with --landing")
             run = ingest_stream(spark, a.landing, a.raw, a.watermark, a.checkpoint, a.files_per_batch,
-                                created_is_immutable=a.created_immutable, by_month=a.by_month)
+                                created_is_immutable=a.created_immutable, by_month=a.by_month,
+                                marts_root=a.marts)
         else:
             run = ingest_pages(spark, spark.read.parquet(a.table), a.raw, a.watermark, a.batch_size, a.start_date)
         print(json.dumps({"rows": run.rows, "loaded": run.loaded, "batches": run.batches,
+                          "quarantined": run.quarantined,
                           "seconds": round(run.seconds, 3), "rows_per_second": round(run.rows_per_second, 1)}))
         return
     raw, meta = read_raw(spark, a.raw), WatermarkLog(a.watermark).read(spark)
