@@ -46,47 +46,41 @@ def _recent_days(df: DataFrame, as_of, days: int) -> DataFrame:
 
 def overview(m: Marts, source: str = SOURCE_NAME) -> DataFrame:
     """One row: totals, distinct types/agencies/boroughs, newest request, mean hours,
-    and the source's watermark row if there is one (left join on true).
+    and the source's watermark row (NULLs when there is none).
 
     Answered from the aggregates, not the fact: they hold every request
     (count = sum of counts, distinct values = distinct group keys, the mean is
     rebuilt from exact microsecond sums), and are orders of magnitude smaller.
+    The other one-row parts are scalar subqueries, so no join is planned.
     """
-    by_agency = m.agency_perf.agg(
+    by_day = m.daily.agg(F.struct(
+        F.countDistinct("complaint_type").cast("long").alias("types"),
+        F.countDistinct("borough").cast("long").alias("boroughs"))).scalar()
+    if m.meta is None:
+        ingested_at = watermark = F.lit(None).cast("timestamp_ntz")
+    else:
+        # at most one row per source: its value, or NULL without one (a left join on TRUE)
+        mine = m.meta.where(F.col("source_name") == source)
+        ingested_at = mine.agg(F.max("updated_at")).scalar()
+        watermark = mine.agg(F.max("last_created_date")).scalar()
+    stats = m.agency_perf.agg(
         F.sum("complaint_count").cast("long").alias("total_records"),
-        F.countDistinct("agency").alias("agencies"),
+        F.countDistinct("agency").cast("long").alias("agencies"),
         F.max("latest_created_at").alias("latest_created_at"),
         mean_hours(F.sum("resolution_us_sum"), F.sum("closed_count")).alias("avg_resolution_hours"),
     )
-    by_day = m.daily.agg(
-        F.countDistinct("complaint_type").alias("complaint_types"),
-        F.countDistinct("borough").alias("boroughs"),
-    )
-    stats = by_agency.crossJoin(by_day)  # 1 row x 1 row
-    meta = m.meta
-    if meta is None:
-        latest = stats.sparkSession.createDataFrame([], "updated_at timestamp_ntz, last_created_date timestamp_ntz")
-    else:
-        latest = meta.where(F.col("source_name") == source).select("updated_at", "last_created_date")
-    out = stats.join(F.broadcast(latest), F.lit(True), "left")
-    return out.select(
+    return stats.select(
         "total_records",
-        F.col("complaint_types").cast("long").alias("complaint_types"),
-        F.col("agencies").cast("long").alias("agencies"),
-        F.col("boroughs").cast("long").alias("boroughs"),
+        by_day.getField("types").alias("complaint_types"),
+        "agencies",
+        by_day.getField("boroughs").alias("boroughs"),
         "latest_created_at",
         "avg_resolution_hours",
-        F.col("updated_at").alias("last_ingestion_at"),
-        F.col("last_created_date").alias("ingestion_watermark"),
+        ingested_at.alias("last_ingestion_at"),
+        watermark.alias("ingestion_watermark"),
     )
 
 
-def _mean_of_means():
-    """Plain mean of the groups' means (each at microsecond resolution), in hours."""
-    mu = mean_us("resolution_us_sum", "closed_count")
-    return mean_hours(F.sum(mu), F.count(mu))
-
-
 # --------------------------------------------------------------------------- Q2
 
 def daily_trends(m: Marts, days: int, as_of) -> DataFrame:
