@@ -225,3 +225,19 @@ def test_bounded_recent_equals_full_scan(spark):
     assert [tuple(r) for r in Q.latest_inspection(m, 50).collect()] == [
         tuple(r) for r in m.fct.select("unique_key", "closed_at", "created_at", "agency")
         .orderBy(F.col("created_at").desc_nulls_first(), F.col("unique_key").desc()).limit(50).collect()]
+
+
+def test_overview_with_a_watermark_log_row(spark, tmpdir_path):
+    from civicflow.operators.load import WatermarkLog
+    log = WatermarkLog(tmpdir_path + "/wm")
+    log.append_values(spark, "service_requests", ts("2026-01-06 10:00:00"), 2, ts("2026-01-07 00:00:00"))
+    log.append_values(spark, "other_feed", ts("2027-01-01 00:00:00"), 9, ts("2027-01-02 00:00:00"))
+    m = _marts(spark, [_req(1, "2026-01-05 10:00:00", agency="A", complaint_type="T", borough="B"),
+                       _req(2, "2026-01-06 10:00:00", agency="A", complaint_type="T", borough="B")],
+               meta=log.read(spark))
+    r = Q.overview(m).collect()
+    assert len(r) == 1
+    assert (r[0].last_ingestion_at, r[0].ingestion_watermark) == (ts("2026-01-07 00:00:00"), ts("2026-01-06 10:00:00"))
+    assert r[0].avg_resolution_hours is None  # no closed request
+    status = {x.source_name: x.status for x in Q.ingestion_status(log.read(spark), ts("2026-01-08 00:00:00")).collect()}
+    assert status == {"service_requests": "Healthy", "other_feed": "Healthy"}  # exactly 24 h is still healthy
