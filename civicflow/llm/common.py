@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from civicflow.session import scratch_path
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this library where the driver's path entry does not reach them."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    seen = {os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p}
+    if root in seen or any(os.path.isdir(os.path.join(p, "civicflow", "llm")) for p in seen):
+        return
+    sc = spark.sparkContext
+    if any(str(f).endswith("civicflow.zip") for f in sc._python_includes):
+        return
+    folder = tempfile.mkdtemp(prefix="civicflow-ship-")  # on the driver; Spark sends the file to the executors
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "civicflow"), "zip", root, "civicflow"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
