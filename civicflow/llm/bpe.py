@@ -60,16 +60,23 @@ class Splitter:
         if all(bool(a.match(c)) == bool(b.match(c)) for a, b in _CLASSES):
             self.simple.add(c)
 
-    def __call__(self, text: str) -> list[str]:
+    def _engine(self, text: str):
         if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return _ASCII.findall(text)
+            return _ASCII
         chars = set(text)
         for c in chars - self.known:
             self._sort(c)
-        if chars <= self.simple:
-            return _SIMPLE.findall(text)
-        if chars <= self.known:
-            return _FULL.findall(text)
+        return _SIMPLE if chars <= self.simple else _FULL if chars <= self.known else None
+
+    def scanner(self, text: str):
+        """Function of (text, start) that yields the matches from a boundary on; None if only the library can split it."""
+        engine = self._engine(text)
+        return engine and engine.finditer
+
+    def __call__(self, text: str) -> list[str]:
+        engine = self._engine(text)
+        if engine is not None:
+            return engine.findall(text)
         return [text[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(text)]
 
 

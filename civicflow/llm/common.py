@@ -7,6 +7,7 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicflow.session import scratch_path
 
@@ -37,6 +38,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Row numbers (8 bytes each) that are broadcast to drop rows; more of them are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` without the given ``row`` numbers (monotonically_increasing_id over ``docs``, a stored table)."""
+    rows = stored(rows, "dropped_rows")
+    if rows.count() <= BROADCAST_ROWS:
+        rows = F.broadcast(rows)
+    (number,) = fresh_columns(docs, "_row")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    return numbered.join(rows, F.col(number) == rows["row"], "left_anti").drop(number)
+
+
 def fresh_columns(df: DataFrame, *names: str) -> list[str]:
     """``names``, each lengthened until it clashes with no column of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, without_rows
 from .textnp import mix64
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -164,7 +164,9 @@ def exact_dedup(docs: DataFrame, incoming: Column, key: str = "doc_id", text: st
                 digest_bytes: int = 32, per_filter: int = PER_FILTER) -> DataFrame:
     """Groups of equal normalised texts over a snapshot (``incoming`` false) and a batch (true or null).
 
-    Returns one row per input row: key, keep_id, group_size, kept, text_sha256.
+    Returns one row per input row: key, keep_id, group_size, kept, text_sha256,
+    row. ``docs`` is read twice and must give its rows in the same order each
+    time, as a stored table does; ``row`` is monotonically_increasing_id over it.
     A null text equals the empty one. Of rows that agree in length and key one
     is kept, whichever was read first; a null key is last among keys. Extra
     columns are not read, an empty table gives no rows. ``digest_bytes`` under
@@ -192,13 +194,14 @@ def exact_dedup(docs: DataFrame, incoming: Column, key: str = "doc_id", text: st
     if not odd.isEmpty():
         out = out.join(odd.select("_digest"), "_digest", "left_anti")
     columns = [F.col(key), F.col("best.k").alias("keep_id"), F.col("n").alias("group_size"),
-               (F.col("best.r") == F.col("_row")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256")]
+               (F.col("best.r") == F.col("_row")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"), F.col("_row").alias("row")]
     out = out.select(*columns)
     if odd.isEmpty():
         return out
     # Different texts share a digest: their rows are grouped by the texts themselves.
     rows = digests(flagged, key, text, with_text=True).withColumn("_digest", F.expr(f"substring(_sha, 1, {digest_bytes})"))
-    rows = stored(rows.join(odd, "_digest", "left_semi").withColumn("_row", F.monotonically_increasing_id()), "exact_odd_rows")
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(rows.join(odd, "_digest", "left_semi"), "exact_odd_rows")
     own = rows.groupBy("_digest", "_norm").agg(F.min(_best(key)).alias("best"), F.count(F.lit(1)).alias("n"))
     return out.unionByName(rows.join(own, ["_digest", "_norm"]).select(*columns))
 
@@ -221,7 +224,12 @@ def incoming_half(key: str = "doc_id") -> Column:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Contract columns of operator 10: half of documents as the snapshot, half as the batch, all rows out."""
-    return exact_dedup(table(spark, sf_dir, "documents"), incoming_half())
+    return exact_dedup(table(spark, sf_dir, "documents"), incoming_half()).drop("row")
+
+
+def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``exact_dedup`` does not keep, all columns unchanged."""
+    return without_rows(docs, exact_dedup(docs, incoming_half(key), key, text).where(~F.col("kept")).select("row"))
 
 
 SQL = r"""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, without_rows
 from .components import components
 from .textnp import U, mix64, pair_hash, slices, stream, words
 
@@ -154,13 +154,15 @@ def _residue(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = PERCENT,
                 m: int = SUBKEYS, width: int = WIDTH) -> DataFrame:
-    """n_shingles, component_id and kept of every document (one row per input row).
+    """n_shingles, component_id, kept, row and stays of every document (one row per input row).
 
     Components are over links with 100 * intersection >= percent * union of
     the sets of ``size``-word shingles; equal sets are one node. Null, empty and
     wordless texts have no shingles and are alone. component_id is the smallest
     key reachable (nulls only if there is none else); kept is key = component_id,
-    so rows that repeat a kept key are kept too. Extra columns are not read.
+    so rows that repeat a kept key are kept too, while ``stays`` is one row per
+    component. Extra columns are not read. ``docs`` is read twice; ``row`` is
+    monotonically_increasing_id over it, stable for a stored table.
     """
     sig = signatures(docs, key, text, size, m, width).withColumn("row", F.monotonically_increasing_id())
     sig = stored(sig, "near_signatures")
@@ -177,11 +179,17 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     else:
         of = of.select("digest", F.col("node").alias("component"))
     rows = sig.select("doc", "n", "digest", "row").join(of, "digest", "left")
-    rows = stored(rows.select("doc", "n", F.coalesce("component", "row").alias("component")), "near_rows")
-    least = rows.groupBy("component").agg(F.min("doc").alias("component_id"))
+    rows = stored(rows.select("doc", "n", "row", F.coalesce("component", "row").alias("component")), "near_rows")
+    order = F.struct(F.col("doc").isNull().alias("no"), F.col("doc").alias("doc"), F.col("row").alias("row"))
+    least = rows.groupBy("component").agg(F.min(order).alias("first"))
     return rows.join(least, "component").select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("first.doc").alias("component_id"),
+        F.col("doc").eqNullSafe(F.col("first.doc")).alias("kept"), "row", (F.col("row") == F.col("first.row")).alias("stays"))
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
+    """``docs`` with one document of each group (the smallest key), all columns unchanged."""
+    return without_rows(docs, near_groups(docs, key, text, size).where(~F.col("stays")).select("row"))
 
 
 def _links(docs, key, text, nodes, size, percent, m) -> DataFrame | None:
@@ -215,4 +223,4 @@ def _links(docs, key, text, nodes, size, percent, m) -> DataFrame | None:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Contract columns of operator 4 over all documents: two-word shingles, similarity 0.8."""
-    return near_groups(table(spark, sf_dir, "documents"), size=2)
+    return near_groups(table(spark, sf_dir, "documents"), size=2).drop("row", "stays")
