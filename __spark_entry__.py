@@ -23,6 +23,22 @@ from civicflow.sources import extract as S
 from civicflow.sources import testdata
 from civicflow.streaming import ingest_pages, ingest_stream, land_as_json
 
+
+def _training_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data package; none where the package is not installed."""
+    try:
+        import corpus_pipeline
+        from civicflow.llm import registry
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "civicflow.llm", "civicflow.llm.registry", "civicflow.llm.common"):
+            raise  # the package is there, but something that it needs is not
+        return {}, {}
+    sql = dict(registry.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return registry.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = _dt.date.fromisoformat(O.AS_OF)
 NOW = _dt.datetime.combine(AS_OF, _dt.time())
@@ -158,9 +174,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name, fn in mq.items():
         out[name] = (lambda f: lambda spark, sf_dir: f(_marts(spark, sf_dir)))(fn)
-    return out
+    return out | _training_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = O.queries_sql()
+    sql = O.queries_sql() | _training_queries()[1]
     return {k: sql[k] for k in queries() if k in sql}
