@@ -192,7 +192,7 @@ def exact_dedup(docs: DataFrame, incoming: Column, key: str = "doc_id", text: st
     odd = stored(_collisions(flagged, merged, key, text, digest_bytes), "exact_collisions")
     out = sig.join(merged, "_digest")
     if not odd.isEmpty():
-        out = out.join(odd.select("_digest"), "_digest", "left_anti")
+        out = out.join(odd, "_digest", "left_anti")
     columns = [F.col(key), F.col("best.k").alias("keep_id"), F.col("n").alias("group_size"),
                (F.col("best.r") == F.col("_row")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"), F.col("_row").alias("row")]
     out = out.select(*columns)
@@ -214,7 +214,8 @@ def _collisions(flagged: DataFrame, merged: DataFrame, key: str, text: str, dige
     rows = digests(flagged, key, text, with_text=True).withColumn("_digest", F.expr(f"substring(_sha, 1, {digest_bytes})"))
     rows = stored(rows.join(shared, "_digest").select(F.col(key).alias("_key"), "_keep", "_digest", "_norm"), "exact_texts")
     model = rows.where(F.col("_key").eqNullSafe(F.col("_keep"))).groupBy("_digest").agg(F.min("_norm").alias("_model"))
-    return rows.join(model, "_digest").where(~F.col("_norm").eqNullSafe(F.col("_model"))).select("_digest").distinct()
+    model = stored(model, "exact_models")  # a plain join of stored sides, so that Spark can split a hot digest
+    return rows.join(model, "_digest").where(~F.col("_norm").eqNullSafe(F.col("_model"))).select("_digest")
 
 
 def incoming_half(key: str = "doc_id") -> Column:
