@@ -16,8 +16,14 @@ def _col(c) -> Column:
 
 
 def grid(c) -> Column:
-    """Coordinate rounded half away from zero to the grid (via exact decimal)."""
-    return F.round(_col(c).cast("decimal(18,10)"), GRID_DECIMALS).cast(GRID_TYPE)
+    """Coordinate rounded half away from zero to the grid, from its double's 15 significant digits."""
+    d = _col(c).cast("double")
+    exact, size = d.cast("decimal(38,18)"), F.abs(d)
+    digits = F.when(size >= 100, F.round(exact, 12).cast("decimal(38,18)")).when(
+        size >= 10, F.round(exact, 13).cast("decimal(38,18)")).when(
+        size >= 1, F.round(exact, 14).cast("decimal(38,18)")).otherwise(
+        F.round(exact, 15).cast("decimal(38,18)"))
+    return F.round(digits, GRID_DECIMALS).cast(GRID_TYPE)
 
 
 def cell_label(lat, lon) -> Column:

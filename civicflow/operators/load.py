@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,13 +110,12 @@ def read_watermark(meta: DataFrame, source: str = SOURCE_NAME) -> tuple[_dt.date
 
 def resume_point(watermark: tuple, start_date: _dt.datetime | None) -> tuple:
     """Start date wins when there is no watermark or it is newer (then date-only, inclusive);
-    otherwise resume after the watermark; otherwise scan from the beginning."""
+    otherwise resume after the watermark (from its date on, inclusive, when it has no key);
+    otherwise scan from the beginning."""
     last_date, last_key = watermark
     if start_date is not None and (last_date is None or start_date > last_date):
         return start_date, None
-    if last_date is not None and last_key is not None:
-        return last_date, last_key
-    return None, None
+    return last_date, last_key
 
 
 def watermark_after(spark: SparkSession, raw: DataFrame, now=None, source: str = SOURCE_NAME) -> DataFrame:
@@ -197,6 +196,7 @@ class LoadResult:
     created_range: tuple | None = None  # (first, last) creation time in the batch: the months to refresh
     undated: int = 0                    # rows without a creation time
     quarantined: int = 0                # rows without a key, set aside (not loadable into a keyed table)
+    months: list = field(default_factory=list)  # first days of the batch's creation months
 
 
 # Directory column of the month layout of the raw table.
@@ -212,6 +212,22 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*EXPECTED_COLUMNS)
 
 
+def _set_aside(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Append rows that are not in quarantine yet; returns how many. Rows are compared whole, so a replay adds none."""
+    if path_exists(spark, path):
+        rows = rows.select("*", F.to_json(F.struct("*")).alias("_text"))
+        held = spark.read.schema(rows.drop("_text").schema).parquet(path).select(F.to_json(F.struct("*")).alias("_text"))
+        rows = rows.join(held, "_text", "left_anti").drop("_text")
+    rows = rows.persist()
+    try:
+        n = rows.count()
+        if n:
+            rows.write.mode("append").parquet(path)
+        return n
+    finally:
+        rows.unpersist()
+
+
 def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: WatermarkLog,
                now, source: str = SOURCE_NAME, created_is_immutable: bool = False,
                read_back: bool = True, by_month: bool = False,
@@ -244,7 +260,8 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             F.min(k), F.max(k)).first()
         keyless = int(total) - int(keyed)
         if keyless and quarantine_path:
-            null_key_rows(rows).write.mode("append").parquet(quarantine_path)
+            keyless = _set_aside(spark, null_key_rows(rows), quarantine_path)
+        months = [r[0] for r in rows.where(c.isNotNull() & k.isNotNull()).select(_month(c)).distinct().collect()]
         # The wide dedupe aggregate runs only when the batch really repeats a key.
         # (Stats taken before dedupe are still right: the row kept per key has its
         # greatest creation time, so the max (created, key) is the same, and the
@@ -282,7 +299,8 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
                 loaded = new.count()
         out = new.select(*deduped.columns)
         if by_month:
-            out = out.withColumn(MONTH_COL, _month(c)).repartition(MONTH_COL)
+            # rebalance: few files a month, and a large month is split over tasks
+            out = out.withColumn(MONTH_COL, _month(c)).hint("rebalance", MONTH_COL)
             out.sortWithinPartitions(CREATED).write.mode("append").partitionBy(MONTH_COL).parquet(raw_path)
         else:
             out.sortWithinPartitions(CREATED).write.mode("append").parquet(raw_path)
@@ -290,7 +308,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
             log.append_values(spark, source, last["d"], last["k"], now)
             log.compact(spark)
         return LoadResult(n, loaded, read_watermark(log.read(spark), source) if read_back else None,
-                          (lo, hi) if lo is not None else None, int(undated), keyless)
+                          (lo, hi) if lo is not None else None, int(undated), keyless, sorted(months))
     finally:
         for df in held:
             df.unpersist()

@@ -41,7 +41,7 @@ def _raw_type(c: str) -> str:
     if c in DATE_COLUMNS:
         return "timestamp"
     if c in NUMERIC_COLUMNS:
-        return "decimal(18,10)"
+        return "decimal(38,18)"
     return "varchar"
 
 
@@ -69,7 +69,7 @@ join region on n_regionkey = r_regionkey
 """
 
 RAW = "select " + ",\n  ".join(
-    (f"cast({c} as {_raw_type(c)}) as {c}" if c in PRESENT_COLUMNS else f"cast(null as {_raw_type(c)}) as {c}")
+    (f"cast({f'cast({c} as varchar)' if c in NUMERIC_COLUMNS else c} as {_raw_type(c)}) as {c}" if c in PRESENT_COLUMNS else f"cast(null as {_raw_type(c)}) as {c}")
     for c in EXPECTED_COLUMNS) + "\nfrom requests"
 
 STG = f"""
@@ -90,8 +90,8 @@ select *,
   (closed_at is not null and closed_at = created_at) as is_instant_close,
   cast(date_trunc('day', created_at) as timestamp) as created_date,
   (latitude is not null and longitude is not null) as has_location_data,
-  cast(round(cast(latitude as decimal(18,10)), 2) as decimal(9,2)) as latitude_rounded,
-  cast(round(cast(longitude as decimal(18,10)), 2) as decimal(9,2)) as longitude_rounded
+  cast(round(cast(cast(cast(latitude as double) as varchar) as decimal(38,18)), 2) as decimal(9,2)) as latitude_rounded,
+  cast(round(cast(cast(cast(longitude as double) as varchar) as decimal(38,18)), 2) as decimal(9,2)) as longitude_rounded
 from stg
 """
 

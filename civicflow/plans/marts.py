@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.load import watermark_after
 from ..schema import CALENDAR_END, CALENDAR_START, RAW_SCHEMA
 from ..operators.normalize import conform
+from ..session import path_exists
 from ..sources import testdata
 from ..sources.tables import read_table, table_path, write_table
 from . import models
@@ -113,6 +114,8 @@ def load(spark: SparkSession, root: str, raw: DataFrame, meta: DataFrame | None
     tables = {}
     empty = None
     for name, (layer, _) in MATERIALISED.items():
+        if not path_exists(spark, table_path(root, layer, name)):
+            raise FileNotFoundError(f"no table {name} under {root}: build the warehouse first")
         try:
             df = read_table(spark, table_path(root, layer, name))
         except AnalysisException:  # written empty in the month layout: no files to infer from
@@ -165,9 +168,10 @@ def _write_months(spark: SparkSession, raw: DataFrame, root: str, months: list |
     schemas = {}
 
     def write(df: DataFrame, layer: str, name: str) -> None:
-        w = df.write.mode("overwrite").partitionBy(MONTH)
-        if months is not None:
-            w = w.option("partitionOverwriteMode", "dynamic")
+        # rebalance: few files a month, and a large month is split over tasks; a full build replaces every month
+        order = [MONTH, *(c for c in df.columns if c == "created_date")]
+        w = df.hint("rebalance", MONTH).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(MONTH)
+        w = w.option("partitionOverwriteMode", "static" if months is None else "dynamic")
         w.parquet(table_path(root, layer, name))
         schemas[name] = df.schema
 
@@ -184,7 +188,7 @@ def _write_months(spark: SparkSession, raw: DataFrame, root: str, months: list |
 
     stg = models.staging(part)
     fct = models.fact(models.enriched(stg)).withColumn(MONTH, _month_of("created_date"))
-    write(fct.sortWithinPartitions("created_date"), "marts", "fct")
+    write(fct, "marts", "fct")
     fct_w = read_back("marts", "fct").drop(MONTH)
 
     dims = models.split_dimensions(

@@ -82,7 +82,7 @@ CREATED = "created_date"
 
 _STRING = T.StringType()
 _TS = T.TimestampNTZType()
-_NUM = T.DecimalType(18, 10)
+_NUM = T.DecimalType(38, 18)  # the source column is unbounded; 18 decimals hold any double coordinate
 
 
 def _raw_type(name: str) -> T.DataType:

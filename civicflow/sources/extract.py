@@ -1,8 +1,10 @@
 """Incremental extraction over a request table (keyset paging on (created, key)).
 
-All functions are lazy filters/sorts over a DataFrame; predicates reach the
-Parquet scan as pushed filters, and the implied ``created >= d`` lets row-group
-min/max statistics prune before the OR predicate is evaluated.
+Filters and sorts over a DataFrame; predicates reach the Parquet scan as pushed
+filters, and the implied ``created >= d`` lets row-group min/max statistics
+prune before the OR predicate is evaluated. Functions are lazy, but for pages
+and newest-N cuts of more than ``SMALL_PAGE`` rows: those run histogram jobs
+while the DataFrame is built. A watermark's predicate holds only for dated rows.
 """
 
 from __future__ import annotations
@@ -72,6 +74,10 @@ def _levels() -> list[Column]:
     return out + [k - F.pmod(k, F.lit(w)) for w in (1 << 40, 1 << 20, 1)]
 
 
+# Bucket of rows without a key: after every key, in either direction.
+_NO_KEY = (1 << 63) - 1
+
+
 def _order(descending: bool, nulls_first: bool) -> list[Column]:
     c, k = F.col(CREATED), F.col(KEY)
     if not descending:
@@ -89,14 +95,18 @@ def bounded_first_rows(df: DataFrame, limit: int, descending: bool = False, null
     boundary bucket is refined (day -> ... -> single key) until it holds at most
     ``slack`` times the rows still needed, where a top-k finishes. Only
     histograms reach the driver; a hot day or instant just takes more levels.
-    Rows without a creation time come last (or first with ``nulls_first``), by key.
+    Rows without a creation time come last (or first with ``nulls_first``), by key;
+    rows without a key come last within their instant. The running count of a
+    histogram is one window over its buckets (at most about 10**6 of them).
     """
     sign = -1 if descending else 1
     order = _order(descending, nulls_first)
     need = int(limit)
     pieces: list[DataFrame] = []
-    dated = (df.where(F.col(CREATED).isNotNull()), [lvl * sign for lvl in _levels()])
-    undated = (df.where(F.col(CREATED).isNull()), [lvl * sign for lvl in _levels()[4:]])
+    by_time = [lvl * sign for lvl in _levels()[:4]]
+    by_key = [F.coalesce(lvl * sign, F.lit(_NO_KEY)) for lvl in _levels()[4:]]
+    dated = (df.where(F.col(CREATED).isNotNull()), by_time + by_key)
+    undated = (df.where(F.col(CREATED).isNull()), by_key)
     for part, levels in ((undated, dated) if nulls_first else (dated, undated)):
         region = part
         for i, lvl in enumerate(levels):

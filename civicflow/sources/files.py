@@ -62,6 +62,13 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON array in one file, as ``read_json_array`` loads (for samples: the rows meet in one task)."""
+    (df.select(F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("v"))
+     .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("v")), F.lit("]")).alias("value"))
+     .write.mode(mode).text(path))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV sink; nested columns are written as JSON text."""
     cols = [F.to_json(F.col(f.name)).alias(f.name)

@@ -9,7 +9,8 @@ append -> watermark):
   query (or a lost executor, by task retry) neither skips nor repeats a file,
   and a replayed micro-batch adds nothing because the load is insert-if-absent.
 * ``ingest_pages``: the keyset page loop over a table (extract after the
-  watermark, load, re-read the watermark) until nothing is left.
+  watermark, load, re-read the watermark) until nothing is left, then the rows
+  that no page can hold (without a creation time or a key).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
 from ..operators.normalize import conform
-from ..schema import DEFAULT_BATCH_SIZE, LANDING_SCHEMA, SOURCE_NAME
+from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
 from ..sources.extract import keyset_page
 from ..sources.files import CORRUPT
 
@@ -60,13 +61,16 @@ def quarantine_of(raw_path: str) -> str:
 
 
 def refresh_marts_after(spark: SparkSession, result: LoadResult, raw_path: str, marts_root: str) -> None:
-    """Rebuild the month-layout marts for the months a load touched (nothing if it added no rows)."""
+    """Rebuild the month-layout marts for the months of a batch.
+
+    A batch that added no rows is refreshed too: it may be the replay of one
+    whose rows were stored before its refresh was lost.
+    """
     from ..plans import marts as M
 
-    if not result.rows_loaded:
-        return
-    months = M.months_between(*result.created_range) if result.created_range else []
-    M.refresh_months(spark, marts_root, read_raw(spark, raw_path), months + ([None] if result.undated else []))
+    months = result.months + ([None] if result.undated else [])
+    if months:
+        M.refresh_months(spark, marts_root, read_raw(spark, raw_path), months)
 
 
 def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
@@ -82,8 +86,9 @@ def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
             bad = rows.where(F.col(CORRUPT).isNotNull())
             malformed = bad.count()
             if malformed:  # lines that are not JSON objects keep their text for inspection
-                bad.select(F.lit(int(epoch_id)).alias("epoch_id"), F.col(CORRUPT).alias("line")) \
-                    .write.mode("append").parquet(f"{quarantine}/malformed")
+                # a replayed micro-batch replaces its own lines
+                bad.select(F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(
+                    f"{quarantine}/malformed/epoch_id={int(epoch_id)}")
             good = conform(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
             result = load_batch(spark, good, raw_path, log, when, source,
                                 created_is_immutable=created_is_immutable, read_back=False, by_month=by_month,
@@ -144,21 +149,31 @@ def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_pa
 def ingest_pages(spark: SparkSession, source_df: DataFrame, raw_path: str, log_path: str,
                  batch_size: int = DEFAULT_BATCH_SIZE, start_date: _dt.datetime | None = None,
                  now=None, source: str = SOURCE_NAME, max_batches: int | None = None) -> RunCounters:
-    """Page through ``source_df`` in (created, key) order after the stored watermark."""
+    """Page through ``source_df`` in (created, key) order after the stored watermark.
+
+    Pages hold rows with a creation time and a key, so an empty page is the end
+    and the page size cannot change what is loaded. A last step loads the keyed
+    rows without a creation time and quarantines the keyless ones, once each.
+    """
     log = WatermarkLog(log_path)
     counters = RunCounters()
-    last_date, last_key = resume_point(read_watermark(log.read(spark), source), start_date)
-    while max_batches is None or counters.batches < max_batches:
+    rows = conform(source_df)
+    placed = F.col(CREATED).isNotNull() & F.col(KEY).isNotNull()
+
+    def load(page: DataFrame) -> LoadResult:
         t0 = time.time()
-        page = conform(keyset_page(source_df, batch_size, last_date, last_key))
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        result = load_batch(spark, page, raw_path, log, when, source,
-                            quarantine_path=f"{quarantine_of(raw_path)}/keyless")
+        result = load_batch(spark, page, raw_path, log, when, source, quarantine_path=f"{quarantine_of(raw_path)}/keyless")
+        if result.rows_in or result.quarantined:
+            counters.add(result, time.time() - t0)
+        return result
+
+    last_date, last_key = resume_point(read_watermark(log.read(spark), source), start_date)
+    while max_batches is None or counters.batches < max_batches:
+        result = load(keyset_page(rows.where(placed), batch_size, last_date, last_key))
         if result.rows_in == 0:
+            load(rows.where(~placed))
             break
-        counters.add(result, time.time() - t0)
-        if result.watermark == (last_date, last_key):
-            break  # nothing newer can be reached from here (e.g. a page of undated rows)
         last_date, last_key = result.watermark
     return counters
 

@@ -1,0 +1,106 @@
+"""Nothing is lost or left stale: page sizes, NULL keys, crashes between steps, rebuilds, missing tables."""
+
+import datetime as dt
+
+import pytest
+from conftest import raw_rows, ts
+from pyspark.sql import functions as F
+
+from civicflow.functions.measures import grid
+from civicflow.operators import load as L
+from civicflow.plans import marts as M
+from civicflow.schema import RAW_SCHEMA
+from civicflow.sources import extract as S
+from civicflow.sources import files
+from civicflow.streaming import backfill_json, ingest_pages, ingest_stream, land_as_json
+from civicflow.streaming import ingest as I
+
+COLS = ["unique_key", "created_date", "agency"]
+NOW = ts("2026-02-01 00:00:00")
+
+
+def _mixed(spark):
+    rows = [{"unique_key": i, "created_date": ts(f"2026-01-0{1 + i // 3} 00:00:00"), "agency": "A"} for i in range(6)]
+    rows += [{"unique_key": 10 + i, "created_date": None, "agency": "B"} for i in range(3)]
+    rows += [{"unique_key": None, "created_date": ts("2026-01-01 00:00:00"), "agency": f"C{i}"} for i in range(3)]
+    return raw_rows(spark, rows, COLS)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100, 5000])
+def test_page_size_does_not_change_what_is_loaded(spark, tmpdir_path, size):
+    raw, wm = f"{tmpdir_path}/raw", f"{tmpdir_path}/wm"
+    run = ingest_pages(spark, _mixed(spark), raw, wm, batch_size=size, now=NOW)
+    assert sorted(r[0] for r in L.read_raw(spark, raw).select("unique_key").collect()) == [0, 1, 2, 3, 4, 5, 10, 11, 12]
+    assert (run.loaded, run.quarantined) == (9, 3)
+    again = ingest_pages(spark, _mixed(spark), raw, wm, batch_size=size, now=NOW)
+    assert (again.loaded, again.quarantined) == (0, 0)
+    assert spark.read.parquet(f"{I.quarantine_of(raw)}/keyless").count() == 3
+
+
+@pytest.mark.parametrize("limit", [3, 5, 8, 12, 16])
+@pytest.mark.parametrize("descending", [False, True])
+def test_bounded_cut_with_null_keys(spark, limit, descending):
+    rows = [{"unique_key": k, "created_date": ts("2026-01-01 00:00:00"), "agency": "A"} for k in [None] * 6 + list(range(10))]
+    df = raw_rows(spark, rows, COLS)
+    got = S.bounded_first_rows(df, limit, descending=descending, slack=1)
+    want = df.orderBy(*(S.desc_order() if descending else S.asc_order())).limit(limit)
+    key = F.coalesce("unique_key", F.lit(-1)).alias("k")
+    assert sorted(got.select(key).collect()) == sorted(want.select(key).collect())
+
+
+def test_marts_follow_a_refresh_that_was_lost(spark, tmpdir_path, monkeypatch):
+    base = tmpdir_path
+    raw = raw_rows(spark, [{"unique_key": i, "created_date": ts(f"2026-0{1 + i % 2}-01 00:00:00"), "agency": "A"} for i in range(7)], COLS)
+    M.materialize(spark, M.derive(spark, raw.limit(0), None), f"{base}/marts", by_month=True)
+    land_as_json(raw, f"{base}/landing", files=1)
+    real, calls = M.refresh_months, []
+
+    def once(*a, **k):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return real(*a, **k)
+
+    monkeypatch.setattr(M, "refresh_months", once)
+    args = (spark, f"{base}/landing", f"{base}/raw", f"{base}/wm", f"{base}/cp")
+    with pytest.raises(Exception):
+        ingest_stream(*args, now=NOW, marts_root=f"{base}/marts")
+    ingest_stream(*args, now=NOW, marts_root=f"{base}/marts")
+    assert M.load(spark, f"{base}/marts", L.read_raw(spark, f"{base}/raw")).fct.count() == 7
+
+
+def test_refresh_months_are_those_of_the_batch(spark, tmpdir_path):
+    rows = [{"unique_key": 1, "created_date": ts("1900-05-03 00:00:00")}, {"unique_key": 2, "created_date": ts("2026-01-01 00:00:00")}]
+    res = L.load_batch(spark, raw_rows(spark, rows), f"{tmpdir_path}/raw", L.WatermarkLog(f"{tmpdir_path}/wm"), NOW)
+    assert res.months == [dt.date(1900, 5, 1), dt.date(2026, 1, 1)]
+
+
+def test_full_month_build_replaces_and_missing_is_an_error(spark, tmpdir_path):
+    def raw(n):
+        return raw_rows(spark, [{"unique_key": i, "created_date": ts(f"2026-0{1 + i}-01 00:00:00"), "agency": f"A{i}"} for i in range(n)], COLS)
+
+    root = f"{tmpdir_path}/w"
+    M.materialize(spark, M.derive(spark, raw(6), None), root, by_month=True)
+    built = M.materialize(spark, M.derive(spark, raw(2), None), root, by_month=True)
+    assert built.fct.count() == 2 and built.dim_agency.count() == 2
+    with pytest.raises(FileNotFoundError):
+        M.load(spark, f"{tmpdir_path}/absent", raw(1))
+
+
+@pytest.mark.parametrize("text,cell", [("40.7149999999999", "40.71"), ("40.715", "40.72"), ("-73.98500000000001", "-73.99"),
+                                       ("0.004999999999999999", "0.01"), ("-0.004", "0.00"), ("100.125", "100.13")])
+def test_grid_cell_of_long_coordinates(spark, text, cell):
+    df = spark.createDataFrame([(text,)], "latitude string").select(F.col("latitude").cast(RAW_SCHEMA["latitude"].dataType).alias("x"))
+    assert str(df.select(grid("x")).first()[0]) == cell
+
+
+def test_json_array_round_trip(spark, tmpdir_path):
+    df = raw_rows(spark, [{"unique_key": i, "created_date": ts("2026-01-01 00:00:00"), "agency": "é\""} for i in range(5)], COLS)
+    files.write_json_array(S.latest_n(df, 3), f"{tmpdir_path}/a")
+    res = backfill_json(spark, f"{tmpdir_path}/a", f"{tmpdir_path}/raw", f"{tmpdir_path}/wm", now=NOW)
+    assert res.rows_loaded == 3 and L.read_raw(spark, f"{tmpdir_path}/raw").first()["agency"] == "é\""
+
+
+def test_resume_from_a_date_without_a_key():
+    d = ts("2026-01-01 00:00:00")
+    assert L.resume_point((d, None), None) == (d, None)
