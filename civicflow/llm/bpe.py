@@ -83,6 +83,8 @@ class Splitter:
 class Vocabulary:
     """Ids, bytes and merge ranks of a byte-level BPE file."""
 
+    remember = REMEMBER
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer  # the library's pre-tokenizer, for characters nothing else knows
 
@@ -132,10 +134,11 @@ class Vocabulary:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode the distinct pieces that are not remembered yet."""
-        new = [p for p in set(pieces) if p not in self.ids]
-        if len(self.ids) + len(new) > REMEMBER:
+        distinct = set(pieces)
+        new = [p for p in distinct if p not in self.ids]
+        if len(self.ids) + len(new) > self.remember:
             self.ids.clear()
-            new = list(set(pieces))
+            new = list(distinct)
         plain = []
         for p in new:
             if p in self.special:

@@ -33,7 +33,13 @@ SEARCH_NODES = 4000
 
 
 class RankVocabulary(bpe.Vocabulary):
-    """The same ids; single pre-tokens are merged by tiktoken from the vocabulary's own ranks."""
+    """The same ids; single pre-tokens are merged by tiktoken from the vocabulary's own ranks.
+
+    Merging is cheap here, so little is remembered, and nothing from task to
+    task: other stages of a pipeline share the executor's memory.
+    """
+
+    remember = 150_000
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -96,6 +102,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
                 columns.append(pa.array(raw, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        v.ids.clear()
+        pa.default_memory_pool().release_unused()
 
     schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(key, text).mapInArrow(run, schema)

@@ -82,6 +82,14 @@ def test_bpe_odd_characters():
     assert [v.decode(x) for x in got] == t.decode_batch(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("make", [bpe.Vocabulary, pack.RankVocabulary])
+def test_forgetting_changes_nothing(make):
+    v, t = make(bpe.VOCABULARY), _library()
+    v.remember = 3
+    for text in TEXTS[7:12] + ["aaaa", "aaaa b"]:
+        assert np.frombuffer(v.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_edit_counts_equal_full_encoding(docs, none):
     rows = _rows(edit_counts.apply_edits(edit_counts.trees(docs), edit_counts.sample_edits(F.col("text"))))
     t = _library()
