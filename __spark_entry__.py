@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from civicflow import oracle as O
 from civicflow.operators import load as L
 from civicflow.operators import quality as D
+from civicflow.operators.load import watermark_after
 from civicflow.operators.normalize import batch_dedupe, conform
 from civicflow.plans import marts as M
 from civicflow.plans import queries as Q
-from civicflow.session import scratch_path
+from civicflow.session import path_exists, scratch_path
 from civicflow.sources import extract as S
 from civicflow.sources import testdata
 from civicflow.streaming import ingest_pages, ingest_stream, land_as_json
@@ -56,6 +57,32 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(testdata.requests(spark, sf_dir))
 
 
+_BUILT: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _built(spark: SparkSession, sf_dir: str, layout: str = "flat") -> M.Marts:
+    """The stored warehouse over ``sf_dir``, built once in an application for each layout.
+
+    ``refreshed`` is a month layout built from the requests before a day and
+    then refreshed, after the later ones arrived, for their months only.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir, layout)
+    if at not in _BUILT or not path_exists(spark, f"{_BUILT[at][1]}/marts/dim_date"):
+        base = scratch_path(spark, f"warehouse_{layout}")
+        _raw(spark, sf_dir).write.parquet(f"{base}/raw")
+        raw = spark.read.parquet(f"{base}/raw")
+        watermark_after(spark, raw, now=NOW).write.parquet(f"{base}/watermark")
+        old = raw.where(F.col("created_date") < F.lit(O.REFRESH_FROM).cast("timestamp_ntz")) if layout == "refreshed" else raw
+        M.materialize(spark, M.derive(spark, old, calendar=M.TESTDATA_CALENDAR), f"{base}/out", by_month=layout != "flat")
+        if layout == "refreshed":
+            last = raw.agg(F.max("created_date")).first()[0]
+            if last is not None:
+                M.refresh_months(spark, f"{base}/out", raw, M.months_between(_ts(O.REFRESH_FROM), last))
+        _BUILT[at] = f"{base}", f"{base}/out"
+    base, out = _BUILT[at]
+    return M.load(spark, out, spark.read.parquet(f"{base}/raw"), spark.read.parquet(f"{base}/watermark"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top complaint types over the last year, weighted mean resolution time."""
     return Q.top_complaint_types(_marts(spark, SMOKE_DIR), O.TOP_DAYS, AS_OF)
@@ -104,13 +131,40 @@ def _page_ingest(spark, sf_dir):
     return L.read_raw(spark, f"{base}/raw")
 
 
+def _gappy(raw):
+    """Requests of which some have lost their creation time and some their key."""
+    key = F.col("unique_key")
+    return raw.withColumn("created_date", F.when(key % O.UNDATED_EVERY != 0, F.col("created_date"))).withColumn(
+        "unique_key", F.when(key % O.KEYLESS_EVERY != 0, key))
+
+
+def _page_ingest_gaps(batch_size):
+    def run(spark, sf_dir):
+        base = scratch_path(spark, "pages")
+        _gappy(_raw(spark, sf_dir)).write.parquet(f"{base}/source")
+        ingest_pages(spark, spark.read.parquet(f"{base}/source"), f"{base}/raw", f"{base}/watermark",
+                     batch_size=batch_size, now=NOW)
+        return L.read_raw(spark, f"{base}/raw")
+
+    return run
+
+
+def _stream_replay(spark, sf_dir):
+    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    raw = _raw(spark, sf_dir)
+    for k, batch in enumerate((raw, testdata.replayed(raw))):  # the second landing repeats every key
+        land_as_json(batch, f"{landing}/{k}", files=2)
+        ingest_stream(spark, f"{landing}/{k}", f"{base}/raw", f"{base}/watermark", f"{base}/checkpoint{k}", files_per_batch=2, now=NOW)
+    return L.read_raw(spark, f"{base}/raw")
+
+
 def _ingestion_status(spark, sf_dir):
     top = L.batch_max(_raw(spark, sf_dir), source_col="agency")
     return Q.ingestion_status(top.withColumn("updated_at", F.col("last_created_date")), NOW)
 
 
 def _report(fn):
-    return lambda spark, sf_dir: fn(D.models_of(_marts(spark, sf_dir)))
+    return lambda spark, sf_dir: fn(D.models_of(_built(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -127,7 +181,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily": lambda m: m.daily,
         "geo_heatmap": lambda m: m.geo,
         "agency_performance": lambda m: m.agency_perf,
-        # questions
+    }
+    questions = {  # over the stored warehouse
         "overview": Q.overview,
         "daily_trends": lambda m: Q.daily_trends(m, O.TREND_DAYS, AS_OF),
         "top_types": lambda m: Q.top_complaint_types(m, O.TOP_DAYS, AS_OF),
@@ -164,7 +219,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_n_bulk": lambda spark, sf_dir: S.latest_n(_raw(spark, sf_dir), O.BULK_PAGE_SIZE),
         "key_lookup": lambda spark, sf_dir: S.key_lookup(_raw(spark, sf_dir), O.LOOKUP_KEY),
         "stream_ingest": _stream_ingest,
+        "stream_replay": _stream_replay,
         "page_ingest": _page_ingest,
+        "page_ingest_small": _page_ingest_gaps(O.SMALL_BATCH),
+        "page_ingest_large": _page_ingest_gaps(O.LARGE_BATCH),
+        "keyset_page_null_keys": lambda spark, sf_dir: S.keyset_page(_gappy(_raw(spark, sf_dir)), O.BULK_PAGE_SIZE, columns=["created_date", "unique_key"]),
         "ingestion_status": _ingestion_status,
         # data tests
         "not_null_report": _report(D.not_null_report),
@@ -174,6 +233,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name, fn in mq.items():
         out[name] = (lambda f: lambda spark, sf_dir: f(_marts(spark, sf_dir)))(fn)
+    for name, fn in questions.items():
+        out[name] = (lambda f: lambda spark, sf_dir: f(_built(spark, sf_dir)))(fn)
+    for layout, suffix in O.LAYOUTS.items():
+        for name, field in O.BUILT_TABLES.items():
+            out[f"{name}_{suffix}"] = (lambda a, b: lambda spark, sf_dir: getattr(_built(spark, sf_dir, a), b))(layout, field)
+    for name in ("overview", "recent"):
+        out[f"{name}_monthly"] = (lambda f: lambda spark, sf_dir: f(_built(spark, sf_dir, "monthly")))(questions[name])
     return out | _training_queries()[0]
 
 

@@ -26,6 +26,15 @@ SINCE = "2001-01-01 00:00:00"
 LOOKUP_KEY = 777
 TARGET_BEFORE = "1998-01-01 00:00:00"
 BATCH_FROM = "1997-01-01 00:00:00"
+UNDATED_EVERY = 13
+KEYLESS_EVERY = 17
+SMALL_BATCH = 3000
+LARGE_BATCH = 100_000
+REFRESH_FROM = "2001-01-01 00:00:00"
+# Layouts of the stored warehouse with the suffix of their queries, and the tables registered for each.
+LAYOUTS = {"flat": "built", "monthly": "monthly", "refreshed": "refreshed"}
+BUILT_TABLES = {"fact": "fct", "daily": "daily", "geo_heatmap": "geo", "agency_performance": "agency_perf",
+                "dim_agency": "dim_agency", "dim_borough": "dim_borough", "dim_complaint_type": "dim_complaint_type"}
 MERGE_STATE_BEFORE = "2000-01-01 00:00:00"
 MERGE_NEW_FROM = "1999-06-01 00:00:00"
 MERGE_AGENCY_SPLIT = "NATION_2"
@@ -241,6 +250,11 @@ select coalesce(o.source_name, n.source_name) as source_name,
 from o full outer join n on o.source_name = n.source_name""", [("o", old), ("n", new)])
 
 
+# Requests of which some have lost their creation time and some their key.
+_GAPPY = (f"select * from (select * replace (case when unique_key % {UNDATED_EVERY} <> 0 then created_date end as created_date,"
+          f" case when unique_key % {KEYLESS_EVERY} <> 0 then unique_key end as unique_key) from raw)")
+
+
 def queries_sql() -> dict[str, str]:
     asof = f"timestamp '{AS_OF} 00:00:00'"
     cols44 = ", ".join(EXPECTED_COLUMNS)
@@ -278,7 +292,13 @@ def queries_sql() -> dict[str, str]:
             f"select * from raw order by created_date desc nulls last, unique_key desc limit {BULK_PAGE_SIZE}"),
         "key_lookup": with_base(f"select * from raw where unique_key = {LOOKUP_KEY}"),
         "stream_ingest": with_base("select * from raw"),
+        "stream_replay": with_base("select * from raw"),
         "page_ingest": with_base("select * from raw"),
+        "page_ingest_small": with_base(_GAPPY + " where unique_key is not null"),
+        "page_ingest_large": with_base(_GAPPY + " where unique_key is not null"),
+        "keyset_page_null_keys": with_base(
+            f"select created_date, unique_key from ({_GAPPY}) order by created_date nulls last, unique_key nulls last"
+            f" limit {BULK_PAGE_SIZE}"),
         # models
         "staging": with_base("select * from stg"),
         "enriched": with_base("select * from enr"),
@@ -387,4 +407,6 @@ select max_loaded_at, age_hours,
 from (select max(created_date) as max_loaded_at,
         cast(date_diff('microsecond', max(created_date), {asof}) as double) / {_H} as age_hours from raw)"""),
     }
-    return q
+    for suffix in LAYOUTS.values():
+        q |= {f"{name}_{suffix}": q[name] for name in BUILT_TABLES}
+    return q | {f"{name}_monthly": q[name] for name in ("overview", "recent")}
