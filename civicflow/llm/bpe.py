@@ -22,11 +22,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textnp import parts
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Bytes of text encoded together, and distinct pre-tokens remembered by a task.
 BLOCK_BYTES = 2 << 20
@@ -247,14 +248,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 def blocks(batches: Iterable[pa.RecordBatch], text: int, size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of record batches with about ``size`` bytes of text, and the texts (null: empty)."""
-    for batch in batches:
-        at = 0
-        lengths = np.cumsum([0, *(x or 0 for x in pa.compute.binary_length(batch.column(text)).to_pylist())])
-        while at < batch.num_rows:
-            end = min(batch.num_rows, max(at + 1, int(np.searchsorted(lengths, lengths[at] + size, "right")) - 1))
-            part = batch.slice(at, end - at)
-            yield part, [t or "" for t in part.column(text).to_pylist()]
-            at = end
+    for part in parts(batches, text, size):
+        yield part, [t or "" for t in part.column(text).to_pylist()]
 
 
 def encode_decode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_columns, stored, table
+from .textnp import parts
 
 #: Key of the registered query and the pipeline; a deployment passes its own.
 KEY = b"surrogates"
@@ -231,7 +232,7 @@ def mentions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches, 1):
             rows, spans = [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 for s in detect(t or ""):
@@ -300,7 +301,7 @@ def replace_all(docs: DataFrame, key: str = "doc_id", text: str = "text", secret
 
     def run(batches):
         s = Surrogates(secret)
-        for b in batches:
+        for b in parts(batches, at):
             texts, counts = [], []
             drawn = b.column(b.num_columns - 1).to_pylist() if joined else None
             for i, t in enumerate(b.column(at).to_pylist()):

@@ -10,11 +10,12 @@ memory is bounded by the slice (or by the longest single document).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 SLICE = 1 << 20
 U = np.uint64
@@ -85,6 +86,17 @@ def slices(column: pa.Array, size: int = SLICE) -> Iterator[Slice]:
         first = last
 
 
+def parts(batches: Iterable[pa.RecordBatch], text: int, size: int = 2 * SLICE) -> Iterator[pa.RecordBatch]:
+    """Slices of record batches with about ``size`` bytes in column ``text`` (at least one row each)."""
+    for batch in batches:
+        at = 0
+        lengths = np.cumsum([0, *(x or 0 for x in pa.compute.binary_length(batch.column(text)).to_pylist())])
+        while at < batch.num_rows:
+            end = min(batch.num_rows, max(at + 1, int(np.searchsorted(lengths, lengths[at] + size, "right")) - 1))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs of True that do not cross a document bound."""
     n = len(inside)
