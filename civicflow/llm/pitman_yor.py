@@ -1,17 +1,18 @@
 """Hierarchical Pitman-Yor language model (operator 5).
 
-Every token is a customer. Tokens after a frequent word (or at a document's
-start) sit in that context's restaurant; a table there is a customer of the
-shared parent, the restaurant of single words, where all other tokens sit
-directly; the parent's tables come from a uniform base. Seatings are sampled
-by Gibbs: a pass redraws, for each word, the tables of its dish in every
-restaurant given the others, and predictive probabilities are averaged over
-the kept samples. All restaurants of one word are one row, so the words are
-independent within a pass; only the restaurants' totals (one row per context)
-reach the driver between passes.
+Every token is a customer in the restaurant of the word before it (the end
+token stands for a document's start); every word seen in training has one. A
+table there is a customer of the shared parent, the restaurant of single words,
+whose tables come from a uniform base. Seatings are sampled by Gibbs: a pass
+redraws the tables of every word pair given the totals of the pass before, then
+those of every word in the parent, and predictive probabilities are averaged
+over the kept samples. Pairs, words and totals per context are tables; only
+sums over all words reach the driver. A pair met once has one table in every
+sample, so the passes read the repeated pairs only.
 
 Texts are met in blocks of whole documents: a block sends each of its distinct
-words once, and receives each once with its counts and probabilities.
+words and word pairs once, and receives each once with its counts and samples
+(a pair that no other training document holds needs no answer).
 """
 
 from __future__ import annotations
@@ -25,11 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, table
-from .textnp import U, mix64, slices, words
+from .textnp import U, mix64, pair_hash, slices, words
 
-#: Documents per block, and frequent words that have a restaurant of their own.
+#: Documents per block.
 BLOCK_DOCS = 4000
-CONTEXTS = 63
 #: Gibbs passes per word that are dropped, and kept.
 BURN_IN, SAMPLES = 2, 3
 #: Strength of both levels; discounts are estimated from the counts.
@@ -37,7 +37,8 @@ THETA = 1.0
 #: Customers of a dish up to which its tables are drawn from the exact conditional; tables that
 #: further customers open are added by their expected number, in steps of a twentieth.
 EXACT = 100
-END = U(0x0E4D0E4D0E4D0E4D)  # the end token's hash
+END = U(0x0E4D0E4D0E4D0E4D)  # the end token's hash; as a context, a document's start
+NONE = U(0x0D1DEC700D1DEC70)  # context of tokens that sit in the parent directly, when contexts are limited
 PACK = 64  # documents per compressed parcel on their way to their block's words
 
 
@@ -68,16 +69,22 @@ def tokens(columns: list[pa.Array]) -> Tokens:
     return Tokens(np.concatenate([np.zeros(0, U), *hashes]), doc, np.searchsorted(doc, np.arange(at)))
 
 
-def contexts_of(t: Tokens, frequent: np.ndarray) -> np.ndarray:
-    """Restaurant of each token: place of the word before it in ``frequent`` (sorted), one past it at a start, or -1."""
+def contexts_of(t: Tokens, frequent: np.ndarray | None = None) -> np.ndarray:
+    """Restaurant of each token: the word before it, END at a start; NONE after words not in ``frequent`` (sorted), if given."""
     before = np.empty_like(t.hash)
     before[1:] = t.hash[:-1]
-    out = np.full(len(t.hash), -1, np.int64)
-    if len(frequent):
-        i = np.minimum(np.searchsorted(frequent, before), len(frequent) - 1)
-        out = np.where(frequent[i] == before, i, -1)
-    out[t.first] = len(frequent)
-    return out
+    if frequent is not None:
+        before[~_among(frequent, before)[1]] = NONE
+    before[t.first] = END
+    return before
+
+
+def _among(values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each of ``x`` in sorted ``values``, and whether it is there."""
+    if not len(values):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    i = np.minimum(np.searchsorted(values, x), len(values) - 1)
+    return i, values[i] == x
 
 
 def _by_block(batches, reduce):
@@ -112,24 +119,25 @@ def _block_words(docs: DataFrame) -> DataFrame:
     return docs.select("block", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), "block long, w long, n long")
 
 
-def _block_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(w, ctx, n): training tokens of a block by restaurant."""
+def _distinct_pairs(t: Tokens, ctx: np.ndarray, train: np.ndarray):
+    """Distinct (context, word) of a block: hash (sorted), first place, place of each token's pair, training count."""
+    h, first, inverse = np.unique(pair_hash(ctx, t.hash), return_index=True, return_inverse=True)
+    return h, first, inverse, np.bincount(inverse, train[t.doc], len(h)).astype(np.int64)
+
+
+def _block_pairs(docs: DataFrame, frequent: np.ndarray | None) -> DataFrame:
+    """(block, w, ctx, n): every distinct word pair of a block and its count in training documents (maybe 0)."""
 
     def reduce(block, parts):
         t = tokens([p.column(2) for p in parts])
         train = np.concatenate([p.column(1).to_numpy(zero_copy_only=False) for p in parts])
         ctx = contexts_of(t, frequent)
-        use = np.flatnonzero(train[t.doc] & (ctx >= 0))
-        order = use[np.lexsort((ctx[use], t.hash[use]))]
-        w, c = t.hash[order], ctx[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (w[1:] != w[:-1]) | (c[1:] != c[:-1])
-        at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(order)))
-        return pa.RecordBatch.from_arrays([pa.array(w[at].view(np.int64)), pa.array(c[at].astype(np.int16)), pa.array(n.astype(np.int64))],
-                                          names=["w", "ctx", "n"])
+        _, first, _, n = _distinct_pairs(t, ctx, train)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(first), block)), pa.array(t.hash[first].view(np.int64)), pa.array(ctx[first].view(np.int64)), pa.array(n)],
+            names=["block", "w", "ctx", "n"])
 
-    return docs.select("block", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), "w long, ctx short, n long")
+    return docs.select("block", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), "block long, w long, ctx long, n long")
 
 
 # ---------------------------------------------------------------- seating
@@ -191,7 +199,10 @@ def _uniform(x: np.ndarray) -> np.ndarray:
 
 
 class Seating:
-    """Gibbs passes over a batch of words: w, c (training count), and their contexts' (row, ctx, n)."""
+    """Gibbs passes in memory, totals held fixed: words w, c (training count), and their contexts' (row, ctx, n).
+
+    The yardstick of the passes over tables below.
+    """
 
     def __init__(self, w, c, row, ctx, n, totals: Totals):
         self.w, self.c, self.row, self.ctx, self.n, self.t = w, c, row, ctx, n, totals
@@ -221,67 +232,67 @@ class Seating:
         return self.p1, (self.n - t.discount * self.tables + back) / (THETA + t.customers[c])
 
 
-def _seatings(batch: pa.RecordBatch, totals: Totals) -> Seating:
-    lists = batch.column(2)
-    lengths = np.diff(lists.offsets.to_numpy())
-    inner = lists.flatten()
-    return Seating(batch.column(0).to_numpy().view(U), batch.column(1).to_numpy(),
-                   np.repeat(np.arange(batch.num_rows), lengths),
-                   inner.field("ctx").to_numpy().astype(np.int64), inner.field("n").to_numpy(), totals)
+class Sample(NamedTuple):
+    """One pass: words with k (customers in the parent), t (tables as a context) and pt (tables in the parent), and sums of k and pt."""
+
+    words: DataFrame  # w, c, k, t, pt
+    customers: int
+    tables: int
+
+    def base(self, types: int, d0: float) -> float:
+        return (THETA + d0 * self.tables) / (types + 1)
 
+    def p1(self, types: int, d0: float) -> Column:
+        return (F.col("k") - d0 * F.col("pt") + self.base(types, d0)) / (THETA + self.customers)
 
-def _resample_totals(rows: DataFrame, totals: Totals) -> Totals:
-    """Totals of the restaurants after the burn-in passes of every word."""
-    k = len(totals.tables)
+
+def _parent_pass(fixed: DataFrame, seated: DataFrame, base: float, d0: float, sweep: int) -> Sample:
+    """Totals of the words and contexts after a pass over the pairs, with new tables in the parent."""
+    zero = F.lit(0).cast("long")
+    rows = fixed.unionByName(seated.select("w", zero.alias("c"), F.col("t").alias("k"), zero.alias("t"))).unionByName(
+        seated.select(F.col("ctx").alias("w"), zero.alias("c"), zero.alias("k"), "t"))
+    rows = rows.groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("t").alias("t"))
 
     def run(batches):
-        tables, customers, parents = np.zeros(k), 0, 0
+        s0 = log_stirling(d0)
         for b in batches:
-            s = _seatings(b, totals)
-            for i in range(BURN_IN):
-                s.sweep(i)
-            tables += np.bincount(s.ctx, s.tables, k)
-            customers += int(s.parent_customers.sum())
-            parents += int(s.parent_tables.sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(k + 2), pa.int32()), pa.array([*tables, float(customers), float(parents)], pa.float64())], names=["i", "v"])
+            w, k = b.column(0).to_numpy().view(U), b.column(2).to_numpy()
+            pt = draw_tables(k, np.full(len(k), base), _uniform(mix64(w + U(7919 * (sweep + 1)))), s0, d0)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pt)], names=["w", "c", "k", "t", "pt"])
 
-    got = dict(rows.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v")).collect())  # one row per context
-    if not got:
-        return totals
-    return totals._replace(tables=np.array([got[i] for i in range(k)]), parent_customers=got[k], parent_tables=got[k + 1])
+    rows = stored(rows.mapInArrow(run, "w long, c long, k long, t long, pt long"), "pitman_yor_sample")
+    got = rows.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum("pt"), F.lit(0))).first()
+    return Sample(rows, int(got[0]), int(got[1]))
 
 
-def _probabilities(rows: DataFrame, totals: Totals) -> DataFrame:
-    """(w, c, p, ctx, q): averaged probability of a word in the parent and in each of its contexts."""
+def _pair_pass(seated: DataFrame, last: Sample, types: int, d: float, d0: float, sweep: int, keep: bool) -> DataFrame:
+    """New tables of every repeated pair given its context's and its word's totals; ``kept`` sums the kept samples."""
+    p1 = last.words.select("w", last.p1(types, d0).alias("p1"))
+    tables = last.words.select(F.col("w").alias("ctx"), F.col("t").alias("total"))
+    rows = seated.join(p1, "w").join(tables, "ctx").select("w", "ctx", "n", "kept", ((THETA + d * F.col("total")) * F.col("p1")).alias("weight"))
 
     def run(batches):
+        s1 = log_stirling(d)
         for b in batches:
-            s = _seatings(b, totals)
-            p, q = np.zeros(len(s.w)), np.zeros(len(s.n))
-            for i in range(BURN_IN + SAMPLES):
-                s.sweep(i)
-                if i >= BURN_IN:
-                    a, c = s.predictive()
-                    p += a / SAMPLES
-                    q += c / SAMPLES
-            cut = np.searchsorted(s.row, np.arange(len(s.w) + 1))
-            ctx, q = s.ctx.astype(np.uint8).tobytes(), q.astype("<f4").tobytes()
-            pairs = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(p), pa.array([ctx[a:z] for a, z in pairs], pa.binary()),
-                 pa.array([q[4 * a:4 * z] for a, z in pairs], pa.binary())], names=["w", "c", "p", "ctx", "q"])
-
-    return rows.mapInArrow(run, "w long, c long, p double, ctx binary, q binary")
+            w, ctx = b.column(0).to_numpy().view(U), b.column(1).to_numpy().view(U)
+            chance = _uniform(mix64(pair_hash(ctx, w) + U(104729 * (sweep + 1))))
+            t = draw_tables(b.column(2).to_numpy(), b.column(4).to_numpy(), chance, s1, d)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(t), pa.array(b.column(3).to_numpy() + t * keep)],
+                                             names=["w", "ctx", "n", "t", "kept"])
+
+    return stored(rows.mapInArrow(run, "w long, ctx long, n long, t long, kept long"), "pitman_yor_seated")
 
 
 # ---------------------------------------------------------------- model
 
 class Model(NamedTuple):
-    totals: Totals
-    frequent: np.ndarray
+    frequent: np.ndarray | None
     tokens: int
-    words: DataFrame  # w, c, p, ctx, q
+    types: int
+    discount: float
+    unknown: list[float]  # parent's probability of any unknown word, by sample
+    words: DataFrame      # w, c, x: the samples' probabilities in the parent, then back-off weights as a context
+    pairs: DataFrame      # block, w, ctx, n, t: pairs of a block whose count it cannot know, mean number of tables
 
 
 def _blocked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -291,38 +302,56 @@ def _blocked(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (~held_out(key)).alias("train")).withColumn("block", block)
 
 
-def fit(docs: DataFrame, own: DataFrame, contexts: int = CONTEXTS) -> Model:
+def fit(docs: DataFrame, own: DataFrame, contexts: int | None = None) -> Model:
     """Model of the training documents of ``docs`` (blocked); ``own`` is their stored (block, w, n)."""
     counts = own.groupBy("w").agg(F.sum("n").alias("c")).where("c > 0")
     stats = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     types, total = int(stats[0]), int(stats[1])
-    end = int(np.array([END]).view(np.int64)[0])
-    top = counts.where(F.col("w") != end).orderBy(F.desc("c"), "w").limit(contexts).select("w").collect()  # at most ``contexts`` rows
-    frequent = np.sort(np.array([r[0] for r in top], np.int64).view(U))
-    every = own.where("n > 0").select("w", F.lit(-1).cast("short").alias("ctx"), "n").unionByName(_block_pairs(docs, frequent))
-    child = F.when(F.col("ctx") >= 0, F.struct("ctx", "n"))
-    rows = every.groupBy("w", "ctx").agg(F.sum("n").alias("n")).groupBy("w").agg(
-        F.max(F.when(F.col("ctx") < 0, F.col("n"))).alias("c"), F.sort_array(F.collect_list(child)).alias("x"))
-    rows = stored(rows, "pitman_yor_words")
-    per = rows.select(F.explode("x").alias("x")).groupBy("x.ctx").agg(
-        F.sum("x.n").alias("n"), F.count(F.lit(1)).alias("t"),
-        F.sum((F.col("x.n") == 1).cast("long")).alias("n1"), F.sum((F.col("x.n") == 2).cast("long")).alias("n2")).collect()
-    k = len(frequent) + 1
-    customers, tables = np.zeros(k), np.zeros(k)
-    for r in per:
-        customers[r["ctx"]], tables[r["ctx"]] = r["n"], r["t"]
-    ones = rows.agg(F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
+    end, none = (int(np.array([x]).view(np.int64)[0]) for x in (END, NONE))
+    frequent = None
+    if contexts is not None:
+        top = counts.where(F.col("w") != end).orderBy(F.desc("c"), "w").limit(contexts).select("w").collect()  # at most ``contexts`` rows
+        frequent = np.sort(np.array([r[0] for r in top], np.int64).view(U))
+    place = F.struct("block", (F.col("n") == 0).alias("out"))
+    pairs = _block_pairs(docs, frequent).groupBy("w", "ctx").agg(F.sum("n").alias("n"), F.collect_list(place).alias("places"))
+    pairs = stored(pairs.where("n > 0"), "pitman_yor_pairs")
+    inside, zero = F.col("ctx") != none, F.lit(0).cast("long")
+    once = pairs.where(inside & (F.col("n") == 1))
+    fixed = counts.select("w", "c", zero.alias("k"), zero.alias("t")).unionByName(
+        once.select("w", zero.alias("c"), F.col("n").alias("k"), zero.alias("t"))).unionByName(
+        once.select(F.col("ctx").alias("w"), zero.alias("c"), zero.alias("k"), F.col("n").alias("t"))).unionByName(
+        pairs.where(~inside).select("w", zero.alias("c"), F.col("n").alias("k"), zero.alias("t")))
+    fixed = stored(fixed.groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("t").alias("t")), "pitman_yor_words")
+    number = pairs.where(inside).agg(F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))).first()
+    ones = counts.agg(F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
 
     def discount(n1, n2):
         return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
 
-    totals = Totals(customers, tables, total - customers.sum() + tables.sum(), float(types), types,
-                    discount(sum(r["n1"] for r in per), sum(r["n2"] for r in per)), discount(ones[0] or 0, ones[1] or 0))
-    totals = _resample_totals(rows, totals)
-    return Model(totals, frequent, total, _probabilities(rows, totals))
-
-
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", contexts: int = CONTEXTS) -> DataFrame:
+    d, d0 = discount(number[0] or 0, number[1] or 0), discount(ones[0] or 0, ones[1] or 0)
+    seated = pairs.where(inside & (F.col("n") > 1)).select("w", "ctx", "n", F.lit(1).cast("long").alias("t"), zero.alias("kept"))
+    last = _parent_pass(fixed, seated, (THETA + d0 * types) / (types + 1), d0, 0)
+    unknown, x = [], []
+    for i in range(BURN_IN + SAMPLES):
+        seated = _pair_pass(seated, last, types, d, d0, i, i >= BURN_IN)
+        last = _parent_pass(fixed, seated, last.base(types, d0), d0, i + 1)
+        if i >= BURN_IN:
+            unknown.append(last.base(types, d0) / (THETA + last.customers))
+            back = (THETA + d * F.col("t")) / (THETA + F.col("c"))
+            x.append(last.words.select("w", "c", F.lit(i).alias("i"), last.p1(types, d0).alias("p"), back.alias("b")))
+    every = x[0]
+    for y in x[1:]:
+        every = every.unionByName(y)
+    word = every.groupBy("w").agg(F.max("c").alias("c"), F.sort_array(F.collect_list(F.struct("i", "p", "b"))).alias("x"))
+    word = word.select("w", "c", F.concat("x.p", "x.b").alias("x"))
+    again = pairs.where(inside & (F.col("n") > 1)).select("w", "ctx", "places").join(seated, ["w", "ctx"]).select(
+        F.explode("places.block").alias("block"), "w", "ctx", "n", (F.col("kept") / SAMPLES).alias("t"))
+    single = once.select(F.explode("places").alias("p"), "w", "ctx", "n", F.lit(1.0).alias("t")).where("p.out").select(
+        "p.block", "w", "ctx", "n", "t")
+    return Model(frequent, total, types, d, unknown, word, again.unionByName(single))
+
+
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", contexts: int | None = None) -> DataFrame:
     """Train on documents that are not held out and score all.
 
     Returns key, held_out, n_tokens, n_known, train_tokens, base_score and
@@ -331,11 +360,15 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", co
     columns are not read. With no training document every token is unknown and
     has the uniform base's probability. ``docs`` is read several times and must
     give its rows in the same order each time, as a stored table does.
+    ``contexts`` limits restaurants to those of so many frequent words; tokens
+    after any other word then sit in the parent directly.
     """
     blocked = _blocked(docs, key, text)
     own = stored(_block_words(blocked), "pitman_yor_blocks")
     model = fit(blocked, own, contexts)
-    back = own.select("block", "w").join(model.words, "w")
+    answers = own.select("block", "w").join(model.words, "w").select(
+        "block", "w", F.lit(None).cast("long").alias("ctx"), F.col("c").alias("n"), F.lit(0.0).alias("t"), "x").unionByName(
+        model.pairs.withColumn("x", F.lit(None).cast("array<double>")))
 
     def parcel(batches):
         z = zstandard.ZstdCompressor(3)
@@ -353,7 +386,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", co
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"])
 
     sent = blocked.select("block", "key", "train", "text").mapInArrow(parcel, "block long, data binary")
-    totals, frequent, total = model.totals, model.frequent, model.tokens
+    known_model = model._replace(words=None, pairs=None)
     kind = docs.schema[key].dataType.simpleString()
     arrow = {"bigint": pa.int64(), "int": pa.int32()}.get(kind)
 
@@ -361,49 +394,46 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", co
         unzip = zstandard.ZstdDecompressor()
         parts = [pa.ipc.open_stream(unzip.decompress(x.as_py())).read_all() for x in parcels.column("data")]
         columns = [c for p in parts for c in p.column("text").chunks]
-        base, score, n, seen = _score_block(columns, known, totals, frequent, total)
-        keys = pa.chunked_array([c for p in parts for c in p.column("key").chunks])
         train = np.concatenate([p.column("train").to_numpy() for p in parts])
+        base, score, n, seen = _score_block(columns, train, known, known_model)
+        keys = pa.chunked_array([c for p in parts for c in p.column("key").chunks])
         return pa.table({key: keys.cast(arrow) if arrow else keys, "held_out": ~train, "n_tokens": n, "n_known": seen,
-                         "train_tokens": np.full(len(n), total), "base_score": base, "score": score})
+                         "train_tokens": np.full(len(n), known_model.tokens), "base_score": base, "score": score})
 
-    return sent.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+    return sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         lambda a, b: score(a, b) if a.num_rows else pa.table({}),
         f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _score_block(columns, known: pa.Table, totals: Totals, frequent: np.ndarray, total: int):
+def _score_block(columns, train: np.ndarray, known: pa.Table, m: Model):
     t = tokens(columns)
-    w = known.column("w").to_numpy().view(U)
+    ctx = contexts_of(t, m.frequent)
+    known = known.combine_chunks()
+    of_word = known.column("ctx").is_null().to_numpy()
+    rows = known.filter(pa.array(of_word))
+    w = rows.column("w").to_numpy().view(U)
     order = np.argsort(w)
-    w = w[order]
-    c, p = known.column("c").to_numpy()[order], known.column("p").to_numpy()[order]
-    child = known.column("ctx").take(pa.array(order)).to_pylist()
-    value = known.column("q").take(pa.array(order)).to_pylist()
-    child_key = (np.repeat(np.arange(len(w)), [len(x) for x in child]) << 8) | np.frombuffer(b"".join(child), np.uint8)
-    child_p = np.frombuffer(b"".join(value), "<f4").astype(np.float64)
-
-    unknown = (THETA + totals.parent_discount * totals.parent_tables) / (totals.types + 1) / (THETA + totals.parent_customers)
-    i = np.searchsorted(w, t.hash)
-    hit = i < len(w)
-    hit[hit] = w[i[hit]] == t.hash[hit]
-    count = np.zeros(len(t.hash), np.int64)
-    count[hit] = c[i[hit]]
-    prob = np.full(len(t.hash), unknown)
-    prob[hit] = p[i[hit]]
-
-    ctx = contexts_of(t, frequent)
-    back = (THETA + totals.discount * totals.tables) / (THETA + totals.customers)
-    inside = ctx >= 0
-    prob[inside] *= back[ctx[inside]]
-    both = np.flatnonzero(inside & hit)
-    keys = (i[both] << 8) | ctx[both]
-    j = np.searchsorted(child_key, keys)
-    ok = j < len(child_key)
-    ok[ok] = child_key[j[ok]] == keys[ok]
-    prob[both[ok]] = child_p[j[ok]]
-
-    base = np.log10((count + 0.1) / (total + 0.1 * (totals.types + 1)))
+    w, c = w[order], rows.column("n").to_numpy()[order]
+    x = pa.compute.list_flatten(rows.column("x").combine_chunks()).to_numpy().reshape(len(w), 2, SAMPLES)[order]
+
+    i, hit = _among(w, t.hash)
+    j, before = _among(w, ctx)
+    count, customers = np.zeros(len(t.hash), np.int64), np.zeros(len(t.hash), np.int64)
+    count[hit], customers[before] = c[i[hit]], c[j[before]]
+    prob = np.zeros(len(t.hash))
+    for k, unknown in enumerate(m.unknown):
+        p, back = np.full(len(t.hash), unknown), np.ones(len(t.hash))
+        p[hit], back[before] = x[i[hit], 0, k], x[j[before], 1, k]
+        prob += p * back / len(m.unknown)
+
+    h, _, of, own = _distinct_pairs(t, ctx, train)
+    n, tables = np.minimum(own, 1), np.minimum(own, 1).astype(float)  # unless told otherwise, a training pair is met once
+    rows = known.filter(pa.array(~of_word))
+    a, there = _among(h, pair_hash(rows.column("ctx").to_numpy().view(U), rows.column("w").to_numpy().view(U)))
+    n[a[there]], tables[a[there]] = rows.column("n").to_numpy()[there], rows.column("t").to_numpy()[there]
+    prob += np.where(ctx == NONE, 0.0, (n - m.discount * tables)[of] / (THETA + customers))
+
+    base = np.log10((count + 0.1) / (m.tokens + 0.1 * (m.types + 1)))
     n = np.diff(np.append(t.first, len(t.hash)))
     return (np.add.reduceat(base, t.first), np.add.reduceat(np.log10(prob), t.first), n,
             np.add.reduceat((count > 0).astype(np.int64), t.first))

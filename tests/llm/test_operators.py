@@ -358,6 +358,19 @@ def test_model_is_a_distribution_and_stirling_numbers():
         assert q[s.ctx == k].sum() + back * unknown == pytest.approx(1, abs=0.05)
 
 
+def test_every_context_has_a_restaurant(spark, tmp_path):
+    """Each of 150 words is followed by a word of its own in training; held out, that one is likelier than another."""
+    held = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    train = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 10]
+    rows = [(train[3 * i + k], f"a{i} b{i}") for i in range(150) for k in range(3)]
+    rows += [(held[2 * i + k], f"a{i} b{(i + k) % 150}") for i in range(150) for k in range(2)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(path)
+    score = {r["doc_id"]: r["score"] for r in _rows(pitman_yor.score_documents(spark.read.parquet(path)))}
+    assert all(score[held[2 * i]] > score[held[2 * i + 1]] + 1 for i in range(150))
+    assert all(score[train[3 * i]] == pytest.approx(score[held[2 * i]]) for i in range(150))  # the same text, in and out of training
+
+
 def test_held_out_perplexity_beats_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = {r["held_out"]: r for r in _rows(pitman_yor.perplexity(pitman_yor.score_documents(docs)))}
