@@ -28,7 +28,10 @@ from .textnp import parts
 KEY = b"surrogates"
 #: Redrawn entities that tasks get as a dictionary; more of them are joined to their documents.
 INLINE_REDRAWS = 50_000
-MAX_DRAWS = 30
+#: Rounds of redraws without fewer collisions after which a kind counts as full.
+STALLED = 30
+#: Redraws after which an address or secret gets longer, a letter a draw, as few values of its format are free.
+SAME_LENGTH = 3
 
 # Honorifics by gender, and syllables and endings of made-up names by script.
 HONORIFICS = {
@@ -191,16 +194,26 @@ class Surrogates:
             labels = domain.split(".")
             keep = 2 if domain.endswith((".example.com", ".example.net", ".example.org")) else 1
             own = ".".join(labels[:-keep])  # a domain has one surrogate, whoever uses it
-            return self._shape(local, kind, domain, draw) + "@" + ".".join(
+            return self._shape(local, kind, domain, draw) + self._longer(kind, value, draw) + "@" + ".".join(
                 filter(None, [self._shape(own, "domain", 0) if own else "", *labels[-keep:]]))
         if kind.startswith("name/"):
             _, role, gender, script = kind.split("/")
             n, parts, syllables = self._number(kind, value, draw), "", SYLLABLES[script]
-            for _ in range(3):
+            for _ in range(3 + draw % 1000):  # one syllable more with each redraw, so there are always more names than entities
                 n, i = divmod(n, len(syllables))
                 parts += syllables[i]
             return parts + (GIVEN_END if role == "given" else FAMILY_END)[script, gender]
-        return self._shape(value, kind, draw, hexadecimal=bool(kind == "secret" and _HEX.fullmatch(value)))
+        if kind == "secret" and not _HEX.fullmatch(value):
+            return self._shape(value, kind, draw) + self._longer(kind, value, draw)
+        return self._shape(value, kind, draw, hexadecimal=kind == "secret")
+
+    def _longer(self, kind: str, value: str, draw: int) -> str:
+        """Letters that a redraw appends where the format has too few values (one letter before the @, no letter at all)."""
+        n, out = self._number("longer", kind, value, draw), ""
+        for _ in range(draw % 1000 - SAME_LENGTH):
+            n, i = divmod(n, 26)
+            out += chr(97 + i)
+        return out
 
     def render(self, kind: str, mention: str, surrogate: str) -> str:
         """The surrogate in the format of a mention."""
@@ -251,6 +264,8 @@ def redraws(entities: DataFrame, key: bytes, draw: Callable | None = None) -> Da
 
     A surrogate that two entities of a kind share goes to the one with fewer
     draws, then the smaller value; one that occurs as a value goes to nobody.
+    Names, addresses and secrets get longer with their redraws, so the rounds
+    end; a kind of fixed length is full when the collisions stop falling.
     """
     make = draw or (lambda kind, value, n, s: s.canonical(kind, value, n))
 
@@ -263,13 +278,16 @@ def redraws(entities: DataFrame, key: bytes, draw: Callable | None = None) -> Da
 
     own = entities.select("kind", "value")
     state = own.withColumn("draw", F.lit(0))
-    for _ in range(MAX_DRAWS):
+    fewest, stalled = None, 0
+    while stalled < STALLED:
         state = stored(state.mapInArrow(surrogate, "kind string, value string, draw int, s string"), "pii_draws")
         first = state.groupBy("kind", "s").agg(F.min(F.struct("draw", "value")).alias("first"), F.count(F.lit(1)).alias("c"))
         taken = own.withColumnRenamed("value", "s").withColumn("taken", F.lit(True))
         bad = first.join(taken, ["kind", "s"], "left").where("c > 1 or taken")
         bad = stored(bad.select("kind", "s", "first", "taken"), "pii_collisions")
-        if bad.isEmpty():
+        left = bad.count()
+        fewest, stalled = (left, 0) if fewest is None or left < fewest else (fewest, stalled + 1)
+        if not left:
             return state.where("draw > 0").select("kind", "value", "draw")
         lose = F.col("taken").isNotNull() | (F.col("first").isNotNull() & (F.col("first.value") != F.col("value")))
         state = state.join(bad, ["kind", "s"], "left").select(

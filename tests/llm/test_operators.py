@@ -457,3 +457,13 @@ def test_many_redraws_are_joined(spark, monkeypatch):
     a = {(r["doc_id"], r["text"]) for r in _rows(pii.replace_all(docs))}
     monkeypatch.setattr(pii, "INLINE_REDRAWS", -1)
     assert {(r["doc_id"], r["text"]) for r in _rows(pii.replace_all(docs))} == a
+
+
+def test_more_entities_than_values_of_their_format(spark):
+    rows = [("name/family/n/latin", f"name{i:x}") for i in range(60_000)]  # three syllables make 46,656
+    rows += [("email", f"{i}@mail.example") for i in range(10)] + [("secret", "********"), ("secret", "-------1")]
+    entities = spark.createDataFrame(rows, "kind string, value string")
+    again = {(r["kind"], r["value"]): r["draw"] for r in pii.redraws(entities, b"k").collect()}
+    s = pii.Surrogates(b"k")
+    final = [(k, s.canonical(k, v, again.get((k, v), 0))) for k, v in rows]
+    assert len(set(final)) == len(rows) and not set(final) & set(rows)
