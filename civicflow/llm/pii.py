@@ -56,8 +56,14 @@ _SEP = r"[^\w\n(+]{1,6}"
 _HEX = re.compile(r"[0-9a-fA-F]{32,128}")
 PATTERNS: list[tuple[str, str, re.Pattern]] = [  # kind, a character without which it cannot occur ("0": a digit), pattern
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9])")),
-    ("phone", "0", re.compile(rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_SEP})?)?\(\d{{2,4}}\){_SEP}\d{{3,4}}[ .-]?\d{{3,4}}(?!\w)"
-                              r"|(?<![\w+.-])(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)")),
+    ("phone", "0", re.compile(rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_SEP})?)?\(\d{{2,4}}\)(?:{_SEP})?\d{{3,4}}[ .-]?\d{{3,4}}(?!\w)"
+                              r"|(?<![\w+.-])(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)"
+                              # grouped international: country code, then groups (an optional 0 in brackets), 8 digits at least
+                              r"|(?<![\w+])\+(?=(?:[ \u00a0.()-]{0,3}\d){8})[1-9]\d{0,2}(?:[ \u00a0-]?\(0\)[ \u00a0-]?\d{1,10}(?:[ \u00a0-]\d{1,10}){0,5}"
+                              r"|(?:[ \u00a0-]\d{1,10}){1,5}|(?:\.\d{1,4}){2,5})(?!\w)")),
+    # ten plain digits (eleven after a 1) may be any number, so a word before them must say what they are
+    ("phone", "0", re.compile(r"(?i)(?<!\w)(?:phone|telephone|tel|mobile|cell|fax|call|text|sms|whatsapp|reach|ring)"
+                              r"(?:[ \u00a0]+(?:number|no|me|us|at|on|is)\b){0,3}[ \u00a0.:#=]{0,4}(?<!\w)(?P<v>1?[2-9]\d{9})(?!\w)")),
     ("ip", "0", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")),
     ("ssn", "0", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("card", "0", re.compile(r"(?<!\w)(?:\d{4}[ -]?){3}\d{4}(?!\w)|(?<!\w)\d{13,19}(?!\w)|(?<!\w)3\d{3}[ -]\d{6}[ -]\d{5}(?!\w)")),

@@ -467,3 +467,20 @@ def test_more_entities_than_values_of_their_format(spark):
     s = pii.Surrogates(b"k")
     final = [(k, s.canonical(k, v, again.get((k, v), 0))) for k, v in rows]
     assert len(set(final)) == len(rows) and not set(final) & set(rows)
+
+
+@pytest.mark.parametrize("phone", ["(743)555-3824", "(743)5553824", "+1(743)555-3824", "+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 12345678",
+                                   "+44 (0)20 7946 0958", "+91 98765 43210", "+33.1.23.45.67.89", "+1-743-555-3824", "+442079460958"])
+def test_phones_of_other_formats(phone):
+    text = f"Write or call {phone}, any day."
+    (found,) = pii.detect(text)
+    assert text[found[0]:found[1]] == phone and found[2:] == ("phone", re.sub(r"\D", "", phone))
+    new = pii.Surrogates(b"k").render("phone", phone, pii.Surrogates(b"k").canonical(*found[2:]))
+    assert new != phone and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", phone)
+
+
+def test_plain_digits_are_a_phone_where_a_word_says_so():
+    for text in ("Tel. 7435553824", "phone: 17435553824", "call me at 7435553824"):
+        assert [f[2] for f in pii.detect(text)] == ["phone"]
+    for text in ("id 7435553824", "at 1700000000 ms", "+0.123456789", "+1.23456789", "f(x)(2)34", "a + 12 345"):
+        assert not pii.detect(text)
