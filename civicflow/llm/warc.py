@@ -96,7 +96,7 @@ def classify(pages: DataFrame, key: str = "page_id", html: str = "html", min_byt
 
 
 def write_archives(rows: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Write classified pages as .warc.gz files; returns the manifest: path, bytes, records.
+    """Write classified pages as .warc.gz files; returns the manifest: path, bytes, records, starts (offset of each record).
 
     A file gets a new name in every attempt and counts only through the
     manifest, which holds the files of finished tasks, so a task that is lost
@@ -105,34 +105,35 @@ def write_archives(rows: DataFrame, folder: str, key: str = "page_id", url: str
 
     def run(batches: Iterator[pa.RecordBatch]):
         store, base = open_store(folder)
-        out, path, size, n = None, "", 0, 0
+        out, path, size, starts = None, "", 0, []
         done = []
         for b in batches:
             for r in b.to_pylist():
                 if out is None:
                     path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                     store.create_dir(base, recursive=True)
-                    out, size, n = store.open_output_stream(path, compression=None), 0, 0
+                    out, size, starts = store.open_output_stream(path, compression=None), 0, []
                 payload = None if r["_type"] == "revisit" else (r["_html"] or "").encode()
                 m = record(r["_key"], r["_url"], r["_digest"], r["_size"], r["_refers"], payload)
                 out.write(m)
+                starts.append(size)
                 size += len(m)
-                n += 1
                 if size >= ARCHIVE_BYTES:
                     out.close()
-                    done.append((path, size, n))
+                    done.append((path, size, starts))
                     out = None
         if out is not None:
             out.close()
-            done.append((path, size, n))
+            done.append((path, size, starts))
         yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{p.rsplit('/', 1)[1]}" for p, _, _ in done], pa.string()),
                                           pa.array([s for _, s, _ in done], pa.int64()),
-                                          pa.array([n for _, _, n in done], pa.int64())], names=["path", "bytes", "records"])
+                                          pa.array([len(x) for _, _, x in done], pa.int64()),
+                                          pa.array([x for _, _, x in done], pa.list_(pa.int64()))], names=["path", "bytes", "records", "starts"])
 
     picked = rows.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(html).alias("_html"),
                          F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_size"),
                          F.col("record_type").alias("_type"), F.col("refers_to").alias("_refers"))
-    return stored(picked.mapInArrow(run, "path string, bytes long, records long"), "warc_manifest")
+    return stored(picked.mapInArrow(run, "path string, bytes long, records long, starts array<long>"), "warc_manifest")
 
 
 # ---------------------------------------------------------------- reader
@@ -158,17 +159,17 @@ class _Window:
 def parse_member(w: _Window, offset: int, end: int | None = None) -> tuple[dict, bytes, int] | None:
     """Header, block and length of the record whose gzip member starts at ``offset``; None if there is none.
 
-    The header is decoded and judged before anything else of the member is read.
+    The header is decoded and judged before anything else of the member is read; it may be of any length.
     """
     flags = w.get(offset, 4)[3:4]
     if not flags or flags[0] & 0xE0:  # reserved gzip flags
         return None
-    z, raw, at = zlib.decompressobj(31), b"", offset
+    z, raw, at = zlib.decompressobj(31), bytearray(), offset
     parts: list[bytes] = []
     head = None
     try:
         while not z.eof:
-            data = w.get(at, 4096 if head is None else 65536)
+            data = w.get(at, 4096 if head is None and not raw else 65536)
             if not data:
                 return None
             at += len(data)
@@ -177,14 +178,12 @@ def parse_member(w: _Window, offset: int, end: int | None = None) -> tuple[dict,
                 raw += piece
                 if raw[:5] != b"WARC/"[:len(raw[:5])]:
                     return None
-                cut = raw.find(b"\r\n\r\n")
+                cut = raw.find(b"\r\n\r\n", max(0, len(raw) - len(piece) - 3))
                 if cut >= 0:
-                    head = _header(raw[:cut])
+                    head = _header(bytes(raw[:cut]))
                     if head is None:
                         return None
-                    parts = [raw[cut + 4:]]
-                elif len(raw) > CHUNK:
-                    return None
+                    parts = [bytes(raw[cut + 4:])]
             else:
                 parts.append(piece)
     except zlib.error:
@@ -230,10 +229,13 @@ def scan_range(w: _Window, lo: int, hi: int) -> Iterator[tuple[int, dict, bytes,
 
 def read_archives(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
     """All records of the archives: path, offset, length, record_type, page_id, url, payload_digest,
-    payload_bytes, refers_to, payload (null for revisits). One task reads one byte range at a time."""
+    payload_bytes, refers_to, payload (null for revisits). One task reads one byte range at a time,
+    and fails when it does not find the records that the manifest has there."""
     spark = manifest.sparkSession
-    ranges = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)),
-                                                                   F.lit(split).cast("long"))).alias("lo"))
+    ranges = manifest.select("path", "bytes", "starts", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("lo"))
+    ranges = ranges.select("path", "bytes", "lo", F.size(F.filter(
+        "starts", lambda x: (x >= F.col("lo")) & (x < F.col("lo") + split))).alias("records"))
     n = manifest.select(F.sum(F.ceil(F.col("bytes") / split))).first()[0] or 1
     ranges = ranges.repartition(int(max(n, spark.sparkContext.defaultParallelism)), F.col("path"), F.col("lo"))
 
@@ -241,14 +243,17 @@ def read_archives(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
         for b in batches:
             for r in b.to_pylist():
                 store, path = open_store(r["path"])
-                rows = []
+                rows, n = [], 0
                 with store.open_input_file(path) as f:
                     w = _Window(f, r["bytes"])
                     for offset, head, block, length in scan_range(w, r["lo"], r["lo"] + split):
                         rows.append((r["path"], offset, length, head, block))
+                        n += 1
                         if len(rows) == 256:
                             yield _batch(rows)
                             rows = []
+                if n != r["records"]:
+                    raise RuntimeError(f"{r['path']} from byte {r['lo']}: {n} records read, {r['records']} written")
                 yield _batch(rows)
 
     return ranges.mapInArrow(run, "path string, offset long, length long, record_type string, page_id long, url string, "

@@ -407,6 +407,23 @@ def test_false_magic_is_no_record():
     assert [o for o, *_ in warc.scan_range(w, len(junk) + 1, len(raw))] == [len(junk) + len(data) + 3]
 
 
+def test_url_longer_than_a_read(spark):
+    long = random.Random(2).randbytes(1_500_000).hex()
+    pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "data:" + long, "y"), (3, "http://b/", "z")], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["url"], bytes(r["payload"])) for r in _rows(warc.round_trip(pages.coalesce(1), split=1 << 18))}
+    assert got == {1: ("http://a/", b"x"), 2: ("data:" + long, b"y"), 3: ("http://b/", b"z")}
+
+
+def test_missing_record_fails(spark, tmp_path):
+    data = [warc.record(i, "u", "D", 3, None, b"abc") for i in range(3)]
+    (tmp_path / "a.warc.gz").write_bytes(data[0] + b"\0" * len(data[1]) + data[2])
+    size = sum(map(len, data))
+    starts = [0, len(data[0]), len(data[0]) + len(data[1])]
+    manifest = spark.createDataFrame([(str(tmp_path / "a.warc.gz"), size, 3, starts)], "path string, bytes long, records long, starts array<long>")
+    with pytest.raises(Exception, match="2 records read, 3 written"):
+        warc.read_archives(manifest).collect()
+
+
 # ---------------------------------------------------------------- 9: surrogates
 
 PRIVATE = ("Mr John Smith wrote to und.34@mail7.example.com; Mrs. Smith to UND.34@MAIL7.EXAMPLE.COM. Call +1 (017) 555-7713 or "
