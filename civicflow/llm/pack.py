@@ -28,8 +28,11 @@ SIZE = 1024
 END = 2
 #: Salt buckets for ranking pieces of equal length: rows of a length are ranked in parallel.
 BUCKETS = 256
-#: Fillings tried in the search for a plan with fewer sequences than the incumbent.
+#: Fillings tried in each phase of the search for a plan with fewer sequences; in the second, PATHS more for each pattern of the plan.
 SEARCH_NODES = 4000
+PATHS = 8
+#: Distinct lengths left at which a node counts as near the leaves, and fillings of its enumeration there.
+FEW, NEAR = 12, 256
 
 
 class RankVocabulary(bpe.Vocabulary):
@@ -111,18 +114,21 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
 
 # ---------------------------------------------------------------- solver
 
-def fillings(counts: np.ndarray, room: int, limit: int = 64) -> list[tuple[int, ...]]:
+def fillings(counts: np.ndarray, room: int, limit: int = 64, few: int = 0) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` from the lengths with counts, fullest first.
 
     A filling is dominated when another one holds a longer piece in the place
     of one or more of its own; a filling whose waste admits no remaining
     length, and in which no piece can be exchanged for a longer one, is not.
-    At most ``limit`` are returned, those with the longest pieces first.
+    At most ``limit`` are returned, those with the longest pieces first. With
+    at most ``few`` lengths left, all pieces are tried at every place, for up to NEAR fillings.
     """
     sizes = np.flatnonzero(counts[:room + 1])[::-1].tolist()
     if not sizes:
         return [()]
     left = counts
+    near = len(sizes) <= few
+    limit = NEAR if near else limit
     out: list[tuple[int, tuple[int, ...]]] = []
     steps = 0
 
@@ -142,7 +148,7 @@ def fillings(counts: np.ndarray, room: int, limit: int = 64) -> list[tuple[int,
             grow(i, room - s, chosen)
             chosen.pop()
             tried += 1
-            if room - s == 0 or tried >= 4 or len(out) >= limit:
+            if room - s == 0 or (tried >= 4 and not near) or len(out) >= limit:
                 break  # an exact fit dominates every filling of shorter pieces
         if not fits:
             out.append((room, tuple(chosen)))
@@ -152,6 +158,8 @@ def fillings(counts: np.ndarray, room: int, limit: int = 64) -> list[tuple[int,
     for waste, f in sorted(out, key=lambda x: (x[0], [-s for s in x[1]])):
         if not any(_dominates(g, f) for g in keep):
             keep.append(f)
+            if len(keep) == 64:
+                break
     return keep
 
 
@@ -211,18 +219,44 @@ def bins(plan: list[tuple[int, tuple[int, ...]]]) -> int:
     return sum(t for t, _ in plan)
 
 
+def lower_bound(counts: np.ndarray, size: int) -> int:
+    """Sequences that any plan needs: by volume, and by dual feasible functions, which round lengths to k-ths of the size."""
+    lengths = np.arange(len(counts))
+    out = max(-(-int((counts * lengths).sum()) // size), int(counts[size // 2 + 1:].sum()))
+    for k in range(1, 51):
+        # in k-ths times size, so that all numbers are integers; multiples of size / (k + 1) keep their length
+        f = np.where((k + 1) * lengths % size == 0, k * lengths, (k + 1) * lengths // size * size)
+        out = max(out, -(-int((counts * f).sum()) // (k * size)))
+    return out
+
+
+def _take(left: np.ndarray, big: int, fill: tuple[int, ...]) -> int:
+    """Take the bin from the counts as often as they hold it; returns how often."""
+    need: dict[int, int] = {}
+    for s in (big, *fill):
+        need[s] = need.get(s, 0) + 1
+    times = int(min(left[s] // k for s, k in need.items()))
+    for s, k in need.items():
+        left[s] -= k * times
+    return times
+
+
 def complete(counts: np.ndarray, size: int, nodes: int = SEARCH_NODES) -> list[tuple[int, tuple[int, ...]]]:
     """Bin completion over a histogram of lengths (index 1..size): (times, lengths) patterns.
 
     Depth-first over the undominated fillings around the largest remaining
-    length, equal bins taken in runs. A branch ends when the waste so far plus
-    what must remain allows no plan smaller than the incumbent, and the search
-    ends when the incumbent meets the volume bound or ``nodes`` fillings were
-    tried. The result is never worse than best fit.
+    length, equal bins in runs, for ``nodes`` fillings: on a histogram of many
+    lengths, that is a few dives. Then limited discrepancy: along the incumbent, from its leaf upwards, every other filling of a node
+    is dived from; a dive ends when its bins and the volume left allow no plan
+    smaller than the incumbent, and a smaller plan becomes the incumbent, whose
+    nodes are tried from its leaf again. The search ends when the incumbent
+    meets the lower bound, when all its nodes are tried, or after ``nodes``
+    fillings more and PATHS for each pattern. The result is never worse than
+    best fit.
     """
     counts = np.asarray(counts, np.int64)
-    volume = int((counts * np.arange(len(counts))).sum())
-    bound = max(-(-volume // size), int(counts[size // 2 + 1:].sum()))
+    lengths = np.arange(len(counts))
+    volume, bound = int((counts * lengths).sum()), lower_bound(counts, size)
     best = best_fit(counts, size)
     tried = 0
     for width in (1, 2, 4, 8):  # few discrepancies first, then more of each node's fillings
@@ -246,15 +280,51 @@ def complete(counts: np.ndarray, size: int, nodes: int = SEARCH_NODES) -> list[t
             options = fillings(left, size - big)[:width]
             left[big] += 1
             for fill in reversed(options):
-                need: dict[int, int] = {}
-                for s in (big, *fill):
-                    need[s] = need.get(s, 0) + 1
-                times = int(min(left[s] // k for s, k in need.items()))
                 after = left.copy()
-                for s, k in need.items():
-                    after[s] -= k * times
+                times = _take(after, big, fill)
                 stack.append((after, [*plan, (times, (big, *fill))],
                               waste + times * (size - big - sum(fill)), big))
+    tried, budget = 0, nodes + PATHS * len(best)
+
+    def options(left: np.ndarray, big: int) -> list[tuple[int, ...]]:
+        nonlocal tried
+        tried += 1
+        left[big] -= 1
+        out = fillings(left, size - big, few=FEW)
+        left[big] += 1
+        return out
+
+    def dive(left: np.ndarray, fill: tuple[int, ...] | None, used: int) -> list | None:
+        """Patterns for what is left, with ``fill`` in the first bin; None if they would not improve on the incumbent."""
+        left, plan, rest = left.copy(), [], int((left * lengths).sum())
+        while rest:
+            if used - (-rest // size) >= bins(best) or tried >= budget:
+                return None
+            big = int(np.flatnonzero(left)[-1])
+            fill = options(left, big)[0] if fill is None else fill
+            times = _take(left, big, fill)
+            plan.append((times, (big, *fill)))
+            used, rest, fill = used + times, rest - times * (big + sum(fill)), None
+        return plan if used < bins(best) else None
+
+    better = True
+    while better and bins(best) > bound and tried < budget:
+        better, left, states, used = False, counts.copy(), [], 0
+        for times, (big, *fill) in best:
+            states.append((left.copy(), used))
+            used += _take(left, big, tuple(fill))
+        for level in range(len(best) - 1, -1, -1):
+            left, used = states[level]
+            big, *now = best[level][1]
+            for fill in options(left, big):
+                if fill == tuple(now):
+                    continue
+                rest = dive(left, fill, used)
+                if rest is not None:
+                    best, better = [*best[:level], *rest], True
+                    break
+            if better or tried >= budget:
+                break
     return best
 
 

@@ -154,6 +154,20 @@ def test_bin_completion_beats_best_fit():
     assert pack.bins(pack.complete(counts, 10)) == 2
 
 
+def test_search_improves_a_plan_of_many_patterns():
+    lengths = np.random.default_rng(0).lognormal(np.log(400), 0.6, 100_000).astype(int).clip(1, 1024)
+    counts = np.bincount(lengths, minlength=1025)
+    first = pack.best_fit(counts, 1024)
+    assert len(first) > 1000  # a dive takes a filling for each
+    assert pack.lower_bound(counts, 1024) <= pack.bins(pack.complete(counts, 1024)) < pack.bins(first)
+
+
+@pytest.mark.parametrize("lengths,size,least", [([6, 4, 3, 3, 2, 2], 10, 2), ([4] * 6, 10, 3), ([5, 5, 5], 10, 2), ([6, 6, 6], 10, 3), ([3] * 7, 10, 3)])
+def test_lower_bound(lengths, size, least):
+    counts = np.bincount(lengths, minlength=size + 1)
+    assert pack.lower_bound(counts, size) <= least == pack.bins(pack.complete(counts, size))
+
+
 # ---------------------------------------------------------------- 2: urls
 
 def test_host_path_and_rules(spark):
