@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, edit_counts, exact, neardup, pack, pii, pitman_yor, quality, urls, warc
+from . import (bpe, conversations, edit_counts, exact, fim, neardup, pack, pii, pitman_yor, quality, simhash, urls,
+               warc)
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -15,7 +16,11 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_surrogates": pii.query,
     "op10_exact_dedup": exact.query,
+    "op11_fim": fim.query,
+    "op12_conversations": conversations.query,
+    "op13_simhash": simhash.query,
 }
 
 #: The others have no SQL form that is exact and practical; their tests compare with brute force.
-SQL = {"op2_urls": urls.SQL, "op10_exact_dedup": exact.SQL}
+SQL = {"op2_urls": urls.SQL, "op10_exact_dedup": exact.SQL, "op11_fim": fim.SQL,
+       "op12_conversations": conversations.SQL}

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = E.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
