@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, table, without_rows
-from .textnp import mix64
+from .textnp import mix64, released
 
 BLANK = b" \t\n\x0b\x0c\r"
 #: Digests of the snapshot per filter.
@@ -120,7 +120,7 @@ def digests(docs: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), wi
                 names.append("_norm")
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(released(run), schema)
 
 
 # ---------------------------------------------------------------- screening

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table, without_rows
 from .components import components
-from .textnp import U, mix64, pair_hash, slices, stream, words
+from .textnp import U, mix64, pair_hash, released, slices, stream, words
 
 #: Sub-keys in each collection and minhashes in a sub-key: at similarity 0.8 a pair shares a table
 #: with probability (1 - (1 - 0.8**3)**14)**2, which is over 0.9999.
@@ -91,7 +91,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, m: int = SUBKEYS
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                                               pa.array(keys, pa.list_(pa.int64()))], names=["doc", "n", "digest", "keys"])
 
-    return docs.select(key, text).mapInArrow(run, f"doc {kind}, n long, digest binary, keys array<long>")
+    return docs.select(key, text).mapInArrow(released(run), f"doc {kind}, n long, digest binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, key: str, text: str, needed: DataFrame, size: int) -> DataFrame:
@@ -110,7 +110,7 @@ def _sets(docs: DataFrame, key: str, text: str, needed: DataFrame, size: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
 
-    return rows.select("node", "digest", "_t").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.select("node", "digest", "_t").mapInArrow(released(run), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

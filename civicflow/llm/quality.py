@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, table
-from .textnp import SPACE, U, mix64, pair_hash, runs, slices, span_hashes, words
+from .textnp import SPACE, U, mix64, pair_hash, released, runs, slices, span_hashes, words
 
 #: Labelled rows that are used for training at most: those with the smallest hash of their key.
 TRAIN_ROWS = 20_000
@@ -120,7 +120,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 names=[key, *BASE, *FEATURES])
 
     schema = f"`{key}` {kind}, " + ", ".join([*(f"{c} long" for c in BASE), *(f"{c} float" for c in FEATURES)])
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(released(run), schema)
 
 
 # ---------------------------------------------------------------- trees
@@ -242,7 +242,7 @@ def judge(stats: DataFrame, trees: Trees, key: str = "doc_id", min_good: float =
                 names=[key, *BASE, "base_failed", "kept", "good"])
 
     schema = f"`{key}` {kind}, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, kept boolean, good double"
-    return stats.select(key, *BASE, *FEATURES).mapInArrow(run, schema)
+    return stats.select(key, *BASE, *FEATURES).mapInArrow(released(run), schema)
 
 
 def _score(trees: Trees, x: np.ndarray, rows: int = 2048) -> np.ndarray:
@@ -271,7 +271,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             base, x = statistics_of(b.column(at))
             yield b.filter(pa.array(~base_failed(base) & (_score(trees, x) >= min_good)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,15 +1,19 @@
 """Vectorised text scanning over Arrow string columns (numpy, inside tasks).
 
 Words are runs of bytes other than the six ASCII white-space characters, so a
-UTF-8 column can be scanned without decoding it. A word's 64-bit hash is a
-polynomial over a fixed random value per byte, taken from prefix sums, then
-mixed; equal words have equal hashes at every position and in every task.
+UTF-8 column can be scanned without decoding it. A span of up to 8 bytes has a
+64-bit hash of its own among those of its length, one of up to 16 bytes mixes two
+such halves, and a longer one takes 64 bits of its BLAKE2b digest, so no pattern
+within a text makes two spans collide; equal spans have equal hashes at every
+position and in every task.
 Columns are scanned in slices of whole documents of about ``SLICE`` bytes, so
 memory is bounded by the slice (or by the longest single document).
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -23,8 +27,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_POW: list[np.ndarray] = []
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], U)  # the low k bytes
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -39,22 +42,6 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix64((np.arange(1, n + 1, dtype=np.uint64) + U(seed)) * U(0x9E3779B97F4A7C15))
 
 
-_BYTE = stream(11, 256)
-_BYTE_LOWER = _BYTE[_LOWER]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POW or len(_POW[0]) < n:
-        m = max(n, SLICE)
-        _POW[:] = [np.cumprod(np.concatenate([np.ones(1, U), np.full(m - 1, v, U)]))
-                   for v in (_R, pow(_R, -1, 1 << 64))]
-        if m > 8 * SLICE:  # one very long document: do not keep its tables
-            both = tuple(_POW)
-            _POW.clear()
-            return both
-    return _POW[0], _POW[1]
-
-
 class Slice(NamedTuple):
     """Some whole documents of a column: ``first`` row, bytes, document bounds."""
 
@@ -116,11 +103,22 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     """64-bit hash of each span's bytes (A-Z lower-cased when ``lower``)."""
     if not len(starts):
         return np.zeros(0, U)
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * power[:len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix64(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[:len(data)] = _LOWER[data] if lower else data
+    lanes = np.ndarray(len(data) + 9, "<u8", padded.data, 0, (1,))  # the 8 bytes from every place on
+    n = ends - starts
+    h = mix64((lanes[starts] & _LANE[np.minimum(n, 8)]) ^ U(0x9E3779B97F4A7C15))
+    second = np.flatnonzero(n > 8)
+    if len(second):
+        h[second] += mix64((lanes[starts[second] + 8] & _LANE[np.minimum(n[second] - 8, 8)]) ^ U(0x8CB92BA72F3D8DD7))
+    h = mix64(h + n.astype(U) * U(0xD6E8FEB86659FD93))
+    long = np.flatnonzero(n > 16)
+    if len(long):
+        raw = memoryview(padded)
+        digest = hashlib.blake2b
+        h[long] = np.frombuffer(b"".join([digest(raw[a:b], digest_size=8).digest() for a, b in
+                                          zip(starts[long].tolist(), ends[long].tolist())]), "<u8")
+    return h
 
 
 class Words(NamedTuple):
@@ -142,3 +140,16 @@ def words(s: Slice, lower: bool = True) -> Words:
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Ordered combination of two hashes."""
     return mix64(a * U(0xC2B2AE3D27D4EB4F) + (b ^ (b >> U(29))))
+
+
+def released(run):
+    """``run`` over batches, which gives free memory back to the system at its end: workers are reused by later stages."""
+    def and_release(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # no such function outside of glibc
+            pass
+
+    return and_release
