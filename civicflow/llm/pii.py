@@ -1,8 +1,8 @@
 """Surrogates for personal data (operator 9).
 
 Detected entities are replaced by keyed surrogates of their own type, script
-and format: digits stay digits and letters letters, at the same places and in
-the same case; addresses keep their shape, card numbers their check digit, names
+and format: digits stay digits of their script and letters letters, at the same
+places and in the same case; addresses keep their shape, card numbers their check digit, names
 their gender and script. An entity is its canonical value, so all mentions of
 one value get one surrogate, in every document (coreference). Most surrogates come from a keyed
 permutation of the values of their format, so distinct values stay distinct;
@@ -15,23 +15,27 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_columns, stored, table
-from .textnp import parts
+from .textnp import parts, released
 
 #: Key of the registered query and the pipeline; a deployment passes its own.
 KEY = b"surrogates"
 #: Redrawn entities that tasks get as a dictionary; more of them are joined to their documents.
 INLINE_REDRAWS = 50_000
-#: Rounds of redraws without fewer collisions after which a kind counts as full.
-STALLED = 30
 #: Redraws after which an address or secret gets longer, a letter a draw, as few values of its format are free.
 SAME_LENGTH = 3
+#: The same for kinds of fixed length, which get a digit a draw: only where nearly all values of the format occur.
+SAME_DIGITS = 20
+#: Characters of a value that are permuted as one; longer values go by pieces.
+PIECE = 128
 
 # Honorifics by gender, and syllables and endings of made-up names by script.
 HONORIFICS = {
@@ -53,7 +57,7 @@ FAMILY_END = {("latin", "m"): "son", ("latin", "f"): "son", ("latin", "n"): "son
 _GENDER = {h.lower(): g for g, hs in HONORIFICS.items() for h in hs}
 _CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zà-öø-ÿа-яё]+(?:[-'’][A-ZÀ-ÖØ-ÞА-ЯЁ]?[a-zà-öø-ÿа-яё]+)*"
 _SEP = r"[^\w\n(+]{1,6}"
-_HEX = re.compile(r"[0-9a-fA-F]{32,128}")
+_HEX = re.compile(r"[0-9a-fA-F]{32,}")
 PATTERNS: list[tuple[str, str, re.Pattern]] = [  # kind, a character without which it cannot occur ("0": a digit), pattern
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9])")),
     ("phone", "0", re.compile(rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_SEP})?)?\(\d{{2,4}}\)(?:{_SEP})?\d{{3,4}}[ .-]?\d{{3,4}}(?!\w)"
@@ -68,9 +72,9 @@ PATTERNS: list[tuple[str, str, re.Pattern]] = [  # kind, a character without whi
     ("ssn", "0", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("card", "0", re.compile(r"(?<!\w)(?:\d{4}[ -]?){3}\d{4}(?!\w)|(?<!\w)\d{13,19}(?!\w)|(?<!\w)3\d{3}[ -]\d{6}[ -]\d{5}(?!\w)")),
     ("iban", "0", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
-    ("secret", "0", re.compile(r"(?<!\w)(?=[a-fA-F]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w)")),
+    ("secret", "0", re.compile(r"(?<!\w)(?=[a-fA-F]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?!\w)")),
     ("secret", "0", re.compile(r"(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?!\w)")),
-    ("secret", '"', re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key)[^\w\n]{0,3}[=:][^\w\n]{0,4}\"(?P<v>[^\"\s]{8,128})\"")),
+    ("secret", '"', re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_-]?key)[^\w\n]{0,3}[=:][^\w\n]{0,4}\"(?P<v>[^\"\s]{8,})\"")),
 ]
 _NAME = re.compile(r"(?<!\w)(?P<h>(?i:" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r"))\.?[ \u00a0]+"
                    rf"(?P<v>{_CAP}(?:[ \u00a0]{_CAP})?)(?!\w)")
@@ -82,18 +86,21 @@ Entity = tuple[str, str]  # kind (for names also part, gender and script) and ca
 
 # ---------------------------------------------------------------- detection
 
+def digits_of(text: str) -> str:
+    """``text`` with the digits of every script as ASCII ones."""
+    return text if text.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
 def canonical(kind: str, mention: str) -> str:
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", mention)
+        return re.sub(r"\D", "", digits_of(mention))
     if kind == "iban":
-        return mention.replace(" ", "")
+        return digits_of(mention.replace(" ", ""))
     if kind == "ip":
         return ".".join(str(int(x)) for x in mention.split("."))
     return mention.lower() if kind == "email" or _HEX.fullmatch(mention) else mention
 
 
-
-
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Non-overlapping mentions in order: start, end, kind, canonical value. At one place the longest wins."""
     found = []
@@ -103,7 +110,10 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             continue
         for m in pattern.finditer(text):
             a, z = m.span("v") if "v" in pattern.groupindex else m.span()
-            found.append((a, z, kind, canonical(kind, text[a:z])))
+            value = canonical(kind, text[a:z])
+            if kind == "card" and value.isdigit() and text[a:z].isdecimal() and luhn(value[:-1]) != int(value[-1]):
+                continue  # a plain run of digits is a card only by its check digit
+            found.append((a, z, kind, value))
     for m in _NAME.finditer(text) if any(h in text for h in _HEADS) else ():
         gender, at = _GENDER[m["h"].lower()], m.start("v")
         parts = re.split("[ \u00a0]", m["v"])
@@ -158,22 +168,17 @@ class Surrogates:
         return out
 
     def _shape(self, value: str, *tweak, hexadecimal: bool = False) -> str:
-        """Permute letters among letters and digits among digits; other characters stay."""
-        places, numbers, radices = [], [], []
-        for i, c in enumerate(value):
-            if hexadecimal:
-                places.append(i)
-                numbers.append(int(c, 16))
-                radices.append(16)
-            elif c.isascii() and c.isalnum():
-                places.append(i)
-                numbers.append(int(c) if c.isdigit() else ord(c.lower()) - 97)
-                radices.append(10 if c.isdigit() else 26)
-        mask = "".join("0" if c.isdigit() and not hexadecimal else "A" if c.isupper() else "a" if c.isalnum() else c for c in value)
+        """Permute letters among letters and digits among digits, each of its own script; other characters stay."""
+        if len(value) > PIECE:
+            tweak = (*tweak, self._number("whole", value))
+            return "".join(self._shape(value[i:i + PIECE], *tweak, i, hexadecimal=hexadecimal) for i in range(0, len(value), PIECE))
+        letters = ["0123456789abcdef"] * len(value) if hexadecimal else [alphabet(c) for c in value]
+        places = [i for i, x in enumerate(letters) if len(x) > 1]
+        mask = len(value) if hexadecimal else "".join(x[0] for x in letters)
+        new = self.permute([letters[i].index(value[i]) for i in places], [len(letters[i]) for i in places], *tweak, mask)
         out = list(value)
-        new = self.permute(numbers, radices, *tweak, len(value) if hexadecimal else mask)
-        for i, v, r in zip(places, new, radices, strict=True):
-            out[i] = "0123456789abcdef"[v] if hexadecimal else str(v) if r == 10 else chr((65 if value[i].isupper() else 97) + v)
+        for i, v in zip(places, new, strict=True):
+            out[i] = letters[i][v]
         return "".join(out)
 
     def canonical(self, kind: str, value: str, draw: int = 0) -> str:
@@ -191,9 +196,9 @@ class Surrogates:
 
     def _draw(self, kind: str, value: str, draw: int) -> str:
         if kind == "ip":
-            return ".".join(map(str, self.permute([int(x) for x in value.split(".")], [256] * 4, kind, draw)))
+            return ".".join(map(str, self.permute([int(x) for x in value.split(".")], [256] * 4, kind, draw))) + self._more(kind, value, draw, ".")
         if kind == "card":  # the check digit keeps its distance from the right one
-            head = self._shape(value[:-1], kind, draw)
+            head = self._shape(value[:-1], kind, draw) + self._more(kind, value, draw)
             return head + str((luhn(head) + int(value[-1]) - luhn(value[:-1])) % 10)
         if kind == "email":
             local, _, domain = value.partition("@")
@@ -211,7 +216,7 @@ class Surrogates:
             return parts + (GIVEN_END if role == "given" else FAMILY_END)[script, gender]
         if kind == "secret" and not _HEX.fullmatch(value):
             return self._shape(value, kind, draw) + self._longer(kind, value, draw)
-        return self._shape(value, kind, draw, hexadecimal=kind == "secret")
+        return self._shape(value, kind, draw, hexadecimal=kind == "secret") + self._more(kind, value, draw)
 
     def _longer(self, kind: str, value: str, draw: int) -> str:
         """Letters that a redraw appends where the format has too few values (one letter before the @, no letter at all)."""
@@ -221,11 +226,24 @@ class Surrogates:
             out += chr(97 + i)
         return out
 
+    def _more(self, kind: str, value: str, draw: int, before: str = "") -> str:
+        """Digits that late redraws append to a kind of fixed length."""
+        n = draw % 1000 - SAME_DIGITS
+        return before + str(self._number("more", kind, value, draw) % 10 ** n).zfill(n) if n > 0 else ""
+
     def render(self, kind: str, mention: str, surrogate: str) -> str:
-        """The surrogate in the format of a mention."""
+        """The surrogate in the format of a mention, with digits of the mention's script."""
         if kind in ("phone", "card", "ssn", "iban"):
-            it = iter(surrogate)
-            return "".join(next(it) if c.isdigit() or kind == "iban" and c != " " else c for c in mention)
+            it, last = iter(surrogate), "0"
+            out = []
+            for c in mention:
+                if c.isdecimal() or kind == "iban" and c != " ":
+                    last = c if c.isdecimal() else last
+                    c = in_script(next(it), c)
+                out.append(c)
+            return "".join(out) + "".join(in_script(d, last) for d in it)
+        if kind == "ip":
+            return "".join(in_script(d, next(c for c in mention if c.isdecimal())) for d in surrogate)
         if kind.startswith("name/"):
             return surrogate[0].upper() + surrogate[1:] if not mention.isupper() else surrogate.upper()
         if kind == "email" or kind == "secret" and _HEX.fullmatch(mention):
@@ -235,6 +253,26 @@ class Surrogates:
         return surrogate
 
 
+def in_script(d: str, like: str) -> str:
+    """The digit ``d`` among the digits that ``like`` belongs to; other characters as they are."""
+    if d.isascii() and d.isdigit() and like.isdecimal() and not like.isascii():
+        return chr(ord(like) - unicodedata.decimal(like) + int(d))
+    return d
+
+
+@lru_cache(maxsize=1 << 16)
+def alphabet(c: str) -> str:
+    """The characters that may stand for ``c``: digits of its script, or letters of its case nearby; else itself alone."""
+    if c.isdecimal():
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + i) for i in range(10))
+    if not c.isalpha():
+        return c
+    if c.isascii():
+        return "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz"
+    first, category = ord(c) & ~31, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(first, first + 32)) if unicodedata.category(x) == category)
+
+
 def luhn(head: str) -> int:
     """The check digit that completes ``head``."""
     total = 0
@@ -262,7 +300,7 @@ def mentions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 [b.column(0).take(pa.array(rows, pa.int64())), pa.array(c[0], pa.int32()), pa.array(c[1], pa.int32()),
                  pa.array(c[2], pa.string()), pa.array(c[3], pa.string())], names=[key, "start", "end", "kind", "value"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, start int, end int, kind string, value string")
+    return docs.select(key, text).mapInArrow(released(run), f"`{key}` {kind}, start int, end int, kind string, value string")
 
 
 def redraws(entities: DataFrame, key: bytes, draw: Callable | None = None) -> DataFrame:
@@ -270,8 +308,8 @@ def redraws(entities: DataFrame, key: bytes, draw: Callable | None = None) -> Da
 
     A surrogate that two entities of a kind share goes to the one with fewer
     draws, then the smaller value; one that occurs as a value goes to nobody.
-    Names, addresses and secrets get longer with their redraws, so the rounds
-    end; a kind of fixed length is full when the collisions stop falling.
+    Surrogates get longer with their redraws (those of fixed length only after
+    many), so there are always more values than entities and the rounds end.
     """
     make = draw or (lambda kind, value, n, s: s.canonical(kind, value, n))
 
@@ -284,21 +322,17 @@ def redraws(entities: DataFrame, key: bytes, draw: Callable | None = None) -> Da
 
     own = entities.select("kind", "value")
     state = own.withColumn("draw", F.lit(0))
-    fewest, stalled = None, 0
-    while stalled < STALLED:
-        state = stored(state.mapInArrow(surrogate, "kind string, value string, draw int, s string"), "pii_draws")
+    while True:
+        state = stored(state.mapInArrow(released(surrogate), "kind string, value string, draw int, s string"), "pii_draws")
         first = state.groupBy("kind", "s").agg(F.min(F.struct("draw", "value")).alias("first"), F.count(F.lit(1)).alias("c"))
         taken = own.withColumnRenamed("value", "s").withColumn("taken", F.lit(True))
         bad = first.join(taken, ["kind", "s"], "left").where("c > 1 or taken")
         bad = stored(bad.select("kind", "s", "first", "taken"), "pii_collisions")
-        left = bad.count()
-        fewest, stalled = (left, 0) if fewest is None or left < fewest else (fewest, stalled + 1)
-        if not left:
+        if bad.isEmpty():
             return state.where("draw > 0").select("kind", "value", "draw")
         lose = F.col("taken").isNotNull() | (F.col("first").isNotNull() & (F.col("first.value") != F.col("value")))
         state = state.join(bad, ["kind", "s"], "left").select(
             "kind", "value", (F.col("draw") + F.when(lose, 1).otherwise(0)).alias("draw"))
-    raise RuntimeError("surrogates still collide: a kind has fewer formats than values")
 
 
 def replace_all(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = KEY, count: str | None = None) -> DataFrame:
@@ -344,7 +378,7 @@ def replace_all(docs: DataFrame, key: str = "doc_id", text: str = "text", secret
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(counts, pa.int32())] if count else []),
                                              names=names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(released(run), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -282,3 +282,76 @@ def test_thresholds_cover_and_follow_the_counts():
     assert all(len({b % 8 for b in block}) == 1 for block in simhash.correlated_blocks(joint, 4000))
     shares = simhash.distance_shares(np.bincount(rng.integers(0, 256, 500), minlength=256))
     assert abs(shares.sum() - 1) < 1e-9
+
+
+# ---------------------------------------------------------------- spans and digits of any script (3, 4, 5, 9)
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s
+
+
+def test_long_alternating_words_differ(spark):
+    """Two words of 1,024 letters whose polynomials modulo 2**64 agree are different words."""
+    from civicflow.llm import neardup, pitman_yor, quality, textnp
+
+    x = thue_morse(1024)
+    y = x.translate(str.maketrans("ab", "ba"))
+    (s,) = textnp.slices(textnp.pa.array([f"{x} {y} {x.upper()}"]))
+    h = textnp.words(s).hash
+    assert h[0] != h[1] and h[0] == h[2]
+    docs = spark.createDataFrame([(1, f"{x} q"), (2, f"{y} q"), (3, f"{x}\n{y}\n{x}")], "doc_id long, text string")
+    path = C.tempfile.mkdtemp(prefix="civicflow-test-", dir="/tmp") + "/docs"
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    groups = {r["doc_id"]: r["component_id"] for r in neardup.near_groups(docs, size=2).collect()}
+    assert groups[1] == 1 and groups[2] == 2
+    stats = {r["doc_id"]: r["n_dup_lines"] for r in quality.statistics(docs).collect()}
+    assert stats == {1: 0, 2: 0, 3: 1}
+    assert pitman_yor.words is textnp.words  # the language model's words have the same hashes
+
+
+def test_span_hashes_tell_spans_apart():
+    from civicflow.llm import textnp
+
+    rng = random.Random(2)
+    words = list({"".join(rng.choice("abÄß\0") for _ in range(n)) for n in range(1, 40) for _ in range(300)})
+    (s,) = textnp.slices(textnp.pa.array([" ".join(words)]), 1 << 30)
+    assert len(set(textnp.words(s).hash.tolist())) == len(words)
+
+
+def test_surrogates_in_every_script(spark):
+    from civicflow.llm import pii
+
+    texts = ["ssn ١٢٣-٤٥-٦٧٨٩ x", "card ４１１１１１１１１１１１１１１１", "same 4111111111111111 card", "article 4111111111111112 stays",
+             "phone +1 (२१२) ५५५-०१९८", 'password = "пароль-секрет"', "at 10.0.٠.١ now", "key " + "0f" * 300, 'token = "' + "Xy9" * 100 + '"',
+             "again ١٢٣-٤٥-٦٧٨٩ and 123-45-6789"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: (r["text"], r["found"]) for r in pii.replace_all(df, count="found").collect()}
+    s = pii.Surrogates(pii.KEY)
+    for i, text in enumerate(texts):  # by hand: the mentions, spliced
+        want, end = "", 0
+        for a, z, kind, value in pii.detect(text):
+            want += text[end:a] + s.render(kind, text[a:z], s.canonical(kind, value))
+            assert len(s.render(kind, text[a:z], s.canonical(kind, value))) == z - a or kind == "ip"
+            end = z
+        assert out[i] == (want + text[end:], len(pii.detect(text)))
+    assert out[3][1] == 0 and all(out[i][1] for i in range(len(texts)) if i != 3)
+    new = re.search(r"\d{3}-\d{2}-\d{4}", out[0][0])[0]
+    assert all("٠" <= c <= "٩" for c in new if c != "-") and "١٢٣" not in out[0][0]
+    first, second = re.findall(r"\d{3}-\d{2}-\d{4}", out[9][0])  # one entity, in the digits of each mention
+    assert pii.digits_of(first) == second == pii.digits_of(new)
+    assert pii.digits_of(re.search(r"\d{16}", out[1][0])[0]) == re.search(r"\d{16}", out[2][0])[0]
+
+
+def test_a_full_format_gets_longer(spark):
+    """Every value of a format occurs: its surrogates find room beside it, and the rounds end."""
+    from civicflow.llm import pii
+
+    entities = spark.createDataFrame([("ssn", f"{i}") for i in range(10)], "kind string, value string")
+    again = {r["value"]: r["draw"] for r in pii.redraws(entities, b"k").collect()}
+    s = pii.Surrogates(b"k")
+    made = [s.canonical("ssn", str(i), again.get(str(i), 0)) for i in range(10)]
+    assert len(set(made)) == 10 and all(len(x) > 1 for x in made)
