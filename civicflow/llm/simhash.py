@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 from .components import components
+from .textnp import released
 
 BITS, BLOCK = 64, 8
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -37,6 +38,10 @@ SHINGLE, SEED, DISTANCE = 4, 42, 4
 SLICE = 1 << 16
 #: A key with over 1 / HOT of the rows is joined by broadcast: there are at most HOT such keys.
 HOT = 1000
+#: Keys (under 100 bytes each) that are broadcast to pick their nodes; more of them are joined by shuffle.
+BROADCAST_KEYS = 300_000
+#: Nodes of a key up to which they are compared as they are; those of a larger one are dealt anew first.
+SMALL_CROWD = 64
 #: Work of a compared pair against that of a probed key, for the choice of partitions.
 PAIR_WORK = 1.0
 
@@ -72,7 +77,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
                 fp = np.array([fingerprint(t.as_py(), size, seed) for t in part.column(1)], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], names=["doc", "fp"])
 
-    return docs.select(key, text).mapInArrow(run, f"doc {kind}, fp long")
+    return docs.select(key, text).mapInArrow(released(run), f"doc {kind}, fp long")
 
 
 # ---------------------------------------------------------------- choice of partitions
@@ -218,22 +223,25 @@ def _apart(a: Column, b: Column) -> Column:
 
 
 def _probed(nodes: DataFrame, parts: list[Part]) -> DataFrame:
-    """part, z (key bits) and fp: every key under which a fingerprint is probed."""
+    """h and fp: every key under which a fingerprint is probed, as a hash of its bits that ends in the partition's number.
+
+    Keys of equal hash only bring more pairs to verify.
+    """
     table = json.dumps([(k, _signed(part.mask), _signed(x)) for k, part in enumerate(parts) for x in part.flips()])
     keys = F.from_json(F.lit(table), "array<array<long>>")  # a constant, whatever its length
     one = nodes.select("fp", F.explode(keys).alias("k"))
-    return one.select(F.col("k")[0].cast("byte").alias("part"), F.col("fp").bitwiseAND(F.col("k")[1]).bitwiseXOR(F.col("k")[2]).alias("z"), "fp")
+    z = F.col("fp").bitwiseAND(F.col("k")[1]).bitwiseXOR(F.col("k")[2])
+    return one.select(F.xxhash64(z).bitwiseAND(F.lit(-8)).bitwiseOR(F.col("k")[0]).alias("h"), "fp")
 
 
-def _outside(fp: Column, part: Column, parts: list[Part], distance: int) -> Column:
-    """The ``distance`` + 1 pieces (number, bits) of what lies outside the partition: linked nodes agree in one of them."""
-    out = F.lit(None)
+def _outside(fp: Column, h: Column, parts: list[Part], distance: int) -> Column:
+    """The ``distance`` + 1 pieces of what lies outside the key's partition, as hashes: linked nodes agree in one of them."""
+    out = None
     for k, p in enumerate(parts):
         rest = [b for b in range(BITS) if b not in p.bits]
-        pieces = [rest[i::distance + 1] for i in range(distance + 1)]
-        here = F.array(*(F.struct(F.lit(i).cast("byte").alias("piece"), fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in bits)))).alias("y"))
-                         for i, bits in enumerate(pieces)))
-        out = F.when(part == k, here).otherwise(out) if k else here
+        pieces = [_signed(sum(1 << b for b in rest[i::distance + 1])) for i in range(distance + 1)]
+        here = F.array(*(F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(m))) for i, m in enumerate(pieces)))
+        out = here if out is None else F.when(h.bitwiseAND(F.lit(7)) == k, here).otherwise(out)
     return out
 
 
@@ -244,25 +252,26 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     parts = allocate(blocks, block_values(nodes, blocks), n, distance)
     near = lambda a, b: _apart(F.col(a), F.col(b)) <= distance
     probed = _probed(nodes, parts)
-    shared = probed.groupBy("part", "z").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b")
+    shared = probed.groupBy("h").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b")
     shared = stored(shared, "simhash_keys")
     pairs = shared.where("c = 2").where(near("a", "b")).select("a", "b")
     # keys of three nodes and more: each with the least one
-    crowd = stored(probed.join(shared.where("c > 2").select("part", "z", "a"), ["part", "z"]), "simhash_crowds")
+    heads = shared.where("c > 2").select("h", "a", "c")
+    heads = F.broadcast(heads) if heads.count() <= BROADCAST_KEYS else heads
+    crowd = stored(probed.join(heads, "h"), "simhash_crowds")
     found = stored(pairs.unionByName(crowd.where("fp <> a").where(near("a", "fp")).select("a", F.col("fp").alias("b"))).distinct(), "simhash_links")
     if crowd.isEmpty():
         return found
-    # crowds that still hold several components, dealt by a piece of the bits outside the partition
+    # crowds that still hold several components; large ones are dealt by a piece of the bits outside the partition
     comp = components(found) if not found.isEmpty() else found.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    member = crowd.drop("a").join(comp, F.col("fp") == F.col("node"), "left").select(
-        "part", "z", "fp", F.coalesce("component", "fp").alias("comp"))
-    member = member.select("part", "z", "fp", "comp", F.explode(_outside(F.col("fp"), F.col("part"), parts, distance)).alias("o"))
-    member = member.select("part", "z", "o.piece", "o.y", "fp", "comp")
-    at = ["part", "z", "piece", "y"]
+    member = crowd.drop("a").join(comp, F.col("fp") == F.col("node"), "left")
+    pieces = F.when(F.col("c") > SMALL_CROWD, _outside(F.col("fp"), F.col("h"), parts, distance)).otherwise(F.array(F.lit(0).cast("long")))
+    member = member.select("h", "fp", F.coalesce("component", "fp").alias("comp"), F.explode(pieces).alias("y"))
     member = stored(member, "simhash_members")
-    mixed = member.groupBy(*at).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("c")).where("low <> high")
-    tallest = member.groupBy(*at, "comp").agg(F.count(F.lit(1)).alias("c")).groupBy(*at).agg(F.max_by("comp", F.struct("c", "comp")).alias("major"))
-    member = stored(member.join(mixed.select(*at).join(tallest, at), at), "simhash_mixed")
+    at = ["h", "y"]
+    major = member.groupBy(*at, "comp").agg(F.count(F.lit(1)).alias("c")).groupBy(*at).agg(
+        F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
+    member = stored(member.join(major, at), "simhash_mixed")
     x = member.where("comp <> major").select(*at, F.col("fp").alias("a"), F.col("comp").alias("ca"))
     y = member.select(*at, F.col("fp").alias("b"), F.col("comp").alias("cb"))
     more = x.join(y, at).where("ca <> cb").where(near("a", "b")).select("a", "b").distinct()
