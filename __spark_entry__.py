@@ -16,13 +16,14 @@ from civicflow import oracle as O
 from civicflow.operators import load as L
 from civicflow.operators import quality as D
 from civicflow.operators.load import watermark_after
-from civicflow.operators.normalize import batch_dedupe, conform
+from civicflow.operators.normalize import batch_dedupe, conform, conform_with_failures, failed_cells
 from civicflow.plans import marts as M
 from civicflow.plans import queries as Q
+from civicflow.plans.deltas import DeltaWarehouse
 from civicflow.session import path_exists, scratch_path
 from civicflow.sources import extract as S
 from civicflow.sources import testdata
-from civicflow.streaming import ingest_pages, ingest_stream, land_as_json
+from civicflow.streaming import ingest_pages, ingest_planned, ingest_stream, land_as_json
 
 
 def _training_queries() -> tuple[dict, dict]:
@@ -149,6 +150,48 @@ def _page_ingest_gaps(batch_size):
     return run
 
 
+def _planned_ingest(batch_size):
+    def run(spark, sf_dir):
+        base = scratch_path(spark, "planned")
+        _gappy(_raw(spark, sf_dir)).write.parquet(f"{base}/source")
+        ingest_planned(spark, spark.read.parquet(f"{base}/source"), f"{base}/raw", f"{base}/watermark", f"{base}/plans",
+                       batch_size=batch_size, now=NOW, pages_per_batch=4)
+        return L.read_raw(spark, f"{base}/raw")
+
+    return run
+
+
+def _failed_cells(spark, sf_dir):
+    """Requests landed as text, some of whose cells no type fits: the ledger of those cells."""
+    key, rows = F.col("unique_key"), testdata.requests(spark, sf_dir)
+    landed = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns if c not in ("unique_key", "created_date", "latitude")),
+                         F.when(key % O.BAD_KEY_EVERY == 0, F.concat(F.lit("K-"), key)).otherwise(key.cast("string")).alias("unique_key"),
+                         F.when(key % O.BAD_CREATED_EVERY == 0, "soon").otherwise(F.col("created_date").cast("string")).alias("created_date"),
+                         F.when(key % O.BAD_LATITUDE_EVERY == 0, F.concat(F.lit("n/a "), key)).otherwise(
+                             F.col("latitude").cast("string")).alias("latitude"))
+    return failed_cells(conform_with_failures(landed)).drop("row_hash")
+
+
+_DELTAS: dict[tuple[str, str], str] = {}
+
+
+def _delta(spark: SparkSession, sf_dir: str) -> DeltaWarehouse:
+    """The warehouse by deltas: three batches by creation time, the second landed twice, two folded, the last with replayed keys."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _DELTAS or not path_exists(spark, _DELTAS[at]):
+        root = scratch_path(spark, "deltas")
+        w, raw, created = DeltaWarehouse(spark, root), _raw(spark, sf_dir), F.col("created_date")
+        early, late = (F.lit(x).cast("timestamp_ntz") for x in (O.TARGET_BEFORE, O.REFRESH_FROM))
+        second = raw.where((created >= early) & (created < late))
+        w.load(raw.where(created < early), 0)
+        w.load(second, 1)
+        w.load(second, 1)
+        w.fold(min_batches=2)
+        w.load(testdata.replayed(raw.where(created < early)).unionByName(raw.where((created >= late) | created.isNull())), 2)
+        _DELTAS[at] = root
+    return DeltaWarehouse(spark, _DELTAS[at])
+
+
 def _stream_replay(spark, sf_dir):
     landing, base = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     raw = _raw(spark, sf_dir)
@@ -223,6 +266,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_ingest": _page_ingest,
         "page_ingest_small": _page_ingest_gaps(O.SMALL_BATCH),
         "page_ingest_large": _page_ingest_gaps(O.LARGE_BATCH),
+        "planned_ingest_small": _planned_ingest(O.SMALL_BATCH),
+        "planned_ingest_large": _planned_ingest(O.LARGE_BATCH),
+        "failed_cells": _failed_cells,
         "keyset_page_null_keys": lambda spark, sf_dir: S.keyset_page(_gappy(_raw(spark, sf_dir)), O.BULK_PAGE_SIZE, columns=["created_date", "unique_key"]),
         "ingestion_status": _ingestion_status,
         # data tests
@@ -238,6 +284,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for layout, suffix in O.LAYOUTS.items():
         for name, field in O.BUILT_TABLES.items():
             out[f"{name}_{suffix}"] = (lambda a, b: lambda spark, sf_dir: getattr(_built(spark, sf_dir, a), b))(layout, field)
+    for name, field in O.DELTA_TABLES.items():
+        out[f"{name}_delta"] = (lambda f: lambda spark, sf_dir: (lambda w: w.dimensions() if f.startswith("dim_") else w.aggregates())(
+            _delta(spark, sf_dir))[f])(field)
     for name in ("overview", "recent"):
         out[f"{name}_monthly"] = (lambda f: lambda spark, sf_dir: f(_built(spark, sf_dir, "monthly")))(questions[name])
     return out | _training_queries()[0]

@@ -4,6 +4,8 @@
   python -m civicflow ingest --raw R --watermark W --landing DIR --checkpoint C [--files-per-batch N]
                              [--marts ROOT]   (refresh a month-layout warehouse after each micro-batch)
   python -m civicflow ingest --raw R --watermark W --table PARQUET [--batch-size N] [--start-date D]
+  python -m civicflow ingest --raw R --watermark W --table PARQUET --plan DIR [--batch-size N]   (planned pages)
+  python -m civicflow sample (--table PARQUET | --json-source FILE) --out DIR [--size N] [--key K]
   python -m civicflow build  --raw R --watermark W --out ROOT [--by-month]
   python -m civicflow refresh --raw R --watermark W --out ROOT --months 2026-01,2026-02 [--undated]
   python -m civicflow test   --raw R --watermark W --out ROOT [--now T]
@@ -20,14 +22,23 @@ import json
 from .operators import quality
 from .operators.load import WatermarkLog, read_raw
 from .plans import marts as M
-from .schema import DEFAULT_BATCH_SIZE, DEFAULT_START
+from .schema import DEFAULT_BATCH_SIZE, DEFAULT_START, SAMPLE_SIZE
 from .session import build_session
-from .streaming import backfill_json, ingest_pages, ingest_stream
+from .sources.extract import write_sample
+from .sources.files import read_json_array
+from .streaming import backfill_json, ingest_pages, ingest_planned, ingest_stream
 
 
 def _args(argv=None):
     ap = argparse.ArgumentParser(prog="civicflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    p = sub.add_parser("sample")
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--json-source", help="JSON file (array of records)")
+    src.add_argument("--table", help="Parquet table")
+    p.add_argument("--out", required=True, help="directory of the raw and the normalised CSV copy")
+    p.add_argument("--size", type=int, default=SAMPLE_SIZE)
+    p.add_argument("--key", type=int, default=None, help="only the rows with this key")
     for name in ("ingest", "build", "refresh", "test"):
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True)
@@ -38,6 +49,7 @@ def _args(argv=None):
             src.add_argument("--landing", help="directory of landed JSON-lines files (streamed, availableNow)")
             src.add_argument("--table", help="Parquet table paged in (created, key) order")
             p.add_argument("--checkpoint")
+            p.add_argument("--plan", default=None, help="directory of page plans (--table): plan all pages first, then stream them")
             p.add_argument("--files-per-batch", type=int, default=1)
             p.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
             p.add_argument("--start-date", type=dt.datetime.fromisoformat, default=DEFAULT_START)
@@ -56,6 +68,10 @@ def _args(argv=None):
 def main(argv=None) -> None:
     a = _args(argv)
     spark = build_session()
+    if a.cmd == "sample":
+        rows = spark.read.parquet(a.table) if a.table else read_json_array(spark, a.json_source)
+        write_sample(rows, a.out, a.size, a.key)
+        return
     if a.cmd == "ingest":
         if a.json_source:
             r = backfill_json(spark, a.json_source, a.raw, a.watermark)
@@ -67,10 +83,13 @@ def main(argv=None) -> None:
             run = ingest_stream(spark, a.landing, a.raw, a.watermark, a.checkpoint, a.files_per_batch,
                                 created_is_immutable=a.created_immutable, by_month=a.by_month,
                                 marts_root=a.marts)
+        elif a.plan:
+            run = ingest_planned(spark, spark.read.parquet(a.table), a.raw, a.watermark, a.plan, a.batch_size, a.start_date,
+                                 created_is_immutable=a.created_immutable)
         else:
             run = ingest_pages(spark, spark.read.parquet(a.table), a.raw, a.watermark, a.batch_size, a.start_date)
         print(json.dumps({"rows": run.rows, "loaded": run.loaded, "batches": run.batches,
-                          "quarantined": run.quarantined,
+                          "quarantined": run.quarantined, "failed_cells": run.failed_cells,
                           "seconds": round(run.seconds, 3), "rows_per_second": round(run.rows_per_second, 1)}))
         return
     raw, meta = read_raw(spark, a.raw), WatermarkLog(a.watermark).read(spark)

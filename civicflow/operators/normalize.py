@@ -11,7 +11,7 @@ from ..schema import CREATED, KEY, RAW_SCHEMA
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
-def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA, keep: tuple[str, ...] = ()) -> DataFrame:
     """Any input columns -> exactly ``schema``'s columns, in order, typed.
 
     * missing names become typed NULL columns,
@@ -19,12 +19,15 @@ def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     * nested values become their JSON text,
     * other values are converted with ``try_cast`` (a bad cell is NULL, the row stays).
 
-    One projection: no shuffle, fully code-generated.
+    One projection: no shuffle, fully code-generated. ``keep`` names columns of
+    the schema that are taken as they are.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
-        if f.name not in present:
+        if f.name in keep:
+            c = F.col(f.name)
+        elif f.name not in present:
             c = F.lit(None).cast(f.dataType)
         else:
             c = F.col(f"`{f.name}`")
@@ -38,6 +41,58 @@ def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     return df.select(*cols)
 
 
+#: Typed copy of a landed row's key, the column, the text that could not be converted, why, and the row it came from.
+LEDGER_SCHEMA = T.StructType([
+    T.StructField(KEY, T.LongType(), True),
+    T.StructField("column", T.StringType(), False),
+    T.StructField("raw_text", T.StringType(), False),
+    T.StructField("reason", T.StringType(), False),
+    T.StructField("row_hash", T.LongType(), False),
+])
+
+
+def conform_with_failures(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """``conform(df)`` with two more columns: ``failed_cells`` and ``row_hash``.
+
+    A cell has failed when its text is there and its typed value is not (an
+    empty text of a typed column counts, as it is no number or time either).
+    ``failed_cells`` is an array of (column, raw_text, reason), so typed rows
+    and failures come from one projection. ``row_hash`` is over the landed
+    contract columns as text, and ties a failure to its row where the key itself
+    could not be read.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    present = [f for f in schema.fields if f.name in types]
+
+    def as_text(name: str):
+        c = F.col(f"`{name}`")
+        return F.to_json(c) if isinstance(types[name], _NESTED) else c.cast("string")
+
+    cells = []
+    for f in present:
+        if f.dataType != T.StringType() and types[f.name] != f.dataType:
+            bad = as_text(f.name).isNotNull() & as_text(f.name).try_cast(f.dataType).isNull()
+            cells.append(F.when(bad, F.struct(F.lit(f.name).alias("column"), as_text(f.name).alias("raw_text"),
+                                              F.lit(f"not a {f.dataType.simpleString()}").alias("reason"))))
+    failed = F.filter(F.array(*cells), lambda x: x.isNotNull()) if cells else F.array().cast(
+        "array<struct<column:string,raw_text:string,reason:string>>")
+    row_hash = F.xxhash64(*(F.coalesce(as_text(f.name), F.lit("\0")) for f in present)) if present else F.lit(0).cast("long")
+    whole = df.withColumns({"_failed": failed, "_hash": row_hash})
+    typed = conform(whole, T.StructType([*schema.fields, T.StructField("_failed", failed_type(), True),
+                                         T.StructField("_hash", T.LongType(), True)]), keep=("_failed", "_hash"))
+    return typed.withColumnsRenamed({"_failed": "failed_cells", "_hash": "row_hash"})
+
+
+def failed_type() -> T.DataType:
+    return T.ArrayType(T.StructType([T.StructField(c, T.StringType(), True) for c in ("column", "raw_text", "reason")]))
+
+
+def failed_cells(conformed: DataFrame) -> DataFrame:
+    """The ledger of ``conform_with_failures``' output: one row per failed cell (``LEDGER_SCHEMA``)."""
+    one = conformed.where(F.size("failed_cells") > 0).select(KEY, F.explode("failed_cells").alias("c"), "row_hash")
+    return one.select(KEY, "c.column", "c.raw_text", "c.reason", "row_hash")
+
+
 def batch_dedupe(df: DataFrame, key: str = KEY) -> DataFrame:
     """One row per key; the pick is deterministic: the greatest row, comparing the
     creation time first, then the other columns in order (NULL is smallest).

@@ -35,6 +35,10 @@ REFRESH_FROM = "2001-01-01 00:00:00"
 LAYOUTS = {"flat": "built", "monthly": "monthly", "refreshed": "refreshed"}
 BUILT_TABLES = {"fact": "fct", "daily": "daily", "geo_heatmap": "geo", "agency_performance": "agency_perf",
                 "dim_agency": "dim_agency", "dim_borough": "dim_borough", "dim_complaint_type": "dim_complaint_type"}
+# Tables of the delta warehouse: aggregates and dimensions by name.
+DELTA_TABLES = {"daily": "daily", "geo_heatmap": "geo", "agency_performance": "agency_perf",
+                "dim_agency": "dim_agency", "dim_borough": "dim_borough", "dim_complaint_type": "dim_complaint_type"}
+BAD_KEY_EVERY, BAD_CREATED_EVERY, BAD_LATITUDE_EVERY = 101, 53, 37  # landed requests with cells that no type fits
 MERGE_STATE_BEFORE = "2000-01-01 00:00:00"
 MERGE_NEW_FROM = "1999-06-01 00:00:00"
 MERGE_AGENCY_SPLIT = "NATION_2"
@@ -254,6 +258,13 @@ from o full outer join n on o.source_name = n.source_name""", [("o", old), ("n",
 _GAPPY = (f"select * from (select * replace (case when unique_key % {UNDATED_EVERY} <> 0 then created_date end as created_date,"
           f" case when unique_key % {KEYLESS_EVERY} <> 0 then unique_key end as unique_key) from raw)")
 
+_FAILED = f"""
+select case when unique_key % {BAD_KEY_EVERY} <> 0 then unique_key end as unique_key, c.n as "column", c.t as raw_text, c.r as reason
+from raw, lateral (
+  select 'unique_key' as n, 'K-' || unique_key as t, 'not a bigint' as r where unique_key % {BAD_KEY_EVERY} = 0
+  union all select 'created_date', 'soon', 'not a timestamp_ntz' where unique_key % {BAD_CREATED_EVERY} = 0
+  union all select 'latitude', 'n/a ' || unique_key, 'not a decimal(38,18)' where unique_key % {BAD_LATITUDE_EVERY} = 0) c"""
+
 
 def queries_sql() -> dict[str, str]:
     asof = f"timestamp '{AS_OF} 00:00:00'"
@@ -296,6 +307,9 @@ def queries_sql() -> dict[str, str]:
         "page_ingest": with_base("select * from raw"),
         "page_ingest_small": with_base(_GAPPY + " where unique_key is not null"),
         "page_ingest_large": with_base(_GAPPY + " where unique_key is not null"),
+        "planned_ingest_small": with_base(_GAPPY + " where unique_key is not null"),
+        "planned_ingest_large": with_base(_GAPPY + " where unique_key is not null"),
+        "failed_cells": with_base(_FAILED),
         "keyset_page_null_keys": with_base(
             f"select created_date, unique_key from ({_GAPPY}) order by created_date nulls last, unique_key nulls last"
             f" limit {BULK_PAGE_SIZE}"),
@@ -409,4 +423,5 @@ from (select max(created_date) as max_loaded_at,
     }
     for suffix in LAYOUTS.values():
         q |= {f"{name}_{suffix}": q[name] for name in BUILT_TABLES}
+    q |= {f"{name}_delta": q[name] for name in DELTA_TABLES}
     return q | {f"{name}_monthly": q[name] for name in ("overview", "recent")}

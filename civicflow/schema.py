@@ -64,6 +64,7 @@ DISPLAY_MISSING = "Unavailable"
 # Ingestion defaults.
 DEFAULT_START = _dt.datetime(2026, 1, 1)
 DEFAULT_BATCH_SIZE = 100_000
+SAMPLE_SIZE = 1_000
 
 # BI defaults: top types 10, heatmap cells 800, agencies 6, monthly heatmap 100, inspection 50.
 TOP_TYPES_LIMIT = 10

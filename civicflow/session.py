@@ -74,8 +74,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories under ``path`` (none if it is not there), through the Hadoop filesystem."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a directory with all it holds, through the Hadoop filesystem; nothing if it is not there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "path_exists", "local_path", "is_local_fs"]
+__all__ = ["build_session", "shared_root", "scratch_path", "path_exists", "list_dirs", "remove_dir", "local_path", "is_local_fs"]

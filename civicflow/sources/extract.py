@@ -162,3 +162,14 @@ def key_lookup(df: DataFrame, key: int, limit: int | None = None) -> DataFrame:
 def sample(df: DataFrame, size: int) -> DataFrame:
     """Any ``size`` rows (no order), as the sample download does."""
     return df.limit(int(size))
+
+
+def write_sample(df: DataFrame, out_dir: str, size: int | None = None, key: int | None = None) -> None:
+    """The sample download: ``size`` rows (or those with ``key``) as CSV, as landed and normalised.
+
+    The key is compared as text, since a landed key need not be a number.
+    """
+    from .files import write_sample_copies
+
+    rows = df if key is None else df.where(F.col(KEY).cast("string") == str(int(key)))
+    write_sample_copies(rows, out_dir, size)

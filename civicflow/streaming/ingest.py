@@ -11,6 +11,8 @@ append -> watermark):
 * ``ingest_pages``: the keyset page loop over a table (extract after the
   watermark, load, re-read the watermark) until nothing is left, then the rows
   that no page can hold (without a creation time or a key).
+* ``ingest_planned``: the same rows by planned pages: one histogram sets every
+  page, a stream over the plan loads them, its checkpoint says which are done.
 """
 
 from __future__ import annotations
@@ -25,10 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
-from ..operators.normalize import conform
+from ..operators.normalize import LEDGER_SCHEMA, conform, conform_with_failures, failed_cells
 from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
+from ..functions import as_ntz
+from ..session import path_exists
 from ..sources.extract import keyset_page
 from ..sources.files import CORRUPT
+from ..sources.pages import Page, plan_pages, planned_stream, publish_plan
 
 
 @dataclass
@@ -40,6 +45,7 @@ class RunCounters:
     seconds: float = 0.0
     batches: int = 0
     quarantined: int = 0   # keyless rows and malformed lines, set aside under the quarantine path
+    failed_cells: int = 0  # cells whose text could not be typed, kept with their text under the quarantine path
     per_batch: list = field(default_factory=list)
 
     def add(self, result: LoadResult, seconds: float, malformed: int = 0) -> None:
@@ -60,6 +66,28 @@ def quarantine_of(raw_path: str) -> str:
     return raw_path.rstrip("/") + "_quarantine"
 
 
+def keep_failures(spark: SparkSession, landed: DataFrame, path: str) -> int:
+    """Write the ledger of the landed rows' failed cells to ``path`` (replacing a replay's own); returns how many.
+
+    Nothing is written for a batch without failures: whether there are any is
+    asked of the cached rows first.
+    """
+    ledger = failed_cells(conform_with_failures(landed))
+    n = ledger.count()
+    if n:
+        ledger.write.mode("overwrite").parquet(path)
+    return n
+
+
+def read_failures(spark: SparkSession, raw_path: str, quarantine: str | None = None) -> DataFrame:
+    """Every failed cell kept so far (``LEDGER_SCHEMA``), with the micro-batch that met it."""
+    path = f"{quarantine or quarantine_of(raw_path)}/failed_cells"
+    schema = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("epoch_id", T.LongType(), True)])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def refresh_marts_after(spark: SparkSession, result: LoadResult, raw_path: str, marts_root: str) -> None:
     """Rebuild the month-layout marts for the months of a batch.
 
@@ -89,7 +117,9 @@ def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
                 # a replayed micro-batch replaces its own lines
                 bad.select(F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(
                     f"{quarantine}/malformed/epoch_id={int(epoch_id)}")
-            good = conform(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
+            landed = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            counters.failed_cells += keep_failures(spark, landed, f"{quarantine}/failed_cells/epoch_id={int(epoch_id)}")
+            good = conform(landed)
             result = load_batch(spark, good, raw_path, log, when, source,
                                 created_is_immutable=created_is_immutable, read_back=False, by_month=by_month,
                                 quarantine_path=f"{quarantine}/keyless")
@@ -178,6 +208,64 @@ def ingest_pages(spark: SparkSession, source_df: DataFrame, raw_path: str, log_p
     return counters
 
 
+def ingest_planned(spark: SparkSession, source_df: DataFrame, raw_path: str, log_path: str, plan_root: str,
+                   batch_size: int = DEFAULT_BATCH_SIZE, start_date: _dt.datetime | None = None, now=None,
+                   source: str = SOURCE_NAME, pages_per_batch: int = 1, created_is_immutable: bool = False) -> RunCounters:
+    """The page loop over a plan: one histogram sets all pages, each is loaded by a micro-batch, then the unplaced rows.
+
+    A run plans what lies after the watermark and drains that plan by a stream
+    whose checkpoint lies beside it, so a run that was killed is resumed by
+    finishing its own plan first (``plan_root`` holds the plans in order). A
+    micro-batch reads closed ranges, so its replay reads the same rows and,
+    as the load is insert-if-absent, adds none of them twice. Ends with the
+    keyed rows without a creation time and the quarantine of keyless ones, as
+    ``ingest_pages`` does.
+    """
+    log, counters = WatermarkLog(log_path), RunCounters()
+    rows = conform(source_df)
+    quarantine = f"{quarantine_of(raw_path)}/keyless"
+
+    def load(batch: DataFrame) -> None:
+        t0 = time.time()
+        when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        result = load_batch(spark, batch, raw_path, log, when, source, quarantine_path=quarantine, read_back=False,
+                            created_is_immutable=created_is_immutable)
+        if result.rows_in or result.quarantined:
+            counters.add(result, time.time() - t0)
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        ranges = [Page(*r) for r in batch.orderBy("page").collect()]  # pages_per_batch rows
+        if ranges:
+            keep = F.lit(False)
+            for page in ranges:
+                keep = keep | page.where()
+            first, final = ranges[0], ranges[-1]
+            span = F.col(CREATED) <= as_ntz(final.last_created)
+            if first.after_created is not None:
+                span = span & (F.col(CREATED) >= as_ntz(first.after_created))
+            load(rows.where(span).where(keep))
+
+    def drain(number: int) -> None:
+        query = (planned_stream(spark, f"{plan_root}/{number}/pages", pages_per_batch).writeStream.foreachBatch(per_batch)
+                 .option("checkpointLocation", f"{plan_root}/{number}/checkpoint").trigger(availableNow=True).start())
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+
+    number = 0
+    while path_exists(spark, f"{plan_root}/{number}/pages/_SUCCESS"):
+        number += 1
+    if number:  # the last run's plan: finished first, without effect if it was
+        drain(number - 1)
+    last_date, last_key = resume_point(read_watermark(log.read(spark), source), start_date)
+    pages = plan_pages(rows, batch_size, last_date, last_key)
+    if pages:
+        publish_plan(spark, pages, f"{plan_root}/{number}/pages")
+        drain(number)
+    load(rows.where(F.col(CREATED).isNull() | F.col(KEY).isNull()))
+    return counters
+
+
 def land_as_json(df: DataFrame, landing: str, files: int) -> None:
     """Write records as JSON-lines files (NULL fields omitted, so keys vary by record)."""
     (df.repartition(int(files), F.col("unique_key"))
@@ -196,5 +284,10 @@ def backfill_json(spark: SparkSession, path: str, raw_path: str, log_path: str,
 
     validate_json_array(spark, path)
     when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return load_batch(spark, conform(read_json_array(spark, path)), raw_path, WatermarkLog(log_path), when, source,
-                      quarantine_path=f"{quarantine_of(raw_path)}/keyless")
+    landed = read_json_array(spark, path).persist()
+    try:
+        keep_failures(spark, landed, f"{quarantine_of(raw_path)}/failed_cells/epoch_id=-1")
+        return load_batch(spark, conform(landed), raw_path, WatermarkLog(log_path), when, source,
+                          quarantine_path=f"{quarantine_of(raw_path)}/keyless")
+    finally:
+        landed.unpersist()
