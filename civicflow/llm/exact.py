@@ -141,8 +141,13 @@ def _part(parts: int) -> Column:
     return F.pmod(F.xxhash64("_digest"), F.lit(parts)).cast("int").alias("part")
 
 
-def screen(batch: DataFrame, filters: DataFrame, parts: int) -> DataFrame:
-    """Distinct ``_digest``s of a batch with ``maybe``: false only if no snapshot digest equals it."""
+def screen(batch: DataFrame, filters: DataFrame, parts: int, salts: int = 1) -> DataFrame:
+    """Distinct ``_digest``s of a batch with ``maybe``: false only if no snapshot digest equals it.
+
+    A part's digests are dealt to ``salts`` groups, each of which gets the
+    part's filter (about half a MB), so a batch far larger than the snapshot
+    does not meet in the snapshot's few parts.
+    """
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(right) or not len(left):
@@ -151,8 +156,9 @@ def screen(batch: DataFrame, filters: DataFrame, parts: int) -> DataFrame:
         f = FuseFilter(int(r["seed"]), int(r["segment"]), int(r["segments"]), np.frombuffer(r["table"], np.uint16))
         return pd.DataFrame({"_digest": left["_digest"], "maybe": f.probe(_keys(left["_digest"]))})
 
-    return batch.select("_digest", _part(parts)).groupBy("part").cogroup(filters.groupBy("part")).applyInPandas(
-        probe, "_digest binary, maybe boolean")
+    dealt = batch.select("_digest", _part(parts), F.pmod(F.xxhash64(F.lit(7), "_digest"), F.lit(salts)).cast("int").alias("salt"))
+    copies = filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.groupBy("part", "salt").cogroup(copies.groupBy("part", "salt")).applyInPandas(probe, "_digest binary, maybe boolean")
 
 
 def _best(key: str) -> Column:
@@ -181,9 +187,9 @@ def exact_dedup(docs: DataFrame, incoming: Column, key: str = "doc_id", text: st
         return rows.groupBy("_digest").agg(F.min(_best(key)).alias("best"), F.count(F.lit(1)).alias("n"))
 
     snapshot = stored(groups(sig.where(~F.col("_incoming"))), "exact_snapshot")
-    batch = groups(sig.where("_incoming"))  # the batch's own duplicates, apart from the snapshot
+    batch = stored(groups(sig.where("_incoming")), "exact_incoming")  # the batch's own duplicates, apart from the snapshot
     parts = max(1, -(-snapshot.count() // per_filter))
-    screened = screen(batch, build_filters(snapshot, parts), parts)
+    screened = screen(batch, build_filters(snapshot, parts), parts, max(1, -(-batch.count() // (parts * per_filter))))
     batch = stored(batch.join(screened, "_digest"), "exact_batch")
     merged = snapshot.unionByName(batch.where("maybe").drop("maybe")).groupBy("_digest").agg(
         F.min("best").alias("best"), F.sum("n").alias("n"))

@@ -355,3 +355,37 @@ def test_a_full_format_gets_longer(spark):
     s = pii.Surrogates(b"k")
     made = [s.canonical("ssn", str(i), again.get(str(i), 0)) for i in range(10)]
     assert len(set(made)) == 10 and all(len(x) > 1 for x in made)
+
+
+# ---------------------------------------------------------------- dealing (3, 10)
+
+def test_a_large_batch_on_a_small_snapshot_is_dealt(spark):
+    """The batch's digests meet the filters in groups of bounded size, however few parts the snapshot has."""
+    from civicflow.llm import exact
+
+    digest = lambda lo, hi: spark.range(lo, hi).select(F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("_digest"))
+    filters = exact.build_filters(digest(0, 100), 1)
+    out = exact.screen(digest(50, 4000), filters, 1, salts=8)
+    rows = out.collect()
+    assert len(rows) == 3950 and sum(r["maybe"] for r in rows) >= 50
+    known = {bytes(r[0]) for r in digest(50, 100).collect()}
+    assert all(r["maybe"] for r in rows if bytes(r["_digest"]) in known)
+    salts = digest(50, 4000).select(F.pmod(F.xxhash64(F.lit(7), "_digest"), F.lit(8)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 8 and max(r["count"] for r in salts) < 700
+
+
+def test_the_training_sample_is_the_smallest_hashes(spark, monkeypatch):
+    from civicflow.llm import quality
+
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(60 + i % 7)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(20)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, m: seen.append((x.tolist(), y.tolist())) or "trees")
+    stats = quality.statistics(docs)
+    quality.train(stats, labels, rows=40)
+    want = stats.join(labels.withColumnRenamed("quality", "_y"), "doc_id").orderBy(F.xxhash64("doc_id")).limit(40).select(
+        *quality.FEATURES, "_y").toPandas()
+    assert len(seen[0][1]) == 40 and seen[0][1] == want["_y"].astype(float).tolist()
+    quality.train(stats, labels.limit(0), rows=40)
+    assert seen[1][1] == []
