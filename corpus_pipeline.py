@@ -55,7 +55,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Boosted trees, keyed surrogates and packing have no SQL form; tests compare each stage with brute force.
+#: Boosted trees, keyed surrogates and packing have no SQL form; tests compare each stage with its operator, and the operators with brute force.
 ORACLE_SQL = None
 
 
