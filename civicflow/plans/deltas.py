@@ -6,13 +6,15 @@ Layout under one root (shared storage):
     deltas/batch_id=N    the same rows' additive aggregate state and dimension values
     state/v=K/...        folded state: one combined delta, and the batches' rows as a segment of few files
     state/v=K/manifest   the batches and segments that version K holds; written last, so it publishes the version
+    keys/batch_id=N, segment_keys/K    bitmap index of the keys of those rows (``operators.keyindex``)
 
 All measures of the three aggregates are additive (counts, exact microsecond
 sums, the newest creation time), so the tables are the sum of the published
 state and the deltas that it does not hold. Every directory belongs to one batch
 or version and is replaced as a whole, so replays and crashes leave each batch
 counted exactly once: a batch whose id is in the manifest is known, any other is
-written again from the same rows.
+written again from the same rows. A batch meets the stored keys through their
+index; stored rows are opened only where a crash left them without one.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.load import insert_absent
+from ..operators.keyindex import BROADCAST_WORDS_MAX, KEYS_SCHEMA, absent_rows, key_words, merge_words, stored_words, write_index
 from ..operators.normalize import batch_dedupe
 from ..schema import CREATED, EXPECTED_COLUMNS, RAW_SCHEMA
 from ..session import list_dirs, path_exists, remove_dir
@@ -78,20 +80,44 @@ class DeltaWarehouse:
         paths += [f"{self.root}/raw/{BATCH}={i}" for i in self._loose("raw", held) if i != without]
         return self._union(paths, RAW_SCHEMA).select(*EXPECTED_COLUMNS)
 
+    def key_index(self, without: int | None = None) -> DataFrame:
+        """(word, bits) of all stored keys, several rows a word; ``without`` as in ``raw``.
+
+        Rows whose index is missing (a load that died before writing it) give their keys themselves.
+        """
+        held, segments = self._manifest(self._version())
+        indexed, bare = [], []
+        for rows, index in [(f"segments/{s}", f"segment_keys/{s}") for s in segments] + [
+                (f"raw/{BATCH}={i}", f"keys/{BATCH}={i}") for i in self._loose("raw", held) if i != without]:
+            done = path_exists(self.spark, f"{self.root}/{index}/_SUCCESS")
+            (indexed if done else bare).append(f"{self.root}/{index if done else rows}")
+        index = self._union(indexed, KEYS_SCHEMA)
+        return index.unionByName(key_words(self._union(bare, RAW_SCHEMA))) if bare else index
+
     # ---------------------------------------------------------------- loading
 
     def load(self, batch: DataFrame, batch_id: int) -> bool:
         """Add the rows of ``batch`` whose key no other batch has; false if the batch was folded before.
 
-        Reads the batch and the stored keys; the aggregates are computed from the
-        added rows only. Loading a batch again replaces what it wrote.
+        Reads the batch and the key index within the batch's key range; the
+        aggregates are computed from the added rows only. Loading a batch again
+        replaces what it wrote.
         """
         held, _ = self._manifest(self._version())
         if batch_id in held:
             return False
-        new = insert_absent(batch_dedupe(batch), self.raw(without=batch_id))
-        own = f"{self.root}/raw/{BATCH}={batch_id}"
-        new.select(*EXPECTED_COLUMNS).sortWithinPartitions(CREATED).write.mode("overwrite").parquet(own)
+        own, keys = f"{self.root}/raw/{BATCH}={batch_id}", f"{self.root}/keys/{BATCH}={batch_id}"
+        remove_dir(self.spark, keys)  # a replay's index must not outlive the rows it was made of
+        deduped = batch_dedupe(batch).persist()
+        words = key_words(deduped).persist()
+        stored = stored_words(words, self.key_index(without=batch_id)).persist()
+        try:
+            new = absent_rows(deduped, stored, small=stored.count() <= BROADCAST_WORDS_MAX)
+            new.select(*EXPECTED_COLUMNS).sortWithinPartitions(CREATED).write.mode("overwrite").parquet(own)
+        finally:
+            for df in (stored, words, deduped):
+                df.unpersist()
+        write_index(key_words(self.spark.read.schema(RAW_SCHEMA).parquet(own)), keys)
         stg = models.staging(self.spark.read.schema(RAW_SCHEMA).parquet(own))
         sets = models.aggregate_sets(models.fact(models.enriched(stg)))
         sets.write.mode("overwrite").parquet(f"{self.root}/deltas/{BATCH}={batch_id}")
@@ -141,6 +167,7 @@ class DeltaWarehouse:
         schemas = self._blank()
         self._union([f"{self.root}/raw/{BATCH}={i}" for i in loose], RAW_SCHEMA).hint("rebalance").sortWithinPartitions(
             CREATED).write.mode("overwrite").parquet(f"{self.root}/segments/{new}")
+        write_index(key_words(self._union([f"{self.root}/segments/{new}"], RAW_SCHEMA)), f"{self.root}/segment_keys/{new}")
 
         def parts(kind: str, folded: str, schema: T.StructType) -> DataFrame:
             before = [f"{self.root}/state/v={version}/{folded}"] if version is not None else []
@@ -152,7 +179,7 @@ class DeltaWarehouse:
         rows = [("batch", i) for i in [*held, *loose]] + [("segment", s) for s in [*segments, new]]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{at}/manifest")
         for i in held:
-            for kind in ("raw", "deltas", "dimensions"):
+            for kind in ("raw", "deltas", "dimensions", "keys"):
                 remove_dir(self.spark, f"{self.root}/{kind}/{BATCH}={i}")
         for d in list_dirs(self.spark, f"{self.root}/state"):
             if int(d.split("=")[1]) < new - 1:
