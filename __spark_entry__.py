@@ -20,10 +20,13 @@ from civicflow.operators.normalize import batch_dedupe, conform, conform_with_fa
 from civicflow.plans import marts as M
 from civicflow.plans import queries as Q
 from civicflow.plans.deltas import DeltaWarehouse
+from civicflow.plans.published import open_published, publish
 from civicflow.session import path_exists, scratch_path
 from civicflow.sources import extract as S
 from civicflow.sources import testdata
-from civicflow.streaming import ingest_pages, ingest_planned, ingest_stream, land_as_json
+from civicflow.sources.arrays import split_json_arrays
+from civicflow.sources.files import write_json_array
+from civicflow.streaming import ingest_pages, ingest_planned, ingest_stream, ingest_stream_deltas, land_as_json
 
 
 def _training_queries() -> tuple[dict, dict]:
@@ -192,6 +195,34 @@ def _delta(spark: SparkSession, sf_dir: str) -> DeltaWarehouse:
     return DeltaWarehouse(spark, _DELTAS[at])
 
 
+def _delta_stream(spark, sf_dir):
+    """Requests streamed into a delta warehouse twice, the second time changed: all its stored rows."""
+    landing, base, raw = scratch_path(spark, "landing"), scratch_path(spark, "delta_stream"), _raw(spark, sf_dir)
+    for k, batch in enumerate((raw, testdata.replayed(raw))):
+        land_as_json(batch, f"{landing}/{k}", files=4)
+        ingest_stream_deltas(spark, f"{landing}/{k}", base, f"{base}_checkpoint{k}", files_per_batch=2, fold_after=2, first_batch=k << 40)
+    return DeltaWarehouse(spark, base).raw()
+
+
+def _json_array_split(spark, sf_dir):
+    """Requests stored as JSON arrays, read back in splits of a megabyte."""
+    at = scratch_path(spark, "arrays")
+    write_json_array(_raw(spark, sf_dir), at, rows_per_file=200_000)
+    return conform(split_json_arrays(spark, at, 1 << 20).rows())
+
+
+def _published(read):
+    """A warehouse published before the late requests arrived, and again after; the reader opens the version in force."""
+    def run(spark, sf_dir):
+        root, raw = scratch_path(spark, "published"), _raw(spark, sf_dir)
+        early = raw.where(F.col("created_date") < F.lit(O.REFRESH_FROM).cast("timestamp_ntz"))
+        for rows in (early, raw):
+            publish(spark, M.derive(spark, rows, watermark_after(spark, rows, now=NOW), calendar=M.TESTDATA_CALENDAR), root)
+        return read(open_published(spark, root, raw, watermark_after(spark, raw, now=NOW)))
+
+    return run
+
+
 def _stream_replay(spark, sf_dir):
     landing, base = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     raw = _raw(spark, sf_dir)
@@ -263,6 +294,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_lookup": lambda spark, sf_dir: S.key_lookup(_raw(spark, sf_dir), O.LOOKUP_KEY),
         "stream_ingest": _stream_ingest,
         "stream_replay": _stream_replay,
+        "stream_delta": _delta_stream,
+        "json_array_split": _json_array_split,
+        "overview_published": _published(Q.overview),
+        "daily_published": _published(lambda m: m.daily),
         "page_ingest": _page_ingest,
         "page_ingest_small": _page_ingest_gaps(O.SMALL_BATCH),
         "page_ingest_large": _page_ingest_gaps(O.LARGE_BATCH),

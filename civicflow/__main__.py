@@ -26,6 +26,7 @@ from .schema import DEFAULT_BATCH_SIZE, DEFAULT_START, SAMPLE_SIZE
 from .session import build_session
 from .sources.extract import write_sample
 from .sources.files import read_json_array
+from .plans.published import open_published, publish
 from .streaming import backfill_json, ingest_pages, ingest_planned, ingest_stream
 
 
@@ -48,6 +49,7 @@ def _args(argv=None):
             src.add_argument("--json-source", help="JSON file (array of records), loaded once")
             src.add_argument("--landing", help="directory of landed JSON-lines files (streamed, availableNow)")
             src.add_argument("--table", help="Parquet table paged in (created, key) order")
+            p.add_argument("--split-bytes", type=int, default=None, help="read a --json-source file by one task for each so many bytes")
             p.add_argument("--checkpoint")
             p.add_argument("--plan", default=None, help="directory of page plans (--table): plan all pages first, then stream them")
             p.add_argument("--files-per-batch", type=int, default=1)
@@ -60,6 +62,7 @@ def _args(argv=None):
             p.add_argument("--out", required=True)
             p.add_argument("--now", type=dt.datetime.fromisoformat, default=None)
             p.add_argument("--by-month", action="store_true", help="month layout (build)")
+            p.add_argument("--publish", action="store_true", help="build a new version under --out and put it in force when whole (build); use the version in force (test)")
             p.add_argument("--months", default="", help="YYYY-MM list (refresh)")
             p.add_argument("--undated", action="store_true", help="also rows without a creation time (refresh)")
     return ap.parse_args(argv)
@@ -74,7 +77,7 @@ def main(argv=None) -> None:
         return
     if a.cmd == "ingest":
         if a.json_source:
-            r = backfill_json(spark, a.json_source, a.raw, a.watermark)
+            r = backfill_json(spark, a.json_source, a.raw, a.watermark, split_bytes=a.split_bytes)
             print(json.dumps({"rows": r.rows_in, "loaded": r.rows_loaded, "watermark": str(r.watermark)}))
             return
         if a.landing:
@@ -94,14 +97,17 @@ def main(argv=None) -> None:
         return
     raw, meta = read_raw(spark, a.raw), WatermarkLog(a.watermark).read(spark)
     if a.cmd == "build":
-        M.materialize(spark, M.derive(spark, raw, meta), a.out, by_month=a.by_month)
+        if a.publish:
+            publish(spark, M.derive(spark, raw, meta), a.out, by_month=a.by_month)
+        else:
+            M.materialize(spark, M.derive(spark, raw, meta), a.out, by_month=a.by_month)
         return
     if a.cmd == "refresh":
         months = [dt.date.fromisoformat(m.strip() + "-01") for m in a.months.split(",") if m.strip()]
         M.refresh_months(spark, a.out, raw, months + ([None] if a.undated else []), meta)
         return
     now = a.now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    reports = quality.run_all(M.load(spark, a.out, raw, meta), now)
+    reports = quality.run_all(open_published(spark, a.out, raw, meta) if a.publish else M.load(spark, a.out, raw, meta), now)
     failed = 0
     for name, df in reports.items():
         rows = df.collect()  # one row per declared test

@@ -304,6 +304,8 @@ def queries_sql() -> dict[str, str]:
         "key_lookup": with_base(f"select * from raw where unique_key = {LOOKUP_KEY}"),
         "stream_ingest": with_base("select * from raw"),
         "stream_replay": with_base("select * from raw"),
+        "stream_delta": with_base("select * from raw"),
+        "json_array_split": with_base("select * from raw"),
         "page_ingest": with_base("select * from raw"),
         "page_ingest_small": with_base(_GAPPY + " where unique_key is not null"),
         "page_ingest_large": with_base(_GAPPY + " where unique_key is not null"),
@@ -424,4 +426,5 @@ from (select max(created_date) as max_loaded_at,
     for suffix in LAYOUTS.values():
         q |= {f"{name}_{suffix}": q[name] for name in BUILT_TABLES}
     q |= {f"{name}_delta": q[name] for name in DELTA_TABLES}
+    q |= {f"{name}_published": q[name] for name in ("overview", "daily")}
     return q | {f"{name}_monthly": q[name] for name in ("overview", "recent")}

@@ -80,6 +80,10 @@ class DeltaWarehouse:
         paths += [f"{self.root}/raw/{BATCH}={i}" for i in self._loose("raw", held) if i != without]
         return self._union(paths, RAW_SCHEMA).select(*EXPECTED_COLUMNS)
 
+    def raw_of(self, batch_id: int) -> DataFrame:
+        """Rows that a batch added, while its own directory is there."""
+        return self._union([f"{self.root}/raw/{BATCH}={batch_id}"], RAW_SCHEMA)
+
     def key_index(self, without: int | None = None) -> DataFrame:
         """(word, bits) of all stored keys, several rows a word; ``without`` as in ``raw``.
 

@@ -81,6 +81,21 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files under ``path`` (none if it is not there), through the Hadoop filesystem."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isFile()) if fs.exists(hpath) else []
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file (and its directory); false if it is there already. One of several callers at once gets true."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath.getParent())
+    return bool(fs.createNewFile(hpath))
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a directory with all it holds, through the Hadoop filesystem; nothing if it is not there."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -91,4 +106,4 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "path_exists", "list_dirs", "remove_dir", "local_path", "is_local_fs"]
+__all__ = ["build_session", "shared_root", "scratch_path", "path_exists", "list_dirs", "list_files", "create_file", "remove_dir", "local_path", "is_local_fs"]

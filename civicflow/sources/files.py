@@ -62,11 +62,17 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
-def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON array in one file, as ``read_json_array`` loads (for samples: the rows meet in one task)."""
-    (df.select(F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("v"))
-     .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("v")), F.lit("]")).alias("value"))
-     .write.mode(mode).text(path))
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int | None = None) -> None:
+    """JSON arrays as ``read_json_array`` loads: one file of all rows (for samples), or files of at most ``rows_per_file`` rows."""
+    value = F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("v")
+    array = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("v")), F.lit("]")).alias("value")
+    if rows_per_file is None:
+        df.select(value).agg(array).write.mode(mode).text(path)
+        return
+    row = F.monotonically_increasing_id()
+    part, place = F.shiftright(row, 33).alias("part"), F.floor(row.bitwiseAND(F.lit((1 << 33) - 1)) / int(rows_per_file)).alias("place")
+    arrays = df.select(value, part, place).groupBy("part", "place").agg(array).select("value")
+    arrays.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -162,6 +162,50 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
     return counters
 
 
+def ingest_stream_deltas(spark: SparkSession, landing: str, root: str, checkpoint: str, files_per_batch: int = 1,
+                         fmt: str = "json", fold_after: int = 64, first_batch: int = 0) -> RunCounters:
+    """Load every file present under ``landing`` into the delta warehouse at ``root`` and stop.
+
+    A micro-batch is a batch of the warehouse under its own id (``first_batch``
+    plus the epoch; streams with checkpoints of their own need ranges of their
+    own), so its replay replaces what it wrote, or does nothing once it was
+    folded. Malformed lines, keyless rows and failed cells are kept next to raw
+    by micro-batch, as ``ingest_stream`` keeps them.
+    """
+    from ..plans.deltas import DeltaWarehouse
+
+    warehouse, counters, quarantine = DeltaWarehouse(spark, root), RunCounters(), quarantine_of(f"{root}/raw")
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        t0, number = time.time(), int(first_batch) + int(epoch_id)
+        rows = batch.persist()  # cached: Spark refuses filters on the corrupt-record column of a raw scan
+        try:
+            bad, landed = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")), rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            good = conform(landed)
+            keyless = good.where(F.col(KEY).isNull())
+            aside = []
+            for kind, some in (("malformed", bad), ("keyless", keyless)):
+                aside.append(some.count())
+                if aside[-1]:
+                    some.write.mode("overwrite").parquet(f"{quarantine}/{kind}/epoch_id={number}")
+            counters.failed_cells += keep_failures(spark, landed, f"{quarantine}/failed_cells/epoch_id={number}")
+            keyed = good.where(F.col(KEY).isNotNull())
+            warehouse.load(keyed, number)
+            warehouse.fold(fold_after)
+            added = warehouse.raw_of(number).count() if path_exists(spark, f"{root}/raw/batch_id={number}") else 0
+            result = LoadResult(keyed.select(KEY).distinct().count(), added, None, quarantined=aside[1])
+        finally:
+            rows.unpersist()
+        counters.add(result, time.time() - t0, aside[0])
+
+    query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return counters
+
+
 def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                         every: str = "1 minute", files_per_batch: int = 1, fmt: str = "json",
                         source: str = SOURCE_NAME, created_is_immutable: bool = False,
@@ -275,16 +319,25 @@ def land_as_json(df: DataFrame, landing: str, files: int) -> None:
 
 
 def backfill_json(spark: SparkSession, path: str, raw_path: str, log_path: str, now=None,
-                  source: str = SOURCE_NAME) -> LoadResult:
+                  source: str = SOURCE_NAME, split_bytes: int | None = None) -> LoadResult:
     """Load JSON-array file(s) once: check the shape, normalise, insert-if-absent, advance the watermark.
 
     Raises ``ValueError`` when a file is not an array of objects; an empty array loads nothing.
+    A file is read by one task, or with ``split_bytes`` by one for each so many bytes.
     """
+    from ..sources.arrays import split_json_arrays
     from ..sources.files import read_json_array, validate_json_array
 
-    validate_json_array(spark, path)
     when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    landed = read_json_array(spark, path).persist()
+    if split_bytes is None:
+        validate_json_array(spark, path)
+        landed = read_json_array(spark, path).persist()
+    else:
+        arrays = split_json_arrays(spark, path, split_bytes)
+        bad = arrays.problems().limit(1).collect()
+        if bad:
+            raise ValueError(f"{bad[0]['path']}: {bad[0]['problem']}")
+        landed = arrays.rows().persist()
     try:
         keep_failures(spark, landed, f"{quarantine_of(raw_path)}/failed_cells/epoch_id=-1")
         return load_batch(spark, conform(landed), raw_path, WatermarkLog(log_path), when, source,
