@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from civicflow import oracle as O
 from civicflow.operators import load as L
 from civicflow.operators import quality as D
+from civicflow.operators.latest import load_latest
 from civicflow.operators.load import watermark_after
 from civicflow.operators.normalize import batch_dedupe, conform, conform_with_failures, failed_cells
 from civicflow.plans import marts as M
@@ -211,6 +212,15 @@ def _json_array_split(spark, sf_dir):
     return conform(split_json_arrays(spark, at, 1 << 20).rows())
 
 
+def _latest_ingest(spark, sf_dir):
+    """All requests loaded, then changed versions of every fourth with the latest one winning."""
+    base, raw = scratch_path(spark, "latest"), _raw(spark, sf_dir)
+    log = L.WatermarkLog(f"{base}/watermark")
+    for batch in (raw, testdata.replayed(raw).where(F.col("unique_key") % O.LATEST_EVERY == 0)):
+        load_latest(spark, batch, f"{base}/raw", log, NOW)
+    return L.read_raw(spark, f"{base}/raw")
+
+
 def _published(read):
     """A warehouse published before the late requests arrived, and again after; the reader opens the version in force."""
     def run(spark, sf_dir):
@@ -295,6 +305,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": _stream_ingest,
         "stream_replay": _stream_replay,
         "stream_delta": _delta_stream,
+        "latest_ingest": _latest_ingest,
         "json_array_split": _json_array_split,
         "overview_published": _published(Q.overview),
         "daily_published": _published(lambda m: m.daily),

@@ -56,6 +56,7 @@ def _args(argv=None):
             p.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
             p.add_argument("--start-date", type=dt.datetime.fromisoformat, default=DEFAULT_START)
             p.add_argument("--by-month", action="store_true")
+            p.add_argument("--latest", action="store_true", help="a later version of a key replaces the stored one (--landing with --by-month)")
             p.add_argument("--created-immutable", action="store_true")
             p.add_argument("--marts", default=None, help="month-layout warehouse to refresh per micro-batch")
         else:
@@ -85,7 +86,7 @@ def main(argv=None) -> None:
                 raise SystemExit("--checkpoint is required with --landing")
             run = ingest_stream(spark, a.landing, a.raw, a.watermark, a.checkpoint, a.files_per_batch,
                                 created_is_immutable=a.created_immutable, by_month=a.by_month,
-                                marts_root=a.marts)
+                                marts_root=a.marts, mode="latest" if a.latest else "first")
         elif a.plan:
             run = ingest_planned(spark, spark.read.parquet(a.table), a.raw, a.watermark, a.plan, a.batch_size, a.start_date,
                                  created_is_immutable=a.created_immutable)

@@ -38,6 +38,7 @@ BUILT_TABLES = {"fact": "fct", "daily": "daily", "geo_heatmap": "geo", "agency_p
 # Tables of the delta warehouse: aggregates and dimensions by name.
 DELTA_TABLES = {"daily": "daily", "geo_heatmap": "geo", "agency_performance": "agency_perf",
                 "dim_agency": "dim_agency", "dim_borough": "dim_borough", "dim_complaint_type": "dim_complaint_type"}
+LATEST_EVERY = 4  # requests whose changed version is loaded over the first
 BAD_KEY_EVERY, BAD_CREATED_EVERY, BAD_LATITUDE_EVERY = 101, 53, 37  # landed requests with cells that no type fits
 MERGE_STATE_BEFORE = "2000-01-01 00:00:00"
 MERGE_NEW_FROM = "1999-06-01 00:00:00"
@@ -305,6 +306,8 @@ def queries_sql() -> dict[str, str]:
         "stream_ingest": with_base("select * from raw"),
         "stream_replay": with_base("select * from raw"),
         "stream_delta": with_base("select * from raw"),
+        "latest_ingest": with_base(f"select * from raw where unique_key % {LATEST_EVERY} <> 0"
+                                   f" union all select * from replay where unique_key % {LATEST_EVERY} = 0"),
         "json_array_split": with_base("select * from raw"),
         "page_ingest": with_base("select * from raw"),
         "page_ingest_small": with_base(_GAPPY + " where unique_key is not null"),

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.latest import load_latest
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
 from ..operators.normalize import LEDGER_SCHEMA, conform, conform_with_failures, failed_cells
 from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
@@ -103,7 +104,11 @@ def refresh_marts_after(spark: SparkSession, result: LoadResult, raw_path: str,
 
 def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
             created_is_immutable: bool, by_month: bool, counters: RunCounters, quarantine: str,
-            marts_root: str | None = None):
+            marts_root: str | None = None, mode: str = "first"):
+    if mode not in ("first", "latest"):
+        raise ValueError(f"mode is 'first' or 'latest', not {mode!r}")
+    if mode == "latest" and not by_month:
+        raise ValueError("mode='latest' rewrites months: it needs by_month=True")
     log = WatermarkLog(log_path)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -120,9 +125,12 @@ def _loader(spark: SparkSession, raw_path: str, log_path: str, now, source: str,
             landed = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
             counters.failed_cells += keep_failures(spark, landed, f"{quarantine}/failed_cells/epoch_id={int(epoch_id)}")
             good = conform(landed)
-            result = load_batch(spark, good, raw_path, log, when, source,
-                                created_is_immutable=created_is_immutable, read_back=False, by_month=by_month,
-                                quarantine_path=f"{quarantine}/keyless")
+            if mode == "latest":
+                result = load_latest(spark, good, raw_path, log, when, source, quarantine_path=f"{quarantine}/keyless")
+            else:
+                result = load_batch(spark, good, raw_path, log, when, source,
+                                    created_is_immutable=created_is_immutable, read_back=False, by_month=by_month,
+                                    quarantine_path=f"{quarantine}/keyless")
         finally:
             rows.unpersist()
         if marts_root:
@@ -143,16 +151,19 @@ def ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: st
                   files_per_batch: int = 1, fmt: str = "json", now=None,
                   source: str = SOURCE_NAME, created_is_immutable: bool = False,
                   by_month: bool = False, quarantine: str | None = None,
-                  marts_root: str | None = None) -> RunCounters:
+                  marts_root: str | None = None, mode: str = "first") -> RunCounters:
     """Load every file present under ``landing`` and stop (``availableNow``).
 
+    ``mode="latest"`` lets a later version of a key replace the stored one
+    (``operators.latest``, with ``by_month``); by default the first one stays.
+
     Malformed lines and keyless records go to ``quarantine`` (default: next to raw).
     With ``marts_root`` (a month-layout warehouse), each micro-batch also
     refreshes the marts for the months it touched.
     """
     counters = RunCounters()
     per_batch = _loader(spark, raw_path, log_path, now, source, created_is_immutable, by_month, counters,
-                        quarantine or quarantine_of(raw_path), marts_root)
+                        quarantine or quarantine_of(raw_path), marts_root, mode)
     query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
@@ -209,11 +220,12 @@ def ingest_stream_deltas(spark: SparkSession, landing: str, root: str, checkpoin
 def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_path: str, checkpoint: str,
                         every: str = "1 minute", files_per_batch: int = 1, fmt: str = "json",
                         source: str = SOURCE_NAME, created_is_immutable: bool = False,
-                        by_month: bool = False, quarantine: str | None = None) -> tuple[StreamingQuery, RunCounters]:
-    """Keep loading new files as they land (processing-time trigger); returns the running query."""
+                        by_month: bool = False, quarantine: str | None = None, marts_root: str | None = None,
+                        mode: str = "first") -> tuple[StreamingQuery, RunCounters]:
+    """Keep loading new files as they land (processing-time trigger); returns the running query. Arguments as of ``ingest_stream``."""
     counters = RunCounters()
     per_batch = _loader(spark, raw_path, log_path, None, source, created_is_immutable, by_month, counters,
-                        quarantine or quarantine_of(raw_path))
+                        quarantine or quarantine_of(raw_path), marts_root, mode)
     query = (_file_stream(spark, landing, fmt, files_per_batch).writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(processingTime=every).start())
