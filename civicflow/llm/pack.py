@@ -7,17 +7,21 @@ remaining length the undominated fillings are enumerated, a plan is cut off
 when its waste already makes it no better than the incumbent, and incumbents
 are best-fit plans. The solution is a bounded list of patterns; every piece
 then finds its sequence and offset from its rank among the pieces of its
-length, in Spark.
+length, in Spark. The task that cuts the pieces numbers those of a length as it
+goes, so a rank is that number plus the counts of the tasks before: pieces are
+neither sorted nor shuffled.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +30,10 @@ from .common import stored, table
 
 SIZE = 1024
 END = 2
-#: Salt buckets for ranking pieces of equal length: rows of a length are ranked in parallel.
-BUCKETS = 256
+#: Counts (24 bytes each, at most ``size`` for each task that cut pieces) that are broadcast to the pieces; more are joined by shuffle.
+BROADCAST_COUNTS = 300_000
+#: White space in a row from which on a text is split here: tiktoken's pattern engine keeps a state for each such character.
+LONG_SPACE = re.compile(r"\s{5000}")
 #: Fillings tried in each phase of the search for a plan with fewer sequences; in the second, PATHS more for each pattern of the plan.
 SEARCH_NODES = 4000
 PATHS = 8
@@ -36,10 +42,12 @@ FEW, NEAR = 12, 256
 
 
 class RankVocabulary(bpe.Vocabulary):
-    """The same ids; single pre-tokens are merged by tiktoken from the vocabulary's own ranks.
+    """The same ids, made by tiktoken from the vocabulary's own pattern and ranks.
 
-    Merging is cheap here, so little is remembered, and nothing from task to
-    task: other stages of a pipeline share the executor's memory.
+    Texts with special tokens, with characters younger than Python's Unicode
+    tables or with very long white space are split as in the vocabulary, and
+    tiktoken only merges their pre-tokens. Little is remembered, and nothing
+    from task to task: other stages of a pipeline share the executor's memory.
     """
 
     remember = 150_000
@@ -52,11 +60,21 @@ class RankVocabulary(bpe.Vocabulary):
             raise ValueError("ids do not follow the merge order")
         special = set(self.special.values())
         self._core = tiktoken.Encoding(
-            "pack", pat_str=r"[\s\S]+", special_tokens={},
-            mergeable_ranks={b: i for i, b in self.bytes.items() if i not in special})._core_bpe
+            "pack", pat_str=bpe.public_tokenizers.PATTERN, special_tokens={},
+            mergeable_ranks={b: i for i, b in self.bytes.items() if i not in special})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        whole = self._core.encode_to_numpy
+        return [whole(t, disallowed_special=()).astype("<u4", copy=False).tobytes() if self._regular(t) else super(RankVocabulary, self).encode([t])[0]
+                for t in texts]
+
+    def _regular(self, text: str) -> bool:
+        """Whether tiktoken's pattern splits ``text`` as the vocabulary's does, in bounded memory."""
+        return (self.split.scanner(text) is not None and not any(s in text for s in self.special)
+                and (len(text) < 5000 or LONG_SPACE.search(text) is None))
 
     def _merge(self, words):
-        one = self._core.encode_single_piece
+        one = self._core._core_bpe.encode_single_piece
         for w in words:
             yield np.array(one(w), "<u4").tobytes()
 
@@ -69,20 +87,23 @@ def _vocabulary(path: str) -> RankVocabulary:
 # ---------------------------------------------------------------- pieces
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = bpe.VOCABULARY,
-           size: int = SIZE, end: int = END, with_ids: bool = False) -> DataFrame:
+           size: int = SIZE, end: int = END, with_ids: bool = False, numbered: bool = False) -> DataFrame:
     """Cut every document (its ids, then ``end``) into pieces of at most ``size`` tokens.
 
     A document of up to ``size`` tokens is one piece; of a longer one every
     piece is full but the first. Null text counts as empty (one piece of one
-    token). Returns key, piece, start, length, ids_crc32 and, when asked, ids.
+    token). Returns key, piece, start, length, ids_crc32 and, when asked, ids;
+    ``numbered`` adds _block (the task) and _number (from 0 among the block's
+    pieces of that length), which hold together only once they are stored.
     """
     kind = docs.schema[key].dataType.simpleString()
     last = np.array([end], "<u4").tobytes()
 
     def run(batches):
         v = _vocabulary(path)
+        block, met = TaskContext.get().partitionId(), [0] * (size + 1)
         for part, texts in bpe.blocks(batches, 1):
-            rows, piece, start, length, crc, raw = [], [], [], [], [], []
+            rows, piece, start, length, crc, raw, number = [], [], [], [], [], [], []
             for row, ids in enumerate(v.encode(texts)):
                 ids += last
                 n = len(ids) // 4
@@ -95,6 +116,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
                     start.append(at)
                     length.append(upto - at)
                     crc.append(zlib.crc32(cut))
+                    number.append(met[upto - at])
+                    met[upto - at] += 1
                     if with_ids:
                         raw.append(cut)
                     at, k = upto, k + 1
@@ -104,11 +127,14 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
             if with_ids:
                 columns.append(pa.array(raw, pa.binary()))
                 names.append("ids")
+            if numbered:
+                columns += [pa.array([block] * len(rows), pa.int32()), pa.array(number, pa.int64())]
+                names += ["_block", "_number"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         v.ids.clear()
         pa.default_memory_pool().release_unused()
 
-    schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", _block int, _number long" * numbered
     return docs.select(key, text).mapInArrow(run, schema)
 
 
@@ -330,17 +356,16 @@ def complete(counts: np.ndarray, size: int, nodes: int = SEARCH_NODES) -> list[t
 
 # ---------------------------------------------------------------- assignment
 
-def assign(cut: DataFrame, size: int = SIZE, nodes: int = SEARCH_NODES) -> DataFrame:
-    """Add sequence_id and offset to stored pieces (columns as ``pieces`` returns).
+def assign(cut: DataFrame, size: int = SIZE, nodes: int = SEARCH_NODES, broadcast_counts: int = BROADCAST_COUNTS) -> DataFrame:
+    """Add sequence_id and offset to stored, numbered pieces (columns as ``pieces`` returns).
 
-    Ranks within a length come from salt buckets: row numbers inside
-    (length, bucket), plus the bucket's offset from counts. ``cut`` must be
-    stored, as it is read twice; rows that agree in all columns may swap places.
+    A piece's rank within its length is its number in its block plus the
+    pieces of that length in the blocks before, from one count for each block
+    and length. ``cut`` must be stored, as it is read twice and a block's rows
+    must keep their numbers.
     """
     spark = cut.sparkSession
-    order = [c for c in cut.columns if c != "ids"]
-    cut = cut.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)))
-    per = stored(cut.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("n")), "pack_counts")  # <= size * BUCKETS rows
+    per = stored(cut.groupBy("_block", "length").agg(F.count(F.lit(1)).alias("n")), "pack_counts")
     counts = np.zeros(size + 1, np.int64)
     for length, n in per.groupBy("length").agg(F.sum("n")).collect():  # at most ``size`` rows
         counts[length] = n
@@ -354,19 +379,17 @@ def assign(cut: DataFrame, size: int = SIZE, nodes: int = SEARCH_NODES) -> DataF
             taken[s] += times * k
             at += k * s
         base += times
-    offsets = per.withColumn("_base", F.sum("n").over(
-        Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("length", "_salt", F.coalesce("_base", F.lit(0)).alias("_base"))
-    ranked = cut.withColumn("_rank", F.row_number().over(
-        Window.partitionBy("length", "_salt").orderBy(*order)) - 1)
-    ranked = ranked.join(F.broadcast(offsets), ["length", "_salt"])  # <= size * BUCKETS rows
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_base"))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per.select("_block", "length", F.coalesce(before, F.lit(0)).alias("_base"))  # a window holds a row for each block
+    if per.count() <= broadcast_counts:
+        offsets = F.broadcast(offsets)
+    ranked = cut.join(offsets, ["_block", "length"]).withColumn("_rank", F.col("_number") + F.col("_base"))
     # Every pattern uses up a length and has at most sqrt(2 * size) different ones, so slots are bounded too.
     slot = spark.createDataFrame(slots, "_len long, _from long, _upto long, _k long, _seq long, _at long")
     hit = (F.col("length") == F.col("_len")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_upto"))
     out = ranked.join(F.broadcast(slot), hit)
     place = F.col("_rank") - F.col("_from")
-    return out.select(*[c for c in cut.columns if c != "_salt"],
+    return out.select(*[c for c in cut.columns if c not in ("_block", "_number")],
                       (F.col("_seq") + F.floor(place / F.col("_k"))).alias("sequence_id"),
                       (F.col("_at") + place % F.col("_k") * F.col("length")).alias("offset"))
 
@@ -379,7 +402,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = b
     offset. Null keys and repeated rows are packed like any other; an empty
     table gives no rows; other columns are not read. Python: encoding only.
     """
-    return assign(stored(pieces(docs, key, text, path, size, end), "pack_pieces"), size)
+    return assign(stored(pieces(docs, key, text, path, size, end, numbered=True), "pack_pieces"), size)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicflow.llm import (bpe, components, edit_counts, exact, neardup, pack, pii, pitman_yor, quality, urls, warc)
+from civicflow.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -90,6 +91,39 @@ def test_forgetting_changes_nothing(make):
         assert np.frombuffer(v.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_rank_vocabulary_equals_library():
+    rng = random.Random(2)
+    odd = [chr(i) for i in range(0x180)] + ["<|endoftext|>", "<|end", "ͮ", "Ⅷ", "\u3000", "\U0001f600", "\u0558", "  ", "中", "\x1c\x1f"]
+    texts = TEXTS[:7] + ["".join(rng.choice(odd) for _ in range(rng.randint(0, 20))) for _ in range(2000)]
+    texts += ["a" + c * 6000 + "b" for c in (" ", "\n", "x", "!", "\u3000")]
+    v, t = pack.RankVocabulary(bpe.VOCABULARY), _library()
+    texts = [x or "" for x in texts]
+    want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in v.encode(texts)] == want
+    long = " " * 2_000_000 + "x"  # beyond what tiktoken's pattern engine can hold
+    assert np.frombuffer(v.encode([long])[0], "<u4").tolist() == t.encode(long, add_special_tokens=False).ids
+
+
+def test_pack_ranks_without_a_broadcast(spark, docs):
+    """Many blocks, one hot length; counts joined by shuffle place every piece as well."""
+    many = docs.select("doc_id", "text").unionByName(
+        spark.range(3000, numPartitions=17).select((F.col("id") + 10_000).alias("doc_id"), F.lit("one two three").alias("text")))
+    cut = stored(pack.pieces(many, numbered=True), "pack_test")
+    assert cut.select("_block").distinct().count() > 8
+    out = pack.assign(cut, broadcast_counts=0)
+    rows = _rows(out)
+    assert len(rows) == cut.count() and set(out.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for p in places.values():
+        at = 0
+        for offset, length in sorted(p):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
 def test_edit_counts_equal_full_encoding(docs, none):
     rows = _rows(edit_counts.apply_edits(edit_counts.trees(docs), edit_counts.sample_edits(F.col("text"))))
     t = _library()
