@@ -12,8 +12,24 @@ from pyspark.sql import functions as F
 from civicflow.session import scratch_path
 
 
+#: Bytes of an Arrow batch sent to a Python worker where the session keeps Spark's default.
+BATCH_BYTES, _DEFAULT_BATCH_BYTES = "4m", 64 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by ``BATCH_BYTES`` unless the session sets a bound of its own.
+
+    Rows are whole texts, so Spark's default batches hold up to 64 MB; the JVM
+    keeps such a batch outside its heap, doubled while it grows, for every task.
+    """
+    if spark.conf.get(_BATCH_CONF) in (f"{_DEFAULT_BATCH_BYTES}b", str(_DEFAULT_BATCH_BYTES), "64m", "64MB"):
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this library where the driver's path entry does not reach them."""
+    """Bound the batches, and let Python workers import this library where the driver's path entry does not reach them."""
+    bound_batches(spark)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     seen = {os.path.abspath(p) for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p}
     if root in seen or any(os.path.isdir(os.path.join(p, "civicflow", "llm")) for p in seen):

@@ -7,11 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from civicflow.llm import (bpe, components, edit_counts, exact, neardup, pack, pii, pitman_yor, quality, urls, warc)
-from civicflow.llm.common import stored
+from civicflow.llm.common import ship, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -91,6 +92,26 @@ def test_forgetting_changes_nothing(make):
         assert np.frombuffer(v.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "7m")
+        ship(spark)
+        assert spark.conf.get(conf) == "7m"  # the session's own bound stays
+        spark.conf.unset(conf)
+        ship(spark)
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+        long = spark.range(9000, numPartitions=1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+        assert max(r["n"] for r in long.mapInArrow(sizes, "n long").collect()) <= 2200
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_rank_vocabulary_equals_library():
     rng = random.Random(2)
     odd = [chr(i) for i in range(0x180)] + ["<|endoftext|>", "<|end", "ͮ", "Ⅷ", "\u3000", "\U0001f600", "\u0558", "  ", "中", "\x1c\x1f"]
