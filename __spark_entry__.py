@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from civicflow import oracle as O
 from civicflow.operators import load as L
 from civicflow.operators import quality as D
+from civicflow.operators.keycounts import KeyCounts
 from civicflow.operators.latest import load_latest
 from civicflow.operators.load import watermark_after
 from civicflow.operators.normalize import batch_dedupe, conform, conform_with_failures, failed_cells
@@ -221,6 +222,25 @@ def _latest_ingest(spark, sf_dir):
     return L.read_raw(spark, f"{base}/raw")
 
 
+def _counted(test):
+    """Overlapping batches of requests, the second counted twice, two folded: a uniqueness test as it stood after each."""
+    def run(spark, sf_dir):
+        stg = M.models.staging(_raw(spark, sf_dir))
+        model, columns = {"unique": ("stg_requests", D.UNIQUE["stg_requests"]),
+                          "unique_combination": ("dim_complaint_type", D.UNIQUE_COMBINATION["dim_complaint_type"])}[test]
+        counts = KeyCounts(spark, scratch_path(spark, "keycounts"), columns, nulls=test == "unique_combination")
+        for i, (every, below) in enumerate(O.COUNTED_BATCHES):
+            rows = stg.where(F.col("unique_key") % every < below)
+            rows = rows if test == "unique" else M.models.dim_complaint_type(rows)
+            for _ in range(2 if i == 1 else 1):
+                counts.load(rows, i)
+            if i == 1:
+                counts.fold(min_batches=2)
+        return counts.history(test, model)
+
+    return run
+
+
 def _published(read):
     """A warehouse published before the late requests arrived, and again after; the reader opens the version in force."""
     def run(spark, sf_dir):
@@ -322,6 +342,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unique_report": _report(D.unique_report),
         "accepted_values_report": _report(D.accepted_values_report),
         "unique_combo_report": _report(D.unique_combination_report),
+        "unique_by_batch": _counted("unique"),
+        "unique_combo_by_batch": _counted("unique_combination"),
     }
     for name, fn in mq.items():
         out[name] = (lambda f: lambda spark, sf_dir: f(_marts(spark, sf_dir)))(fn)

@@ -40,6 +40,7 @@ DELTA_TABLES = {"daily": "daily", "geo_heatmap": "geo", "agency_performance": "a
                 "dim_agency": "dim_agency", "dim_borough": "dim_borough", "dim_complaint_type": "dim_complaint_type"}
 LATEST_EVERY = 4  # requests whose changed version is loaded over the first
 BAD_KEY_EVERY, BAD_CREATED_EVERY, BAD_LATITUDE_EVERY = 101, 53, 37  # landed requests with cells that no type fits
+COUNTED_BATCHES = ((3, 1), (2, 1), (5, 2))  # batches of the uniqueness tests kept by batch: keys whose remainder by the first is below the second
 MERGE_STATE_BEFORE = "2000-01-01 00:00:00"
 MERGE_NEW_FROM = "1999-06-01 00:00:00"
 MERGE_AGENCY_SPLIT = "NATION_2"
@@ -267,6 +268,18 @@ from raw, lateral (
   union all select 'latitude', 'n/a ' || unique_key, 'not a decimal(38,18)' where unique_key % {BAD_LATITUDE_EVERY} = 0) c"""
 
 
+def _by_batch(test: str, model: str, columns: str, distinct: str, tested: str) -> str:
+    """A uniqueness test over the first batch, the first two, and so on."""
+    batches = [f"select {distinct} {columns} from stg where unique_key % {every} < {below}" for every, below in COUNTED_BATCHES]
+    out = []
+    for i in range(len(batches)):
+        rows = " union all ".join(f"select * from ({b})" for b in batches[:i + 1])
+        out.append(f"select cast({i} as bigint) as batch_id, '{test}' as test, '{model}' as model, '{columns}' as column_name,"
+                   f" count(*) as failures, {_status('count(*)')} as status"
+                   f" from (select {columns} from ({rows}) where {tested} group by {columns} having count(*) > 1)")
+    return " union all ".join(out)
+
+
 def queries_sql() -> dict[str, str]:
     asof = f"timestamp '{AS_OF} 00:00:00'"
     cols44 = ", ".join(EXPECTED_COLUMNS)
@@ -419,6 +432,8 @@ from (select source_name, last_created_date as updated_at,
             " 'complaint_type,complaint_subtype' as column_name, count(*) as failures,"
             f" {_status('count(*)')} as status from (select complaint_type, complaint_subtype from"
             " (select distinct complaint_type, complaint_subtype from stg) group by all having count(*) > 1)"),
+        "unique_by_batch": with_base(_by_batch("unique", "stg_requests", "unique_key", "", "unique_key is not null")),
+        "unique_combo_by_batch": with_base(_by_batch("unique_combination", "dim_complaint_type", "complaint_type,complaint_subtype", "distinct", "true")),
         "freshness": with_base(f"""
 select max_loaded_at, age_hours,
   case when max_loaded_at is null then 'error' when age_hours > 48 then 'error' when age_hours > 24 then 'warn'
