@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_ntz
@@ -234,6 +234,11 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
                quarantine_path: str | None = None) -> LoadResult:
     """One batch: dedupe, insert-if-absent into ``raw_path``, then advance the watermark.
 
+    One aggregate over the cached batch gives its counts, ranges and months;
+    the rows that were new are counted by the write itself. That metric lies
+    behind the last shuffle of the write, where Spark counts each task once,
+    however often a lost executor makes it run.
+
     Data is committed before the watermark, so a crash in between is repaired
     by replaying the batch (the anti-join makes the replay add nothing).
 
@@ -255,13 +260,12 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
     try:
         c, k = F.col(CREATED), F.col(KEY)
         top = F.max(F.when(c.isNotNull() & k.isNotNull(), F.struct(c.alias("d"), k.alias("k"))))
-        total, keyed, n, lo, hi, undated, last, k_lo, k_hi = rows.agg(
+        total, keyed, n, lo, hi, undated, last, k_lo, k_hi, months = rows.agg(
             F.count(F.lit(1)), F.count(k), F.countDistinct(k), F.min(c), F.max(c), F.count_if(c.isNull()), top,
-            F.min(k), F.max(k)).first()
+            F.min(k), F.max(k), F.collect_set(F.when(k.isNotNull(), _month(c)))).first()  # a value for each month
         keyless = int(total) - int(keyed)
         if keyless and quarantine_path:
             keyless = _set_aside(spark, null_key_rows(rows), quarantine_path)
-        months = [r[0] for r in rows.where(c.isNotNull() & k.isNotNull()).select(_month(c)).distinct().collect()]
         # The wide dedupe aggregate runs only when the batch really repeats a key.
         # (Stats taken before dedupe are still right: the row kept per key has its
         # greatest creation time, so the max (created, key) is the same, and the
@@ -274,7 +278,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
         if n == 0:
             return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None,
                               quarantined=keyless)
-        new, loaded = deduped, n
+        new = deduped
         if path_exists(spark, raw_path):
             # a colliding stored key lies within the batch's key range: always exact, and the
             # range reaches Parquet, where row-group key statistics skip most of the target
@@ -289,21 +293,17 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
                     span = span | c.isNull()
                 stored = stored.where(span)
             if n <= BROADCAST_KEYS_MAX:
-                hits = colliding_keys(deduped, stored).persist()
-                held.append(hits)
-                loaded = n - hits.count()
-                new = deduped.join(F.broadcast(hits), KEY, "left_anti")
-            else:  # batch too large to broadcast its keys: shuffle anti-join, counted before the write
-                new = insert_absent(deduped, stored).persist()
-                held.append(new)
-                loaded = new.count()
+                new = deduped.join(F.broadcast(colliding_keys(deduped, stored)), KEY, "left_anti")
+            else:  # batch too large to broadcast its keys: shuffle anti-join
+                new = insert_absent(deduped, stored)
         out = new.select(*deduped.columns)
         if by_month:
             # rebalance: few files a month, and a large month is split over tasks
             out = out.withColumn(MONTH_COL, _month(c)).hint("rebalance", MONTH_COL)
-            out.sortWithinPartitions(CREATED).write.mode("append").partitionBy(MONTH_COL).parquet(raw_path)
-        else:
-            out.sortWithinPartitions(CREATED).write.mode("append").parquet(raw_path)
+        written = Observation()
+        out = out.sortWithinPartitions(CREATED).observe(written, F.count(F.lit(1)).alias("rows"))
+        (out.write.partitionBy(MONTH_COL) if by_month else out.write).mode("append").parquet(raw_path)
+        loaded = int(written.get["rows"])
         if last is not None:
             log.append_values(spark, source, last["d"], last["k"], now)
             log.compact(spark)

@@ -21,11 +21,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keyindex import BROADCAST_WORDS_MAX, KEYS_SCHEMA, absent_rows, key_words, merge_words, stored_words, write_index
+from ..operators.load import LoadResult
 from ..operators.normalize import batch_dedupe
 from ..schema import CREATED, EXPECTED_COLUMNS, RAW_SCHEMA
 from ..session import list_dirs, path_exists, remove_dir
@@ -107,9 +108,13 @@ class DeltaWarehouse:
         aggregates are computed from the added rows only. Loading a batch again
         replaces what it wrote.
         """
+        return self.load_counted(batch, batch_id) is not None
+
+    def load_counted(self, batch: DataFrame, batch_id: int) -> LoadResult | None:
+        """``load``, with its counters: distinct keys of the batch, and what the write itself saw of the added rows."""
         held, _ = self._manifest(self._version())
         if batch_id in held:
-            return False
+            return None
         own, keys = f"{self.root}/raw/{BATCH}={batch_id}", f"{self.root}/keys/{BATCH}={batch_id}"
         remove_dir(self.spark, keys)  # a replay's index must not outlive the rows it was made of
         deduped = batch_dedupe(batch).persist()
@@ -117,7 +122,11 @@ class DeltaWarehouse:
         stored = stored_words(words, self.key_index(without=batch_id)).persist()
         try:
             new = absent_rows(deduped, stored, small=stored.count() <= BROADCAST_WORDS_MAX)
-            new.select(*EXPECTED_COLUMNS).sortWithinPartitions(CREATED).write.mode("overwrite").parquet(own)
+            created, written = F.col(CREATED), Observation()  # behind the last shuffle: a task that runs again counts once
+            new.select(*EXPECTED_COLUMNS).sortWithinPartitions(CREATED).observe(
+                written, F.count(F.lit(1)).alias("rows"), F.min(created).alias("first"), F.max(created).alias("last"),
+                F.count_if(created.isNull()).alias("undated")).write.mode("overwrite").parquet(own)
+            keys_in = words.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0))).first()[0]
         finally:
             for df in (stored, words, deduped):
                 df.unpersist()
@@ -126,7 +135,9 @@ class DeltaWarehouse:
         sets = models.aggregate_sets(models.fact(models.enriched(stg)))
         sets.write.mode("overwrite").parquet(f"{self.root}/deltas/{BATCH}={batch_id}")
         models.dimension_sets(stg).write.mode("overwrite").parquet(f"{self.root}/dimensions/{BATCH}={batch_id}")
-        return True
+        got = written.get
+        return LoadResult(int(keys_in), int(got["rows"]), None, (got["first"], got["last"]) if got["first"] is not None else None,
+                          int(got["undated"]))
 
     # ---------------------------------------------------------------- reading
 

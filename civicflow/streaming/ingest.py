@@ -201,10 +201,11 @@ def ingest_stream_deltas(spark: SparkSession, landing: str, root: str, checkpoin
                     some.write.mode("overwrite").parquet(f"{quarantine}/{kind}/epoch_id={number}")
             counters.failed_cells += keep_failures(spark, landed, f"{quarantine}/failed_cells/epoch_id={number}")
             keyed = good.where(F.col(KEY).isNotNull())
-            warehouse.load(keyed, number)
+            result = warehouse.load_counted(keyed, number)
             warehouse.fold(fold_after)
-            added = warehouse.raw_of(number).count() if path_exists(spark, f"{root}/raw/batch_id={number}") else 0
-            result = LoadResult(keyed.select(KEY).distinct().count(), added, None, quarantined=aside[1])
+            if result is None:  # folded before: none of its rows were read
+                result = LoadResult(0, 0, None)
+            result.quarantined = aside[1]
         finally:
             rows.unpersist()
         counters.add(result, time.time() - t0, aside[0])

@@ -405,3 +405,18 @@ def test_stream_keeps_month_marts_fresh(spark, tmpdir_path):
         cols = sorted(getattr(want, name).columns)
         assert sorted(map(tuple, getattr(got, name).select(*cols).collect()), key=repr) == sorted(
             map(tuple, getattr(want, name).select(*cols).collect()), key=repr), name
+
+
+@pytest.mark.parametrize("by_month,most", [(False, L.BROADCAST_KEYS_MAX), (True, L.BROADCAST_KEYS_MAX), (False, 0), (True, 0)])
+def test_the_write_counts_what_it_adds(spark, tmpdir_path, monkeypatch, by_month, most):
+    monkeypatch.setattr(L, "BROADCAST_KEYS_MAX", most)
+    log = L.WatermarkLog(f"{tmpdir_path}/w")
+
+    def rows(keys):
+        return raw_rows(spark, [{"unique_key": k, "created_date": dt.datetime(2020, 1 + k % 3, 2) if k % 7 else None, "agency": "A"} for k in keys])
+
+    for keys, added in ((range(1, 30), 29), (range(1, 30), 0), ([*range(20, 40), 39, 39], 10), ([], 0)):
+        got = L.load_batch(spark, rows(keys) if len(keys) else rows([1]).limit(0), f"{tmpdir_path}/raw", log, dt.datetime(2021, 1, 1), by_month=by_month)
+        assert (got.rows_in, got.rows_loaded) == (len(set(keys)), added)
+        assert got.months == sorted({dt.date(2020, 1 + k % 3, 1) for k in keys if k % 7})
+    assert L.read_raw(spark, f"{tmpdir_path}/raw").count() == 39
