@@ -18,8 +18,20 @@ from .common import stored, table
 
 #: (verdict, host and path) of the registered query.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
-#: Public suffixes of two labels; any other suffix is the last label.
-SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in")
+#: Public suffixes of more than one label (registries, then hosting services under which
+#: strangers have names); any other suffix is the last label. ``judge_urls`` takes another list.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "plc.uk", "police.uk", "sch.uk",
+    "com.au", "net.au", "org.au", "edu.au", "gov.au", "id.au", "co.nz", "net.nz", "org.nz", "ac.nz", "govt.nz",
+    "co.jp", "ac.jp", "go.jp", "ne.jp", "or.jp", "co.kr", "go.kr", "or.kr", "ac.kr",
+    "com.cn", "net.cn", "org.cn", "edu.cn", "gov.cn", "com.hk", "com.tw", "org.tw", "edu.tw", "com.sg", "edu.sg", "gov.sg",
+    "com.my", "com.ph", "com.vn", "co.id", "ac.id", "go.id", "co.th", "ac.th", "go.th", "or.th",
+    "co.in", "net.in", "org.in", "ac.in", "gov.in", "nic.in", "com.pk", "com.bd",
+    "com.br", "net.br", "org.br", "gov.br", "edu.br", "com.mx", "org.mx", "gob.mx", "edu.mx", "com.ar", "gob.ar", "com.co", "com.pe",
+    "com.ve", "com.ec", "com.uy", "co.za", "org.za", "ac.za", "gov.za", "com.ng", "co.ke", "com.gh", "com.eg", "co.il", "org.il",
+    "ac.il", "com.tr", "org.tr", "edu.tr", "gov.tr", "com.sa", "com.ua", "com.pl", "org.pl", "com.pt", "com.gr", "co.at", "or.at",
+    "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app", "web.app", "workers.dev",
+    "wordpress.com", "s3.amazonaws.com", "s3-website.us-east-1.amazonaws.com")
 #: A host is blocked when its mean share of good pages plus Z standard deviations is under MIN_GOOD.
 MIN_GOOD = 0.5
 Z = 2.0
@@ -41,15 +53,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    last, two = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
-    return F.when(host.rlike(r"^[0-9.:]*$|^\["), host).when(two.isin(*SUFFIXES), two).otherwise(last)
+def _by_labels(suffixes: Sequence[str]) -> list[tuple[int, list[str]]]:
+    """Suffixes by their number of labels, fewest first."""
+    out: dict[int, list[str]] = {}
+    for x in suffixes:
+        out.setdefault(x.count(".") + 1, []).append(x)
+    return sorted(out.items())
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The longest of ``suffixes`` that ends the host by whole labels, else its last label; an address is its own suffix."""
+    out = F.substring_index(host, ".", -1)
+    for labels, known in _by_labels(suffixes):  # the last one, with most labels, is asked first
+        end = F.substring_index(host, ".", -labels)
+        out = F.when(end.isin(*known), end).otherwise(out)
+    return F.when(host.rlike(r"^[0-9.:]*$|^\["), host).otherwise(out)
 
 
 def domain_of(host: Column, suffix: Column) -> Column:
     """The suffix and one label more; an address is its own domain."""
-    return F.when(suffix == host, host).when(F.contains(suffix, F.lit(".")), F.substring_index(host, ".", -3)).otherwise(
-        F.substring_index(host, ".", -2))
+    labels = F.size(F.split(suffix, r"\.")) + 1
+    return F.when(suffix == host, host).otherwise(F.call_function("substring_index", host, F.lit("."), -labels))
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
@@ -73,7 +97,7 @@ def _strength(groups: DataFrame, mu: str) -> float:
     return 1 / rho - 1
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Posterior of every host: mean, deviation, n and k.
 
     ``outcomes`` has host and good (1, 0, or null where a page is unlabelled).
@@ -81,7 +105,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     label every mean is one half. Three one-row aggregates reach the driver.
     """
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
-    hosts = hosts.withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
+    hosts = hosts.withColumn("suffix", suffix_of(F.col("host"), suffixes)).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
     hosts = stored(hosts, "url_hosts")
     n, k = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
     mu = F.lit(float((k + 1) / (n + 2)))
@@ -103,7 +127,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = tuple(RULES), key: str = "page_id",
-               url: str = "url", label_key: str = "doc_id", min_good: float = MIN_GOOD, z: float = Z) -> DataFrame:
+               url: str = "url", label_key: str = "doc_id", min_good: float = MIN_GOOD, z: float = Z,
+               suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Host, path, rule, verdict, mean and bound of every page's url, one row per input row.
 
     A null url or one without ``://`` has an empty host and path and is judged
@@ -115,7 +140,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     good = labels.where(F.col("quality").isNotNull()).select(
         F.col(label_key).alias("page_id"),
         ((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1)).cast("int").alias("good"))
-    known = reputation(urls.select("page_id", "host").join(good, "page_id", "left").select("host", "good"))
+    known = reputation(urls.select("page_id", "host").join(good, "page_id", "left").select("host", "good"), suffixes)
     bound = F.col("mean") + z * F.col("deviation")
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return urls.join(known, "host").select(  # a hot host is one skewed key, which Spark splits
@@ -135,6 +160,11 @@ def _level_sql(groups: str) -> str:
             f"/ sum(n * (n - 1) * mu0 * (1 - mu0)))) end - 1 from {groups} where n > 0)")
 
 
+def _suffix_sql() -> str:
+    return " ".join(f"when array_to_string(p[-{labels}:], '.') in ({', '.join(repr(x) for x in known)}) then array_to_string(p[-{labels}:], '.')"
+                    for labels, known in reversed(_by_labels(SUFFIXES)))
+
+
 SQL = f"""
 with u as (
   select page_id,
@@ -144,10 +174,10 @@ o as (select u.host, case when quality = 1 and coalesce(toxic, 0) <> 1 then 1 wh
       from u left join (select * from labels where quality is not null) l on l.doc_id = u.page_id),
 h0 as (select host, count(good) as n, coalesce(sum(good), 0) as k, string_split(host, '.') as p from o group by host),
 h1 as (select *, case when regexp_matches(host, '^[0-9.:]*$|^\\[') then host
-                      when array_to_string(p[-2:], '.') in ({', '.join(f"'{s}'" for s in SUFFIXES)}) then array_to_string(p[-2:], '.')
+                      {_suffix_sql()}
                       else p[-1] end as suffix from h0),
-h as (select *, case when suffix = host then host when contains(suffix, '.') then array_to_string(p[-3:], '.')
-                     else array_to_string(p[-2:], '.') end as domain from h1),
+h as (select *, case when suffix = host then host
+                     else array_to_string(p[-(len(string_split(suffix, '.')) + 1):], '.') end as domain from h1),
 s0 as (select suffix, sum(n) as n, sum(k) as k, (select (sum(k) + 1.0::double) / (sum(n) + 2) from h) as mu0 from h group by suffix),
 s1 as (select suffix, (s * mu0 + k) / (s + n) as mean from s0, (select {_level_sql('s0')} as s)),
 d0 as (select h.suffix, domain, sum(n) as n, sum(k) as k, any_value(mean) as mu0 from h join s1 using (suffix) group by h.suffix, domain),

@@ -570,3 +570,15 @@ def test_plain_digits_are_a_phone_where_a_word_says_so():
         assert [f[2] for f in pii.detect(text)] == ["phone"]
     for text in ("id 7435553824", "at 1700000000 ms", "+0.123456789", "+1.23456789", "f(x)(2)34", "a + 12 345"):
         assert not pii.detect(text)
+
+
+def test_registered_domains(spark):
+    want = {"a.b.com.mx": ("com.mx", "b.com.mx"), "com.mx": ("com.mx", "com.mx"), "www.gov.uk": ("gov.uk", "www.gov.uk"),
+            "me.github.io": ("github.io", "me.github.io"), "x.y.s3.amazonaws.com": ("s3.amazonaws.com", "y.s3.amazonaws.com"),
+            "b.s3-website.us-east-1.amazonaws.com": ("s3-website.us-east-1.amazonaws.com", "b.s3-website.us-east-1.amazonaws.com"),
+            "www.example.com": ("com", "example.com"), "xcom.mx": ("mx", "xcom.mx"), "localhost": ("localhost", "localhost"),
+            "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "": ("", ""), "a.b.c.test": ("c.test", "b.c.test")}
+    rows = spark.createDataFrame([(h,) for h in want], "host string")
+    suffix = urls.suffix_of(F.col("host"), [*urls.SUFFIXES, "c.test"])
+    got = {r["host"]: (r["s"], r["d"]) for r in rows.select("host", suffix.alias("s"), urls.domain_of(F.col("host"), suffix).alias("d")).collect()}
+    assert got == want
