@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -231,7 +232,8 @@ def _set_aside(spark: SparkSession, rows: DataFrame, path: str) -> int:
 def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: WatermarkLog,
                now, source: str = SOURCE_NAME, created_is_immutable: bool = False,
                read_back: bool = True, by_month: bool = False,
-               quarantine_path: str | None = None) -> LoadResult:
+               quarantine_path: str | None = None,
+               dedupe: Callable[[DataFrame], DataFrame] = batch_dedupe) -> LoadResult:
     """One batch: dedupe, insert-if-absent into ``raw_path``, then advance the watermark.
 
     One aggregate over the cached batch gives its counts, ranges and months;
@@ -254,6 +256,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
 
     Rows without a key cannot enter the keyed table; with ``quarantine_path``
     they are appended there (and counted) instead of being left out silently.
+    ``dedupe`` picks the row of a key that the batch repeats.
     """
     rows = batch.persist()
     held = [rows]
@@ -273,7 +276,7 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
         if keyed == n:
             deduped = rows.where(k.isNotNull())
         else:
-            deduped = batch_dedupe(rows).persist()
+            deduped = dedupe(rows).persist()
             held.append(deduped)
         if n == 0:
             return LoadResult(0, 0, read_watermark(log.read(spark), source) if read_back else None,

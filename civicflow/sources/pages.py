@@ -6,6 +6,11 @@ page are counted again by second, microsecond and key range, and only they are
 read for that. Neighbouring buckets are joined into chunks before anything
 reaches the driver, so what it holds grows with the number of pages. A page is a
 closed range of (created, key) that reaches the scan as a filter.
+
+``ordered_pages`` cuts pages of exactly the page size instead, by one distributed
+sort of (created, key). Pages of either kind can be loaded many at a time:
+``joined_where`` reads them by as few ranges as they make, and
+``first_page_rows`` keeps what loading them one after the other would.
 """
 
 from __future__ import annotations
@@ -122,6 +127,76 @@ def _join_leaves(leaves: list[tuple], batch_size: int, last_created, last_key) -
     return pages
 
 
+def ordered_pages(rows: DataFrame, batch_size: int, last_created=None, last_key=None) -> list[Page]:
+    """Pages of ``batch_size`` rows (the last may hold fewer) over everything after the watermark, in (created, key) order.
+
+    Only the two columns are sorted, in ranges; a row's place is its place in
+    its range and the rows of the ranges before. Rows that share both columns
+    stay in one page. The driver holds one row a page and one a range.
+    """
+    placed = rows.where(F.col(CREATED).isNotNull() & F.col(KEY).isNotNull()).where(after(last_created, last_key))
+    pair = placed.select(F.col(CREATED).alias("d"), F.col(KEY).alias("k")).repartitionByRange("d", "k").sortWithinPartitions("d", "k")
+    held = pair.withColumn("id", F.monotonically_increasing_id()).persist()  # its ranges must be the same for both reads
+    try:
+        part, place = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+        ranges = held.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("d", "k")).alias("last"))
+        ranges = sorted(ranges.collect(), key=lambda r: r["part"])  # one row a range
+        if not ranges:
+            return []
+        starts, total = [], 0
+        for r in ranges:
+            starts.append((r["part"], total))
+            total += r["n"]
+        first = F.broadcast(rows.sparkSession.createDataFrame(starts, "part long, start long"))
+        ends = held.withColumn("part", part).join(first, "part").where((F.col("start") + place + 1) % int(batch_size) == 0)
+        ends = [(r["d"], r["k"], r["n"]) for r in ends.select("d", "k", (F.col("start") + place + 1).alias("n")).orderBy("n").collect()]
+    finally:
+        held.unpersist()
+    final = (ranges[-1]["last"]["d"], ranges[-1]["last"]["k"])
+    if not ends or ends[-1][:2] != final:
+        ends.append((*final, total))
+    pages, at, before = [], (last_created, last_key), 0
+    for i, (d, k, n) in enumerate(ends):
+        if i + 1 < len(ends) and ends[i + 1][:2] == (d, k):  # the same row repeated over a page's end
+            continue
+        pages.append(Page(len(pages), *at, d, k, n - before))
+        at, before = (d, k), n
+    return pages
+
+
+def joined_where(pages: list[Page]) -> Column:
+    """Rows of any of ``pages`` (in order): neighbours make one range, and the span of all reaches the scan."""
+    runs: list[Page] = []
+    for p in pages:
+        if runs and (runs[-1].last_created, runs[-1].last_key) == (p.after_created, p.after_key):
+            runs[-1] = runs[-1]._replace(last_created=p.last_created, last_key=p.last_key, rows=runs[-1].rows + p.rows)
+        else:
+            runs.append(p)
+    keep = F.lit(False)
+    for run in runs:
+        keep = keep | run.where()
+    span = F.col(CREATED) <= as_ntz(pages[-1].last_created)
+    if pages[0].after_created is not None:
+        span = span & (F.col(CREATED) >= as_ntz(pages[0].after_created))
+    return span & keep
+
+
+def first_page_rows(rows: DataFrame, pages: list[Page]) -> DataFrame:
+    """One row a key of the dated rows of ``pages`` (in order): that which ``batch_dedupe`` picks in the first page that has the key.
+
+    So many pages loaded at once leave what the same pages leave when they are
+    loaded one by one and a stored key stays. One aggregate, as ``batch_dedupe``.
+    """
+    ends = [(p.last_created, p.last_key) for p in pages[:-1]]
+    table = rows.sparkSession.createDataFrame([(ends,)], "_ends array<struct<d:timestamp_ntz,k:bigint>>")
+    at = F.struct(F.col(CREATED).alias("d"), F.col(KEY).cast("long").alias("k"))
+    earlier = F.size(F.filter("_ends", lambda e: e < at))
+    others = [CREATED, *(c for c in rows.columns if c not in (KEY, CREATED))]
+    best = F.max(F.struct((-earlier).alias("_first"), *others)).alias("_row")
+    numbered = rows.where(F.col(KEY).isNotNull()).crossJoin(F.broadcast(table))
+    return numbered.groupBy(KEY).agg(best).select(*(c if c == KEY else F.col(f"_row.{c}").alias(c) for c in rows.columns))
+
+
 def read_page(rows: DataFrame, page: Page) -> DataFrame:
     """The rows of one page (unordered; the range reaches the scan)."""
     return rows.where(page.where())

@@ -8,9 +8,9 @@ append -> watermark):
   The checkpoint records which files each micro-batch took, so a restarted
   query (or a lost executor, by task retry) neither skips nor repeats a file,
   and a replayed micro-batch adds nothing because the load is insert-if-absent.
-* ``ingest_pages``: the keyset page loop over a table (extract after the
-  watermark, load, re-read the watermark) until nothing is left, then the rows
-  that no page can hold (without a creation time or a key).
+* ``ingest_pages``: the keyset page loop over a table (cut pages after the
+  watermark, load them many at a time, re-read the watermark) until nothing is
+  left, then the rows that no page can hold (without a creation time or a key).
 * ``ingest_planned``: the same rows by planned pages: one histogram sets every
   page, a stream over the plan loads them, its checkpoint says which are done.
 """
@@ -28,13 +28,16 @@ from pyspark.sql import types as T
 
 from ..operators.latest import load_latest
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
-from ..operators.normalize import LEDGER_SCHEMA, conform, conform_with_failures, failed_cells
-from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
+from ..operators.normalize import LEDGER_SCHEMA, batch_dedupe, conform, conform_with_failures, failed_cells
 from ..functions import as_ntz
-from ..session import path_exists
-from ..sources.extract import keyset_page
+from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
+from ..session import list_files, path_exists
 from ..sources.files import CORRUPT
-from ..sources.pages import Page, plan_pages, planned_stream, publish_plan
+from ..sources.pages import Page, first_page_rows, joined_where, ordered_pages, plan_pages, planned_stream, publish_plan
+
+# Rows of the pages that the page loop loads at once, and most loads that a plan of pages is dealt into.
+LOAD_ROWS = 2_000_000
+LOADS_MAX = 16
 
 
 @dataclass
@@ -233,35 +236,54 @@ def start_ingest_stream(spark: SparkSession, landing: str, raw_path: str, log_pa
     return query, counters
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows of pages dealt over all cores: a large file of the source is one task's, or a few tasks'."""
+    return rows.repartition(CREATED, KEY)
+
+
 def ingest_pages(spark: SparkSession, source_df: DataFrame, raw_path: str, log_path: str,
                  batch_size: int = DEFAULT_BATCH_SIZE, start_date: _dt.datetime | None = None,
                  now=None, source: str = SOURCE_NAME, max_batches: int | None = None) -> RunCounters:
     """Page through ``source_df`` in (created, key) order after the stored watermark.
 
-    Pages hold rows with a creation time and a key, so an empty page is the end
+    Pages hold rows with a creation time and a key, so no page is the end
     and the page size cannot change what is loaded. A last step loads the keyed
     rows without a creation time and quarantines the keyless ones, once each.
+
+    Pages are cut by one sort and loaded many at a time, as a load reads the
+    source and probes the target whatever its size: as many as make
+    ``LOAD_ROWS`` rows, or more if that makes over ``LOADS_MAX`` loads. What is
+    stored is what loading them one by one stores. The watermark moves with a
+    load, so a run that was killed repeats one load, which adds no row twice.
+    ``batches`` counts pages, ``per_batch`` has one entry a load.
     """
     log = WatermarkLog(log_path)
     counters = RunCounters()
     rows = conform(source_df)
-    placed = F.col(CREATED).isNotNull() & F.col(KEY).isNotNull()
+    size = int(batch_size)
 
-    def load(page: DataFrame) -> LoadResult:
-        t0 = time.time()
+    def load(some: DataFrame, dedupe=batch_dedupe) -> LoadResult:
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        result = load_batch(spark, page, raw_path, log, when, source, quarantine_path=f"{quarantine_of(raw_path)}/keyless")
-        if result.rows_in or result.quarantined:
-            counters.add(result, time.time() - t0)
-        return result
+        return load_batch(spark, some, raw_path, log, when, source, quarantine_path=f"{quarantine_of(raw_path)}/keyless", dedupe=dedupe)
 
     last_date, last_key = resume_point(read_watermark(log.read(spark), source), start_date)
     while max_batches is None or counters.batches < max_batches:
-        result = load(keyset_page(rows.where(placed), batch_size, last_date, last_key))
-        if result.rows_in == 0:
-            load(rows.where(~placed))
+        pages = ordered_pages(rows, size, last_date, last_key)
+        if not pages:
+            t0 = time.time()
+            result = load(rows.where(F.col(CREATED).isNull() | F.col(KEY).isNull()))
+            if result.rows_in or result.quarantined:
+                counters.add(result, time.time() - t0)
             break
-        last_date, last_key = result.watermark
+        if max_batches is not None:
+            pages = pages[:max_batches - counters.batches]
+        at_once = max(-(-LOAD_ROWS // size), -(-len(pages) // LOADS_MAX))
+        for i in range(0, len(pages), at_once):
+            t0, some = time.time(), pages[i:i + at_once]
+            result = load(spread(rows.where(joined_where(some))), lambda held, of=some: first_page_rows(held, of))
+            counters.add(result, time.time() - t0)
+            counters.batches += len(some) - 1
+            last_date, last_key = result.watermark
     return counters
 
 

@@ -15,7 +15,7 @@ from civicflow.operators.normalize import conform, conform_with_failures, failed
 from civicflow.plans import models
 from civicflow.plans.deltas import DeltaWarehouse
 from civicflow.sources.extract import keyset_page
-from civicflow.sources.pages import plan_pages, read_page
+from civicflow.sources.pages import first_page_rows, joined_where, ordered_pages, plan_pages, read_page
 
 NOW = dt.datetime(2026, 5, 1)
 
@@ -97,6 +97,44 @@ def test_planned_ingest_equals_the_page_loop(spark, source):
     assert again.loaded == 0 and read_raw(spark, a[0]).count() == read_raw(spark, b[0]).count()
 
 
+@pytest.mark.parametrize("size", [300, 10_000])
+def test_ordered_pages_are_full(source, size):
+    placed = sorted((r for r in hot_rows() if r[0] is not None and r[1] is not None), key=order)
+    pages = ordered_pages(source, size)
+    assert len(pages) == -(-len(placed) // size) and sum(p.rows for p in pages) == len(placed)
+    assert [(p.last_created, p.last_key) for p in pages] == [order(r)[:2] for r in [*placed[size - 1::size], placed[-1]]][:len(pages)]
+    assert ordered_pages(source, size, ts("2030-01-01"), 1) == [] == ordered_pages(source.limit(0), size)
+
+
+def versions(spark):
+    """Keys that come back on later pages with other values."""
+    rows = [(k, ts("2026-01-01") + dt.timedelta(hours=h), f"at {h}") for h in range(60) for k in {h, h // 2, 99}]
+    return spark.createDataFrame(rows, "unique_key long, created_date timestamp_ntz, agency string")
+
+
+def one_by_one(rows, units):
+    """(key, value) stored by units of pages one after the other."""
+    held = {}
+    for unit in units:
+        best = {}
+        for r in rows.where(joined_where(unit)).select("unique_key", "created_date", "agency").collect():
+            best[r[0]] = max(best.get(r[0], (r[1], r[2])), (r[1], r[2]))
+        held = best | held
+    return sorted((k, v[1]) for k, v in held.items())
+
+
+def test_pages_loaded_at_once_store_what_single_pages_store(spark):
+    rows, a = versions(spark), paths()
+    pages = ordered_pages(rows, 7)
+    want = one_by_one(rows, [[p] for p in pages])
+    got = first_page_rows(rows, pages)
+    assert sorted((r[0], r[1]) for r in got.select("unique_key", "agency").collect()) == want
+    assert got.columns == rows.columns
+    run = I.ingest_pages(spark, rows, *a[:2], batch_size=7, now=NOW)
+    assert sorted((r[0], r[1]) for r in read_raw(spark, a[0]).select("unique_key", "agency").collect()) == want
+    assert (run.batches, len(run.per_batch), run.loaded) == (len(pages), 1, len(want))  # was a load for each page
+
+
 def test_a_killed_plan_is_finished_and_loads_no_row_twice(spark, source, monkeypatch):
     a, real, calls = paths(), I.load_batch, []
 
