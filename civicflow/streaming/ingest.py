@@ -29,7 +29,6 @@ from pyspark.sql import types as T
 from ..operators.latest import load_latest
 from ..operators.load import LoadResult, WatermarkLog, load_batch, read_raw, read_watermark, resume_point
 from ..operators.normalize import LEDGER_SCHEMA, batch_dedupe, conform, conform_with_failures, failed_cells
-from ..functions import as_ntz
 from ..schema import CREATED, DEFAULT_BATCH_SIZE, KEY, LANDING_SCHEMA, SOURCE_NAME
 from ..session import list_files, path_exists
 from ..sources.files import CORRUPT
@@ -299,33 +298,35 @@ def ingest_planned(spark: SparkSession, source_df: DataFrame, raw_path: str, log
     as the load is insert-if-absent, adds none of them twice. Ends with the
     keyed rows without a creation time and the quarantine of keyless ones, as
     ``ingest_pages`` does.
+
+    A micro-batch takes ``pages_per_batch`` pages, or whole multiples of them
+    where a plan would make more than ``LOADS_MAX`` micro-batches, as each reads
+    the source and probes the target once. What is stored is what groups of
+    ``pages_per_batch`` pages, loaded one after the other, store.
     """
     log, counters = WatermarkLog(log_path), RunCounters()
     rows = conform(source_df)
     quarantine = f"{quarantine_of(raw_path)}/keyless"
 
-    def load(batch: DataFrame) -> None:
+    def load(batch: DataFrame, dedupe=batch_dedupe) -> None:
         t0 = time.time()
         when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         result = load_batch(spark, batch, raw_path, log, when, source, quarantine_path=quarantine, read_back=False,
-                            created_is_immutable=created_is_immutable)
+                            created_is_immutable=created_is_immutable, dedupe=dedupe)
         if result.rows_in or result.quarantined:
             counters.add(result, time.time() - t0)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        ranges = [Page(*r) for r in batch.orderBy("page").collect()]  # pages_per_batch rows
-        if ranges:
-            keep = F.lit(False)
-            for page in ranges:
-                keep = keep | page.where()
-            first, final = ranges[0], ranges[-1]
-            span = F.col(CREATED) <= as_ntz(final.last_created)
-            if first.after_created is not None:
-                span = span & (F.col(CREATED) >= as_ntz(first.after_created))
-            load(rows.where(span).where(keep))
+        pages = [Page(*r) for r in batch.orderBy("page").collect()]  # the micro-batch's pages, a row each
+        if pages:
+            ends = {p.page // pages_per_batch: p for p in pages}  # the last page of each group
+            load(spread(rows.where(joined_where(pages))), lambda held: first_page_rows(held, list(ends.values())))
 
     def drain(number: int) -> None:
-        query = (planned_stream(spark, f"{plan_root}/{number}/pages", pages_per_batch).writeStream.foreachBatch(per_batch)
+        plan = f"{plan_root}/{number}/pages"
+        n = sum(not name.startswith(("_", ".")) for name in list_files(spark, plan))  # one file a page
+        at_once = pages_per_batch * -(-n // (pages_per_batch * LOADS_MAX))
+        query = (planned_stream(spark, plan, at_once).writeStream.foreachBatch(per_batch)
                  .option("checkpointLocation", f"{plan_root}/{number}/checkpoint").trigger(availableNow=True).start())
         query.awaitTermination()
         if query.exception() is not None:

@@ -135,6 +135,16 @@ def test_pages_loaded_at_once_store_what_single_pages_store(spark):
     assert (run.batches, len(run.per_batch), run.loaded) == (len(pages), 1, len(want))  # was a load for each page
 
 
+def test_a_long_plan_makes_a_bounded_number_of_loads(spark, monkeypatch):
+    rows, a = versions(spark), paths()
+    pages = plan_pages(rows, 4)
+    monkeypatch.setattr(I, "LOADS_MAX", 3)
+    run = I.ingest_planned(spark, rows, *a, batch_size=4, now=NOW, pages_per_batch=2)
+    assert len(pages) > 20 and run.batches == 3  # was one for every two pages
+    want = one_by_one(rows, [pages[i:i + 2] for i in range(0, len(pages), 2)])
+    assert sorted((r[0], r[1]) for r in read_raw(spark, a[0]).select("unique_key", "agency").collect()) == want
+
+
 def test_a_killed_plan_is_finished_and_loads_no_row_twice(spark, source, monkeypatch):
     a, real, calls = paths(), I.load_batch, []
 
