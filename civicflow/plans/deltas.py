@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keyindex import BROADCAST_WORDS_MAX, KEYS_SCHEMA, absent_rows, key_words, merge_words, stored_words, write_index
+from ..operators.keyindex import BROADCAST_WORDS_MAX, KEYS_SCHEMA, absent_rows, bit_of, key_words, stored_words, word_of, write_index
 from ..operators.load import LoadResult
 from ..operators.normalize import batch_dedupe
-from ..schema import CREATED, EXPECTED_COLUMNS, RAW_SCHEMA
+from ..schema import CREATED, EXPECTED_COLUMNS, KEY, RAW_SCHEMA
 from ..session import list_dirs, path_exists, remove_dir
 from . import models
 
@@ -106,7 +106,8 @@ class DeltaWarehouse:
 
         Reads the batch and the key index within the batch's key range; the
         aggregates are computed from the added rows only. Loading a batch again
-        replaces what it wrote.
+        replaces what it wrote. The batch is read twice, its keys and then its
+        rows, and must give the same rows both times (cache it if it may not).
         """
         return self.load_counted(batch, batch_id) is not None
 
@@ -117,18 +118,22 @@ class DeltaWarehouse:
             return None
         own, keys = f"{self.root}/raw/{BATCH}={batch_id}", f"{self.root}/keys/{BATCH}={batch_id}"
         remove_dir(self.spark, keys)  # a replay's index must not outlive the rows it was made of
-        deduped = batch_dedupe(batch).persist()
-        words = key_words(deduped).persist()
+        keyed = batch.where(F.col(KEY).isNotNull())
+        key = F.col(KEY).cast("long")
+        counted = keyed.groupBy(word_of(key).alias("word")).agg(F.bit_or(bit_of(key)).alias("bits"), F.count(F.lit(1)).alias("n")).persist()
+        words = counted.select("word", "bits")
         stored = stored_words(words, self.key_index(without=batch_id)).persist()
         try:
+            keys_in, rows_in = counted.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+            # the wide dedupe runs only when the batch really repeats a key
+            deduped = keyed if keys_in == rows_in else batch_dedupe(keyed)
             new = absent_rows(deduped, stored, small=stored.count() <= BROADCAST_WORDS_MAX)
             created, written = F.col(CREATED), Observation()  # behind the last shuffle: a task that runs again counts once
             new.select(*EXPECTED_COLUMNS).sortWithinPartitions(CREATED).observe(
                 written, F.count(F.lit(1)).alias("rows"), F.min(created).alias("first"), F.max(created).alias("last"),
                 F.count_if(created.isNull()).alias("undated")).write.mode("overwrite").parquet(own)
-            keys_in = words.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0))).first()[0]
         finally:
-            for df in (stored, words, deduped):
+            for df in (stored, counted):
                 df.unpersist()
         write_index(key_words(self.spark.read.schema(RAW_SCHEMA).parquet(own)), keys)
         stg = models.staging(self.spark.read.schema(RAW_SCHEMA).parquet(own))

@@ -249,6 +249,20 @@ def models_dedupe(b):
     return batch_dedupe(b)
 
 
+def test_only_repeated_keys_are_deduped(spark, monkeypatch):
+    import civicflow.plans.deltas as D
+
+    calls, real = [], D.batch_dedupe
+    monkeypatch.setattr(D, "batch_dedupe", lambda rows: calls.append(1) or real(rows))
+    w = DeltaWarehouse(spark, tempfile.mkdtemp(prefix="civicflow-test-", dir="/tmp") + "/w")
+    batch = raw_rows(spark, [request(k, 1 + k % 3) for k in range(-70, 70)] + [{"unique_key": None, "agency": "A"}])
+    assert (w.load_counted(batch, 0).rows_loaded, calls) == (140, [])  # was sorted and shuffled whole
+    more = raw_rows(spark, [request(k, 2) for k in range(60, 80)] + [request(75, 3, agency="later")])
+    got = w.load_counted(more, 1)
+    assert (got.rows_in, got.rows_loaded, calls) == (20, 10, [1])
+    assert [r[0] for r in w.raw().where("unique_key = 75").select("agency").collect()] == ["later"]
+
+
 def test_a_crash_in_a_load_or_fold_changes_nothing(spark, monkeypatch):
     w = DeltaWarehouse(spark, tempfile.mkdtemp(prefix="civicflow-test-", dir="/tmp") + "/w")
     first, second = (raw_rows(spark, [request(k, 1 + k % 3) for k in ks]) for ks in (range(6), range(4, 9)))
