@@ -100,3 +100,14 @@ def test_arrays_of_bounded_size(spark, tmpdir_path):
     back = files.read_json_array(spark, f"{tmpdir_path}/out")
     assert back.count() == 2500 and back.select("unique_key").distinct().count() == 2500
     assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 400
+
+
+def test_the_text_is_shuffled_once(spark, tmpdir_path, monkeypatch):
+    import civicflow.sources.arrays as A
+
+    seen, real = [], A._started
+    monkeypatch.setattr(A, "_started", lambda lines, start: seen.append("value" in lines.columns) or real(lines, start))
+    spark.createDataFrame([('[{"a": "1}é"},{"a": "2"}]',)], "value string").coalesce(1).write.text(f"{tmpdir_path}/in")
+    got = A.split_json_arrays(spark, f"{tmpdir_path}/in", 4)
+    assert got.pieces.where("element < 2").count() == 2 and got.problems().count() == 0
+    assert seen == [False, False, True]  # the first window sorted the text as well
