@@ -347,11 +347,13 @@ def ingest_planned(spark: SparkSession, source_df: DataFrame, raw_path: str, log
 
 
 def land_as_json(df: DataFrame, landing: str, files: int) -> None:
-    """Write records as JSON-lines files (NULL fields omitted, so keys vary by record)."""
-    (df.repartition(int(files), F.col("unique_key"))
-     .write.mode("overwrite")
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-     .json(landing))
+    """Write records as JSON-lines files (NULL fields omitted, so keys vary by record).
+
+    The records become text in the tasks that read them; the few tasks that
+    write the files only copy it.
+    """
+    text = F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
+    df.select(text, F.col("unique_key").alias("_key")).repartition(int(files), "_key").select("value").write.mode("overwrite").text(landing)
 
 
 def backfill_json(spark: SparkSession, path: str, raw_path: str, log_path: str, now=None,

@@ -420,3 +420,17 @@ def test_the_write_counts_what_it_adds(spark, tmpdir_path, monkeypatch, by_month
         assert (got.rows_in, got.rows_loaded) == (len(set(keys)), added)
         assert got.months == sorted({dt.date(2020, 1 + k % 3, 1) for k in keys if k % 7})
     assert L.read_raw(spark, f"{tmpdir_path}/raw").count() == 39
+
+
+def test_landing_writes_text_made_before_its_shuffle(spark, tmpdir_path, monkeypatch):
+    from civicflow.streaming import land_as_json
+
+    df = raw_rows(spark, [{"unique_key": k, "created_date": ts("2026-01-05 10:00:00"), "agency": None if k % 2 else 'A "é"'} for k in range(6)]
+                  + [{"unique_key": None, "agency": None}])
+    df.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(f"{tmpdir_path}/want")
+    dealt, real = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, *a: dealt.append(self.columns) or real(self, *a))
+    land_as_json(df, f"{tmpdir_path}/got", files=2)
+    assert dealt == [["value", "_key"]]  # the rows were dealt, and turned to text by two tasks
+    lines = [sorted(r[0] for r in spark.read.text(f"{tmpdir_path}/{x}").collect()) for x in ("got", "want")]
+    assert lines[0] == lines[1] and len(lines[0]) == 7
