@@ -23,6 +23,7 @@ from civicflow.plans import marts as M
 from civicflow.plans import queries as Q
 from civicflow.plans.deltas import DeltaWarehouse
 from civicflow.plans.published import open_published, publish
+from civicflow.schema import RAW_SCHEMA
 from civicflow.session import path_exists, scratch_path
 from civicflow.sources import extract as S
 from civicflow.sources import testdata
@@ -75,8 +76,8 @@ def _built(spark: SparkSession, sf_dir: str, layout: str = "flat") -> M.Marts:
     at = (spark.sparkContext.applicationId, sf_dir, layout)
     if at not in _BUILT or not path_exists(spark, f"{_BUILT[at][1]}/marts/dim_date"):
         base = scratch_path(spark, f"warehouse_{layout}")
-        _raw(spark, sf_dir).write.parquet(f"{base}/raw")
-        raw = spark.read.parquet(f"{base}/raw")
+        _raw(spark, sf_dir).select(*testdata.PRESENT_COLUMNS).write.parquet(f"{base}/raw")  # the others are null, as the schema reads them
+        raw = spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw")
         watermark_after(spark, raw, now=NOW).write.parquet(f"{base}/watermark")
         old = raw.where(F.col("created_date") < F.lit(O.REFRESH_FROM).cast("timestamp_ntz")) if layout == "refreshed" else raw
         M.materialize(spark, M.derive(spark, old, calendar=M.TESTDATA_CALENDAR), f"{base}/out", by_month=layout != "flat")
@@ -86,7 +87,7 @@ def _built(spark: SparkSession, sf_dir: str, layout: str = "flat") -> M.Marts:
                 M.refresh_months(spark, f"{base}/out", raw, M.months_between(_ts(O.REFRESH_FROM), last))
         _BUILT[at] = f"{base}", f"{base}/out"
     base, out = _BUILT[at]
-    return M.load(spark, out, spark.read.parquet(f"{base}/raw"), spark.read.parquet(f"{base}/watermark"))
+    return M.load(spark, out, spark.read.schema(RAW_SCHEMA).parquet(f"{base}/raw"), spark.read.parquet(f"{base}/watermark"))
 
 
 def entry(spark: SparkSession) -> DataFrame:

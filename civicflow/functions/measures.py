@@ -16,8 +16,20 @@ def _col(c) -> Column:
 
 
 def grid(c) -> Column:
-    """Coordinate rounded half away from zero to the grid, from its double's 15 significant digits."""
+    """Coordinate rounded half away from zero to the grid, from its double's 15 significant digits.
+
+    Below 1000 those digits move a coordinate by less than 1e-12, so only one
+    near the middle of two cells needs them; any other is rounded as a double.
+    """
     d = _col(c).cast("double")
+    scaled = F.abs(d) * F.lit(10.0 ** GRID_DECIMALS)
+    cells = F.floor(scaled + F.lit(0.5))
+    clear = (F.abs(d) < 1000) & (F.abs(scaled - F.floor(scaled) - F.lit(0.5)) > F.lit(1e-6))
+    near = (F.when(d < 0, -cells).otherwise(cells).cast("double") / F.lit(10.0 ** GRID_DECIMALS)).cast(GRID_TYPE)
+    return F.when(clear, near).otherwise(_grid_of_digits(d))
+
+
+def _grid_of_digits(d: Column) -> Column:
     exact, size = d.cast("decimal(38,18)"), F.abs(d)
     digits = F.when(size >= 100, F.round(exact, 12).cast("decimal(38,18)")).when(
         size >= 10, F.round(exact, 13).cast("decimal(38,18)")).when(

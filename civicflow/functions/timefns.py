@@ -28,8 +28,7 @@ def _col(c) -> Column:
 
 def micros_between(start, end) -> Column:
     """Signed microseconds from ``start`` to ``end`` (bigint, exact, zone-free)."""
-    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(20,6)")
-    return (seconds * F.lit(1_000_000)).cast("long")
+    return F.call_function("div", (_col(end) - _col(start)).cast("interval second"), F.expr("interval '0.000001' second"))
 
 
 def epoch_micros(ts) -> Column:

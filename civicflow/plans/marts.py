@@ -151,7 +151,8 @@ def months_between(first, last) -> list[_dt.date]:
 def _write_months(spark: SparkSession, raw: DataFrame, root: str, months: list | None) -> None:
     """Build fact, aggregates and per-month dimension sets for ``months`` (None: all)
     from ``raw`` and write them partitioned by creation month. With a month list,
-    only those month directories are replaced (dynamic partition overwrite)."""
+    only those month directories are replaced (dynamic partition overwrite). Raw is
+    read once for the fact and once for the three dimensions' sets together."""
     created = F.col("created_date")
     part = raw
     if months is not None:
@@ -191,9 +192,9 @@ def _write_months(spark: SparkSession, raw: DataFrame, root: str, months: list |
     write(fct, "marts", "fct")
     fct_w = read_back("marts", "fct").drop(MONTH)
 
-    dims = models.split_dimensions(
-        models.dimension_sets(stg.withColumn(MONTH, _month_of("created_at")), by=MONTH), by=MONTH)
-    for name, df in dims.items():
+    write(models.dimension_sets(stg.withColumn(MONTH, _month_of("created_at")), by=MONTH), "staging", "dimension_sets")
+    dim_sets = read_back("staging", "dimension_sets").withColumn(MONTH, F.col(MONTH).cast("date"))  # undated months alone have no type
+    for name, df in models.split_dimensions(dim_sets, by=MONTH).items():
         write(df, "marts", name)
 
     sets = models.aggregate_sets(fct_w)

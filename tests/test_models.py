@@ -52,6 +52,15 @@ def test_grid_rounding_half_away_from_zero(spark):
     assert got[2].has_location_data is False
 
 
+def test_grid_of_doubles_equals_grid_of_digits(spark):
+    from civicflow.functions.measures import _grid_of_digits, grid
+    near = [s * (n + h) / 100 for n in (0, 1, 99, 4070, 7400, 99_999) for h in (0.5, 0.4999999, 0.5000001, 0.25, 0.0) for s in (1, -1)]
+    values = [*near, 40.705, -74.005, 1.005, 40.70499999999999, 40.70500000000001, 0.0, -0.0, 1e-9, 999.994, 999.995, 1000.005, 123456.785, None]
+    df = spark.createDataFrame([(x,) for x in values], "x double").select(grid("x").alias("a"), _grid_of_digits(F.col("x")).alias("b"))
+    assert df.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert df.schema["a"].dataType == df.schema["b"].dataType
+
+
 def test_aggregates_count_open_and_average_closed(spark):
     c = ts("2026-01-05 10:00:00")
     rows = [
@@ -150,6 +159,35 @@ def test_materialized_marts_equal_lazy(spark, tmpdir_path):
     assert w.dim_date.count() == m.dim_date.count()
 
 
+def test_month_layout_reads_raw_once_for_all_dimensions(spark, tmpdir_path):
+    """A build by months takes two passes over raw: the fact's, and one for the sets of the three dimensions."""
+    rows = [{"unique_key": i, "created_date": ts(f"2001-0{1 + i % 3}-05 10:00:00") if i else None, "agency": f"A{i % 2}", "borough": "B"}
+            for i in range(12)]
+    raw, read = raw_rows(spark, rows).coalesce(1), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    m = M.derive(spark, raw.mapInArrow(counted, raw.schema), calendar=M.TESTDATA_CALENDAR)
+    built = M.materialize(spark, m, "file://" + tmpdir_path, by_month=True)
+    assert read.value == 2 * len(rows)
+    for name in ("dim_agency", "dim_borough", "dim_complaint_type"):
+        _same(getattr(built, name), getattr(M.derive(spark, raw), name))
+
+
+def test_stored_requests_read_as_the_whole_contract(spark):
+    """The stored raw of the registered warehouse holds the filled columns only, and reads as the contract's rows."""
+    import __spark_entry__ as E
+    from civicflow.schema import RAW_SCHEMA
+    sf = "/root/testdata/sf0.001"
+    built = E._built(spark, sf, "monthly").raw
+    assert built.columns == RAW_SCHEMA.names
+    assert spark.read.parquet(E._BUILT[(spark.sparkContext.applicationId, sf, "monthly")][0] + "/raw").columns == M.testdata.PRESENT_COLUMNS
+    _same(built, E._raw(spark, sf))
+
+
 def test_month_layout_and_refresh_equal_full_builds(spark, tmpdir_path):
     from conftest import raw_rows, ts
     base = M.from_testdata(spark, "/root/testdata/sf0.001")
