@@ -177,6 +177,22 @@ def test_month_layout_reads_raw_once_for_all_dimensions(spark, tmpdir_path):
         _same(getattr(built, name), getattr(M.derive(spark, raw), name))
 
 
+def test_refresh_reads_raw_once_for_all_dimensions(spark, tmpdir_path):
+    rows = [{"unique_key": i, "created_date": ts(f"2001-0{1 + i % 3}-05 10:00:00"), "agency": f"A{i % 2}", "borough": f"B{i % 3}"} for i in range(12)]
+    raw, read = raw_rows(spark, rows).coalesce(1), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    old = raw.where("month(created_date) < 3")
+    M.materialize(spark, M.derive(spark, old, calendar=M.TESTDATA_CALENDAR), "file://" + tmpdir_path, by_month=True)
+    built = M.refresh_months(spark, "file://" + tmpdir_path, raw.mapInArrow(counted, raw.schema), [dt.date(2001, 3, 1)])
+    assert read.value == 2 * len(rows)  # before the filter by month
+    _same(built.dim_borough, M.derive(spark, raw).dim_borough)
+
+
 def test_stored_requests_read_as_the_whole_contract(spark):
     """The stored raw of the registered warehouse holds the filled columns only, and reads as the contract's rows."""
     import __spark_entry__ as E
