@@ -6,22 +6,27 @@ table there is a customer of the shared parent, the restaurant of single words,
 whose tables come from a uniform base. Seatings are sampled by Gibbs: a pass
 redraws the tables of every word pair given the totals of the pass before, then
 those of every word in the parent, and predictive probabilities are averaged
-over the kept samples. Pairs, words and totals per context are tables; only
-sums over all words reach the driver. A pair met once has one table in every
-sample, so the passes read the repeated pairs only.
-
-Texts are met in blocks of whole documents: a block sends each of its distinct
-words and word pairs once, and receives each once with its counts and samples
-(a pair that no other training document holds needs no answer).
+over the kept samples. Only sums over all words reach the driver. A pair met
+once has one table in every sample, so the passes read the repeated pairs only.
+
+Texts are met in blocks of whole documents, words in buckets by hash, and pairs
+in cells, one for each bucket of contexts and bucket of words. What one sends
+another is a parcel of packed arrays: a block sends each of its words and pairs
+once and receives their counts and samples in the same order; a cell asks each
+of its two buckets for the words of its repeated pairs once, and each pass sends
+numbers in that order. So no word and no pair is a row, and a frequent context's
+pairs lie in as many cells as there are buckets.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +43,6 @@ THETA = 1.0
 #: further customers open are added by their expected number, in steps of a twentieth.
 EXACT = 100
 END = U(0x0E4D0E4D0E4D0E4D)  # the end token's hash; as a context, a document's start
-NONE = U(0x0D1DEC700D1DEC70)  # context of tokens that sit in the parent directly, when contexts are limited
-PACK = 64  # documents per compressed parcel on their way to their block's words
 
 
 def held_out(key: str) -> Column:
@@ -69,16 +72,6 @@ def tokens(columns: list[pa.Array]) -> Tokens:
     return Tokens(np.concatenate([np.zeros(0, U), *hashes]), doc, np.searchsorted(doc, np.arange(at)))
 
 
-def contexts_of(t: Tokens, frequent: np.ndarray | None = None) -> np.ndarray:
-    """Restaurant of each token: the word before it, END at a start; NONE after words not in ``frequent`` (sorted), if given."""
-    before = np.empty_like(t.hash)
-    before[1:] = t.hash[:-1]
-    if frequent is not None:
-        before[~_among(frequent, before)[1]] = NONE
-    before[t.first] = END
-    return before
-
-
 def _among(values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each of ``x`` in sorted ``values``, and whether it is there."""
     if not len(values):
@@ -119,27 +112,6 @@ def _block_words(docs: DataFrame) -> DataFrame:
     return docs.select("block", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), "block long, w long, n long")
 
 
-def _distinct_pairs(t: Tokens, ctx: np.ndarray, train: np.ndarray):
-    """Distinct (context, word) of a block: hash (sorted), first place, place of each token's pair, training count."""
-    h, first, inverse = np.unique(pair_hash(ctx, t.hash), return_index=True, return_inverse=True)
-    return h, first, inverse, np.bincount(inverse, train[t.doc], len(h)).astype(np.int64)
-
-
-def _block_pairs(docs: DataFrame, frequent: np.ndarray | None) -> DataFrame:
-    """(block, w, ctx, n): every distinct word pair of a block and its count in training documents (maybe 0)."""
-
-    def reduce(block, parts):
-        t = tokens([p.column(2) for p in parts])
-        train = np.concatenate([p.column(1).to_numpy(zero_copy_only=False) for p in parts])
-        ctx = contexts_of(t, frequent)
-        _, first, _, n = _distinct_pairs(t, ctx, train)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(first), block)), pa.array(t.hash[first].view(np.int64)), pa.array(ctx[first].view(np.int64)), pa.array(n)],
-            names=["block", "w", "ctx", "n"])
-
-    return docs.select("block", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), "block long, w long, ctx long, n long")
-
-
 # ---------------------------------------------------------------- seating
 
 class Totals(NamedTuple):
@@ -232,67 +204,323 @@ class Seating:
         return self.p1, (self.n - t.discount * self.tables + back) / (THETA + t.customers[c])
 
 
-class Sample(NamedTuple):
-    """One pass: words with k (customers in the parent), t (tables as a context) and pt (tables in the parent), and sums of k and pt."""
+# ---------------------------------------------------------------- parcels
+
+#: Text bytes (about) whose word pairs meet in one cell; the buckets of words are the square root of the cells.
+CELL_BYTES = 24 << 20
+#: A parcel: what it holds, the group that it goes to, whom it comes from or answers, packed arrays, sums.
+PARCEL = "kind int, at long, peer long, data binary, a long, b long, c long, d long"
+WORDS, IDS, PAIRS, LISTS, ASK, HASH, TO_CELL, TO_BUCKET, SAMPLE, KEPT, KEYS, TOKENS = range(12)
+_LOW = U(0xFFFFFFFF)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers from 0, rising ones as differences, compressed byte by byte of their numbers."""
+    head, body = [len(arrays)], []
+    for x in arrays:
+        x = np.ascontiguousarray(x).astype(U)
+        rising = len(x) > 1 and bool((x[1:] >= x[:-1]).all())
+        if rising:
+            x = np.diff(x, prepend=U(0))
+        width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+        head += [len(x), int(rising), width]
+        body.append(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.ZstdCompressor(3).compress(np.array(head, "<i8").tobytes() + b"".join(body))
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    """The unsigned arrays that ``pack`` was given."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    count = int(raw[:8].view("<i8")[0])
+    at, out = 8 + 24 * count, []
+    for n, rising, width in raw[8:at].view("<i8").reshape(-1, 3).tolist():
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = raw[at:at + n * width].reshape(width, n).T
+        x = x.view("<u8").reshape(n).astype(U)
+        out.append(np.cumsum(x, dtype=U) if rising else x)
+        at += n * width
+    return out
 
-    words: DataFrame  # w, c, k, t, pt
-    customers: int
-    tables: int
 
-    def base(self, types: int, d0: float) -> float:
-        return (THETA + d0 * self.tables) / (types + 1)
+def _ints(data: bytes) -> list[np.ndarray]:
+    return [x.view(np.int64) for x in unpack(data)]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Parcels as a batch; missing sums are 0."""
+    columns = list(zip(*((*r, *[0] * (8 - len(r))) for r in rows))) or [()] * 8
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "at", "peer", "data", "a", "b", "c", "d"])
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows)])
+
+
+def _opened(t: pa.Table) -> list[tuple[int, int, int, bytes]]:
+    """(kind, at, peer, data) of a group, by kind and peer."""
+    rows = zip(*(t.column(c).to_pylist() for c in ("kind", "at", "peer", "data")))
+    return sorted(rows, key=lambda r: (r[0], r[2]))
+
+
+def _union(arrays) -> np.ndarray:
+    """Sorted distinct values of sorted arrays, merged before they become many."""
+    held, size = [np.zeros(0, U)], 0
+    for x in arrays:
+        held.append(x)
+        size += len(x)
+        if size > len(held[0]) + 4_000_000:
+            held, size = [np.unique(np.concatenate(held))], 0
+    return np.unique(np.concatenate(held))
+
+
+def _cuts(groups: np.ndarray):
+    """(group, first, end) of runs of equal values."""
+    edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)] if len(groups) else []
+    return [(int(groups[a]), a, e) for a, e in zip(edges[:-1], edges[1:])]
 
-    def p1(self, types: int, d0: float) -> Column:
-        return (F.col("k") - d0 * F.col("pt") + self.base(types, d0)) / (THETA + self.customers)
 
+class Block(NamedTuple):
+    """Tokens of a block by their words' places among its words, which are in order of bucket and hash."""
 
-def _parent_pass(fixed: DataFrame, seated: DataFrame, base: float, d0: float, sweep: int) -> Sample:
-    """Totals of the words and contexts after a pass over the pairs, with new tables in the parent."""
-    zero = F.lit(0).cast("long")
-    rows = fixed.unionByName(seated.select("w", zero.alias("c"), F.col("t").alias("k"), zero.alias("t"))).unionByName(
-        seated.select(F.col("ctx").alias("w"), zero.alias("c"), zero.alias("k"), "t"))
-    rows = rows.groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("t").alias("t"))
+    words: np.ndarray
+    bucket: np.ndarray  # of each word
+    at: np.ndarray      # each token's word
+    ctx: np.ndarray     # the word before it, the end token at a start
+    seated: np.ndarray  # whether that has a restaurant
+    bare: np.ndarray    # words without one
 
-    def run(batches):
-        s0 = log_stirling(d0)
-        for b in batches:
-            w, k = b.column(0).to_numpy().view(U), b.column(2).to_numpy()
-            pt = draw_tables(k, np.full(len(k), base), _uniform(mix64(w + U(7919 * (sweep + 1)))), s0, d0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pt)], names=["w", "c", "k", "t", "pt"])
 
-    rows = stored(rows.mapInArrow(run, "w long, c long, k long, t long, pt long"), "pitman_yor_sample")
-    got = rows.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum("pt"), F.lit(0))).first()
-    return Sample(rows, int(got[0]), int(got[1]))
+def _before(at: np.ndarray, first: np.ndarray, bare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ctx = np.empty_like(at)
+    ctx[1:] = at[:-1]
+    seated = np.ones(len(at), bool)
+    seated[1:] = ~bare[ctx[1:]]
+    ctx[first], seated[first] = at[-1:], True  # the last token is an end
+    return ctx, seated
 
 
-def _pair_pass(seated: DataFrame, last: Sample, types: int, d: float, d0: float, sweep: int, keep: bool) -> DataFrame:
-    """New tables of every repeated pair given its context's and its word's totals; ``kept`` sums the kept samples."""
-    p1 = last.words.select("w", last.p1(types, d0).alias("p1"))
-    tables = last.words.select(F.col("w").alias("ctx"), F.col("t").alias("total"))
-    rows = seated.join(p1, "w").join(tables, "ctx").select("w", "ctx", "n", "kept", ((THETA + d * F.col("total")) * F.col("p1")).alias("weight"))
+def _numbered(t: Tokens, buckets: int, frequent: np.ndarray | None) -> Block:
+    w, at = np.unique(t.hash, return_inverse=True)
+    bucket = (mix64(w) % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(w), np.int64)
+    rank[order] = np.arange(len(w))
+    w, bucket, at = w[order], bucket[order], rank[at]
+    bare = np.zeros(len(w), bool) if frequent is None else ~_among(frequent, w)[1]
+    return Block(w, bucket, at, *_before(at, t.first, bare), bare)
 
-    def run(batches):
-        s1 = log_stirling(d)
-        for b in batches:
-            w, ctx = b.column(0).to_numpy().view(U), b.column(1).to_numpy().view(U)
-            chance = _uniform(mix64(pair_hash(ctx, w) + U(104729 * (sweep + 1))))
-            t = draw_tables(b.column(2).to_numpy(), b.column(4).to_numpy(), chance, s1, d)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(t), pa.array(b.column(3).to_numpy() + t * keep)],
-                                             names=["w", "ctx", "n", "t", "kept"])
 
-    return stored(rows.mapInArrow(run, "w long, ctx long, n long, t long, kept long"), "pitman_yor_seated")
+def _pair_keys(ctx: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (ctx.astype(U) << U(32)) | w.astype(U)
+
+
+def _from_blocks(docs: DataFrame, buckets: int, frequent: np.ndarray | None, send) -> DataFrame:
+    """Parcels that ``send`` makes of each block, given its number, tokens, numbered words, training documents and keys."""
+
+    def reduce(block, parts):
+        t = tokens([p.column(3) for p in parts])
+        train = np.concatenate([p.column(2).to_numpy(zero_copy_only=False) for p in parts])
+        return _batch(send(block, t, _numbered(t, buckets, frequent), train, parts))
+
+    return docs.select("block", "key", "train", "text").mapInArrow(lambda b: _by_block(b, reduce), PARCEL)
+
+
+def _send_words(block, t, b, train, parts):
+    """A block's words by bucket, with their training tokens and those that sit in the parent directly."""
+    n = np.bincount(b.at, train[t.doc], len(b.words)).astype(np.int64)
+    direct = np.bincount(b.at, train[t.doc] & ~b.seated, len(b.words)).astype(np.int64)
+    return [(WORDS, j, block, pack(b.words[a:e], n[a:e], direct[a:e])) for j, a, e in _cuts(b.bucket)]
+
+
+def _send_pairs(block, t, b, train, parts):
+    """A block's distinct pairs by the places of their words, with their training tokens."""
+    key, of = np.unique(_pair_keys(b.ctx, b.at)[b.seated], return_inverse=True)
+    return [(PAIRS, block, -1, pack(key, np.bincount(of, train[t.doc][b.seated], len(key))))]
+
+
+def _send_tokens(block, t, b, train, parts):
+    """A block's tokens by their words' places, and its documents."""
+    length = np.diff(np.append(t.first, len(t.hash)))
+    key = pa.chunked_array([p.column(1) for p in parts])
+    sink = pa.BufferOutputStream()
+    rows = pa.table({"key": key, "train": train, "length": length})
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    return [(KEYS, block, -1, zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())), (TOKENS, block, -1, pack(b.at, b.bare))]
+
+
+def _merge_words(t: pa.Table) -> pa.Table:
+    """A bucket's words and counts from those of all blocks, and to each block the places of its words."""
+    rows = _opened(t)
+    words = _union(unpack(data)[0] for *_, data in rows)
+    c, direct, out = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), []
+    for _, bucket, block, data in rows:
+        w, n, d = unpack(data)
+        i = np.searchsorted(words, w)
+        c[i] += n.view(np.int64)
+        direct[i] += d.view(np.int64)
+        out.append((IDS, block, bucket, pack(i)))
+    sums = [int(x) for x in ((c > 0).sum(), c.sum(), (c == 1).sum(), (c == 2).sum())]
+    return _table([*out, (WORDS, bucket, -1, pack(words, c, direct), *sums)])
+
+
+def _deal_pairs(buckets: int):
+    """Of a block's pairs and the places of its words in their buckets: the pairs by cell, a bucket of contexts and one of words."""
+
+    def run(t: pa.Table) -> pa.Table:
+        rows = _opened(t)
+        ids = [(j, unpack(data)[0]) for kind, _, j, data in rows if kind == IDS]
+        place = np.concatenate([x for _, x in ids])
+        bucket = np.repeat([j for j, _ in ids], [len(x) for _, x in ids])
+        (block, key, n), = [(at, *unpack(data)) for kind, at, _, data in rows if kind == PAIRS]
+        ctx, w = (key >> U(32)).astype(np.int64), (key & _LOW).astype(np.int64)
+        cell = bucket[ctx] * buckets + bucket[w]
+        order = np.argsort(cell, kind="stable")
+        key, n, cell = _pair_keys(place[ctx], place[w])[order], n[order], cell[order]
+        return _table([(PAIRS, k, block, pack(key[a:e], n[a:e])) for k, a, e in _cuts(cell)])
+
+    return run
+
+
+def _merge_pairs(buckets: int):
+    """A cell's repeated pairs from those of all blocks, the words that they ask buckets for, and for each block where its pairs are."""
+
+    def run(t: pa.Table) -> pa.Table:
+        rows = _opened(t)
+        key = _union(unpack(data)[0] for *_, data in rows)
+        n = np.zeros(len(key), np.int64)
+        for *_, data in rows:
+            own, m = unpack(data)
+            n[np.searchsorted(key, own)] += m.view(np.int64)
+        again, once = n > 1, key[n == 1]
+        place, out = np.cumsum(again) - 1, []
+        for _, cell, block, data in rows:
+            i = np.searchsorted(key, unpack(data)[0])
+            met = np.minimum(n[i], 2)
+            out.append((LISTS, cell, block, pack(met, place[i[met == 2]])))
+        sides = []
+        for side, (pairs, single, bucket) in enumerate(((key[again] & _LOW, once & _LOW, cell % buckets),
+                                                        (key[again] >> U(32), once >> U(32), cell // buckets))):
+            asked, of = np.unique(pairs, return_inverse=True)
+            sides.append(of)
+            out.append((ASK, bucket, 2 * cell + side, pack(asked, np.bincount(of, minlength=len(asked)), *np.unique(single, return_counts=True))))
+        return _table([*out, (PAIRS, cell, -1, pack(*sides, n[again]), len(once), int((n == 2).sum()))])
+
+    return run
+
+
+def _tell_hashes(t: pa.Table) -> pa.Table:
+    """The hashes of the words that cells ask a bucket for."""
+    rows = _opened(t)
+    words, = [unpack(data)[0] for kind, _, _, data in rows if kind == WORDS]
+    asked = [(peer, _ints(data)[0]) for kind, _, peer, data in rows if kind == ASK]
+    return _table([(HASH, peer >> 1, peer & 1, pack(words[i])) for peer, i in asked if len(i)])
+
+
+def _seat_words(base: float, d0: float, sweep: int, keep: bool):
+    """A pass over a bucket's words: customers and tables from the cells' pairs, and new tables in the parent."""
+
+    def run(state: pa.Table, told: pa.Table) -> pa.Table:
+        rows, got = _opened(state), {peer: _ints(data)[0] for _, _, peer, data in _opened(told)}
+        if not rows:
+            return _table([])
+        (bucket, w, c, direct), = [(at, *unpack(data)) for kind, at, _, data in rows if kind == WORDS]
+        k, t = direct.view(np.int64).copy(), np.zeros(len(w), np.int64)
+        asks = [(peer, *_ints(data)) for kind, _, peer, data in rows if kind == ASK]
+        for peer, asked, pairs, single, number in asks:
+            to = t if peer & 1 else k
+            to[asked] += got.get(peer, pairs)
+            to[single] += number
+        pt = draw_tables(k, np.full(len(k), base), _uniform(mix64(w + U(7919 * (sweep + 1)))), log_stirling(d0), d0)
+        out = [(TO_CELL, peer >> 1, peer & 1, pack(t[i]) if peer & 1 else pack(k[i], pt[i])) for peer, i, *_ in asks if len(i)]
+        return _table([*out, (SAMPLE, bucket, sweep, pack(c, k, pt, t) if keep else b"", int(k.sum()), int(pt.sum()))])
+
+    return run
+
+
+class Sample(NamedTuple):
+    """One pass over the words: parcels, and sums of customers and tables in the parent."""
+
+    rows: DataFrame
+    customers: int
+    tables: int
+
+    def base(self, types: int, d0: float) -> float:
+        return (THETA + d0 * self.tables) / (types + 1)
+
+
+class Parent(NamedTuple):
+    """What a sample's probabilities in the parent take besides each word's customers k and tables pt."""
+
+    base: float
+    customers: int
+    discount: float
+
+    def p1(self, k: np.ndarray, pt: np.ndarray) -> np.ndarray:
+        return (k - self.discount * pt + self.base) / (THETA + self.customers)
+
+
+def _seat_pairs(parent: Parent, buckets: int, d: float, sweep: int, keep: bool, first: bool):
+    """A pass over a cell's repeated pairs: new tables given their contexts' and words' totals."""
+
+    def run(state: pa.Table, told: pa.Table) -> pa.Table:
+        rows = _opened(state)
+        if not any(kind == HASH for kind, *_ in rows):
+            return _table([])
+        (cell, word, ctx, n), = [(at, *_ints(data)) for kind, at, _, data in rows if kind == PAIRS]
+        word_hash, ctx_hash = [unpack(data)[0] for kind, _, _, data in rows if kind == HASH]
+        (k, pt), (total,) = [_ints(data) for *_, data in _opened(told)]
+        weight = ((THETA + d * total)[ctx]) * parent.p1(k, pt)[word]
+        chance = _uniform(mix64(pair_hash(ctx_hash[ctx], word_hash[word]) + U(104729 * (sweep + 1))))
+        t = draw_tables(n, weight, chance, log_stirling(d), d)
+        out = [(TO_BUCKET, bucket, 2 * cell + side, pack(np.bincount(of, t, size).astype(np.int64)))
+               for side, (of, size, bucket) in enumerate(((word, len(k), cell % buckets), (ctx, len(total), cell // buckets)))]
+        return _table([*out, *([(KEPT, cell, sweep, pack(t, n) if first else pack(t))] if keep else [])])
+
+    return run
+
+
+def _answer_words(t: pa.Table) -> pa.Table:
+    """To each block, of its words in a bucket: the count, then customers, tables in the parent and tables as a context of each sample."""
+    rows = _opened(t)
+    samples = [_ints(data) for kind, *_, data in rows if kind == SAMPLE]
+    arrays = [samples[0][0], *(x for s in samples for x in s[1:])]
+    out = []
+    for kind, bucket, block, data in rows:
+        if kind == IDS:
+            i, = _ints(data)
+            out.append((IDS, block, bucket, pack(*(x[i] for x in arrays))))
+    return _table(out)
+
+
+def _answer_pairs(t: pa.Table) -> pa.Table:
+    """To each block, of its pairs in a cell: the count and the sum of the samples' tables."""
+    rows = _opened(t)
+    samples = [_ints(data) for kind, *_, data in rows if kind == KEPT]
+    n = next((s[1] for s in samples if len(s) > 1), None)
+    kept = sum(s[0] for s in samples)
+    out = []
+    for kind, cell, block, data in rows:
+        if kind == LISTS:
+            met, place = _ints(data)
+            count, tables, again = met.copy(), met * SAMPLES, met == 2
+            if len(place):
+                count[again], tables[again] = n[place], kept[place]
+            out.append((LISTS, block, cell, pack(count, tables)))
+    return _table(out)
 
 
 # ---------------------------------------------------------------- model
 
 class Model(NamedTuple):
     frequent: np.ndarray | None
+    buckets: int
     tokens: int
     types: int
     discount: float
-    unknown: list[float]  # parent's probability of any unknown word, by sample
-    words: DataFrame      # w, c, x: the samples' probabilities in the parent, then back-off weights as a context
-    pairs: DataFrame      # block, w, ctx, n, t: pairs of a block whose count it cannot know, mean number of tables
+    parents: list[Parent]  # by sample
+    answers: DataFrame     # parcels to blocks, of their words and pairs
 
 
 def _blocked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -302,53 +530,69 @@ def _blocked(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (~held_out(key)).alias("train")).withColumn("block", block)
 
 
-def fit(docs: DataFrame, own: DataFrame, contexts: int | None = None) -> Model:
-    """Model of the training documents of ``docs`` (blocked); ``own`` is their stored (block, w, n)."""
-    counts = own.groupBy("w").agg(F.sum("n").alias("c")).where("c > 0")
-    stats = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    types, total = int(stats[0]), int(stats[1])
-    end, none = (int(np.array([x]).view(np.int64)[0]) for x in (END, NONE))
+def _grouped(rows: DataFrame, run) -> DataFrame:
+    return rows.groupBy("at").applyInArrow(run, PARCEL)
+
+
+def _kind(rows: DataFrame, *kinds: int) -> DataFrame:
+    return rows.where(F.col("kind").isin(*kinds))
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """Parcels dealt by their group and kept so, as each pass reads them again."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "at").persist(StorageLevel.DISK_ONLY)
+
+
+def fit(docs: DataFrame, contexts: int | None = None) -> Model:
+    """Model of the training documents of ``docs`` (blocked)."""
+    spark = docs.sparkSession
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    buckets = max(1, math.isqrt(max(0, size - 1) // CELL_BYTES) + 1)
     frequent = None
     if contexts is not None:
-        top = counts.where(F.col("w") != end).orderBy(F.desc("c"), "w").limit(contexts).select("w").collect()  # at most ``contexts`` rows
+        end = int(np.array([END]).view(np.int64)[0])
+        counts = _block_words(docs).groupBy("w").agg(F.sum("n").alias("c")).where(f"c > 0 and w != {end}")
+        top = counts.orderBy(F.desc("c"), "w").limit(contexts).select("w").collect()  # at most ``contexts`` rows
         frequent = np.sort(np.array([r[0] for r in top], np.int64).view(U))
-    place = F.struct("block", (F.col("n") == 0).alias("out"))
-    pairs = _block_pairs(docs, frequent).groupBy("w", "ctx").agg(F.sum("n").alias("n"), F.collect_list(place).alias("places"))
-    pairs = stored(pairs.where("n > 0"), "pitman_yor_pairs")
-    inside, zero = F.col("ctx") != none, F.lit(0).cast("long")
-    once = pairs.where(inside & (F.col("n") == 1))
-    fixed = counts.select("w", "c", zero.alias("k"), zero.alias("t")).unionByName(
-        once.select("w", zero.alias("c"), F.col("n").alias("k"), zero.alias("t"))).unionByName(
-        once.select(F.col("ctx").alias("w"), zero.alias("c"), zero.alias("k"), F.col("n").alias("t"))).unionByName(
-        pairs.where(~inside).select("w", zero.alias("c"), F.col("n").alias("k"), zero.alias("t")))
-    fixed = stored(fixed.groupBy("w").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("t").alias("t")), "pitman_yor_words")
-    number = pairs.where(inside).agg(F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))).first()
-    ones = counts.agg(F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
+
+    words = stored(_grouped(_from_blocks(docs, buckets, frequent, _send_words), _merge_words), "pitman_yor_words")
+    types, total, *ones = _sums(_kind(words, WORDS), "a", "b", "c", "d")
+    sent = _from_blocks(docs, buckets, frequent, _send_pairs).unionByName(_kind(words, IDS))
+    pairs = stored(_grouped(_grouped(sent, _deal_pairs(buckets)), _merge_pairs(buckets)), "pitman_yor_pairs")
 
     def discount(n1, n2):
         return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
 
-    d, d0 = discount(number[0] or 0, number[1] or 0), discount(ones[0] or 0, ones[1] or 0)
-    seated = pairs.where(inside & (F.col("n") > 1)).select("w", "ctx", "n", F.lit(1).cast("long").alias("t"), zero.alias("kept"))
-    last = _parent_pass(fixed, seated, (THETA + d0 * types) / (types + 1), d0, 0)
-    unknown, x = [], []
+    d, d0 = discount(*_sums(_kind(pairs, PAIRS), "a", "b")), discount(*ones)
+    by_bucket = _kept(_kind(words, WORDS).unionByName(_kind(pairs, ASK)))
+    by_cell = _kept(_kind(pairs, PAIRS).unionByName(_grouped(by_bucket, _tell_hashes)))
+
+    def words_pass(told, base, sweep, keep):
+        run = _seat_words(base, d0, sweep, keep)
+        rows = stored(by_bucket.groupBy("at").cogroup(told.groupBy("at")).applyInArrow(run, PARCEL), "pitman_yor_sample")
+        return Sample(rows, *_sums(_kind(rows, SAMPLE), "a", "b"))
+
+    last = words_pass(spark.createDataFrame([], PARCEL), (THETA + d0 * types) / (types + 1), 0, False)
+    parents, kept = [], []
     for i in range(BURN_IN + SAMPLES):
-        seated = _pair_pass(seated, last, types, d, d0, i, i >= BURN_IN)
-        last = _parent_pass(fixed, seated, last.base(types, d0), d0, i + 1)
-        if i >= BURN_IN:
-            unknown.append(last.base(types, d0) / (THETA + last.customers))
-            back = (THETA + d * F.col("t")) / (THETA + F.col("c"))
-            x.append(last.words.select("w", "c", F.lit(i).alias("i"), last.p1(types, d0).alias("p"), back.alias("b")))
-    every = x[0]
-    for y in x[1:]:
-        every = every.unionByName(y)
-    word = every.groupBy("w").agg(F.max("c").alias("c"), F.sort_array(F.collect_list(F.struct("i", "p", "b"))).alias("x"))
-    word = word.select("w", "c", F.concat("x.p", "x.b").alias("x"))
-    again = pairs.where(inside & (F.col("n") > 1)).select("w", "ctx", "places").join(seated, ["w", "ctx"]).select(
-        F.explode("places.block").alias("block"), "w", "ctx", "n", (F.col("kept") / SAMPLES).alias("t"))
-    single = once.select(F.explode("places").alias("p"), "w", "ctx", "n", F.lit(1.0).alias("t")).where("p.out").select(
-        "p.block", "w", "ctx", "n", "t")
-    return Model(frequent, total, types, d, unknown, word, again.unionByName(single))
+        keep = i >= BURN_IN
+        run = _seat_pairs(Parent(last.base(types, d0), last.customers, d0), buckets, d, i, keep, i == BURN_IN)
+        told = _kind(last.rows, TO_CELL)
+        seated = stored(by_cell.groupBy("at").cogroup(told.groupBy("at")).applyInArrow(run, PARCEL), "pitman_yor_seated")
+        last = words_pass(_kind(seated, TO_BUCKET), last.base(types, d0), i + 1, keep)
+        if keep:
+            parents.append(Parent(last.base(types, d0), last.customers, d0))
+            kept += [_kind(last.rows, SAMPLE), _kind(seated, KEPT)]
+    by_bucket.unpersist()
+    by_cell.unpersist()
+    of_words, of_pairs = _kind(words, IDS).select("kind", F.col("peer").alias("at"), F.col("at").alias("peer"), "data", "a", "b", "c", "d"), _kind(pairs, LISTS)
+    for sample, seated in zip(kept[::2], kept[1::2]):
+        of_words, of_pairs = of_words.unionByName(sample), of_pairs.unionByName(seated)
+    return Model(frequent, buckets, total, types, d, parents, _grouped(of_words, _answer_words).unionByName(_grouped(of_pairs, _answer_pairs)))
+
+
+def _sums(rows: DataFrame, *columns: str) -> list[int]:
+    return [int(x or 0) for x in rows.agg(*(F.sum(c) for c in columns)).first()]
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", contexts: int | None = None) -> DataFrame:
@@ -364,79 +608,51 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", co
     after any other word then sit in the parent directly.
     """
     blocked = _blocked(docs, key, text)
-    own = stored(_block_words(blocked), "pitman_yor_blocks")
-    model = fit(blocked, own, contexts)
-    answers = own.select("block", "w").join(model.words, "w").select(
-        "block", "w", F.lit(None).cast("long").alias("ctx"), F.col("c").alias("n"), F.lit(0.0).alias("t"), "x").unionByName(
-        model.pairs.withColumn("x", F.lit(None).cast("array<double>")))
-
-    def parcel(batches):
-        z = zstandard.ZstdCompressor(3)
-        for b in batches:
-            ids = b.column(0).to_numpy()
-            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, np.arange(0, len(ids), PACK), [len(ids)]]))
-            block, data = [], []
-            for a, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                sink = pa.BufferOutputStream()
-                part = pa.record_batch([b.column(i).slice(a, e - a) for i in (1, 2, 3)], names=["key", "train", "text"])
-                with pa.ipc.new_stream(sink, part.schema) as w:
-                    w.write_batch(part)
-                block.append(int(ids[a]))
-                data.append(z.compress(sink.getvalue().to_pybytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"])
-
-    sent = blocked.select("block", "key", "train", "text").mapInArrow(parcel, "block long, data binary")
-    known_model = model._replace(words=None, pairs=None)
+    model = fit(blocked, contexts)
+    known = model._replace(answers=None)
     kind = docs.schema[key].dataType.simpleString()
     arrow = {"bigint": pa.int64(), "int": pa.int32()}.get(kind)
 
-    def score(parcels: pa.Table, known: pa.Table) -> pa.Table:
-        unzip = zstandard.ZstdDecompressor()
-        parts = [pa.ipc.open_stream(unzip.decompress(x.as_py())).read_all() for x in parcels.column("data")]
-        columns = [c for p in parts for c in p.column("text").chunks]
-        train = np.concatenate([p.column("train").to_numpy() for p in parts])
-        base, score, n, seen = _score_block(columns, train, known, known_model)
-        keys = pa.chunked_array([c for p in parts for c in p.column("key").chunks])
-        return pa.table({key: keys.cast(arrow) if arrow else keys, "held_out": ~train, "n_tokens": n, "n_known": seen,
-                         "train_tokens": np.full(len(n), known_model.tokens), "base_score": base, "score": score})
-
-    return sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda a, b: score(a, b) if a.num_rows else pa.table({}),
-        f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def _score_block(columns, train: np.ndarray, known: pa.Table, m: Model):
-    t = tokens(columns)
-    ctx = contexts_of(t, m.frequent)
-    known = known.combine_chunks()
-    of_word = known.column("ctx").is_null().to_numpy()
-    rows = known.filter(pa.array(of_word))
-    w = rows.column("w").to_numpy().view(U)
-    order = np.argsort(w)
-    w, c = w[order], rows.column("n").to_numpy()[order]
-    x = pa.compute.list_flatten(rows.column("x").combine_chunks()).to_numpy().reshape(len(w), 2, SAMPLES)[order]
-
-    i, hit = _among(w, t.hash)
-    j, before = _among(w, ctx)
-    count, customers = np.zeros(len(t.hash), np.int64), np.zeros(len(t.hash), np.int64)
-    count[hit], customers[before] = c[i[hit]], c[j[before]]
-    prob = np.zeros(len(t.hash))
-    for k, unknown in enumerate(m.unknown):
-        p, back = np.full(len(t.hash), unknown), np.ones(len(t.hash))
-        p[hit], back[before] = x[i[hit], 0, k], x[j[before], 1, k]
-        prob += p * back / len(m.unknown)
-
-    h, _, of, own = _distinct_pairs(t, ctx, train)
-    n, tables = np.minimum(own, 1), np.minimum(own, 1).astype(float)  # unless told otherwise, a training pair is met once
-    rows = known.filter(pa.array(~of_word))
-    a, there = _among(h, pair_hash(rows.column("ctx").to_numpy().view(U), rows.column("w").to_numpy().view(U)))
-    n[a[there]], tables[a[there]] = rows.column("n").to_numpy()[there], rows.column("t").to_numpy()[there]
-    prob += np.where(ctx == NONE, 0.0, (n - m.discount * tables)[of] / (THETA + customers))
+    def score(t: pa.Table) -> pa.Table:
+        rows = {}
+        for what, _, peer, data in _opened(t):
+            rows.setdefault(what, []).append((peer, data))
+        raw = zstandard.ZstdDecompressor().decompress(rows[KEYS][0][1])
+        part = pa.ipc.open_stream(raw).read_all()
+        length, train = part.column("length").to_numpy(), part.column("train").to_numpy()
+        at, bare = _ints(rows[TOKENS][0][1])
+        base, score, seen = _score_block(at, bare > 0, np.cumsum(length) - length, [(j, _ints(x)) for j, x in rows[IDS]],
+                                         [_ints(x) for _, x in rows.get(LISTS, [])], known)
+        keys = part.column("key")
+        return pa.table({key: keys.cast(arrow) if arrow else keys, "held_out": ~train, "n_tokens": length, "n_known": seen,
+                         "train_tokens": np.full(len(length), known.tokens), "base_score": base, "score": score})
+
+    sent = _from_blocks(blocked, model.buckets, model.frequent, _send_tokens).unionByName(model.answers)
+    return sent.groupBy("at").applyInArrow(
+        score, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _score_block(at: np.ndarray, bare: np.ndarray, first: np.ndarray, of_words: list, of_pairs: list, m: Model):
+    ctx, seated = _before(at, first, bare)
+    bucket = np.repeat([j for j, _ in of_words], [len(x[0]) for _, x in of_words])
+    c, *samples = (np.concatenate(x) for x in zip(*(x for _, x in of_words)))
+    count, customers = c[at], np.where(seated, c[ctx], 0)
+    prob = np.zeros(len(at))
+    for s, parent in enumerate(m.parents):
+        k, pt, t = samples[3 * s:3 * s + 3]
+        back = (THETA + m.discount * t) / (THETA + c)
+        prob += parent.p1(k, pt)[at] * np.where(seated, back[ctx], 1.0) / len(m.parents)
+
+    key, of = np.unique(_pair_keys(ctx, at)[seated], return_inverse=True)
+    cell = bucket[(key >> U(32)).astype(np.int64)] * m.buckets + bucket[(key & _LOW).astype(np.int64)]
+    order = np.argsort(cell, kind="stable")
+    n, tables = np.zeros(len(key), np.int64), np.zeros(len(key))
+    if of_pairs:
+        n[order], tables[order] = (np.concatenate(x) for x in zip(*of_pairs))
+    prob[seated] += (n - m.discount * (tables / SAMPLES))[of] / (THETA + customers[seated])
 
     base = np.log10((count + 0.1) / (m.tokens + 0.1 * (m.types + 1)))
-    n = np.diff(np.append(t.first, len(t.hash)))
-    return (np.add.reduceat(base, t.first), np.add.reduceat(np.log10(prob), t.first), n,
-            np.add.reduceat((count > 0).astype(np.int64), t.first))
+    return np.add.reduceat(base, first), np.add.reduceat(np.log10(prob), first), np.add.reduceat((count > 0).astype(np.int64), first)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

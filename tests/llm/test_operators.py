@@ -440,6 +440,36 @@ def test_every_context_has_a_restaurant(spark, tmp_path):
     assert all(score[train[3 * i]] == pytest.approx(score[held[2 * i]]) for i in range(150))  # the same text, in and out of training
 
 
+def test_language_model_packs_pairs(spark, tmp_path, monkeypatch):
+    """20,000 pairs and as many words, most met once: nothing stored has a row for each, whatever the number of cells and blocks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(rng.integers(0, 40000, 100), rng.integers(0, 40000, 100) ** 2))) for i in range(200)]
+    rows += [(7, rows[7][1]), (None, "the the the"), (1000, None), (1001, "the end")]
+    path, kept = str(tmp_path / "t"), []
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(path)
+    store = pitman_yor.stored
+    monkeypatch.setattr(pitman_yor, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+
+    def scored():
+        return sorted(tuple(r) for r in _rows(pitman_yor.score_documents(spark.read.parquet(path)).fillna(-1)))
+
+    one = scored()
+    assert len(one) == len(rows) and kept and all(k.count() < 100 for k in kept)
+    monkeypatch.setattr(pitman_yor, "BLOCK_DOCS", 20)
+    monkeypatch.setattr(pitman_yor, "CELL_BYTES", 20_000)
+    assert scored() == one
+    assert all(k.count() < 2000 for k in kept)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_packed_arrays(n):
+    rng = np.random.default_rng(n)
+    any_, small, zero = rng.integers(0, 2**64, n, dtype=np.uint64), rng.integers(0, 300, n), np.zeros(n, np.int64)
+    sent = [any_, np.sort(any_), small, np.sort(small), zero]
+    got = pitman_yor.unpack(pitman_yor.pack(*sent))
+    assert len(got) == 5 and all((a.astype(np.uint64) == b).all() for a, b in zip(sent, got))
+
+
 def test_held_out_perplexity_beats_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = {r["held_out"]: r for r in _rows(pitman_yor.perplexity(pitman_yor.score_documents(docs)))}
