@@ -120,6 +120,7 @@ class Vocabulary:
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.split = Splitter(Tokenizer.from_file(path).pre_tokenizer)
         self.ids: dict[str, bytes] = {}  # pre-token -> its ids, little-endian 32-bit
+        self.sizes: dict[str, int] = {}  # pre-token -> its number of tokens
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens and special tokens in order; their concatenation is the text."""
@@ -133,21 +134,31 @@ class Vocabulary:
                 out += self.split(part)
         return out
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Encode the distinct pieces that are not remembered yet."""
+    def _unknown(self, held: dict, pieces: Iterable[str]) -> list[str]:
+        """Distinct pieces that ``held`` lacks; it is emptied first where they would not fit."""
         distinct = set(pieces)
-        new = [p for p in distinct if p not in self.ids]
-        if len(self.ids) + len(new) > self.remember:
-            self.ids.clear()
+        new = list(distinct.difference(held))
+        if len(held) + len(new) > self.remember:
+            held.clear()
             new = list(distinct)
+        return new
+
+    def _encoded(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
         plain = []
         for p in new:
             if p in self.special:
-                self.ids[p] = array("I", [self.special[p]]).tobytes()
+                yield p, array("I", [self.special[p]]).tobytes()
             else:
                 plain.append(p)
-        for p, ids in zip(plain, self._merge([p.encode() for p in plain]), strict=True):
-            self.ids[p] = ids
+        yield from zip(plain, self._merge([p.encode() for p in plain]), strict=True)
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode the distinct pieces that are not remembered yet."""
+        self.ids.update(self._encoded(self._unknown(self.ids, pieces)))
+
+    def measure(self, pieces: Iterable[str]) -> None:
+        """Count the tokens of the distinct pieces whose number is not remembered yet; their ids are not kept."""
+        self.sizes.update((p, len(ids) >> 2) for p, ids in self._encoded(self._unknown(self.sizes, pieces)))
 
     def _merge(self, words: list[bytes]) -> Iterator[bytes]:
         if not words:

@@ -10,6 +10,8 @@ characters past its end.
 
 from __future__ import annotations
 
+from itertools import accumulate, chain, pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,24 +27,27 @@ LEAF = 32
 
 
 class SegmentTree:
-    """Pre-token (length, tokens) pairs in leaves, with sums of both over every subtree."""
+    """Pre-token (length, tokens) pairs in leaves, with sums of both over every subtree.
+
+    Leaves are arrays of two rows: slices of the array a tree is built from, but for those that edits replaced.
+    """
 
     def __init__(self, lengths, counts):
-        pairs = list(zip(lengths, counts, strict=True))
-        self._build(pairs)
-
-    def _build(self, pairs: list[tuple[int, int]]) -> None:
-        self.leaves = [pairs[i:i + LEAF] for i in range(0, len(pairs), LEAF)] or [[]]
-        size = 1
-        while size < len(self.leaves):
-            size *= 2
-        self.size = size
-        self.chars, self.tokens = [0] * (2 * size), [0] * (2 * size)
-        for i, leaf in enumerate(self.leaves):
-            self.chars[size + i] = sum(p[0] for p in leaf)
-            self.tokens[size + i] = sum(p[1] for p in leaf)
-        for i in range(size - 1, 0, -1):
-            self._pull(i)
+        self._build(np.array([lengths, counts], "<u4"))
+
+    def _build(self, pairs: np.ndarray) -> None:
+        n = pairs.shape[1]
+        self.leaves = [pairs[:, i:i + LEAF] for i in range(0, n, LEAF)] or [pairs]
+        self.size = 1 << (len(self.leaves) - 1).bit_length()
+        sums = np.zeros((2, self.size), np.int64)
+        if n:
+            sums[:, :len(self.leaves)] = np.add.reduceat(pairs, np.arange(0, n, LEAF), axis=1, dtype=np.int64)
+        levels = [sums]
+        while sums.shape[1] > 1:
+            sums = sums[:, ::2] + sums[:, 1::2]
+            levels.append(sums)
+        levels.append(np.zeros((2, 1), np.int64))
+        self.chars, self.tokens = np.concatenate(levels[::-1], axis=1).tolist()
 
     def _pull(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
@@ -63,7 +68,7 @@ class SegmentTree:
                 i += 1
         leaf = i - self.size
         k = 0
-        for k, (n, _) in enumerate(self.leaves[leaf]):
+        for k, n in enumerate(self.leaves[leaf][0].tolist()):
             if start + n > at:
                 break
             start += n
@@ -72,48 +77,56 @@ class SegmentTree:
     def ends(self, leaf: int, k: int, start: int):
         """Ends of the pre-tokens from a place on, with the place after each."""
         while leaf < len(self.leaves):
-            block = self.leaves[leaf]
-            while k < len(block):
-                start += block[k][0]
+            for n in self.leaves[leaf][0, k:].tolist():
+                start += n
                 k += 1
                 yield start, leaf, k
             leaf, k = leaf + 1, 0
 
-    def replace(self, a: tuple[int, int], z: tuple[int, int], pairs: list[tuple[int, int]]) -> None:
+    def replace(self, a: tuple[int, int], z: tuple[int, int], pairs: np.ndarray) -> None:
         """Put ``pairs`` in the place of those from ``a`` (leaf, index) up to ``z``; sums change on the paths up."""
         (la, ka), (lz, kz) = a, z
-        new = self.leaves[la][:ka] + pairs + self.leaves[lz][kz:]
-        if len(new) > 4 * LEAF * (lz - la + 1):
-            self._build([p for leaf in self.leaves[:la] for p in leaf] + new + [p for leaf in self.leaves[lz + 1:] for p in leaf])
+        new = np.concatenate([self.leaves[la][:, :ka], pairs, self.leaves[lz][:, kz:]], axis=1)
+        if new.shape[1] > 4 * LEAF * (lz - la + 1):
+            self._build(np.concatenate([*self.leaves[:la], new, *self.leaves[lz + 1:]], axis=1))
             return
-        per = -(-len(new) // (lz - la + 1))
+        per = -(-new.shape[1] // (lz - la + 1))
         dirty = set()
         for i in range(la, lz + 1):
-            leaf = self.leaves[i] = new[(i - la) * per:(i - la + 1) * per]
-            self.chars[self.size + i] = sum(p[0] for p in leaf)
-            self.tokens[self.size + i] = sum(p[1] for p in leaf)
+            leaf = self.leaves[i] = new[:, (i - la) * per:(i - la + 1) * per]
+            self.chars[self.size + i], self.tokens[self.size + i] = leaf.sum(axis=1, dtype=np.int64).tolist()
             dirty.add((self.size + i) // 2)
         while dirty - {0}:
             for i in dirty:
                 self._pull(i)
             dirty = {i // 2 for i in dirty if i > 1}
 
+    def arrays(self) -> np.ndarray:
+        """Lengths and tokens of the pre-tokens in order, as two rows."""
+        return np.concatenate(self.leaves, axis=1)
+
     def pairs(self) -> list[tuple[int, int]]:
-        return [p for leaf in self.leaves for p in leaf]
+        return list(zip(*self.arrays().tolist(), strict=True))
 
 
-def _counts(v: bpe.Vocabulary, pieces: list[str]) -> list[int]:
-    v.learn(pieces)
-    return [len(v.ids[p]) // 4 for p in pieces]
+def _pairs(v: bpe.Vocabulary, split: list[list[str]]) -> list[np.ndarray]:
+    """Lengths and token counts of each list of pieces; those of all lists are encoded together."""
+    flat = list(chain.from_iterable(split))
+    v.measure(flat)
+    both = np.empty((2, len(flat)), "<u4")
+    both[0] = np.fromiter(map(len, flat), "<u4", len(flat))
+    both[1] = np.fromiter(map(v.sizes.__getitem__, flat), "<u4", len(flat))
+    cuts = accumulate(map(len, split), initial=0)
+    return [both[:, a:b] for a, b in pairwise(cuts)]
 
 
 def build(v: bpe.Vocabulary, text: str) -> SegmentTree:
-    pieces = v.pieces(text)
-    return SegmentTree(list(map(len, pieces)), _counts(v, pieces))
+    (pairs,) = _pairs(v, [v.pieces(text)])
+    return SegmentTree(*pairs)
 
 
-def edit(v: bpe.Vocabulary, text: str, tree: SegmentTree, at: int, delete: int, insert: str) -> tuple[str, SegmentTree, int]:
-    """Apply one edit (clamped to the text); returns text, tree and the number of pre-tokens encoded anew.
+def _split(v: bpe.Vocabulary, text: str, tree: SegmentTree, at: int, delete: int, insert: str):
+    """The text after an edit (clamped to it), its new pre-tokens, and the places in the tree from and up to which they stand.
 
     Texts with a special token, or with characters that only the library's
     pre-tokenizer knows, are split whole: they are cut at special tokens first.
@@ -123,8 +136,7 @@ def edit(v: bpe.Vocabulary, text: str, tree: SegmentTree, at: int, delete: int,
     new = text[:at] + insert + text[at + delete:]
     scan = v.split.scanner(new)
     if scan is None or any(s in text or s in new for s in v.special) or not tree.chars[1]:
-        tree = build(v, new)
-        return new, tree, len(tree.pairs())
+        return new, v.pieces(new), None, None
     shift = len(insert) - delete
     leaf, k, start = tree.locate(at - CONTEXT)
     old = tree.ends(leaf, k, start)
@@ -141,9 +153,26 @@ def edit(v: bpe.Vocabulary, text: str, tree: SegmentTree, at: int, delete: int,
                 stop = here[1:]
                 break
     if stop is None:
-        stop = (len(tree.leaves) - 1, len(tree.leaves[-1]))
-    tree.replace((leaf, k), stop, list(zip(map(len, pieces), _counts(v, pieces), strict=True)))
-    return new, tree, len(pieces)
+        stop = (len(tree.leaves) - 1, tree.leaves[-1].shape[1])
+    return new, pieces, (leaf, k), stop
+
+
+def edit_each(v: bpe.Vocabulary, docs: list[tuple[str, SegmentTree, int, int, str]]) -> list[tuple[str, SegmentTree, int]]:
+    """Apply one edit (at, delete, insert) to each of some documents; returns text, tree and the number of pre-tokens encoded anew."""
+    split = [_split(v, *d) for d in docs]
+    out = []
+    for (_, tree, *_), (new, _, a, z), pairs in zip(docs, split, _pairs(v, [s[1] for s in split]), strict=True):
+        if a is None:
+            tree = SegmentTree(*pairs)
+        else:
+            tree.replace(a, z, pairs)
+        out.append((new, tree, pairs.shape[1]))
+    return out
+
+
+def edit(v: bpe.Vocabulary, text: str, tree: SegmentTree, at: int, delete: int, insert: str) -> tuple[str, SegmentTree, int]:
+    """``edit_each`` of one document."""
+    return edit_each(v, [(text, tree, at, delete, insert)])[0]
 
 
 # ---------------------------------------------------------------- tables
@@ -158,14 +187,10 @@ def trees(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     def run(batches):
         v = bpe.vocabulary(path)
         for part, texts in bpe.blocks(batches, 1):
-            split = [v.pieces(t) for t in texts]
-            v.learn(p for s in split for p in s)
-            size = v.ids.__getitem__
-            lengths = [np.fromiter(map(len, s), "<u4", len(s)) for s in split]
-            counts = [np.fromiter((len(size(p)) >> 2 for p in s), "<u4", len(s)) for s in split]
+            pairs = _pairs(v, [v.pieces(t) for t in texts])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(texts, pa.string()), pa.array([int(c.sum()) for c in counts], pa.int64()),
-                 pa.array([x.tobytes() for x in lengths], pa.binary()), pa.array([x.tobytes() for x in counts], pa.binary())],
+                [part.column(0), pa.array(texts, pa.string()), pa.array([int(c.sum()) for _, c in pairs], pa.int64()),
+                 pa.array([x.tobytes() for x, _ in pairs], pa.binary()), pa.array([c.tobytes() for _, c in pairs], pa.binary())],
                 names=["key", "text", "n_tokens", "lengths", "counts"])
 
     out = docs.select(key, text).mapInArrow(run, f"key {kind}, text string, {_TREE}")
@@ -186,22 +211,21 @@ def apply_edits(kept: DataFrame, edits: Column, key: str = "doc_id", text: str =
         v = bpe.vocabulary(path)
         for b in batches:
             for part, texts in bpe.blocks([b], 1):
-                out_text, n, lengths, counts, encoded = [], [], [], [], []
-                for t, x, c, es in zip(texts, *(part.column(i).to_pylist() for i in (3, 4, 5)), strict=True):
-                    tree = SegmentTree(np.frombuffer(x, "<u4").tolist(), np.frombuffer(c, "<u4").tolist())
-                    e = 0
-                    for at, delete, insert in (tuple(y.values()) for y in es or ()):
-                        t, tree, k = edit(v, t, tree, at or 0, delete or 0, insert or "")
-                        e += k
-                    pairs = np.array(tree.pairs(), "<u4").reshape(-1, 2)
-                    out_text.append(t)
-                    n.append(tree.n_tokens)
-                    lengths.append(pairs[:, 0].tobytes())
-                    counts.append(pairs[:, 1].tobytes())
-                    encoded.append(e)
+                forest = [SegmentTree(np.frombuffer(x, "<u4"), np.frombuffer(c, "<u4"))
+                          for x, c in zip(*(part.column(i).to_pylist() for i in (3, 4)), strict=True)]
+                todo = [[tuple(y.values()) for y in es or ()] for es in part.column(5).to_pylist()]
+                encoded, rows, r = [0] * len(texts), range(len(texts)), 0
+                while rows := [i for i in rows if r < len(todo[i])]:
+                    turn = [(texts[i], forest[i], at or 0, delete or 0, insert or "") for i in rows for at, delete, insert in todo[i][r:r + 1]]
+                    for i, (t, tree, k) in zip(rows, edit_each(v, turn), strict=True):
+                        texts[i], forest[i] = t, tree
+                        encoded[i] += k
+                    r += 1
+                pairs = [tree.arrays() for tree in forest]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(out_text, pa.string()), pa.array(n, pa.int64()), pa.array(lengths, pa.binary()),
-                     pa.array(counts, pa.binary()), part.column(2), pa.array(encoded, pa.int64())],
+                    [part.column(0), pa.array(texts, pa.string()), pa.array([tree.n_tokens for tree in forest], pa.int64()),
+                     pa.array([x.tobytes() for x, _ in pairs], pa.binary()), pa.array([c.tobytes() for _, c in pairs], pa.binary()),
+                     part.column(2), pa.array(encoded, pa.int64())],
                     names=["key", "text", "n_tokens", "lengths", "counts", "before", "encoded"])
 
     out = frame.mapInArrow(run, f"key {kind}, text string, {_TREE}, before long, encoded long")

@@ -169,6 +169,54 @@ def test_edits_anywhere():
             assert whole.pairs() == tree.pairs() and whole.n_tokens == tree.n_tokens
 
 
+def test_edits_of_a_block_are_encoded_together():
+    rng = random.Random(6)
+    v = bpe.Vocabulary(bpe.VOCABULARY)
+    merge, calls = v._merge, []
+    v._merge = lambda words: calls.append(len(words)) or merge(words)
+    texts = ["".join(rng.choice("ab 1'stre  \n.,éß中Ⅷ") for _ in range(n)) for n in [0, 1, 40, *[500] * 40, 40_000]]
+    texts += ["one <|endoftext|> two", "\U0001cc00 x"]
+    docs = [(t, edit_counts.build(v, t), rng.randint(0, len(t)), rng.choice([0, 3]), rng.choice(["", f" new{i} word", "<|endoftext|>"]))
+            for i, t in enumerate(texts)]
+    calls.clear()
+    for remember in (v.remember, 3):
+        v.remember = remember
+        out = edit_counts.edit_each(v, docs)
+        for (t, _, at, delete, insert), (new, tree, _) in zip(docs, out, strict=True):
+            assert new == t[:at] + insert + t[at + delete:]
+            assert tree.n_tokens == len(_ids(new)) and tree.pairs() == edit_counts.build(v, new).pairs()
+        docs = [(new, tree, rng.randint(0, len(new)), 2, f"x{i}") for i, (new, tree, _) in enumerate(out)]
+        assert remember == 3 or calls[0] > 20 and len(calls) <= 1 + len(docs)  # one for all edits, then the test's own
+
+
+def test_an_edit_leaves_other_leaves_alone():
+    v = bpe.vocabulary(bpe.VOCABULARY)
+    text = "a few words, " * 2000
+    tree = edit_counts.build(v, text)
+    before = list(tree.leaves)
+    _, after, encoded = edit_counts.edit(v, text, tree, len(text) // 2, 3, " edited")
+    assert len(after.leaves) == len(before) and encoded < 10
+    assert sum(not np.shares_memory(a, b) for a, b in zip(before, after.leaves, strict=True)) <= 2
+
+
+def test_documents_with_different_numbers_of_edits(spark):
+    rows = [(0, "one two three", []), (1, None, [(0, 0, "new")]), (2, "x <|endoftext|> y", [(3, 2, None), (None, 1, "é")]), (3, "", None),
+            (4, "some more words here", [(4, 1, ""), (2, None, "  "), (99, 9, "end"), (0, 99, ""), (0, 0, "again")])]
+    schema = "doc_id long, text string, edits array<struct<at:int,delete:int,insert:string>>"
+    df = spark.createDataFrame(rows, schema).coalesce(1)
+    kept = edit_counts.trees(df).join(df.select("doc_id", "edits"), "doc_id")
+    out = {r["doc_id"]: r for r in _rows(edit_counts.apply_edits(kept, F.col("edits")))}
+    for key, text, edits in rows:
+        new = text or ""
+        for at, delete, insert in edits or ():
+            at, delete = min(at or 0, len(new)), delete or 0
+            new = new[:at] + (insert or "") + new[at + delete:]
+        r = out[key]
+        tree = edit_counts.build(bpe.vocabulary(bpe.VOCABULARY), new)
+        assert (r["text"], r["n_tokens"], r["before"]) == (new, len(_ids(new)), len(_ids(text)))
+        assert list(zip(np.frombuffer(r["lengths"], "<u4").tolist(), np.frombuffer(r["counts"], "<u4").tolist(), strict=True)) == tree.pairs()
+
+
 def test_pack_is_gapless_and_complete(docs, none):
     rows = _rows(pack.pack(docs))
     by_id = dict(enumerate(TEXTS)) | {None: "null id"}
