@@ -6,7 +6,8 @@ linked sequence, an index maps every adjacent pair to all its positions, and
 the pairs' merge ranks are applied in ascending order; applying a rank touches
 only that pair's positions and the lists of the pairs next to them. This equals
 the usual merge loop, because a merge of rank r can only create pairs of higher
-rank (checked when the vocabulary is loaded).
+rank (checked when the vocabulary is loaded). Where only numbers of tokens
+are asked for (operator 6), short pre-tokens are merged as rows of matrices.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Bytes of text encoded together, and distinct pre-tokens remembered by a task.
 BLOCK_BYTES = 2 << 20
 REMEMBER = 1_000_000
+#: Bytes of the words that are counted together as rows of a matrix, and rows of one matrix; longer words go through the index.
+WIDTHS, MATRIX_ROWS = (8, 16, 32), 1 << 14
+NO_RANK = np.int32(2**31 - 1)
 
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.A)
 _SIMPLE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -117,6 +121,10 @@ class Vocabulary:
             self.merged.append(new)
             if len(a) == len(b) == 1:
                 self.byte_rank[byte[a], byte[b]] = r
+        self.merged_array = np.array(self.merged, np.int64)
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(keys)
+        self.keys, self.key_ranks = keys[order], np.fromiter(self.rank.values(), np.int32, len(keys))[order]
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.split = Splitter(Tokenizer.from_file(path).pre_tokenizer)
         self.ids: dict[str, bytes] = {}  # pre-token -> its ids, little-endian 32-bit
@@ -143,22 +151,73 @@ class Vocabulary:
             new = list(distinct)
         return new
 
-    def _encoded(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode the distinct pieces that are not remembered yet."""
         plain = []
-        for p in new:
+        for p in self._unknown(self.ids, pieces):
             if p in self.special:
-                yield p, array("I", [self.special[p]]).tobytes()
+                self.ids[p] = array("I", [self.special[p]]).tobytes()
             else:
                 plain.append(p)
-        yield from zip(plain, self._merge([p.encode() for p in plain]), strict=True)
-
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Encode the distinct pieces that are not remembered yet."""
-        self.ids.update(self._encoded(self._unknown(self.ids, pieces)))
+        for p, ids in zip(plain, self._merge([p.encode() for p in plain]), strict=True):
+            self.ids[p] = ids
 
     def measure(self, pieces: Iterable[str]) -> None:
         """Count the tokens of the distinct pieces whose number is not remembered yet; their ids are not kept."""
-        self.sizes.update((p, len(ids) >> 2) for p, ids in self._encoded(self._unknown(self.sizes, pieces)))
+        new = self._unknown(self.sizes, pieces)
+        self.sizes.update(zip(new, self._tokens([p.encode() for p in new]), strict=True))
+        self.sizes.update((p, 1) for p in self.special if p in self.sizes)
+
+    def _tokens(self, words: list[bytes]) -> list[int]:
+        """Number of tokens of each word: short ones as rows of matrices by length, the others by the index."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        out = np.zeros(len(words), np.int64)
+        kinds = np.searchsorted(WIDTHS, lengths)
+        for kind, width in enumerate(WIDTHS):
+            rows = np.flatnonzero(kinds == kind)
+            for i in range(0, len(rows), MATRIX_ROWS):
+                part = rows[i:i + MATRIX_ROWS]
+                raw = np.frombuffer(b"".join([words[k].ljust(width, b"\0") for k in part.tolist()]), np.uint8)
+                out[part] = self._merge_rows(raw.reshape(-1, width), lengths[part])
+        rest = np.flatnonzero(kinds == len(WIDTHS))
+        out[rest] = [len(ids) >> 2 for ids in self._merge([words[k] for k in rest.tolist()])]
+        return out.tolist()
+
+    def _merge_rows(self, raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Number of tokens of words that are the rows of a matrix, ``lengths`` of whose bytes count.
+
+        Each round merges the first pair of least rank of every row that has
+        one; so every row left is one symbol shorter, and the matrix one
+        column narrower.
+        """
+        cols = np.arange(raw.shape[1])
+        tok = np.where(cols < lengths[:, None], self.of_byte[raw], -1)
+        ranks = self.byte_rank[raw[:, :-1], raw[:, 1:]]
+        ranks[(ranks < 0) | (cols[1:] >= lengths[:, None])] = NO_RANK
+        n, rows = lengths.copy(), np.arange(len(raw))
+        while ranks.size:
+            at = ranks.argmin(axis=1)
+            r = ranks[np.arange(len(rows)), at]
+            live = np.flatnonzero(r < NO_RANK)
+            if len(live) < len(rows):
+                tok, ranks, at, r, rows = tok[live], ranks[live], at[live], r[live], rows[live]
+            n[rows] -= 1
+            keep = cols[:tok.shape[1] - 1] <= at[:, None]
+            tok = np.where(keep, tok[:, :-1], tok[:, 1:])
+            ranks = np.where(keep[:, :-1], ranks[:, :-1], ranks[:, 1:])
+            new = self.merged_array[r]
+            tok[np.arange(len(rows)), at] = new
+            left = np.flatnonzero(at > 0)
+            ranks[left, at[left] - 1] = self._ranks(tok[left, at[left] - 1], new[left])
+            right = np.flatnonzero(at < ranks.shape[1])
+            ranks[right, at[right]] = self._ranks(new[right], tok[right, at[right] + 1])
+        return n
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of symbols, NO_RANK where they do not merge."""
+        key = left << 20 | right
+        i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[i] == key, self.key_ranks[i], NO_RANK)
 
     def _merge(self, words: list[bytes]) -> Iterator[bytes]:
         if not words:

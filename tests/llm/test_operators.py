@@ -172,8 +172,8 @@ def test_edits_anywhere():
 def test_edits_of_a_block_are_encoded_together():
     rng = random.Random(6)
     v = bpe.Vocabulary(bpe.VOCABULARY)
-    merge, calls = v._merge, []
-    v._merge = lambda words: calls.append(len(words)) or merge(words)
+    tokens, calls = v._tokens, []
+    v._tokens = lambda words: calls.append(len(words)) or tokens(words)
     texts = ["".join(rng.choice("ab 1'stre  \n.,éß中Ⅷ") for _ in range(n)) for n in [0, 1, 40, *[500] * 40, 40_000]]
     texts += ["one <|endoftext|> two", "\U0001cc00 x"]
     docs = [(t, edit_counts.build(v, t), rng.randint(0, len(t)), rng.choice([0, 3]), rng.choice(["", f" new{i} word", "<|endoftext|>"]))
@@ -189,6 +189,23 @@ def test_edits_of_a_block_are_encoded_together():
         assert remember == 3 or calls[0] > 20 and len(calls) <= 1 + len(docs)  # one for all edits, then the test's own
 
 
+def test_counted_tokens_equal_encoded_ones():
+    rng = random.Random(7)
+    v = bpe.Vocabulary(bpe.VOCABULARY)
+    letters = "aaabeest hrn19.,\n\x00éß中Ⅷ"
+    words = {"", "a", "<|endoftext|>", "a" * 8, "a" * 33, "the" * 5, *map(chr, range(1, 256))}
+    words |= {"".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(4000)}
+    words |= {" " + "".join(rng.choice(["th", "ing", "er", "on", "re"]) for _ in range(rng.randint(1, 9))) for _ in range(2000)}
+    v.measure(words)
+    v.learn(words)
+    assert v.sizes == {p: len(ids) >> 2 for p, ids in v.ids.items()}
+    assert max(len(p.encode()) for p in words) > max(bpe.WIDTHS)
+    v._merge = lambda words: iter([b""] * len(list(words)))  # short words do not need the index
+    v.sizes.clear()
+    v.measure(["there", "a" * 32])
+    assert v.sizes == {p: len(_ids(p)) for p in ("there", "a" * 32)}
+
+
 def test_an_edit_leaves_other_leaves_alone():
     v = bpe.vocabulary(bpe.VOCABULARY)
     text = "a few words, " * 2000
