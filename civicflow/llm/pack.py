@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable
 
 import numpy as np
@@ -140,51 +141,62 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
 
 # ---------------------------------------------------------------- solver
 
-def fillings(counts: np.ndarray, room: int, limit: int = 64, few: int = 0) -> list[tuple[int, ...]]:
+def fillings(counts: np.ndarray, room: int, limit: int = 64, few: int = 0, most: int = 64) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` from the lengths with counts, fullest first.
 
     A filling is dominated when another one holds a longer piece in the place
     of one or more of its own; a filling whose waste admits no remaining
     length, and in which no piece can be exchanged for a longer one, is not.
-    At most ``limit`` are returned, those with the longest pieces first. With
-    at most ``few`` lengths left, all pieces are tried at every place, for up to NEAR fillings.
+    At most ``limit`` are found, those with the longest pieces first, and the
+    first ``most`` of them returned. With at most ``few`` lengths left, all
+    pieces are tried at every place, for up to NEAR fillings.
     """
-    sizes = np.flatnonzero(counts[:room + 1])[::-1].tolist()
+    at = np.flatnonzero(counts[:room + 1])[::-1]
+    sizes = at.tolist()
     if not sizes:
         return [()]
-    left = counts
+    left = counts[at].tolist()  # of each size, less what is chosen
     near = len(sizes) <= few
     limit = NEAR if near else limit
-    out: list[tuple[int, tuple[int, ...]]] = []
+    upto, least = [-s for s in sizes], sizes[-1]  # upto ascends, to find the longest piece that fits
+    out: list[tuple[int, tuple[int, ...]]] = []  # less the waste, pieces
     steps = 0
 
-    def grow(k: int, room: int, chosen: list[int]) -> None:
+    def grow(k: int, room: int, chosen: tuple[int, ...]) -> None:
         nonlocal steps
         steps += 1
         if len(out) >= limit or steps > 20 * limit:
             return
         fits = False
         tried = 0
-        for i in range(k, len(sizes)):
-            s = sizes[i]
-            if s > room or chosen.count(s) >= left[s]:
+        for i in range(bisect_left(upto, -room, k), len(sizes)):
+            if not left[i]:
                 continue
+            s = sizes[i]
             fits = True
-            chosen.append(s)
-            grow(i, room - s, chosen)
-            chosen.pop()
+            rest = room - s
+            if rest < least:  # nothing more fits
+                steps += 1
+                if len(out) < limit and steps <= 20 * limit:
+                    out.append((-rest, (*chosen, s)))
+            else:
+                left[i] -= 1
+                grow(i, rest, (*chosen, s))
+                left[i] += 1
             tried += 1
-            if room - s == 0 or (tried >= 4 and not near) or len(out) >= limit:
+            if rest == 0 or (tried >= 4 and not near) or len(out) >= limit:
                 break  # an exact fit dominates every filling of shorter pieces
         if not fits:
-            out.append((room, tuple(chosen)))
+            out.append((-room, chosen))
 
-    grow(0, room, [])
+    grow(0, room, ())
+    if most == 1:
+        return [max(out)[1]]
     keep: list[tuple[int, ...]] = []
-    for waste, f in sorted(out, key=lambda x: (x[0], [-s for s in x[1]])):
+    for _, f in sorted(out, reverse=True):  # of equal waste none begins another
         if not any(_dominates(g, f) for g in keep):
             keep.append(f)
-            if len(keep) == 64:
+            if len(keep) == most:
                 break
     return keep
 
@@ -284,57 +296,60 @@ def complete(counts: np.ndarray, size: int, nodes: int = SEARCH_NODES) -> list[t
     lengths = np.arange(len(counts))
     volume, bound = int((counts * lengths).sum()), lower_bound(counts, size)
     best = best_fit(counts, size)
+    least = bins(best)
     tried = 0
     for width in (1, 2, 4, 8):  # few discrepancies first, then more of each node's fillings
-        if bins(best) <= bound or tried >= nodes:
+        if least <= bound or tried >= nodes:
             break
-        stack: list[tuple[np.ndarray, list, int, int]] = [(counts.copy(), [], 0, size)]
+        stack: list[tuple[np.ndarray, list, int, int, int]] = [(counts.copy(), [], 0, 0, size)]
         first_budget = tried + nodes // 4
-        while stack and tried < min(nodes, first_budget) and bins(best) > bound:
-            left, plan, waste, big = stack.pop()
+        while stack and tried < min(nodes, first_budget) and least > bound:
+            left, plan, used, waste, big = stack.pop()
             while big and not left[big]:
                 big -= 1
             if not big:
-                if bins(plan) < bins(best):
-                    best = plan
+                if used < least:
+                    best, least = plan, used
                 continue
-            rest = int((left * np.arange(len(left))).sum())
-            if bins(plan) + -(-rest // size) >= bins(best) or waste >= bins(best) * size - volume:
+            rest = int((left * lengths).sum())
+            if used + -(-rest // size) >= least or waste >= least * size - volume:
                 continue
             tried += 1
             left[big] -= 1
-            options = fillings(left, size - big)[:width]
+            options = fillings(left, size - big, most=width)
             left[big] += 1
             for fill in reversed(options):
                 after = left.copy()
                 times = _take(after, big, fill)
-                stack.append((after, [*plan, (times, (big, *fill))],
+                stack.append((after, [*plan, (times, (big, *fill))], used + times,
                               waste + times * (size - big - sum(fill)), big))
     tried, budget = 0, nodes + PATHS * len(best)
 
-    def options(left: np.ndarray, big: int) -> list[tuple[int, ...]]:
+    def options(left: np.ndarray, big: int, most: int = 64) -> list[tuple[int, ...]]:
         nonlocal tried
         tried += 1
         left[big] -= 1
-        out = fillings(left, size - big, few=FEW)
+        out = fillings(left, size - big, few=FEW, most=most)
         left[big] += 1
         return out
 
     def dive(left: np.ndarray, fill: tuple[int, ...] | None, used: int) -> list | None:
         """Patterns for what is left, with ``fill`` in the first bin; None if they would not improve on the incumbent."""
         left, plan, rest = left.copy(), [], int((left * lengths).sum())
+        big = size
         while rest:
-            if used - (-rest // size) >= bins(best) or tried >= budget:
+            if used - (-rest // size) >= least or tried >= budget:
                 return None
-            big = int(np.flatnonzero(left)[-1])
-            fill = options(left, big)[0] if fill is None else fill
+            while not left[big]:
+                big -= 1
+            fill = options(left, big, 1)[0] if fill is None else fill
             times = _take(left, big, fill)
             plan.append((times, (big, *fill)))
             used, rest, fill = used + times, rest - times * (big + sum(fill)), None
-        return plan if used < bins(best) else None
+        return plan if used < least else None
 
     better = True
-    while better and bins(best) > bound and tried < budget:
+    while better and least > bound and tried < budget:
         better, left, states, used = False, counts.copy(), [], 0
         for times, (big, *fill) in best:
             states.append((left.copy(), used))
@@ -348,6 +363,7 @@ def complete(counts: np.ndarray, size: int, nodes: int = SEARCH_NODES) -> list[t
                 rest = dive(left, fill, used)
                 if rest is not None:
                     best, better = [*best[:level], *rest], True
+                    least = bins(best)
                     break
             if better or tried >= budget:
                 break

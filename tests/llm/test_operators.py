@@ -288,6 +288,20 @@ def test_lower_bound(lengths, size, least):
     assert pack.lower_bound(counts, size) <= least == pack.bins(pack.complete(counts, size))
 
 
+def test_pack_dives_compare_no_fillings(monkeypatch):
+    """A dive takes the first filling only, so it need not know which of the others are dominated."""
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        counts = np.bincount(rng.integers(1, 41, rng.integers(1, 30)), minlength=41)
+        every = pack.fillings(counts, 40, few=12)
+        assert [pack.fillings(counts, 40, few=12, most=k) for k in (1, 2, 4)] == [every[:k] for k in (1, 2, 4)]
+    calls, real = [], pack._dominates
+    monkeypatch.setattr(pack, "_dominates", lambda a, b: calls.append(1) or real(a, b))
+    counts = np.bincount(np.clip(rng.lognormal(6, 0.8, 20_000), 1, 1024).astype(int), minlength=1025)
+    assert pack.bins(pack.complete(counts, 1024)) <= pack.bins(pack.best_fit(counts, 1024))
+    assert len(calls) < 200_000  # every filling of every dive was compared: some millions of times
+
+
 # ---------------------------------------------------------------- 2: urls
 
 def test_host_path_and_rules(spark):
