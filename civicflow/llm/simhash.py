@@ -234,6 +234,16 @@ def _probed(nodes: DataFrame, parts: list[Part]) -> DataFrame:
     return one.select(F.xxhash64(z).bitwiseAND(F.lit(-8)).bitwiseOR(F.col("k")[0]).alias("h"), "fp")
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Let ``df`` and what it is joined with meet by shuffle.
+
+    Spark would broadcast either side by its own estimate, which goes by the
+    bytes of the stored files and leaves out what an explode adds: the keys
+    probed were taken for the nodes that they come from.
+    """
+    return df.hint("merge")
+
+
 def _outside(fp: Column, h: Column, parts: list[Part], distance: int) -> Column:
     """The ``distance`` + 1 pieces of what lies outside the key's partition, as hashes: linked nodes agree in one of them."""
     out = None
@@ -257,24 +267,24 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     pairs = shared.where("c = 2").where(near("a", "b")).select("a", "b")
     # keys of three nodes and more: each with the least one
     heads = shared.where("c > 2").select("h", "a", "c")
-    heads = F.broadcast(heads) if heads.count() <= BROADCAST_KEYS else heads
+    heads = F.broadcast(heads) if heads.count() <= BROADCAST_KEYS else _shuffled(heads)
     crowd = stored(probed.join(heads, "h"), "simhash_crowds")
     found = stored(pairs.unionByName(crowd.where("fp <> a").where(near("a", "fp")).select("a", F.col("fp").alias("b"))).distinct(), "simhash_links")
     if crowd.isEmpty():
         return found
     # crowds that still hold several components; large ones are dealt by a piece of the bits outside the partition
     comp = components(found) if not found.isEmpty() else found.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    member = crowd.drop("a").join(comp, F.col("fp") == F.col("node"), "left")
+    member = crowd.drop("a").join(_shuffled(comp), F.col("fp") == F.col("node"), "left")
     pieces = F.when(F.col("c") > SMALL_CROWD, _outside(F.col("fp"), F.col("h"), parts, distance)).otherwise(F.array(F.lit(0).cast("long")))
     member = member.select("h", "fp", F.coalesce("component", "fp").alias("comp"), F.explode(pieces).alias("y"))
     member = stored(member, "simhash_members")
     at = ["h", "y"]
     major = member.groupBy(*at, "comp").agg(F.count(F.lit(1)).alias("c")).groupBy(*at).agg(
         F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
-    member = stored(member.join(major, at), "simhash_mixed")
+    member = stored(member.join(_shuffled(major), at), "simhash_mixed")
     x = member.where("comp <> major").select(*at, F.col("fp").alias("a"), F.col("comp").alias("ca"))
     y = member.select(*at, F.col("fp").alias("b"), F.col("comp").alias("cb"))
-    more = x.join(y, at).where("ca <> cb").where(near("a", "b")).select("a", "b").distinct()
+    more = x.join(_shuffled(y), at).where("ca <> cb").where(near("a", "b")).select("a", "b").distinct()
     return found.unionByName(stored(more, "simhash_more_links"))
 
 
@@ -287,7 +297,7 @@ def join_hot(rows: DataFrame, sizes: DataFrame, on: str, total: int) -> DataFram
     hot = F.broadcast(sizes.where(F.col("c") * HOT > total).withColumnRenamed(on, "_hot"))
     cold = sizes.where(F.col("c") * HOT <= total)
     there = rows.join(hot, rows[on] == F.col("_hot")).drop("_hot")
-    rest = rows.join(hot.select("_hot"), rows[on] == F.col("_hot"), "left_anti").join(cold, on)
+    rest = rows.join(hot.select("_hot"), rows[on] == F.col("_hot"), "left_anti").join(_shuffled(cold), on)
     return there.select(*rest.columns).unionByName(rest)
 
 
@@ -308,7 +318,7 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     total = rows.count()
     if not found.isEmpty():
         comp = components(found).withColumnRenamed("node", "fp")
-        of = stored(nodes.join(comp, "fp", "left").select("fp", "least", "c", F.coalesce("component", "fp").alias("comp")), "simhash_components")
+        of = stored(nodes.join(_shuffled(comp), "fp", "left").select("fp", "least", "c", F.coalesce("component", "fp").alias("comp")), "simhash_components")
         lows = stored(of.groupBy("comp").agg(F.min("least").alias("low"), F.count(F.lit(1)).alias("c")), "simhash_lows")
         nodes = stored(join_hot(of.select("fp", F.col("c").alias("size"), "comp"), lows, "comp", nodes.count()).select(
             "fp", F.col("low").alias("least"), F.col("size").alias("c")), "simhash_least")

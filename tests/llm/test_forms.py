@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from civicflow.llm import conversations as C
-from civicflow.llm import fim, simhash
+from civicflow.llm import components, fim, simhash
 
 # ---------------------------------------------------------------- 11: fill in middle
 
@@ -227,6 +227,27 @@ def test_simhash(spark):
     assert simhash.simhash_groups(spark.read.parquet(path).where("doc_id < 0")).count() == 0
 
 
+def test_simhash_broadcasts_by_counts_only(spark, monkeypatch):
+    """Spark took the probed keys for as few bytes as the nodes and broadcast them where the crowds' keys were too many to be."""
+    rng = np.random.default_rng(4)
+    fps = np.unique(rng.integers(0, 2**14, 800, dtype=np.uint64) << np.uint64(30))
+    nodes = spark.createDataFrame(pd.DataFrame({"fp": fps.view(np.int64)}))
+    plans, real = {}, simhash.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    want = {tuple(r) for r in components.components(simhash.links(nodes)).collect()}
+    assert "BroadcastHashJoin" in plans["simhash_crowds"]  # few keys, counted
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", 0)
+    plans.clear()
+    assert {tuple(r) for r in components.components(simhash.links(nodes)).collect()} == want
+    assert {"simhash_crowds", "simhash_members", "simhash_mixed", "simhash_more_links"} <= set(plans)
+    assert not [k for k, p in plans.items() if "Broadcast" in p]
+
+
 @pytest.mark.parametrize("kind", ["uniform", "clustered", "skewed"])
 def test_links_lose_no_component(spark, kind):
     rng = np.random.default_rng({"uniform": 1, "clustered": 2, "skewed": 3}[kind])
