@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,17 +65,48 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
 
 
+#: Most objects that are held at once as the text of one line of an array file.
+LINE_ROWS = 1000
+
+
 def write_json_array(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int | None = None) -> None:
-    """JSON arrays as ``read_json_array`` loads: one file of all rows (for samples), or files of at most ``rows_per_file`` rows."""
+    """JSON arrays as ``read_json_array`` loads: one file of all rows (for samples), or files of at most ``rows_per_file`` rows.
+
+    Files of bounded size are written by the tasks that hold the rows, a line
+    of at most ``LINE_ROWS`` objects at a time: neither a file nor a task's rows are held as a whole.
+    """
     value = F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("v")
-    array = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("v")), F.lit("]")).alias("value")
     if rows_per_file is None:
+        array = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("v")), F.lit("]")).alias("value")
         df.select(value).agg(array).write.mode(mode).text(path)
         return
-    row = F.monotonically_increasing_id()
-    part, place = F.shiftright(row, 33).alias("part"), F.floor(row.bitwiseAND(F.lit((1 << 33) - 1)) / int(rows_per_file)).alias("place")
-    arrays = df.select(value, part, place).groupBy("part", "place").agg(array).select("value")
-    arrays.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    # the writer begins a file after so many lines, so all but a task's last line hold the same number of objects
+    per_file = int(rows_per_file)
+    per_line = next(n for n in range(min(per_file, LINE_ROWS), 0, -1) if per_file % n == 0)
+    lines = per_file // per_line
+
+    def run(batches):
+        def texts():
+            held: list[str] = []
+            for b in batches:
+                for at in range(0, b.num_rows, per_line):
+                    held += b.column(0).slice(at, per_line).to_pylist()
+                    if len(held) >= per_line:
+                        yield ",".join(held[:per_line])
+                        held = held[per_line:]
+            if held:
+                yield ",".join(held)
+
+        number, last = 0, None
+        for text in itertools.chain(texts(), (None,)):
+            if last is not None:
+                ends = text is None or number % lines == 0
+                yield pa.RecordBatch.from_arrays([pa.array([f"{last}]" if ends else last])], names=["value"])
+            if text is not None:
+                last = f"{',' if number % lines else '['}{text}"
+                number += 1
+
+    df.select(value).mapInArrow(run, "value string").write.mode(mode).option("maxRecordsPerFile", lines).text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

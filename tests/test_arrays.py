@@ -1,5 +1,6 @@
 """JSON arrays read in byte ranges: the rows and rejections of the whole-file reader, at any split."""
 
+import collections
 import json
 import os
 import random
@@ -102,6 +103,33 @@ def test_arrays_of_bounded_size(spark, tmpdir_path):
     assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 400
 
 
+@pytest.mark.parametrize("per_file", [1, 7, 400, 1009, 2000, 10_000])
+def test_arrays_are_written_line_by_line(spark, tmpdir_path, per_file):
+    """All objects of a task, and then all of a file, were gathered in memory."""
+    rows = spark.range(0, 2500, 1, 3).select(F.col("id").cast("string").alias("unique_key"), F.lit('a\n"}é').alias("status"))
+    rows = rows.where("unique_key < 700 or unique_key >= 1700")  # tasks of 700, 0 and 800 rows
+    files.write_json_array(rows, f"{tmpdir_path}/out", rows_per_file=per_file)
+    assert files.json_array_problems(spark, f"{tmpdir_path}/out").collect() == []
+    back = files.read_json_array(spark, f"{tmpdir_path}/out").select("unique_key", "status", F.input_file_name().alias("f")).collect()
+    assert sorted(r[:2] for r in map(tuple, back)) == sorted(map(tuple, rows.collect()))
+    of = collections.Counter(r["f"] for r in back)
+    assert sorted(of.values(), reverse=True) == sorted([n for t in (700, 800) for n in [per_file] * (t // per_file) + [t % per_file] * (t % per_file > 0)], reverse=True)
+    lines = [r[0] for r in spark.read.text(f"{tmpdir_path}/out").collect()]
+    assert max(x.count("unique_key") for x in lines) <= files.LINE_ROWS and (per_file < 2000 or len(lines) == 2)
+    files.write_json_array(rows.where("false"), f"{tmpdir_path}/none", rows_per_file=per_file)
+    assert files.read_json_array(spark, f"{tmpdir_path}/none").count() == 0
+
+
+def test_array_files_are_written_without_a_shuffle(spark, tmpdir_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, real = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, path, *a, **k: plans.append(
+        self._df._jdf.queryExecution().executedPlan().toString()) or real(self, path, *a, **k))
+    files.write_json_array(spark.range(2500).select(F.col("id").alias("unique_key")), f"{tmpdir_path}/out", rows_per_file=1000)
+    assert len(plans) == 1 and "collect_list" not in plans[0] and "Exchange" not in plans[0]
+
+
 def test_the_text_is_shuffled_once(spark, tmpdir_path, monkeypatch):
     import civicflow.sources.arrays as A
 
