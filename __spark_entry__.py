@@ -24,7 +24,7 @@ from civicflow.plans import queries as Q
 from civicflow.plans.deltas import DeltaWarehouse
 from civicflow.plans.published import open_published, publish
 from civicflow.schema import RAW_SCHEMA
-from civicflow.session import path_exists, scratch_path
+from civicflow.session import path_exists, remove_dir, scratch_path
 from civicflow.sources import extract as S
 from civicflow.sources import testdata
 from civicflow.sources.arrays import split_json_arrays
@@ -260,6 +260,7 @@ def _stream_replay(spark, sf_dir):
     for k, batch in enumerate((raw, testdata.replayed(raw))):  # the second landing repeats every key
         land_as_json(batch, f"{landing}/{k}", files=2)
         ingest_stream(spark, f"{landing}/{k}", f"{base}/raw", f"{base}/watermark", f"{base}/checkpoint{k}", files_per_batch=2, now=NOW)
+        remove_dir(spark, f"{landing}/{k}")  # loaded: the next landing needs its room
     return L.read_raw(spark, f"{base}/raw")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import as_ntz
 from ..schema import CREATED, EXPECTED_COLUMNS, KEY, META_SCHEMA, SOURCE_NAME
 from ..session import path_exists
+from .keyindex import BROADCAST_WORDS_MAX, absent_rows, bit_of, key_words, stored_words, word_of
 from .normalize import batch_dedupe, null_key_rows
 
 # Largest batch whose key set is broadcast to probe the target (8-byte keys: ~32 MB hash table).
@@ -297,8 +298,14 @@ def load_batch(spark: SparkSession, batch: DataFrame, raw_path: str, log: Waterm
                 stored = stored.where(span)
             if n <= BROADCAST_KEYS_MAX:
                 new = deduped.join(F.broadcast(colliding_keys(deduped, stored)), KEY, "left_anti")
-            else:  # batch too large to broadcast its keys: shuffle anti-join
-                new = insert_absent(deduped, stored)
+            else:
+                # batch too large to broadcast its keys: their bits meet those of the target, and the rows
+                # stay where they are unless more words collide than can be broadcast
+                words = key_words(deduped).persist()
+                held.append(words)
+                common = stored_words(words, stored.select(word_of(k).alias("word"), bit_of(k).alias("bits"))).persist()
+                held.append(common)
+                new = absent_rows(deduped, common, small=common.count() <= BROADCAST_WORDS_MAX)
         out = new.select(*deduped.columns)
         if by_month:
             # rebalance: few files a month, and a large month is split over tasks

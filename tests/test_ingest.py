@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import raw_rows, ts
+from conftest import SF_SMALL, raw_rows, ts
 from pyspark.sql import functions as F
 
 from civicflow.operators import load as L
@@ -434,3 +434,40 @@ def test_landing_writes_text_made_before_its_shuffle(spark, tmpdir_path, monkeyp
     assert dealt == [["value", "_key"]]  # the rows were dealt, and turned to text by two tasks
     lines = [sorted(r[0] for r in spark.read.text(f"{tmpdir_path}/{x}").collect()) for x in ("got", "want")]
     assert lines[0] == lines[1] and len(lines[0]) == 7
+
+
+def test_large_batch_meets_the_target_by_key_bits(spark, tmpdir_path, monkeypatch):
+    """The rows of a batch whose keys are too many to broadcast were shuffled with all their columns."""
+    def of(keys, agency):
+        return raw_rows(spark, [{"unique_key": k, "created_date": ts("2026-01-05 10:00:00"), "agency": agency} for k in keys])
+
+    args = f"{tmpdir_path}/raw", L.WatermarkLog(f"{tmpdir_path}/wm"), ts("2026-02-01 00:00:00")
+    L.load_batch(spark, of([-65, -1, 0, 63, 64, 2**40], "first"), *args)
+    frame = type(spark.range(0))
+    plans, real = [], frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *c: plans.append(self._jdf.queryExecution().executedPlan().toString()) or real(self, *c))
+    monkeypatch.setattr(L, "BROADCAST_KEYS_MAX", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = L.load_batch(spark, of([-65, -64, -2, -1, 0, 1, 62, 63, 64, 127, 2**40, 2**40 + 1], "second"), *args)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert res.rows_loaded == 6 and len(plans) == 1 and "SortMergeJoin" not in plans[0].split("InMemoryRelation")[0]
+    stored = {r["unique_key"]: r["agency"] for r in L.read_raw(spark, f"{tmpdir_path}/raw").collect()}
+    assert stored == dict.fromkeys([-65, -1, 0, 63, 64, 2**40], "first") | dict.fromkeys([-64, -2, 1, 62, 127, 2**40 + 1], "second")
+
+
+def test_replay_keeps_one_landing_at_a_time(spark, tmpdir_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    held, real = [], entry.land_as_json
+
+    def land(df, landing, files):
+        held.append(sorted(os.listdir(os.path.dirname(landing))) if os.path.isdir(os.path.dirname(landing)) else [])
+        real(df, landing, files)
+
+    monkeypatch.setattr(entry, "land_as_json", land)
+    monkeypatch.setattr(entry, "scratch_path", lambda spark, *parts: f"{tmpdir_path}/{parts[0]}")
+    assert entry.queries()["stream_replay"](spark, SF_SMALL).count() == 1500
+    assert held == [[], []] and os.listdir(f"{tmpdir_path}/landing") == []
